@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pluvia.llm.embedding_dedup import near_duplicate_vectors
+from pluvia.llm.mixing import mix_sources
 from pluvia.llm.simhash import near_duplicate_groups
+from pluvia.llm.sstable import read_token_table, write_token_table
+from pluvia.llm.token_counts import token_counts
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +26,56 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op7_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_table(write_token_table(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op3_simhash": op3_simhash,
+    "op6_mixing": op6_mixing,
+    "op7_token_table": op7_token_table,
+    "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+#: The mix by plain sorting: same hash, same nearest cut.
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM d GROUP BY source
+), o AS (
+  SELECT *, row_number() OVER (ORDER BY 2.0 * source_size / weight, source) AS k,
+    coalesce(sum(2.0::DOUBLE * source_size) OVER (ORDER BY 2.0 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS spent,
+    sum(weight) OVER (ORDER BY 2.0 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight,
+    1.5::DOUBLE * sum(source_size) OVER () AS budget FROM s
+), l AS (
+  SELECT budget - spent AS left_over, open_weight FROM o
+  WHERE weight * (budget - spent) / open_weight <= 2.0 * source_size ORDER BY k LIMIT 1
+), t AS (
+  SELECT source, source_size, CASE WHEN (weight * left_over) / open_weight_l > 2.0 * source_size THEN 2.0::DOUBLE * source_size ELSE (weight * left_over) / open_weight_l END AS target
+  FROM s CROSS JOIN (SELECT left_over, open_weight AS open_weight_l FROM l)
+), p AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t
+), g AS (
+  SELECT source, h, sum(size) AS n, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) AS upto FROM d GROUP BY source, h
+), c AS (
+  SELECT g.source, h, CASE WHEN upto <= target - whole * source_size THEN 1
+    WHEN upto - n <= target - whole * source_size AND upto - (target - whole * source_size) < target - whole * source_size - (upto - n) THEN 1 ELSE 0 END AS more
+  FROM g JOIN p ON g.source IS NOT DISTINCT FROM p.source
+)
+SELECT d.doc_id, d.size, p.source_size, p.target, CAST(whole + more AS INTEGER) AS copies, CAST(d.size * (whole + more) AS BIGINT) AS taken
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
+"""
+
+ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL}
