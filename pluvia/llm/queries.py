@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pluvia.llm.embedding_dedup import near_duplicate_vectors
 from pluvia.llm.mixing import mix_sources
+from pluvia.llm.quality import quality_scores
 from pluvia.llm.simhash import near_duplicate_groups
 from pluvia.llm.sstable import read_token_table, write_token_table
 from pluvia.llm.token_counts import token_counts
+from pluvia.llm.toxicity import fit_toxicity, score_toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -34,6 +37,17 @@ def op7_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_table(write_token_table(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_scores(docs, labels, host=F.col("source"), path=F.concat_ws("/", "source", "lang"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = score_toxicity(docs, fit_toxicity(docs, labels))
+    return scored.withColumn("n_offending", F.size("offending")).drop("offending")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -43,6 +57,8 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op6_mixing": op6_mixing,
     "op7_token_table": op7_token_table,
+    "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
 }
 
