@@ -14,29 +14,35 @@ from pluvia.llm.common import saved
 from pluvia.llm.toxicity import held_out
 
 FEATURES = ("log_words", "word_length", "symbols", "upper", "digits", "odd_words", "bars", "distinct", "top_word", "repeated_lines", "line_length", "stops")
-_PLAIN = str.maketrans("", "", ".,;:'\"()-")
+# byte classes: 0 space, 1 small or not ASCII, 2 capital, 3 digit, 4 plain mark, 5 other mark
+_CLASS = np.ones(256, dtype="uint8")
+_CLASS[:128] = [0 if c.isspace() else 1 if c.islower() else 2 if c.isupper() else 3 if c.isdigit() else 4 if c in ".,;:'\"()-" else 5 for c in map(chr, range(128))]
 
 
 def features(text: str | None) -> list[float]:
     """Shape of a whole text; all zero where there are no words. No word lists: nothing depends on the language."""
-    text = text or ""
-    words = text.split()
+    data = (text or "").encode()
+    words = data.split()
     if not words:
         return [0.0] * len(FEATURES)
-    n, chars = len(words), max(1, len(text))
-    counts = Counter(words)
-    lines = [x for x in text.split("\n") if x.strip()]
-    odd = sum(c for w, c in counts.items() if not (core := w.translate(_PLAIN)) or not core.isalpha())
+    kind = _CLASS[np.frombuffer(data, dtype="uint8")]
+    inside = np.r_[False, kind > 0, False]
+    starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+
+    def per_word(c: int) -> np.ndarray:
+        total = np.r_[0, np.cumsum(kind == c, dtype="int32")]
+        return total[ends] - total[starts]
+
+    small, capital, digit, mark = per_word(1), per_word(2), per_word(3), per_word(5)
+    n, length, counts = len(starts), ends - starts, Counter(words)
+    lines = [x for x in data.split(b"\n") if x.strip()]
     return [
-        float(np.log1p(n)), sum(len(w) * c for w, c in counts.items()) / n,
-        sum(c * sum(not ch.isalnum() for ch in w) for w, c in counts.items()) / chars,
-        sum(c for w, c in counts.items() if w.isupper() and len(w) > 1) / n, sum(c for w, c in counts.items() if any(ch.isdigit() for ch in w)) / n,
-        odd / n, counts.get("|", 0) / n, len(counts) / n, counts.most_common(1)[0][1] / n,
-        1 - len(set(lines)) / len(lines), float(np.log1p(n / len(lines))), sum(c for w, c in counts.items() if len(w) <= 3) / n,
+        float(np.log1p(n)), float(length.mean()), float(mark.sum() / len(data)), float(((capital > 1) & (small == 0)).mean()), float((digit > 0).mean()),
+        float(((mark > 0) | (digit > 0) | (small + capital == 0)).mean()), counts.get(b"|", 0) / n, len(counts) / n, max(counts.values()) / n,
+        1 - len(set(lines)) / len(lines), float(np.log1p(n / len(lines))), float((length <= 3).mean()),
     ]
 
 
-
 def _shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         yield pd.DataFrame({"row": batch["row"], "label": batch["label"], "x": [features(t) for t in batch["text"]]})
