@@ -16,7 +16,7 @@ from pluvia.llm.toxicity import held_out
 FEATURES = ("log_words", "word_length", "symbols", "upper", "digits", "odd_words", "bars", "distinct", "top_word", "repeated_lines", "line_length", "stops")
 # byte classes: 0 space, 1 small or not ASCII, 2 capital, 3 digit, 4 plain mark, 5 other mark
 _CLASS = np.ones(256, dtype="uint8")
-_CLASS[:128] = [0 if c.isspace() else 1 if c.islower() else 2 if c.isupper() else 3 if c.isdigit() else 4 if c in ".,;:'\"()-" else 5 for c in map(chr, range(128))]
+_CLASS[:128] = [0 if c in " \t\n\r\x0b\x0c" else 1 if c.islower() else 2 if c.isupper() else 3 if c.isdigit() else 4 if c in ".,;:'\"()-" else 5 for c in map(chr, range(128))]
 
 
 def features(text: str | None) -> list[float]:

@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pluvia.llm.decontamination import contaminated_documents
 from pluvia.llm.embedding_dedup import near_duplicate_vectors
+from pluvia.llm.html_text import extract_text
 from pluvia.llm.mixing import mix_sources
 from pluvia.llm.quality import quality_scores
 from pluvia.llm.simhash import near_duplicate_groups
 from pluvia.llm.sstable import read_token_table, write_token_table
+from pluvia.llm.substring_dedup import remove_repeats
 from pluvia.llm.token_counts import token_counts
 from pluvia.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -25,10 +28,22 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -54,7 +69,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash": op3_simhash,
+    "op4_decontamination": op4_decontamination,
+    "op5_html_text": op5_html_text,
     "op6_mixing": op6_mixing,
     "op7_token_table": op7_token_table,
     "op8_quality": op8_quality,
