@@ -129,6 +129,16 @@ def fit_toxicity(
     return ToxicityModel(dict(zip(words, weights.tolist(), strict=True)), bias, leak)
 
 
+def toxicity_of(text_col: str, model: ToxicityModel):
+    """The score of each text as a column, for filters that keep a table's other columns."""
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.score(model.sentences(t)) for t in texts], dtype="float64")
+
+    return score(F.col(text_col))
+
+
 _SPANS = "array<struct<start:int,end:int,p:double,sentence:string>>"
 
 
