@@ -1,5 +1,77 @@
-"""A training-corpus pipeline of five stages over the documents table."""
-STAGES = []
+"""A training-corpus pipeline over the documents table: five stages, each one operator of pluvia.llm.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next stage's
+docs. All but the last return documents with all their columns. Dropped ids are joined back by broadcast only
+while they are few (size checked), else by shuffle.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pluvia.llm.common import saved, small
+from pluvia.llm.decontamination import contaminated_documents
+from pluvia.llm.mixing import mixed_rows
+from pluvia.llm.simhash import near_duplicate_groups
+from pluvia.llm.sstable import read_token_table, write_token_table
+from pluvia.llm.toxicity import fit_toxicity, toxicity_of
+
+TOXIC = 0.3
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    dropped = small(saved(ids.distinct(), "dropped"))
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity stays under the threshold; the model learns from this input's labelled rows."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.where(toxicity_of("text", model) < TOXIC)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the smallest id; of rows with one id, one. Null ids are kept."""
+    groups = near_duplicate_groups(docs)
+    kept = _without(docs, groups.where("doc_id <> component_id").select("doc_id"))
+    repeated = small(saved(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated"))
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = contaminated_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found.where("contaminated").select("doc_id"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, 0 to 2 times."""
+    return mixed_rows(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of what the token table holds."""
+    return read_token_table(write_token_table(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+    ("token_table", write_tokens),
+]
+
+#: The toxicity model and XXH64 fingerprints aren't expressible in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies all stages to documents; each result is written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
