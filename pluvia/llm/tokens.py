@@ -10,6 +10,8 @@ import numpy as np
 WORDWISE = {"word_bpe_49k.json"}
 #: Words that a worker keeps encoded; beyond it the cache starts anew.
 CACHE_WORDS = 300_000
+#: Words of the texts that are looked up together.
+CHUNK_WORDS = 50_000
 
 _open: dict[str, object] = {}
 _words: dict[str, dict[bytes, bytes]] = {}
@@ -50,6 +52,34 @@ def _packed(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+_ends: dict[int, np.ndarray] = {}
+
+
+def _letter_words(tokenizer, cache: dict[bytes, bytes], part: list[tuple[bytes, str]]) -> bool:
+    """Encodes words of letters as one text; the last piece of each word is known by its word-end mark."""
+    if id(tokenizer) not in _ends:
+        last = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+        last[[i for piece, i in tokenizer.get_vocab().items() if piece.endswith("</w>")]] = True
+        _ends[id(tokenizer)] = last
+    ids = np.array(tokenizer.encode_batch_fast([" ".join(w for _, w in part)], add_special_tokens=False)[0].ids, dtype="<u4")
+    ends = (4 * (np.flatnonzero(_ends[id(tokenizer)][ids]) + 1)).tolist()
+    if len(ends) != len(part) or ends[-1] != 4 * len(ids):
+        return False
+    data = ids.tobytes()
+    cache.update((w, data[s:e]) for (w, _), s, e in zip(part, [0, *ends], ends, strict=False))
+    return True
+
+
+def _any_words(tokenizer, cache: dict[bytes, bytes], order: list[tuple[bytes, str]]) -> None:
+    for at in range(0, len(order), 2048):
+        part = order[at : at + 2048]
+        done = tokenizer.encode([w for _, w in part], is_pretokenized=True, add_special_tokens=False)
+        got: list[list[int]] = [[] for _ in part]
+        for i, w in zip(done.ids, done.word_ids, strict=True):
+            got[w].append(i)
+        cache.update((w, _packed(i)) for (w, _), i in zip(part, got, strict=True))
+
+
 def _learn(tokenizer, cache: dict[bytes, bytes], new: set[bytes]) -> None:
     """Encodes words that the cache lacks. A word's trailing marks are a piece of their own after an ASCII letter
     or digit, so both parts are looked up separately."""
@@ -61,14 +91,13 @@ def _learn(tokenizer, cache: dict[bytes, bytes], new: set[bytes]) -> None:
         else:
             direct.add(word)
     direct.update(p for pair in parts.values() for p in pair if p not in cache)
-    order = [w for w in direct if w not in cache]
-    for at in range(0, len(order), 4096):
-        words = order[at : at + 4096]
-        done = tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
-        got: list[list[int]] = [[] for _ in words]
-        for i, w in zip(done.ids, done.word_ids, strict=True):
-            got[w].append(i)
-        cache.update((w, _packed(i)) for w, i in zip(words, got, strict=True))
+    order = [(w, w.decode()) for w in direct if w not in cache]
+    letters = [x for x in order if x[1].isalpha()]
+    for at in range(0, len(letters), 2048):
+        part = letters[at : at + 2048]
+        if not _letter_words(tokenizer, cache, part):
+            _any_words(tokenizer, cache, part)
+    _any_words(tokenizer, cache, [x for x in order if not x[1].isalpha()])
     cache.update((w, cache[a] + cache[b]) for w, (a, b) in parts.items())
 
 
@@ -83,14 +112,24 @@ def encode(texts, path: str):
                 yield _packed(tokenizer.encode(text or "", add_special_tokens=False).ids)
         return
     cache = _words.setdefault(path, {})
+    held, size = [], 0
     for text in texts:
         data = (text or "").encode()
         # special strings count as written, so case is folded only where there can be none
-        words = data.split() if b"<|" in data else data.lower().split()
-        new = set(words).difference(cache)
-        if new:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-                new = set(words)
-            _learn(tokenizer, cache, new)
+        held.append(data.split() if b"<|" in data else data.lower().split())
+        size += len(held[-1])
+        if size >= CHUNK_WORDS:
+            yield from _joined(tokenizer, cache, held)
+            held, size = [], 0
+    yield from _joined(tokenizer, cache, held)
+
+
+def _joined(tokenizer, cache: dict[bytes, bytes], texts: list[list[bytes]]):
+    new = set().union(*texts).difference(cache)
+    if new:
+        if len(cache) > CACHE_WORDS:
+            cache.clear()
+            new = set().union(*texts)
+        _learn(tokenizer, cache, new)
+    for words in texts:
         yield b"".join([cache[w] for w in words])
