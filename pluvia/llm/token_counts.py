@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import new_path
+from pluvia.llm.common import new_path, saved
 from pluvia.llm.tokens import encode, version_digest, wordwise
 
 _CACHE = "content string, n_tokens long, tokenizer string"
@@ -54,7 +54,8 @@ def token_counts(
     found.write.mode("append").partitionBy("tokenizer").parquet(cache_path)
 
     cache = spark.read.schema(_CACHE).parquet(cache_path).where(F.col("tokenizer") == version)
-    counts = cache.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    # saved, so that the join below stands on plain exchanges and a content with very many rows can be split
+    counts = saved(cache.groupBy("content").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     return rows.drop("text").join(counts, "content").select(
         F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

@@ -81,12 +81,12 @@ def _any_words(tokenizer, cache: dict[bytes, bytes], order: list[tuple[bytes, st
 
 
 def _learn(tokenizer, cache: dict[bytes, bytes], new: set[bytes]) -> None:
-    """Encodes words that the cache lacks. A word's trailing marks are a piece of their own after an ASCII letter
+    """Encodes words that the cache lacks. A word's trailing marks are a piece of their own after a letter
     or digit, so both parts are looked up separately."""
     parts, direct = {}, set()
     for word in new:
         core = word.rstrip(_TAIL)
-        if core and len(core) < len(word) and core[-1:].isalnum() and core.isascii() and b"<|" not in word:
+        if core and len(core) < len(word) and b"<|" not in word and core.decode()[-1].isalnum():
             parts[word] = core, word[len(core) :]
         else:
             direct.add(word)
