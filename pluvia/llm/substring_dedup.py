@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvia.llm.common import saved, small
-from pluvia.llm.words import mix, spaced, word_hashes
+from pluvia.llm.words import mix, powers, spaced, word_hashes
 
 #: Words of an anchor phrase. Of the phrases in a window, the one with the smallest hash is its anchor, so equal windows
 #: have equal anchors, and neighbouring windows mostly share one.
@@ -34,10 +34,8 @@ def anchors(h: np.ndarray, window: int) -> np.ndarray:
 
 
 def window_hashes(h: np.ndarray, window: int) -> np.ndarray:
-    power = np.cumprod(np.r_[np.uint64(1), np.full(len(h), _ODD)], dtype="uint64")
-    back = np.cumprod(np.r_[np.uint64(1), np.full(len(h), _INVERSE)], dtype="uint64")
-    sums = np.r_[np.uint64(0), np.cumsum(h * power[:-1], dtype="uint64")]
-    return mix((sums[window:] - sums[:-window]) * back[: len(sums) - window])
+    sums = np.r_[np.uint64(0), np.cumsum(h * powers(_ODD, len(h)), dtype="uint64")]
+    return mix((sums[window:] - sums[:-window]) * powers(_INVERSE, len(h) + 1)[: len(sums) - window])
 
 
 def _hashes(text: str | None) -> np.ndarray:
@@ -47,28 +45,38 @@ def _hashes(text: str | None) -> np.ndarray:
 def _anchored(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for i, th, text in zip(batch["id"].tolist(), batch["th"].tolist(), batch["text"], strict=True):
-                a = np.unique(anchors(_hashes(text), window))
-                if len(a):
-                    yield pd.DataFrame({"anchor": a.view("int64"), "id": i, "th": th})
+            found = [np.unique(anchors(_hashes(text), window)) for text in batch["text"]]
+            n = [len(a) for a in found]
+            if sum(n):
+                yield pd.DataFrame({"anchor": np.concatenate(found).view("int64"), "id": np.repeat(batch["id"].to_numpy(), n), "th": np.repeat(batch["th"].to_numpy(), n)})
 
     return run
 
 
-def _candidates(window: int):
+def _candidates(window: int, rows: int = 200_000):
     """Windows with a recurring anchor: hash, id, and place (31 bits of the text's hash, then the word's number)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            held, size = [], 0
             for i, th, text, known in zip(batch["id"].tolist(), batch["th"].tolist(), batch["text"], batch["anchors"], strict=True):
                 h = _hashes(text)
                 at = np.flatnonzero(np.isin(anchors(h, window), np.asarray(known, dtype="int64").view("uint64")))
-                w = window_hashes(h, window)[at]
-                yield pd.DataFrame({"w": w.view("int64"), "id": i, "pos": at.astype("int64") | ((th & 0x7FFFFFFF) << 32)})
+                held.append((window_hashes(h, window)[at].view("int64"), np.full(len(at), i), at | ((th & 0x7FFFFFFF) << 32)))
+                size += len(at)
+                if size >= rows:
+                    yield _windows(held)
+                    held, size = [], 0
+            yield _windows(held)
 
     return run
 
 
+def _windows(held: list) -> pd.DataFrame:
+    columns = [np.concatenate(c) if held else np.zeros(0, "int64") for c in (zip(*held, strict=True) if held else ((), (), ()))]
+    return pd.DataFrame(dict(zip(("w", "id", "pos"), columns, strict=True)))
+
+
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows sorted by (id, pos) to runs in which place and source place go on together; a run may end with a batch."""
     for batch in batches:
@@ -173,7 +181,9 @@ def remove_repeats(
     windows = sure.join(mine, ["id", "th"]).mapInPandas(_candidates(window), "w long, id long, pos long")
     windows = saved(windows, "windows")
     firsts = windows.groupBy("w").agg(F.min(F.struct("id", "pos")).alias("lo"), F.max("id").alias("hi")).where("lo.id < hi")
-    later = windows.join(firsts.select("w", F.col("lo.id").alias("src"), F.col("lo.pos").alias("src_pos")), "w").where("id > src")
+    # saved, so that the join stands on plain exchanges and a window that very many documents share can be split
+    firsts = saved(firsts.select("w", F.col("lo.id").alias("src"), F.col("lo.pos").alias("src_pos")), "firsts")
+    later = windows.join(firsts, "w").where("id > src")
     ordered = later.select("id", "pos", "src", "src_pos").repartition("id").sortWithinPartitions("id", "pos")
     runs = saved(ordered.mapInPandas(_runs, "id long, pos long, src long, src_pos long, n long"), "runs")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -17,7 +19,7 @@ _LOWER = np.arange(256, dtype="uint8")
 _LOWER[65:91] += 32
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
+def powers(base: np.uint64, n: int) -> np.ndarray:
     held = _powers.get(int(base))
     if held is None or len(held) < n:
         held = np.cumprod(np.r_[np.uint64(1), np.full(max(n, 1 << 17), base)], dtype="uint64")
@@ -39,18 +41,22 @@ def word_hashes(data: bytes, separators: np.ndarray = SPACES, lower: bool = Fals
         b = _LOWER[b]
     inside = np.r_[False, ~separators[b], False]
     starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
-    sums = np.r_[np.uint64(0), np.cumsum(_TABLE[b] * _power(_BASE, len(b)), dtype="uint64")]
-    h = (sums[ends] - sums[starts]) * _power(_BACK, len(b) + 1)[starts]
+    sums = np.r_[np.uint64(0), np.cumsum(_TABLE[b] * powers(_BASE, len(b)), dtype="uint64")]
+    h = (sums[ends] - sums[starts]) * powers(_BACK, len(b) + 1)[starts]
     return mix(h ^ (ends - starts).astype("uint64")), starts, ends
 
 
+@cache
+def _factors(places: tuple[int, ...], salt: int) -> np.ndarray:
+    return np.random.default_rng([salt, *places]).integers(1, 2**63, len(places), dtype="uint64") * np.uint64(2) + np.uint64(1)
+
+
 def spaced(h: np.ndarray, places: tuple[int, ...], salt: int) -> np.ndarray:
     """For each position, a hash of the words at the given places after it; the last place sets the span."""
     n = len(h) - places[-1]
     if n <= 0:
         return np.zeros(0, dtype="uint64")
-    odd = np.random.default_rng([salt, *places]).integers(1, 2**63, len(places), dtype="uint64") * np.uint64(2) + np.uint64(1)
     total = np.zeros(n, dtype="uint64")
-    for place, factor in zip(places, odd, strict=True):
+    for place, factor in zip(places, _factors(places, salt), strict=True):
         total += h[place : place + n] * factor
     return mix(total)
