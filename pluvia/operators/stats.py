@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvia.operators.events import _corr, average_rank
+from pluvia.sources.rounds import settled
 
 
 def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -166,7 +167,7 @@ def grid_neighbours(df: DataFrame, key: str, x: str, y: str, k: int, cell: float
         left = left.join(sure, key, "left_anti")
         if left.limit(1).count() == 0 or reach > 1 << 20:
             return reduce(DataFrame.unionByName, done)
-        left, reach = left.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else left, reach * 2
+        left, reach = settled(left), reach * 2
 
 
 def lof(neighbours: DataFrame, key: str, contamination: float = 0.02) -> DataFrame:
