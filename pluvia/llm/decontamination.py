@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,26 +11,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvia.llm.common import saved, small
-from pluvia.llm.words import MARKS, spaced, word_hashes
+from pluvia.llm.words import MARKS, word_hashes
 
 #: Masks over 12 words; 1: the word counts, 0: it may differ.
 MASKS = ("110110110101", "101101110011", "111010011011", "110011101101")
 SPAN = 12
 
 
-def _places(mask: str) -> tuple[int, ...]:
-    return tuple(i for i, bit in enumerate(mask) if bit == "1")
+_FACTORS = np.random.default_rng(5).integers(1, 2**63, SPAN, dtype="uint64") * np.uint64(2) + np.uint64(1)
+#: Bytes of the texts that are hashed together; small enough for a core's cache.
+CHUNK_BYTES = 1 << 16
 
 
 def _hash(text: str | None) -> np.ndarray:
     return word_hashes((text or "").encode(), MARKS, lower=True)[0]
 
 
-def seeds(h: np.ndarray, short: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(hashes, positions) by mask; `short` adds runs of whole words of these lengths."""
-    out = [spaced(h, _places(m), i) for i, m in enumerate(MASKS)]
-    out += [spaced(h, tuple(range(n)), 100 + n) for n in short]
-    return [(x, np.arange(len(x))) for x in out]
+def seeds(h: np.ndarray, masks: list[str]):
+    """Yields (keys, span) by mask: for each position the sum of the words' hashes at the mask's places, each times the
+    place's factor, plus a number of the mask. The words' hashes are well mixed, so the sum needs no more."""
+    times: dict[int, np.ndarray] = {}
+    for mask in masks:
+        n = len(h) - len(mask) + 1
+        keys = np.full(max(n, 0), zlib.crc32(mask.encode()) * 0xA24BAED4963EE407 % 2**64, dtype="uint64")
+        for place, bit in enumerate(mask):
+            if bit == "1" and n > 0:
+                if place not in times:
+                    times[place] = h * _FACTORS[place]
+                keys += times[place][place : place + n]
+        yield keys, len(mask)
 
 
 def _test_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -37,28 +47,42 @@ def _test_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for item, text in zip(batch["item"], batch["text"], strict=True):
             h = _hash(text)
-            found = seeds(h, ()) if len(h) >= SPAN else [(spaced(h, tuple(range(len(h))), 100 + len(h)), np.zeros(1, int))] if len(h) else []
-            for keys, at in found:
-                if len(keys):
-                    yield pd.DataFrame({"key": keys.view("int64"), "item": item, "at": at.astype("int32"), "words": len(h)})
+            masks = list(MASKS) if len(h) >= SPAN else ["1" * len(h)] if len(h) else []
+            for keys, _ in seeds(h, masks):
+                yield pd.DataFrame({"key": keys.view("int64"), "item": item, "at": np.arange(len(keys), dtype="int32"), "words": len(h)})
 
 
-def _train_seeds(bitmap: np.ndarray | None, short: tuple[int, ...]):
+def _chunks(ids: list, texts) -> Iterator[tuple[list, list[bytes]]]:
+    held, size = ([], []), 0
+    for i, text in zip(ids, texts, strict=True):
+        data = (text or "").encode()
+        held[0].append(i)
+        held[1].append(data)
+        size += len(data)
+        if size >= CHUNK_BYTES:
+            yield held
+            held, size = ([], []), 0
+    if held[0]:
+        yield held
+
+
+def _train_seeds(bitmap: np.ndarray | None, lengths: tuple[int, ...]):
+    masks = list(MASKS) + ["1" * n for n in lengths]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shift = np.uint64(64 - (len(bitmap).bit_length() - 1)) if bitmap is not None else None
         for batch in batches:
-            for row, text in zip(batch["id"].astype(object).where(batch["id"].notna(), None), batch["text"], strict=True):
-                keys, where = [], []
-                for k, at in seeds(_hash(text), short):
-                    if bitmap is not None:
-                        bit = k & np.uint64(8 * len(bitmap) - 1)
-                        hit = bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype("uint8") & 1 == 1
-                        k, at = k[hit], at[hit]
-                    keys.append(k)
-                    where.append(at)
-                keys, where = np.concatenate(keys), np.concatenate(where)
-                if len(keys):
-                    ids = pd.array([row], dtype="Int64").repeat(len(keys))
-                    yield pd.DataFrame({"key": keys.view("int64"), "id": ids, "pos": where.astype("int64")})
+            out = []
+            for ids, texts in _chunks(batch["id"].astype(object).where(batch["id"].notna(), None).tolist(), batch["text"]):
+                h, at, _ = word_hashes(b"\n".join(texts), MARKS, lower=True)
+                begins = np.cumsum([0, *[len(x) + 1 for x in texts]])
+                doc = np.searchsorted(begins, at, side="right") - 1
+                first = np.searchsorted(at, begins)  # each document's first word
+                for k, span in seeds(h, masks):
+                    hit = np.arange(len(k)) if bitmap is None else np.flatnonzero(bitmap[k >> shift])
+                    hit = hit[doc[hit] == doc[hit + span - 1]]
+                    out += [(key, ids[d], p) for key, d, p in zip(k[hit].view("int64").tolist(), doc[hit].tolist(), (hit - first[doc[hit]]).tolist(), strict=True)]
+            yield pd.DataFrame(out, columns=["key", "id", "pos"]).astype({"key": "int64", "id": "Int64", "pos": "int64"})
 
     return run
 
@@ -103,7 +127,7 @@ def contaminated_documents(
     """One row per input row: id, contaminated, n_items, item_ids (benchmark items found in it, ascending).
 
     Words are runs of letters and digits in lower case. Every position of every document is hashed under each mask;
-    a bitmap of the benchmark's hashes (at most 16 MB, dropped above `bitmap_keys` keys) leaves few of them, which are
+    a bitmap of the benchmark's hashes (at most 128 MB, left out above `bitmap_keys` keys) leaves few of them, which are
     joined to the benchmark's seeds. A hit fixes how item and document align; the pair counts if, so aligned, `window`
     consecutive words of the item (all words of a shorter one) agree in at least `share` of the places.
     Items below 12 words are found by their whole sequence only. Equal items are searched once.
@@ -119,10 +143,10 @@ def contaminated_documents(
     short = tuple(sorted(r[0] for r in keys.where(F.col("words") < SPAN).select("words").distinct().collect()))
     n, bitmap = keys.count(), None
     if n <= bitmap_keys:
-        size = 1 << max(16, (16 * max(n, 1)).bit_length())
-        bits = np.array([r[0] for r in keys.select(F.col("key").bitwiseAND(size - 1)).distinct().collect()], dtype="int64")
-        bitmap = np.zeros(size >> 3, dtype="uint8")
-        np.bitwise_or.at(bitmap, bits >> 3, (1 << (bits & 7)).astype("uint8"))
+        digits = max(16, (16 * max(n, 1)).bit_length())
+        bits = [r[0] for r in keys.select(F.shiftrightunsigned("key", 64 - digits).alias("b")).distinct().collect()]
+        bitmap = np.zeros(1 << digits, dtype=bool)
+        bitmap[bits] = True
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     hits = rows.mapInPandas(_train_seeds(bitmap, short), "key long, id long, pos long")
     aligned = hits.join(small(keys), "key").select("id", "item", (F.col("pos") - F.col("at")).alias("diagonal")).distinct()

@@ -34,6 +34,8 @@ def anchors(h: np.ndarray, window: int) -> np.ndarray:
 
 
 def window_hashes(h: np.ndarray, window: int) -> np.ndarray:
+    if len(h) < window:
+        return np.zeros(0, dtype="uint64")
     sums = np.r_[np.uint64(0), np.cumsum(h * powers(_ODD, len(h)), dtype="uint64")]
     return mix((sums[window:] - sums[:-window]) * powers(_INVERSE, len(h) + 1)[: len(sums) - window])
 
