@@ -67,9 +67,12 @@ def normalize_name(col: Column) -> Column:
     return F.trim(F.regexp_replace(only, r"\s+", " "))
 
 
-@F.pandas_udf("string")
-def normalize_any_script(names: pd.Series) -> pd.Series:
-    """normalize_name for text outside the Latin blocks, by full compatibility decomposition."""
+def normalize_any_script(col: Column) -> Column:
+    """normalize_name for text outside the Latin blocks, by full compatibility decomposition in Arrow batches."""
+    return F.pandas_udf(_normalize, "string")(col)
+
+
+def _normalize(names: pd.Series) -> pd.Series:
     plain = names.fillna("").map(lambda s: "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)))
     return plain.str.upper().str.replace(r"[^A-Z0-9 ]", " ", regex=True).str.split().str.join(" ")
 
@@ -174,8 +177,11 @@ def parse_crossing(col: Column) -> Column:
     return case
 
 
-@F.pandas_udf("double")
-def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def _ratio(a: str | Column, b: str | Column) -> Column:
+    return F.pandas_udf(_ratios, "double")(a, b)
+
+
+def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 

@@ -318,8 +318,11 @@ def _fans(rings) -> list[tuple[np.ndarray, float]]:
     return out
 
 
-@F.pandas_udf("double")
-def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
+def _overlap(a: str | Column, b: str | Column) -> Column:
+    return F.pandas_udf(_overlaps, "double")(a, b)
+
+
+def _overlaps(a: pd.Series, b: pd.Series) -> pd.Series:
     out = []
     for p, q in zip(a, b, strict=True):
         o = np.array([p[0][0]["x"], p[0][0]["y"]])
@@ -374,7 +377,7 @@ def area_by_group(polygons: DataFrame, group: str, rings: str = "rings") -> Data
 
 def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     h = F.sin(F.radians(lat2 - lat1) / 2) ** 2 + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(F.radians(lon2 - lon1) / 2) ** 2
-    return 2 * 6371.0 * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return 2 * 6371.0 * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
 
 
 def haversine_to_center(df: DataFrame, lon: str, lat: str, clon: str, clat: str, km2: str) -> DataFrame:
