@@ -1,15 +1,28 @@
-"""Cutting lineage between the rounds of an iteration."""
+"""Cutting lineage between the rounds of an iteration, and passing files, in the cluster's shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; a temporary one where it is unset, as in tests."""
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or (held.get() if held.isDefined() else "file://" + tempfile.mkdtemp(prefix="pluvia-"))
+    if not held.isDefined():
+        spark.sparkContext.setCheckpointDir(path)
+    return path
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/pluvia/{uuid.uuid4().hex}"
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder of spark.checkpoint.dir; a temporary one where it is unset, as in tests."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="pluvia-"))
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
