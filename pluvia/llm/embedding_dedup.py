@@ -20,10 +20,10 @@ def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for i, label, v in zip(batch["id"], batch["label"], batch["v"], strict=True):
             x = None if v is None else np.array([np.nan if c is None else c for c in v], dtype="float64")
-            ok = x is not None and x.size and not pd.isna(label) and np.isfinite(x).all() and x.any()
+            ok = x is not None and x.size and label is not None and np.isfinite(x).all() and x.any()
             data = (x + 0.0).tobytes() if ok else None
             digest = hashlib.sha1(f"{label}|".encode() + data).digest() if ok else None
-            rows.append((i, str(label), digest, data))
+            rows.append((i, label, digest, data))
         yield pd.DataFrame(rows, columns=["id", "label", "digest", "data"])
 
 
@@ -160,7 +160,7 @@ def near_duplicate_vectors(
     Vectors of different lengths never link. Repeated rows count as rows and are all returned. A null id keeps
     its row, with n_links counted, but cannot name a component of others. Empty input: no rows.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("v"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("v"))
     keyed = saved(rows.mapInPandas(_classes, "id long, label string, digest binary, data binary"), "vectors")
     classes = (
         keyed.where("digest is not null").groupBy("digest")
