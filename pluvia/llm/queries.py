@@ -112,4 +112,33 @@ SELECT d.doc_id, d.size, p.source_size, p.target, CAST(whole + more AS INTEGER)
 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
 """
 
-ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL}
+#: All pairs of vectors with a label in common.
+OP1_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), r AS (SELECT vec_id AS a, vec_id AS top FROM v UNION SELECT l.b, r.top FROM r JOIN l ON r.a = l.a),
+c AS (SELECT a AS vec_id, min(top) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v LEFT JOIN n ON v.vec_id = n.vec_id JOIN c ON v.vec_id = c.vec_id
+"""
+
+#: Every window of 50 words, written out.
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT doc_id, len(w) AS n, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM d),
+h AS (
+  SELECT doc_id, pos, n, md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS k FROM u
+), m AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY k) AS f FROM h WHERE pos + 49 <= n),
+c AS (SELECT DISTINCT doc_id, pos + o AS pos FROM (SELECT doc_id, pos FROM m WHERE f < doc_id) CROSS JOIN (SELECT unnest(range(50)) AS o)),
+g AS (
+  SELECT u.doc_id, count(c.pos) AS n_removed, string_agg(word, ' ' ORDER BY u.pos) FILTER (c.pos IS NULL) AS kept
+  FROM u LEFT JOIN c ON u.doc_id = c.doc_id AND u.pos = c.pos GROUP BY u.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op6_mixing": OP6_SQL}
