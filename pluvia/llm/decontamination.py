@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import saved, small
+from pluvia.llm.common import lean, saved, small
 from pluvia.llm.words import MARKS, word_hashes
 
 #: Masks over 12 words; 1: the word counts, 0: it may differ.
@@ -139,7 +139,7 @@ def contaminated_documents(
     tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     named = saved(tests.withColumn("item", F.xxhash64("text")), "benchmark")
     distinct = named.groupBy("item").agg(F.first("text").alias("text"))
-    keys = saved(distinct.mapInPandas(_test_seeds, "key long, item long, at int, words int"), "test-seeds")
+    keys = saved(distinct.mapInPandas(lean(_test_seeds), "key long, item long, at int, words int"), "test-seeds")
     short = tuple(sorted(r[0] for r in keys.where(F.col("words") < SPAN).select("words").distinct().collect()))
     n, bitmap = keys.count(), None
     if n <= bitmap_keys:
@@ -148,13 +148,13 @@ def contaminated_documents(
         bitmap = np.zeros(1 << digits, dtype=bool)
         bitmap[bits] = True
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    hits = rows.mapInPandas(_train_seeds(bitmap, short), "key long, id long, pos long")
+    hits = rows.mapInPandas(lean(_train_seeds(bitmap, short)), "key long, id long, pos long")
     aligned = hits.join(small(keys), "key").select("id", "item", (F.col("pos") - F.col("at")).alias("diagonal")).distinct()
     words = distinct.mapInPandas(_item_words, "item long, h binary")
     pairs = aligned.join(small(saved(words, "items")), "item").groupBy("id").agg(F.collect_list(F.struct("item", "h", "diagonal")).alias("hits"))
     pairs = small(saved(pairs, "alignments")).withColumnRenamed("id", "i")
     checked = rows.join(pairs, F.col("id").eqNullSafe(F.col("i"))).select("id", "text", "hits")
-    found = checked.mapInPandas(_verified(window, share), "id long, item long").distinct()
+    found = checked.mapInPandas(lean(_verified(window, share)), "id long, item long").distinct()
     found = found.join(named.select("item", "item_id"), "item").groupBy(F.col("id").alias("i")).agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids")
     )

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import checkpointed
+from pluvia.llm.common import checkpointed, lean
 
 
 def forest(pairs) -> dict[int, int]:
@@ -46,7 +46,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     a node with very many links doesn't gather in one task. Loops and null ends are ignored.
     """
     e = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
-    e = checkpointed(e.mapInPandas(_contract, "a long, b long").distinct())
+    e = checkpointed(e.mapInPandas(lean(_contract), "a long, b long").distinct())
     state = None
     for _ in range(rounds):
         both = e.union(e.select("b", "a"))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import saved
+from pluvia.llm.common import lean, saved
 from pluvia.llm.graph import components, forest
 
 
@@ -181,7 +181,7 @@ def near_duplicate_groups(
     links with no other id. Empty input: no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marked = saved(rows.mapInPandas(_fingerprints(shingle, seed), "id long, fp long"), "fingerprints")
+    marked = saved(rows.mapInPandas(lean(_fingerprints(shingle, seed)), "id long, fp long"), "fingerprints")
     classes = saved(marked.where("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "classes")
     total = classes.count()
     depth = min(max(0, int(np.ceil(np.log2(max(total, 1) / shard_rows)))), int(np.log2(sample_rows / 16)))
@@ -190,10 +190,10 @@ def near_duplicate_groups(
     blocks = blocks_for(distance)
     trees = [(mask, radius, plant(sample, mask, depth, rng)) for mask, radius in blocks]
     # at most 2^(depth + 1) shards: these counts are small however many fingerprints there are
-    counted = classes.mapInPandas(_routed(trees, None), "tree int, shard int, members long, queries long")
+    counted = classes.mapInPandas(lean(_routed(trees, None)), "tree int, shard int, members long, queries long")
     sums = counted.groupBy("tree", "shard").agg(F.sum("members").alias("m"), F.sum("queries").alias("q")).collect()
     cuts = {(r["tree"], r["shard"]): (-(-max(r["m"], 1) // (4 * shard_rows)), -(-max(r["q"], 1) // (16 * shard_rows))) for r in sums}
-    dealt = classes.mapInPandas(_routed(trees, cuts), "tree int, shard int, mpart int, qpart int, member boolean, fp long, rep long")
+    dealt = classes.mapInPandas(lean(_routed(trees, cuts)), "tree int, shard int, mpart int, qpart int, member boolean, fp long, rep long")
     edges = dealt.groupBy("tree", "shard", "mpart", "qpart").applyInPandas(_linked(blocks, distance), "a long, b long")
     roots = components(edges)
     tops = classes.join(roots, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("top"))

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import new_path, saved
+from pluvia.llm.common import lean, new_path, saved
 from pluvia.llm.tokens import encode
 
 MAGIC = b"SSTABLE1"
@@ -224,7 +224,7 @@ def write_token_table(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     order = [F.col("id").asc_nulls_first(), F.col("h").asc()]
     sorted_rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text")
-    return saved(sorted_rows.mapInPandas(_write(folder, tokenizer, end_id), _MANIFEST), "manifest")
+    return saved(sorted_rows.mapInPandas(lean(_write(folder, tokenizer, end_id)), _MANIFEST), "manifest")
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -254,7 +254,7 @@ def read_token_table(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
         before.append((r["path"], total))
         total += r["ids"]
     shards = spark.createDataFrame(before, "path string, before long").repartition(max(1, len(before)))
-    read = shards.mapInPandas(_read, "id long, start long, n_tokens long, crc long")
+    read = shards.mapInPandas(lean(_read), "id long, start long, n_tokens long, crc long")
     return read.select(F.col("id").alias(id_col), "start", "n_tokens", F.col("crc").alias("ids_crc32"))
 
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import new_path, saved
+from pluvia.llm.common import lean, new_path, saved
 from pluvia.llm.tokens import encode, version_digest, wordwise
 
 _CACHE = "content string, n_tokens long, tokenizer string"
@@ -50,7 +50,7 @@ def token_counts(
         cache = spark.read.schema(_CACHE).parquet(cache_path).where(F.col("tokenizer") == version)
         known = known.join(cache.select("content").distinct(), "content", "left_anti")
     misses = known.groupBy("content").agg(F.first("text").alias("text"))
-    found = misses.mapInPandas(_counts(tokenizer), "content string, n_tokens long").withColumn("tokenizer", F.lit(version))
+    found = misses.mapInPandas(lean(_counts(tokenizer)), "content string, n_tokens long").withColumn("tokenizer", F.lit(version))
     found.write.mode("append").partitionBy("tokenizer").parquet(cache_path)
 
     cache = spark.read.schema(_CACHE).parquet(cache_path).where(F.col("tokenizer") == version)

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import saved
+from pluvia.llm.common import give_back, lean, saved
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
@@ -118,12 +118,12 @@ def fit_toxicity(
     n, k = total[0], total[1] or 0
     if not n or not k or n == k:
         return ToxicityModel({}, -10.0, float(k / n) if n else 0.0)
-    counts = sample.mapInPandas(_words, "word string, n long, k long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    counts = sample.mapInPandas(lean(_words), "word string, n long, k long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     w, y = F.col("n").cast("double"), F.col("k").cast("double")
     gap = (y * n - w * k) ** 2 * n / (w * (n - w) * k * (n - k))
     strong = counts.where((w >= min_docs) & (w < n)).withColumn("chi2", gap).where(F.col("chi2") >= min_chi2)
     words = [r["word"] for r in strong.orderBy(F.desc("chi2"), "word").limit(max_words).collect()]
-    got = sample.mapInPandas(_bags({w: i for i, w in enumerate(words)}), "toxic int, bag array<array<int>>").collect()
+    got = sample.mapInPandas(lean(_bags({w: i for i, w in enumerate(words)})), "toxic int, bag array<array<int>>").collect()
     got.sort(key=lambda r: (r["toxic"], r["bag"]))
     weights, bias, leak = fit_noisy_or([r["bag"] for r in got], np.array([r["toxic"] for r in got]), len(words))
     return ToxicityModel(dict(zip(words, weights.tolist(), strict=True)), bias, leak)
@@ -133,8 +133,10 @@ def toxicity_of(text_col: str, model: ToxicityModel):
     """The score of each text as a column, for filters that keep a table's other columns."""
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(model.sentences(t)) for t in texts], dtype="float64")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([model.score(model.sentences(t)) for t in texts], dtype="float64")
+        give_back()
 
     return score(F.col(text_col))
 
@@ -167,7 +169,7 @@ def score_toxicity(
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInPandas(_score(model, threshold), f"id {kind}, score double, offending {_SPANS}")
+    scored = rows.mapInPandas(lean(_score(model, threshold)), f"id {kind}, score double, offending {_SPANS}")
     return scored.select(
         F.col("id").alias(id_col), held_out("id").alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"), "offending",
