@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import saved, small
+from pluvia.llm.common import lean, saved, small
 from pluvia.llm.graph import components, forest
 
 
@@ -161,7 +161,7 @@ def near_duplicate_vectors(
     its row, with n_links counted, but cannot name a component of others. Empty input: no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("v"))
-    keyed = saved(rows.mapInPandas(_classes, "id long, label string, digest binary, data binary"), "vectors")
+    keyed = saved(rows.mapInPandas(lean(_classes), "id long, label string, digest binary, data binary"), "vectors")
     classes = (
         keyed.where("digest is not null").groupBy("digest")
         .agg(F.first("label").alias("label"), F.min("id").alias("node"), F.count("*").alias("size"), F.first("data").alias("data"))
@@ -169,8 +169,8 @@ def near_duplicate_vectors(
     )
     how = (tables, projections, width, seed)
     kinds = "label string, slot int, bucket long, rep binary, node long, size long, data binary, dim int"
-    classes = classes.withColumn("node", F.coalesce("node", F.xxhash64("rep")))
-    buckets = classes.select("label", "rep", "node", "size", "data").mapInPandas(_buckets(*how), kinds)
+    classes = saved(classes.withColumn("node", F.coalesce("node", F.xxhash64("rep"))), "classes")
+    buckets = classes.select("label", "rep", "node", "size", "data").mapInPandas(lean(_buckets(*how)), kinds)
     # buckets of one row have no pair; large ones are cut into blocks
     key = ["label", "slot", "bucket"]
     sizes = buckets.groupBy(key).count().where(F.col("count") > block_rows)
@@ -180,7 +180,7 @@ def near_duplicate_vectors(
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
     together = cut.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
-    found = saved(together.mapInPandas(_pairs(threshold, how), "rep binary, links long, a long, b long"), "links")
+    found = saved(together.mapInPandas(lean(_pairs(threshold, how)), "rep binary, links long, a long, b long"), "links")
     links = found.where("rep is not null").groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.where("a is not null").select("a", "b"))
     result = (

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pluvia.llm.common import lean
+
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul".split())
@@ -287,6 +289,6 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
     kind = rows.schema["id"].dataType.simpleString()
-    text = rows.mapInPandas(_render, f"id {kind}, text string")
+    text = rows.mapInPandas(lean(_render), f"id {kind}, text string")
     lines = F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0)
     return text.select(F.col("id").alias(id_col), "text", F.length("text").cast("long").alias("n_chars"), lines.cast("long").alias("n_lines"))

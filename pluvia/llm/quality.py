@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import saved
+from pluvia.llm.common import lean, saved
 from pluvia.llm.toxicity import held_out
 
 FEATURES = ("log_words", "word_length", "symbols", "upper", "digits", "odd_words", "bars", "distinct", "top_word", "repeated_lines", "line_length", "stops")
@@ -127,7 +127,7 @@ def quality_scores(
     """
     beta, mean, scale = fit_evidence(docs, labels, id_col, text_col, label_col, max_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), host.cast("string").alias("host"), path.cast("string").alias("path"))
-    judged = saved(rows.mapInPandas(_evidence(beta, mean, scale), "id long, host string, path string, p_doc double"), "evidence")
+    judged = saved(rows.mapInPandas(lean(_evidence(beta, mean, scale)), "id long, host string, path string, p_doc double"), "evidence")
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(F.col(label_col).cast("double")).alias("y"))
     soft = judged.join(known, "id", "left").withColumn("e", F.coalesce("y", "p_doc"))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import saved, small
+from pluvia.llm.common import lean, saved, small
 from pluvia.llm.words import mix, powers, spaced, word_hashes
 
 #: Words of an anchor phrase. Of the phrases in a window, the one with the smallest hash is its anchor, so equal windows
@@ -177,20 +177,20 @@ def remove_repeats(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
     sure = rows.where("id is not null and text is not null")
 
-    met = saved(sure.mapInPandas(_anchored(window), "anchor long, id long, th long"), "anchors")
+    met = saved(sure.mapInPandas(lean(_anchored(window)), "anchor long, id long, th long"), "anchors")
     shared = met.groupBy("anchor").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where("lo < hi").select("anchor")
     mine = met.join(shared, "anchor").groupBy("id", "th").agg(F.collect_list("anchor").alias("anchors"))
-    windows = sure.join(mine, ["id", "th"]).mapInPandas(_candidates(window), "w long, id long, pos long")
+    windows = sure.join(mine, ["id", "th"]).mapInPandas(lean(_candidates(window)), "w long, id long, pos long")
     windows = saved(windows, "windows")
     firsts = windows.groupBy("w").agg(F.min(F.struct("id", "pos")).alias("lo"), F.max("id").alias("hi")).where("lo.id < hi")
     # saved, so that the join stands on plain exchanges and a window that very many documents share can be split
     firsts = saved(firsts.select("w", F.col("lo.id").alias("src"), F.col("lo.pos").alias("src_pos")), "firsts")
     later = windows.join(firsts, "w").where("id > src")
     ordered = later.select("id", "pos", "src", "src_pos").repartition("id").sortWithinPartitions("id", "pos")
-    runs = saved(ordered.mapInPandas(_runs, "id long, pos long, src long, src_pos long, n long"), "runs")
+    runs = saved(ordered.mapInPandas(lean(_runs), "id long, pos long, src long, src_pos long, n long"), "runs")
 
     texts = sure.select("id", "th", F.sha2("text", 256).alias("sha"))
-    least = texts.groupBy("sha").agg(F.min("id").alias("least"))
+    least = saved(texts.groupBy("sha").agg(F.min("id").alias("least")), "least")
     copies = texts.join(least, "sha").where("id > least").select("id", "th").distinct().withColumn("copy", F.lit(True))
     row = F.col("pos").bitwiseAND(F.lit(0x7FFFFFFF << 32))
     short = F.shiftleft(F.col("th").bitwiseAND(F.lit(0x7FFFFFFF)), 32)
@@ -201,7 +201,7 @@ def remove_repeats(
     marked = rows.join(known, (F.col("id") == F.col("i")) & (short == F.col("row")), "left")
     schema = "id long, n_words long, n_removed long, kept_sha256 string"
     plain = marked.where("copy is null or copy").select("id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
-    plain = plain.mapInPandas(_untouched(window), schema)
+    plain = plain.mapInPandas(lean(_untouched(window)), schema)
 
     changed = state.where(~F.col("copy")).select("id", "row")
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-changed.count() // shard_docs))
@@ -211,7 +211,7 @@ def remove_repeats(
     cuts = needs.select("src", "src_pos", "n").distinct().groupBy("src", F.col("src_pos").bitwiseAND(F.lit(0x7FFFFFFF << 32)).alias("row"))
     cuts = small(saved(cuts.agg(F.collect_list(F.struct("src_pos", "n")).alias("cuts")), "cuts"))
     sources = sure.join(cuts, (F.col("id") == F.col("src")) & (short == F.col("row"))).select("id", "text", "cuts")
-    passages = sources.mapInPandas(_passages(window), "src long, src_pos long, n long, passage binary")
+    passages = sources.mapInPandas(lean(_passages(window)), "src long, src_pos long, n long, passage binary")
     dealt = needs.join(passages, ["src", "src_pos", "n"]).select("shard", "src", "passage")
     due = marked.where(~F.col("copy")).select(shard.alias("shard"), "id", "text")
     cleaned = due.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInPandas(_cleaned(window), schema)
