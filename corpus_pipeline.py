@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pluvia.llm.common import saved, small
 from pluvia.llm.decontamination import contaminated_documents
