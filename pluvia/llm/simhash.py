@@ -195,7 +195,8 @@ def near_duplicate_groups(
     cuts = {(r["tree"], r["shard"]): (-(-max(r["m"], 1) // (4 * shard_rows)), -(-max(r["q"], 1) // (16 * shard_rows))) for r in sums}
     dealt = classes.mapInPandas(lean(_routed(trees, cuts)), "tree int, shard int, mpart int, qpart int, member boolean, fp long, rep long")
     edges = dealt.groupBy("tree", "shard", "mpart", "qpart").applyInPandas(_linked(blocks, distance), "a long, b long")
-    roots = components(edges)
+    # saved, so that no task holds the search's worker and the next step's at once
+    roots = components(saved(edges, "links"))
     tops = classes.join(roots, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("top"))
     return marked.join(tops, "fp", "left").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("top").alias("component_id")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvia.llm.common import lean, new_path, saved
-from pluvia.llm.tokens import encode
+from pluvia.llm.tokens import encode, forget
 
 MAGIC = b"SSTABLE1"
 BLOCK_BYTES = 1 << 18
@@ -193,6 +193,7 @@ def _write(folder: str, tokenizer: str, end_id: int):
                     writer = ShardWriter(out)
                 ids = np.frombuffer(data + struct.pack("<I", end_id), dtype="<u4")
                 writer.add(key_bytes(None if doc_id is None else int(doc_id)), ids)
+        forget()
         if writer is not None:
             footer = writer.close()
             out.close()

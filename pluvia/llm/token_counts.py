@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvia.llm.common import lean, new_path, saved
-from pluvia.llm.tokens import encode, version_digest, wordwise
+from pluvia.llm.tokens import encode, forget, version_digest, wordwise
 
 _CACHE = "content string, n_tokens long, tokenizer string"
 
@@ -19,6 +19,7 @@ def _counts(path: str):
         for batch in batches:
             n = [len(ids) // 4 for ids in encode(batch["text"], path)]
             yield pd.DataFrame({"content": batch["content"], "n_tokens": n})
+        forget()
 
     return run
 
