@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pluvia.llm.common import saved, small
 from pluvia.llm.decontamination import contaminated_documents
 from pluvia.llm.mixing import mixed_rows
+from pluvia.llm.near_copies import joined_groups, similar_pairs
 from pluvia.llm.simhash import near_duplicate_groups
 from pluvia.llm.sstable import read_token_table, write_token_table
 from pluvia.llm.toxicity import fit_toxicity, toxicity_of
@@ -32,8 +33,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the smallest id; of rows with one id, one. Null ids are kept."""
-    groups = near_duplicate_groups(docs)
+    """One document of each near-duplicate group, the smallest id; of rows with one id, one. Null ids are kept.
+
+    Groups are linked by fingerprints within 3 bits and by a Jaccard similarity of at least 0.8 of five-word shingles.
+    """
+    links = near_duplicate_groups(docs).where("doc_id <> component_id").select("doc_id", "component_id")
+    groups = joined_groups(links, similar_pairs(docs))
     kept = _without(docs, groups.where("doc_id <> component_id").select("doc_id"))
     repeated = small(saved(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated"))
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
