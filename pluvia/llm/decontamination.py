@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pluvia.llm.common import lean, saved, small
 from pluvia.llm.words import MARKS, word_hashes
 
-#: Masks over 12 words; 1: the word counts, 0: it may differ.
-MASKS = ("110110110101", "101101110011", "111010011011", "110011101101")
+#: 1: the word counts, 0: it may differ. At 70 % agreement a window of 12 to 24 words keeps three words in a row, or, at 14, 17
+#: and 20 words, nothing but runs of two with one changed word between them: one of the masks always hits.
+MASKS = ("111", "1101")
+#: Items of fewer words are searched by their whole sequence.
 SPAN = 12
 
 
@@ -42,13 +44,16 @@ def seeds(h: np.ndarray, masks: list[str]):
         yield keys, len(mask)
 
 
+def item_masks(words: int) -> list[str]:
+    return list(MASKS) if words >= SPAN else ["1" * words] if words else []
+
+
 def _test_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each distinct item: its words, and its seeds; items below the span by their whole word sequence."""
     for batch in batches:
         for item, text in zip(batch["item"], batch["text"], strict=True):
             h = _hash(text)
-            masks = list(MASKS) if len(h) >= SPAN else ["1" * len(h)] if len(h) else []
-            for keys, _ in seeds(h, masks):
+            for keys, _ in seeds(h, item_masks(len(h))):
                 yield pd.DataFrame({"key": keys.view("int64"), "item": item, "at": np.arange(len(keys), dtype="int32"), "words": len(h)})
 
 
@@ -66,11 +71,10 @@ def _chunks(ids: list, texts) -> Iterator[tuple[list, list[bytes]]]:
         yield held
 
 
-def _train_seeds(bitmap: np.ndarray | None, lengths: tuple[int, ...]):
-    masks = list(MASKS) + ["1" * n for n in lengths]
+def _train_seeds(lengths: tuple[int, ...]):
+    masks = dict.fromkeys([*MASKS, *("1" * n for n in lengths)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shift = np.uint64(64 - (len(bitmap).bit_length() - 1)) if bitmap is not None else None
         for batch in batches:
             out = []
             for ids, texts in _chunks(batch["id"].astype(object).where(batch["id"].notna(), None).tolist(), batch["text"]):
@@ -79,7 +83,7 @@ def _train_seeds(bitmap: np.ndarray | None, lengths: tuple[int, ...]):
                 doc = np.searchsorted(begins, at, side="right") - 1
                 first = np.searchsorted(at, begins)  # each document's first word
                 for k, span in seeds(h, masks):
-                    hit = np.arange(len(k)) if bitmap is None else np.flatnonzero(bitmap[k >> shift])
+                    hit = np.arange(len(k))
                     hit = hit[doc[hit] == doc[hit + span - 1]]
                     out += [(key, ids[d], p) for key, d, p in zip(k[hit].view("int64").tolist(), doc[hit].tolist(), (hit - first[doc[hit]]).tolist(), strict=True)]
             yield pd.DataFrame(out, columns=["key", "id", "pos"]).astype({"key": "int64", "id": "Int64", "pos": "int64"})
@@ -100,6 +104,70 @@ def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, window: int, share
     return bool(len(item)) and bool(((sums[n:] - sums[:-n]) >= share * n - 1e-9).any())
 
 
+class Benchmark:
+    """The distinct items' words and their seeds, sorted, for searches within a task."""
+
+    def __init__(self, items: list[tuple[int, bytes]]):
+        self.items = np.array([i for i, _ in items], dtype="int64")
+        words = [np.frombuffer(h, dtype="uint64") for _, h in items]
+        self.words = np.concatenate([np.zeros(0, "uint64"), *words])
+        self.size = np.array([len(w) for w in words], dtype="int64")
+        self.first = np.cumsum(np.r_[0, self.size])
+        made: list[tuple] = []
+        for i, w in enumerate(words):
+            for keys, _ in seeds(w, item_masks(len(w))):
+                made.append((keys, np.full(len(keys), i, dtype="int32"), np.arange(len(keys), dtype="int32")))
+        keys, owner, at = (np.concatenate(x) if made else np.zeros(0, t) for x, t in zip(zip(*made, strict=True) if made else [()] * 3, ("uint64", "int32", "int32"), strict=True))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner, self.at = keys[order], owner[order], at[order]
+        self.masks = list(dict.fromkeys([*MASKS, *("1" * int(n) for n in np.unique(self.size) if 0 < n < SPAN)]))
+        digits = max(16, (16 * max(len(keys), 1)).bit_length())
+        self.shift = np.uint64(64 - digits)
+        self.bitmap = np.zeros(1 << digits, dtype=bool)
+        self.bitmap[self.keys >> self.shift] = True
+
+    def found(self, h: np.ndarray, doc: np.ndarray, first: np.ndarray, window: int, share: float) -> set[tuple[int, int]]:
+        """(document, item) of each verified overlap; h: the words of all documents, doc: whose they are."""
+        out, done, near = set(), set(), np.arange(1 - window, window)
+        for k, span in seeds(h, self.masks):
+            hit = np.flatnonzero(self.bitmap[k >> self.shift])
+            hit = hit[doc[hit] == doc[hit + span - 1]]
+            low = np.searchsorted(self.keys, k[hit], "left")
+            times = np.searchsorted(self.keys, k[hit], "right") - low
+            pos = np.repeat(hit, times)
+            entry = np.repeat(low, times) + np.arange(len(pos)) - np.repeat(np.cumsum(times) - times, times)
+            for s in range(0, len(pos), 16384):
+                p, e = pos[s : s + 16384], entry[s : s + 16384]
+                item, at = self.owner[e], self.at[e].astype("int64")
+                # agreeing words of both around the hit: an upper bound of those of each window that holds it
+                i, j = at[:, None] + near, p[:, None] + near
+                within = (i >= 0) & (i < self.size[item][:, None]) & (j >= 0) & (j < len(h))
+                same = self.words[np.where(within, i + self.first[item][:, None], 0)] == h[np.where(within, j, 0)]
+                enough = (same & within).sum(axis=1) >= share * np.minimum(window, self.size[item]) - 1e-9
+                d = doc[p]
+                todo = set(zip(d[enough].tolist(), item[enough].tolist(), (p - first[d] - at)[enough].tolist(), strict=True)) - done
+                done |= todo
+                for x, t, diagonal in todo:
+                    own = self.words[self.first[t] : self.first[t + 1]]
+                    if (x, int(self.items[t])) not in out and overlap(h[first[x] : first[x + 1]], own, diagonal, window, share):
+                        out.add((x, int(self.items[t])))
+        return out
+
+
+def _searched(bench: Benchmark, window: int, share: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for ids, texts in _chunks(batch["id"].astype(object).where(batch["id"].notna(), None).tolist(), batch["text"]):
+                h, at, _ = word_hashes(b"\n".join(texts), MARKS, lower=True)
+                begins = np.cumsum([0, *[len(x) + 1 for x in texts]])
+                doc = np.searchsorted(begins, at, side="right") - 1
+                out += [(ids[d], item) for d, item in bench.found(h, doc, np.searchsorted(at, begins), window, share)]
+            yield pd.DataFrame(out, columns=["id", "item"]).astype({"id": "Int64", "item": "int64"})
+
+    return run
+
+
 def _verified(window: int, share: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -120,16 +188,29 @@ def _item_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"item": batch["item"], "h": [_hash(t).tobytes() for t in batch["text"]]})
 
 
+def _joined(rows: DataFrame, distinct: DataFrame, words: DataFrame, window: int, share: float) -> DataFrame:
+    """(id, item) of the verified overlaps, by a join of all seeds: for benchmarks too large for a task."""
+    keys = saved(distinct.mapInPandas(lean(_test_seeds), "key long, item long, at int, words int"), "test-seeds")
+    short = tuple(sorted(r[0] for r in keys.where(F.col("words") < SPAN).select("words").distinct().collect()))
+    hits = rows.mapInPandas(lean(_train_seeds(short)), "key long, id long, pos long")
+    aligned = hits.join(small(keys), "key").select("id", "item", (F.col("pos") - F.col("at")).alias("diagonal")).distinct()
+    pairs = aligned.join(small(words), "item").groupBy("id").agg(F.collect_list(F.struct("item", "h", "diagonal")).alias("hits"))
+    pairs = small(saved(pairs, "alignments")).withColumnRenamed("id", "i")
+    checked = rows.join(pairs, F.col("id").eqNullSafe(F.col("i"))).select("id", "text", "hits")
+    return checked.mapInPandas(lean(_verified(window, share)), "id long, item long").distinct()
+
+
 def contaminated_documents(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-    item_text: str = "text", window: int = 24, share: float = 0.8, bitmap_keys: int = 4_000_000,
+    item_text: str = "text", window: int = 24, share: float = 0.7, bitmap_keys: int = 4_000_000,
 ) -> DataFrame:
     """One row per input row: id, contaminated, n_items, item_ids (benchmark items found in it, ascending).
 
-    Words are runs of letters and digits in lower case. Every position of every document is hashed under each mask;
-    a bitmap of the benchmark's hashes (at most 128 MB, left out above `bitmap_keys` keys) leaves few of them, which are
-    joined to the benchmark's seeds. A hit fixes how item and document align; the pair counts if, so aligned, `window`
-    consecutive words of the item (all words of a shorter one) agree in at least `share` of the places.
+    Words are runs of letters and digits in lower case. Every position of every document is hashed under each mask.
+    A benchmark of at most `bitmap_keys` words goes to the tasks, which search their documents in place; a larger one is joined.
+    A hit fixes how item and document align; the pair counts if, so aligned, `window`
+    consecutive words of the item (all words of a shorter one) agree in at least `share` of the places. The masks hit
+    every such overlap for a share of 0.7 or more and a window of 24.
     Items below 12 words are found by their whole sequence only. Equal items are searched once.
 
     Null and empty texts, and items without words, are never contaminated or found. Rows with equal ids (nulls
@@ -139,22 +220,13 @@ def contaminated_documents(
     tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     named = saved(tests.withColumn("item", F.xxhash64("text")), "benchmark")
     distinct = named.groupBy("item").agg(F.first("text").alias("text"))
-    keys = saved(distinct.mapInPandas(lean(_test_seeds), "key long, item long, at int, words int"), "test-seeds")
-    short = tuple(sorted(r[0] for r in keys.where(F.col("words") < SPAN).select("words").distinct().collect()))
-    n, bitmap = keys.count(), None
-    if n <= bitmap_keys:
-        digits = max(16, (16 * max(n, 1)).bit_length())
-        bits = [r[0] for r in keys.select(F.shiftrightunsigned("key", 64 - digits).alias("b")).distinct().collect()]
-        bitmap = np.zeros(1 << digits, dtype=bool)
-        bitmap[bits] = True
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    hits = rows.mapInPandas(lean(_train_seeds(bitmap, short)), "key long, id long, pos long")
-    aligned = hits.join(small(keys), "key").select("id", "item", (F.col("pos") - F.col("at")).alias("diagonal")).distinct()
-    words = distinct.mapInPandas(_item_words, "item long, h binary")
-    pairs = aligned.join(small(saved(words, "items")), "item").groupBy("id").agg(F.collect_list(F.struct("item", "h", "diagonal")).alias("hits"))
-    pairs = small(saved(pairs, "alignments")).withColumnRenamed("id", "i")
-    checked = rows.join(pairs, F.col("id").eqNullSafe(F.col("i"))).select("id", "text", "hits")
-    found = checked.mapInPandas(lean(_verified(window, share)), "id long, item long").distinct()
+    words = saved(distinct.mapInPandas(_item_words, "item long, h binary"), "items")
+    if (words.agg(F.sum(F.length("h"))).first()[0] or 0) <= 8 * bitmap_keys:
+        bench = Benchmark([(r["item"], bytes(r["h"])) for r in words.collect()])
+        found = rows.mapInPandas(lean(_searched(bench, window, share)), "id long, item long").distinct()
+    else:
+        found = _joined(rows, distinct, words, window, share)
     found = found.join(named.select("item", "item_id"), "item").groupBy(F.col("id").alias("i")).agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids")
     )
