@@ -14,21 +14,25 @@ from pluvia.llm.common import lean, saved, small
 from pluvia.llm.graph import components, forest
 
 
-def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _classes(kind: str):
     """Row id, label, digest of (label, components) and the components as bytes; null where nothing can link."""
-    for batch in batches:
-        rows = []
-        for i, label, v in zip(batch["id"], batch["label"], batch["v"], strict=True):
-            x = None if v is None else np.array([np.nan if c is None else c for c in v], dtype="float64")
-            ok = x is not None and x.size and label is not None and np.isfinite(x).all() and x.any()
-            data = (x + 0.0).tobytes() if ok else None
-            digest = hashlib.sha1(f"{label}|".encode() + data).digest() if ok else None
-            rows.append((i, label, digest, data))
-        yield pd.DataFrame(rows, columns=["id", "label", "digest", "data"])
-
-
-def _unit(data) -> np.ndarray:
-    x = np.stack([np.frombuffer(d, dtype="float64") for d in data])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for i, label, v in zip(batch["id"], batch["label"], batch["v"], strict=True):
+                x = None if v is None else np.array([np.nan if c is None else c for c in v], dtype=kind)
+                ok = x is not None and x.size and label is not None and np.isfinite(x).all() and x.any()
+                data = (x + x.dtype.type(0)).tobytes() if ok else None
+                digest = hashlib.sha1(f"{label}|".encode() + data).digest() if ok else None
+                rows.append((i, label, digest, data))
+            yield pd.DataFrame(rows, columns=["id", "label", "digest", "data"])
+
+    return run
+
+
+def _unit(data, kind: str) -> np.ndarray:
+    x = np.stack([np.frombuffer(d, dtype=kind) for d in data]).astype("float64")
     x = x / np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -44,39 +48,34 @@ def signatures(unit: np.ndarray, tables: int, projections: int, width: float, se
     return (mixed ^ (mixed >> np.uint64(29))).view("int64")
 
 
-def _buckets(tables: int, projections: int, width: float, seed: int):
+def _buckets(how: tuple, kind: str):
+    """(node, slot, bucket) without the vector: the bucket of each class in each table, told apart by label and length."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, part in batch.groupby(batch["data"].map(len)):
-                sig = signatures(_unit(part["data"]), tables, projections, width, seed)
-                rows = len(part)
-                yield pd.DataFrame(
-                    {
-                        "label": np.repeat(part["label"].to_numpy(), tables),
-                        "slot": np.tile(np.arange(tables, dtype="int32"), rows),
-                        "bucket": sig.reshape(-1),
-                        "rep": np.repeat(part["rep"].to_numpy(), tables),
-                        "node": np.repeat(part["node"].to_numpy(), tables),
-                        "size": np.repeat(part["size"].to_numpy(), tables),
-                        "data": np.repeat(part["data"].to_numpy(), tables),
-                        "dim": len(part["data"].iloc[0]),
-                    }
-                )
+                sig = signatures(_unit(part["data"], kind), *how)
+                salt = part["label"].map(lambda x: int.from_bytes(hashlib.sha1(f"{x}|{sig.shape}".encode()).digest()[:8], "little", signed=True)).to_numpy()
+                tables = sig.shape[1]
+                yield pd.DataFrame({
+                    "node": np.repeat(part["node"].to_numpy(), tables), "slot": np.tile(np.arange(tables, dtype="int32"), len(part)),
+                    "bucket": (sig ^ salt[:, None]).reshape(-1),
+                })
 
     return run
 
 
-def _compare(chunk: pd.DataFrame, threshold: float, how: tuple) -> pd.DataFrame:
-    parts = [_links(part.reset_index(drop=True), threshold, how) for _, part in chunk.groupby("dim", sort=False)]
+def _compare(chunk: pd.DataFrame, threshold: float, how: tuple, kind: str) -> pd.DataFrame:
+    parts = [_links(part.reset_index(drop=True), threshold, how, kind) for _, part in chunk.groupby("dim", sort=False)]
     return pd.concat(parts, ignore_index=True)
 
 
-def _links(chunk: pd.DataFrame, threshold: float, how: tuple, small_group: int = 128) -> pd.DataFrame:
-    """Links within the groups of a chunk sorted by group: rows of (rep, links), and a spanning forest (a, b)."""
+def _links(chunk: pd.DataFrame, threshold: float, how: tuple, kind: str, small_group: int = 128) -> pd.DataFrame:
+    """Links within the groups of a chunk sorted by group: rows of (node, links), and a spanning forest (a, b)."""
     links, edges = np.zeros(len(chunk), dtype="int64"), []
     size, node, slot = chunk["size"].to_numpy(), chunk["node"].to_numpy(), chunk["slot"].to_numpy()
     block, apart = chunk["block"].to_numpy(), (chunk["p"] != chunk["q"]).to_numpy()
-    unit = _unit(chunk["data"])
+    unit = _unit(chunk["data"], kind)
     new = np.ones(len(chunk), dtype=bool)
     for c in _GROUP:
         x = chunk[c].to_numpy()
@@ -114,15 +113,15 @@ def _links(chunk: pd.DataFrame, threshold: float, how: tuple, small_group: int =
             i, j = i[i < j], j[i < j]
             near = np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold
             count(i[near], j[near])
-    out = [(r, n, None, None) for r, n in zip(chunk["rep"], links.tolist(), strict=True) if n]
+    out = [(r, n, None, None) for r, n in zip(node.tolist(), links.tolist(), strict=True) if n]
     out += [(None, None, a, b) for a, b in edges]
-    return pd.DataFrame(out, columns=["rep", "links", "a", "b"]).astype({"links": "Int64", "a": "Int64", "b": "Int64"})
+    return pd.DataFrame(out, columns=["node", "links", "a", "b"]).astype("Int64")
 
 
-_GROUP = ["label", "slot", "bucket", "p", "q", "dim"]
+_GROUP = ["bucket", "slot", "p", "q", "label", "dim"]
 
 
-def _pairs(threshold: float, how: tuple):
+def _pairs(threshold: float, how: tuple, kind: str):
     """Compares the rows of each group; groups come one after another and may span batches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,10 +135,10 @@ def _pairs(threshold: float, how: tuple):
                 last &= (chunk[c] == chunk[c].iloc[-1]).to_numpy()
             cut = int(np.argmax(last))
             if cut:
-                yield _compare(chunk.iloc[:cut].reset_index(drop=True), threshold, how)
+                yield _compare(chunk.iloc[:cut].reset_index(drop=True), threshold, how, kind)
             rest = chunk.iloc[cut:].reset_index(drop=True)
         if rest is not None and len(rest):
-            yield _compare(rest, threshold, how)
+            yield _compare(rest, threshold, how, kind)
 
     return run
 
@@ -156,41 +155,45 @@ def near_duplicate_vectors(
     cosine 0.93 meets in some table with probability 0.999, a closer pair more often.
     Buckets above `block_rows` rows are compared as pairs of blocks in tasks of their own.
 
+    Only buckets of two or more classes get their vectors, in the precision of the column.
+
     Null, empty, zero, or non-finite vectors, null components and null labels: no links, own component.
-    Vectors of different lengths never link. Repeated rows count as rows and are all returned. A null id keeps
-    its row, with n_links counted, but cannot name a component of others. Empty input: no rows.
+    Vectors of different lengths never link. Repeated rows count as rows and are all returned; rows with one id but different
+    vectors are linked by their vectors only. A null id keeps its row, with n_links counted, and names no component: the
+    smallest id that is not null does. Where there is none, component_id is null and the row is kept. Empty input: no rows.
     """
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("v"))
-    keyed = saved(rows.mapInPandas(lean(_classes), "id long, label string, digest binary, data binary"), "vectors")
+    keyed = saved(rows.mapInPandas(lean(_classes(kind)), "id long, label string, digest binary, data binary"), "vectors")
     classes = (
         keyed.where("digest is not null").groupBy("digest")
-        .agg(F.first("label").alias("label"), F.min("id").alias("node"), F.count("*").alias("size"), F.first("data").alias("data"))
-        .withColumnRenamed("digest", "rep")
+        .agg(F.first("label").alias("label"), F.min("id").alias("least"), F.count("*").alias("size"), F.first("data").alias("data"))
     )
+    # numbers of their own: ids may be null or name several vectors. Saved, so that they stay as they are
+    classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     how = (tables, projections, width, seed)
-    kinds = "label string, slot int, bucket long, rep binary, node long, size long, data binary, dim int"
-    classes = saved(classes.withColumn("node", F.coalesce("node", F.xxhash64("rep"))), "classes")
-    buckets = classes.select("label", "rep", "node", "size", "data").mapInPandas(lean(_buckets(*how)), kinds)
-    # buckets of one row have no pair; large ones are cut into blocks
-    key = ["label", "slot", "bucket"]
-    sizes = buckets.groupBy(key).count().where(F.col("count") > block_rows)
-    large = saved(sizes.select(*key, F.ceil(F.col("count") / block_rows).cast("int").alias("blocks")), "buckets")
-    cut = buckets.join(small(large), key, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    cut = cut.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).cast("int"))
+    buckets = classes.select("label", "node", "data").mapInPandas(lean(_buckets(how, kind)), "node long, slot int, bucket long")
+    buckets = saved(buckets, "buckets")
+    # buckets of one class have no pair; large ones are cut into blocks
+    sizes = buckets.groupBy("bucket", "slot").count().where(F.col("count") > 1)
+    sizes = saved(sizes.select("bucket", "slot", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks")), "sizes")
+    cut = buckets.join(small(sizes), ["bucket", "slot"])
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
-    together = cut.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
-    found = saved(together.mapInPandas(lean(_pairs(threshold, how)), "rep binary, links long, a long, b long"), "links")
-    links = found.where("rep is not null").groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = components(found.where("a is not null").select("a", "b"))
-    result = (
-        classes.select("rep", "node", "size").join(links, "rep", "left")
-        .join(roots.withColumnRenamed("component", "top"), "node", "left")
-        .select(F.col("rep").alias("digest"), "size", "links", F.coalesce("top", "node").alias("top"))
-    )
+    cut = cut.select("bucket", "slot", "node", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    cut = cut.join(classes.select("node", "label", "size", "data", F.length("data").alias("dim")), "node")
+    together = cut.repartition("bucket", "slot", "p", "q").sortWithinPartitions(*_GROUP)
+    found = saved(together.mapInPandas(lean(_pairs(threshold, how, kind)), "node long, links long, a long, b long"), "links")
+    links = saved(found.where("node is not null").groupBy("node").agg(F.sum("links").alias("links")), "counts")
+    roots = saved(components(found.where("a is not null").select("a", "b")).withColumnRenamed("component", "root"), "roots")
+    result = classes.select("digest", "node", "size", "least").join(links, "node", "left").join(roots, "node", "left")
+    result = saved(result.select("digest", "size", "links", "least", F.coalesce("root", "node").alias("root")), "result")
+    tops = saved(result.groupBy("root").agg(F.min("least").alias("top")), "tops")
+    result = saved(result.join(tops, "root").select("digest", "size", "links", "top"), "result")
+    component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("top"))
     return keyed.select("id", "digest").join(result, "digest", "left").select(
         F.col("id").alias(id_col),
         F.coalesce(F.col("size") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("top", "id").alias("component_id"),
-        (F.coalesce("top", "id") == F.col("id")).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(component == F.col("id"), component.isNull()).alias("kept"),
     )
