@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import checkpointed, lean
+from pluvia.llm.common import checkpointed, lean, saved
 
 
 def forest(pairs) -> dict[int, int]:
@@ -42,7 +42,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of `edges` (a, b long): component is the smallest node reachable.
 
     Alternates large-star and small-star steps, which end after about log^2 of the longest path. Each
-    step is a grouped minimum (combined before the shuffle) and a join that adaptive execution may split, so
+    step is a grouped minimum (combined before the shuffle), saved, and a join that adaptive execution may split, so
     a node with very many links doesn't gather in one task. Loops and null ends are ignored.
     """
     e = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
@@ -50,10 +50,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     state = None
     for _ in range(rounds):
         both = e.union(e.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # saved, so that the joins stand on plain exchanges and a node with very many links can be split
+        least = saved(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        down = saved(down, "down")
+        least = saved(down.groupBy("a").agg(F.min("b").alias("m")), "least")
         stars = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = checkpointed(stars.union(least.select("a", F.col("m").alias("b"))).distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import lean, saved
+from pluvia.llm.common import lean, saved, small
 from pluvia.llm.graph import components, forest
 
 
@@ -40,16 +41,25 @@ def _fingerprints(shingle: int, seed: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fp = np.array([fingerprint(t, shingle, seed) for t in batch["text"]], dtype="uint64")
-            yield pd.DataFrame({"id": batch["id"], "fp": fp.view("int64")})
+            yield pd.DataFrame({"id": batch["id"], "th": batch["th"], "fp": fp.view("int64")})
 
     return run
 
 
+def fingerprint_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
+    """One saved row per input row: id, th (xxhash64 of the text, which tells rows with one id apart), fp (64 bits as a long)."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
+    return saved(rows.mapInPandas(lean(_fingerprints(shingle, seed)), "id long, th long, fp long"), "fingerprints")
+
+
 # A tree compares one block of bits. Blocks (mask, radius) with the sum of (radius + 1) above the distance
 # sought miss no pair: a pair within the distance is within the radius of at least one block.
-def blocks_for(distance: int) -> list[tuple[int, int]]:
-    low = (1 << 32) - 1
-    return [(low, distance // 2), (low << 32, (distance - 1) // 2 if distance else 0)]
+def blocks_for(distance: int, blocks: int = 2) -> list[tuple[int, int]]:
+    """`blocks` (at most distance + 1) runs of bits with their radii. More blocks: narrower searches, more rows."""
+    blocks = min(blocks, distance + 1)
+    edges = [64 * k // blocks for k in range(blocks + 1)]
+    left = distance + 1 - blocks  # one more for some blocks, until the sum is reached
+    return [((1 << high) - (1 << low), left // blocks + (k < left % blocks)) for k, (low, high) in enumerate(zip(edges, edges[1:], strict=False))]
 
 
 def _far(fp: np.ndarray, point: int, mask: int) -> np.ndarray:
@@ -126,25 +136,42 @@ def search(members: np.ndarray, queries: np.ndarray, mask: int, radius: int, dis
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
-def _routed(trees: list, cuts: dict | None):
-    """Rows (tree, shard, mpart, qpart, member, fp, rep); cuts: into how many parts a shard's members and queries go."""
+def _rooted(trees: list):
+    """Rows (tree, shard, fp, live) by the trees' upper levels."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fp, rep = batch["fp"].to_numpy().view("uint64"), batch["rep"].to_numpy()
-            mixed = fp * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
+            fp = batch["fp"].to_numpy().view("uint64")
             for t, (mask, radius, tree) in enumerate(trees):
                 for shard, rows, live in route(fp, tree, mask, radius):
-                    if cuts is None:
-                        yield pd.DataFrame({"tree": [t], "shard": [shard], "members": [int(live.sum())], "queries": [len(rows)]})
-                        continue
-                    ms, qs = cuts[t, shard]
-                    mpart, qpart = (mixed[rows] % np.uint64(ms)).astype(int), (mixed[rows] % np.uint64(qs)).astype(int)
-                    parts = [(rows, i, qpart, False) for i in range(ms)]
-                    parts += [(rows[live], mpart[live], i, True) for i in range(qs)]
-                    for own, mp, qp, member in parts:
-                        if len(own):
-                            yield pd.DataFrame({"tree": t, "shard": shard, "mpart": mp, "qpart": qp, "member": member, "fp": fp[own].view("int64"), "rep": rep[own]})
+                    yield pd.DataFrame({"tree": np.int32(t), "shard": np.int64(shard), "fp": fp[rows].view("int64"), "live": live, "stuck": False})
+
+    return run
+
+
+def _planted(blocks: list, depth: int, seed: int):
+    """The lower levels of one shard's tree, from a sample of its members."""
+
+    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+        fp = np.sort(group["fp"].to_numpy()).view("uint64")
+        tree = plant(fp, blocks[key[0]][0], depth, np.random.default_rng([seed, key[1] & 0x7FFFFFFF]))
+        return pd.DataFrame({"tree": [key[0]], "shard": [key[1]], "below": [pickle.dumps(tree)]})
+
+    return run
+
+
+def _deeper(blocks: list):
+    """Rows of shards that have lower levels, routed on; a shard that can't be split is marked as stuck."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (t, shard), part in batch.groupby(["tree", "shard"], sort=False):
+                fp, tree, live = part["fp"].to_numpy().view("uint64"), pickle.loads(part["below"].iloc[0]), part["live"].to_numpy()
+                mask, radius = blocks[t]
+                for below, rows, own in route(fp, tree, mask, radius):
+                    levels = below.bit_length() - 1
+                    at = (shard << levels) | (below - (1 << levels))
+                    yield pd.DataFrame({"tree": np.int32(t), "shard": np.int64(at), "fp": fp[rows].view("int64"), "live": own & live[rows], "stuck": tree is None})
 
     return run
 
@@ -153,9 +180,10 @@ def _linked(blocks: list, distance: int):
     def run(key, group: pd.DataFrame) -> pd.DataFrame:
         mask, radius = blocks[key[0]]
         member = group["member"].to_numpy()
-        fp, rep = group["fp"].to_numpy().view("uint64"), group["rep"].to_numpy()
-        i, j = search(fp[member], fp[~member], mask, radius, distance)
-        a, b = rep[member][i], rep[~member][j]
+        fp = group["fp"].to_numpy()
+        own, asked = fp[member], fp[~member]
+        i, j = search(own.view("uint64"), asked.view("uint64"), mask, radius, distance)
+        a, b = own[i], asked[j]
         keep = a != b
         roots = forest(zip(a[keep].tolist(), b[keep].tolist(), strict=True))
         return pd.DataFrame([(x, r) for x, r in roots.items() if x != r], columns=["a", "b"]).astype("int64")
@@ -163,41 +191,78 @@ def _linked(blocks: list, distance: int):
     return run
 
 
+_DEALT = "tree int, shard long, fp long, live boolean, stuck boolean"
+
+
+def dealt_to_shards(prints: DataFrame, blocks: list, shard_rows: int, sample_rows: int, seed: int) -> DataFrame:
+    """(tree, shard, fp, live) of the distinct fingerprints `fp`: where each lives and, with it, which shards it queries.
+
+    The upper levels are fitted on at most `sample_rows` fingerprints on the driver. Shards that are still large then grow lower
+    levels of their own, each from a sample of its members in a task of its own, until all are within four times `shard_rows` or can't be split.
+    """
+    total = prints.count()
+    depth = min(max(0, int(np.ceil(np.log2(max(total, 1) / shard_rows)))), max(0, int(np.log2(sample_rows / 16))))
+    chosen = prints.orderBy(F.xxhash64("fp"), "fp").limit(min(sample_rows, 32 << depth)).collect() if depth else []
+    sample, rng = np.array([r["fp"] for r in chosen], dtype="int64").view("uint64"), np.random.default_rng(seed)
+    trees = [(mask, radius, plant(sample, mask, depth, rng)) for mask, radius in blocks]
+    dealt = saved(prints.mapInPandas(lean(_rooted(trees)), _DEALT), "shards")
+    for turn in range(50):
+        sums = dealt.where("live and not stuck").groupBy("tree", "shard").count().where(F.col("count") > 4 * shard_rows)
+        large = saved(sums, "large")
+        if large.isEmpty():
+            break
+        # about 512 members of each large shard by hash; five levels keep 16 of them in a leaf
+        place = F.pmod(F.xxhash64("fp", F.lit(turn)), F.col("count")) < 512
+        below = dealt.where("live and not stuck").join(small(large), ["tree", "shard"]).where(place)
+        below = saved(below.groupBy("tree", "shard").applyInPandas(_planted(blocks, 5, seed), "tree int, shard long, below binary"), "trees")
+        moved = dealt.where("not stuck").join(small(below), ["tree", "shard"]).mapInPandas(lean(_deeper(blocks)), _DEALT)
+        still = dealt.where("not stuck").join(small(below.drop("below")), ["tree", "shard"], "left_anti").select(*dealt.columns)
+        dealt = saved(moved.unionByName(still).unionByName(dealt.where("stuck")), "shards")
+    return dealt.drop("stuck")
+
+
+def linked_fingerprints(
+    marked: DataFrame, distance: int = 3, seed: int = 42, shard_rows: int = 8192, sample_rows: int = 32768, blocks: int = 2
+) -> DataFrame:
+    """(a, b): links between distinct fingerprints `fp` within `distance` bits, of which each shard keeps a spanning forest."""
+    by = blocks_for(distance, blocks)
+    prints = saved(marked.select("fp").distinct(), "classes")
+    dealt = dealt_to_shards(prints, by, shard_rows, sample_rows, seed)
+    # shards above four times shard_rows members, or with very many queries, are cut into parts
+    parts = lambda n, most: F.ceil(F.greatest(n, F.lit(1)) / most).cast("int")
+    sums = dealt.groupBy("tree", "shard").agg(parts(F.count_if("live"), 4 * shard_rows).alias("ms"), parts(F.count("*"), 16 * shard_rows).alias("qs"))
+    sums = saved(sums, "parts")
+    rows = dealt.join(small(sums), ["tree", "shard"]).withColumn("x", F.xxhash64("fp", F.lit(7)))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod("x", F.col(n)).cast("int")
+    asked = rows.select("tree", "shard", upto("ms").alias("mpart"), own("qs").alias("qpart"), F.lit(False).alias("member"), "fp")
+    held = rows.where("live").select("tree", "shard", own("ms").alias("mpart"), upto("qs").alias("qpart"), F.lit(True).alias("member"), "fp")
+    edges = asked.unionByName(held).groupBy("tree", "shard", "mpart", "qpart").applyInPandas(_linked(by, distance), "a long, b long")
+    # saved, so that no task holds the search's worker and the next step's at once
+    return saved(edges, "links")
+
+
 def near_duplicate_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, seed: int = 42,
-    shard_rows: int = 8192, sample_rows: int = 32768,
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, seed: int = 42, **how
+) -> DataFrame:
     """One row per input row: id, fingerprint (16 lowercase hex digits), component_id (smallest id reachable).
 
-    Equal fingerprints are one class. Distinct fingerprints are dealt out to shards by two vantage-point trees,
-    each over the Hamming distance on one half of the bits: a pair within `distance` bits is close in one
-    half, so nothing is missed. Each fingerprint lives in one shard of a tree and queries every shard that
+    Equal fingerprints are one class. Distinct fingerprints are dealt out to shards by vantage-point trees,
+    each over the Hamming distance on one block of the bits: a pair within `distance` bits is close in one
+    block, so nothing is missed. Each fingerprint lives in one shard of a tree and queries every shard that
     the triangle bound leaves open; within a shard an inner tree prunes again and the leaves compare all 64 bits.
-    The trees' upper levels are fitted on at most `sample_rows` fingerprints; that decides balance, not results.
-    Shards above `shard_rows` members are cut into parts that are compared in tasks of their own.
+    The trees are fitted on samples; that decides balance, not results. Their depth follows the number of fingerprints.
 
     Null or empty text: fingerprint zero, linked like any other. Fewer words than a shingle: the whole sequence is
-    hashed. Repeated rows are all returned. Null ids keep their row; such a class gets a null component if it
-    links with no other id. Empty input: no rows.
+    hashed. Repeated rows are all returned, and rows with one id but different texts are linked by their texts only. Null ids keep
+    their row; they name no component: it is null where no other id is reachable. Empty input: no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marked = saved(rows.mapInPandas(lean(_fingerprints(shingle, seed)), "id long, fp long"), "fingerprints")
-    classes = saved(marked.where("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "classes")
-    total = classes.count()
-    depth = min(max(0, int(np.ceil(np.log2(max(total, 1) / shard_rows)))), int(np.log2(sample_rows / 16)))
-    chosen = classes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(min(sample_rows, 32 << depth)).collect() if depth else []
-    sample, rng = np.array([r["fp"] for r in chosen], dtype="int64").view("uint64"), np.random.default_rng(seed)
-    blocks = blocks_for(distance)
-    trees = [(mask, radius, plant(sample, mask, depth, rng)) for mask, radius in blocks]
-    # at most 2^(depth + 1) shards: these counts are small however many fingerprints there are
-    counted = classes.mapInPandas(lean(_routed(trees, None)), "tree int, shard int, members long, queries long")
-    sums = counted.groupBy("tree", "shard").agg(F.sum("members").alias("m"), F.sum("queries").alias("q")).collect()
-    cuts = {(r["tree"], r["shard"]): (-(-max(r["m"], 1) // (4 * shard_rows)), -(-max(r["q"], 1) // (16 * shard_rows))) for r in sums}
-    dealt = classes.mapInPandas(lean(_routed(trees, cuts)), "tree int, shard int, mpart int, qpart int, member boolean, fp long, rep long")
-    edges = dealt.groupBy("tree", "shard", "mpart", "qpart").applyInPandas(_linked(blocks, distance), "a long, b long")
-    # saved, so that no task holds the search's worker and the next step's at once
-    roots = components(saved(edges, "links"))
-    tops = classes.join(roots, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("top"))
-    return marked.join(tops, "fp", "left").select(
+    marked = fingerprint_rows(docs, id_col, text_col, shingle, seed)
+    roots = saved(components(linked_fingerprints(marked, distance, seed, **how)), "roots")
+    classes = marked.groupBy("fp").agg(F.min("id").alias("least")).join(roots, F.col("fp") == F.col("node"), "left")
+    classes = saved(classes.select("fp", "least", F.coalesce("component", "fp").alias("root")), "classes")
+    tops = saved(classes.groupBy("root").agg(F.min("least").alias("top")), "tops")
+    tops = saved(classes.join(tops, "root").select("fp", "top"), "tops")
+    return marked.join(tops, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("top").alias("component_id")
     )
