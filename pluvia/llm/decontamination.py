@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from pluvia.llm.common import lean, saved, small
 from pluvia.llm.words import MARKS, word_hashes
 
-#: 1: the word counts, 0: it may differ. At 70 % agreement a window of 12 to 24 words keeps three words in a row, or, at 14, 17
-#: and 20 words, nothing but runs of two with one changed word between them: one of the masks always hits.
-MASKS = ("111", "1101")
+#: 1: the word counts, 0: it may differ. At 70 % agreement a window of 12 to 24 words always has a place for one of the masks,
+#: whichever words differ (tested over all choices).
+MASKS = ("1101", "1011")
 #: Items of fewer words are searched by their whole sequence.
 SPAN = 12
+#: Words of an item that are compared at once, the share of them that must agree, and the words of a benchmark that may go to each task.
+WINDOW, SHARE, BITMAP_KEYS = 24, 0.7, 4_000_000
 
 
 _FACTORS = np.random.default_rng(5).integers(1, 2**63, SPAN, dtype="uint64") * np.uint64(2) + np.uint64(1)
@@ -77,7 +79,7 @@ def _train_seeds(lengths: tuple[int, ...]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for ids, texts in _chunks(batch["id"].astype(object).where(batch["id"].notna(), None).tolist(), batch["text"]):
+            for ids, texts in _chunks(batch["th"].tolist(), batch["text"]):
                 h, at, _ = word_hashes(b"\n".join(texts), MARKS, lower=True)
                 begins = np.cumsum([0, *[len(x) + 1 for x in texts]])
                 doc = np.searchsorted(begins, at, side="right") - 1
@@ -86,7 +88,7 @@ def _train_seeds(lengths: tuple[int, ...]):
                     hit = np.arange(len(k))
                     hit = hit[doc[hit] == doc[hit + span - 1]]
                     out += [(key, ids[d], p) for key, d, p in zip(k[hit].view("int64").tolist(), doc[hit].tolist(), (hit - first[doc[hit]]).tolist(), strict=True)]
-            yield pd.DataFrame(out, columns=["key", "id", "pos"]).astype({"key": "int64", "id": "Int64", "pos": "int64"})
+            yield pd.DataFrame(out, columns=["key", "th", "pos"]).astype("int64")
 
     return run
 
@@ -158,12 +160,12 @@ def _searched(bench: Benchmark, window: int, share: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for ids, texts in _chunks(batch["id"].astype(object).where(batch["id"].notna(), None).tolist(), batch["text"]):
+            for ids, texts in _chunks(batch["th"].tolist(), batch["text"]):
                 h, at, _ = word_hashes(b"\n".join(texts), MARKS, lower=True)
                 begins = np.cumsum([0, *[len(x) + 1 for x in texts]])
                 doc = np.searchsorted(begins, at, side="right") - 1
                 out += [(ids[d], item) for d, item in bench.found(h, doc, np.searchsorted(at, begins), window, share)]
-            yield pd.DataFrame(out, columns=["id", "item"]).astype({"id": "Int64", "item": "int64"})
+            yield pd.DataFrame(out, columns=["th", "item"]).astype("int64")
 
     return run
 
@@ -172,13 +174,13 @@ def _verified(window: int, share: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for row, text, hits in zip(batch["id"].astype(object).where(batch["id"].notna(), None), batch["text"], batch["hits"], strict=True):
+            for row, text, hits in zip(batch["th"].tolist(), batch["text"], batch["hits"], strict=True):
                 doc, done = _hash(text), {}
                 for hit in hits:
                     item = np.frombuffer(hit["h"], dtype="uint64")
                     done[hit["item"]] = done.get(hit["item"]) or overlap(doc, item, hit["diagonal"], window, share)
                 out += [(row, item) for item, ok in done.items() if ok]
-            yield pd.DataFrame(out, columns=["id", "item"]).astype({"id": "Int64", "item": "int64"})
+            yield pd.DataFrame(out, columns=["th", "item"]).astype("int64")
 
     return run
 
@@ -189,20 +191,44 @@ def _item_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _joined(rows: DataFrame, distinct: DataFrame, words: DataFrame, window: int, share: float) -> DataFrame:
-    """(id, item) of the verified overlaps, by a join of all seeds: for benchmarks too large for a task."""
+    """(th, item) of the verified overlaps, by a join of all seeds: for benchmarks too large for a task."""
     keys = saved(distinct.mapInPandas(lean(_test_seeds), "key long, item long, at int, words int"), "test-seeds")
     short = tuple(sorted(r[0] for r in keys.where(F.col("words") < SPAN).select("words").distinct().collect()))
-    hits = rows.mapInPandas(lean(_train_seeds(short)), "key long, id long, pos long")
-    aligned = hits.join(small(keys), "key").select("id", "item", (F.col("pos") - F.col("at")).alias("diagonal")).distinct()
-    pairs = aligned.join(small(words), "item").groupBy("id").agg(F.collect_list(F.struct("item", "h", "diagonal")).alias("hits"))
-    pairs = small(saved(pairs, "alignments")).withColumnRenamed("id", "i")
-    checked = rows.join(pairs, F.col("id").eqNullSafe(F.col("i"))).select("id", "text", "hits")
-    return checked.mapInPandas(lean(_verified(window, share)), "id long, item long").distinct()
+    rows = rows.dropDuplicates(["th"])
+    hits = rows.mapInPandas(lean(_train_seeds(short)), "key long, th long, pos long")
+    aligned = hits.join(small(keys), "key").select("th", "item", (F.col("pos") - F.col("at")).alias("diagonal")).distinct()
+    pairs = aligned.join(small(words), "item").groupBy("th").agg(F.collect_list(F.struct("item", "h", "diagonal")).alias("hits"))
+    checked = rows.join(small(saved(pairs, "alignments")), "th").select("th", "text", "hits")
+    return checked.mapInPandas(lean(_verified(window, share)), "th long, item long").distinct()
+
+
+def _found(
+    docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: str, item_text: str, window: int, share: float, bitmap_keys: int
+) -> DataFrame:
+    """(th, item_ids): the items found in the texts with xxhash64 th, saved."""
+    tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
+    named = saved(tests.withColumn("item", F.xxhash64("text")), "benchmark")
+    distinct = named.groupBy("item").agg(F.first("text").alias("text"))
+    rows = docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")).where("text is not null")
+    words = saved(distinct.mapInPandas(_item_words, "item long, h binary"), "items")
+    if (words.agg(F.sum(F.length("h"))).first()[0] or 0) <= 8 * bitmap_keys:
+        bench = Benchmark([(r["item"], bytes(r["h"])) for r in words.collect()])
+        found = rows.mapInPandas(lean(_searched(bench, window, share)), "th long, item long").distinct()
+    else:
+        found = _joined(rows, distinct, words, window, share)
+    found = found.join(named.select("item", "item_id"), "item").groupBy("th").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    return saved(found, "found")
+
+
+def contaminated_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, th): the contaminated rows of docs as their id and the xxhash64 of their text."""
+    found = _found(docs, benchmark, text_col, "item_id", "text", WINDOW, SHARE, BITMAP_KEYS).select("th")
+    return docs.select(F.col(id_col).alias(id_col), F.xxhash64(text_col).alias("th")).join(small(found), "th", "left_semi").select(id_col, "th")
 
 
 def contaminated_documents(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-    item_text: str = "text", window: int = 24, share: float = 0.7, bitmap_keys: int = 4_000_000,
+    item_text: str = "text", window: int = WINDOW, share: float = SHARE, bitmap_keys: int = BITMAP_KEYS,
 ) -> DataFrame:
     """One row per input row: id, contaminated, n_items, item_ids (benchmark items found in it, ascending).
 
@@ -213,25 +239,12 @@ def contaminated_documents(
     every such overlap for a share of 0.7 or more and a window of 24.
     Items below 12 words are found by their whole sequence only. Equal items are searched once.
 
-    Null and empty texts, and items without words, are never contaminated or found. Rows with equal ids (nulls
-    among them) get the items of all of them. Empty benchmark or documents: nothing found, no rows.
+    Null and empty texts, and items without words, are never contaminated or found. Rows are judged by their own texts, also
+    where ids are null or repeat. Empty benchmark or documents: nothing found, no rows.
     """
-    spark = docs.sparkSession
-    tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
-    named = saved(tests.withColumn("item", F.xxhash64("text")), "benchmark")
-    distinct = named.groupBy("item").agg(F.first("text").alias("text"))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    words = saved(distinct.mapInPandas(_item_words, "item long, h binary"), "items")
-    if (words.agg(F.sum(F.length("h"))).first()[0] or 0) <= 8 * bitmap_keys:
-        bench = Benchmark([(r["item"], bytes(r["h"])) for r in words.collect()])
-        found = rows.mapInPandas(lean(_searched(bench, window, share)), "id long, item long").distinct()
-    else:
-        found = _joined(rows, distinct, words, window, share)
-    found = found.join(named.select("item", "item_id"), "item").groupBy(F.col("id").alias("i")).agg(
-        F.sort_array(F.collect_set("item_id")).alias("item_ids")
-    )
+    found = _found(docs, benchmark, text_col, item_id, item_text, window, share, bitmap_keys).withColumnRenamed("th", "t")
     none = F.array().cast("array<bigint>")
-    out = docs.select(F.col(id_col).alias("id")).join(small(saved(found, "found")), F.col("id").eqNullSafe(F.col("i")), "left")
+    out = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).join(small(found), F.col("h") == F.col("t"), "left")
     return out.select(
         F.col("id").alias(id_col), F.col("item_ids").isNotNull().alias("contaminated"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("item_ids", none).alias("item_ids"),

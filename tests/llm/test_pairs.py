@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pluvia.llm.decontamination import contaminated_documents
 from pluvia.llm.embedding_dedup import near_duplicate_vectors
 from pluvia.llm.graph import components, forest
-from pluvia.llm.simhash import fingerprint, near_duplicate_groups, plant, route, search
+from pluvia.llm.simhash import blocks_for, dealt_to_shards, fingerprint, linked_fingerprints, near_duplicate_groups, plant, route, search
 from pluvia.llm.substring_dedup import remove_repeats
 
 DOCS = "doc_id long, text string"
@@ -56,6 +56,18 @@ def test_vectors_against_brute_force(spark):
     assert got == sorted((r[0], n_links.get(r[0], 0), top[r[0]], top[r[0]] == r[0]) for r in rows)
 
 
+def test_vectors_with_null_and_repeated_ids(spark):
+    a, near, far, lone = [1.0, 0.0, 0.2], [1.0, 0.05, 0.2], [0.0, 1.0, 0.0], [-1.0, 0.3, 0.3]
+    rows = [(None, a, 1), (None, a, 1), (7, near, 1), (9, near, 1), (7, far, 1), (3, far, 1), (None, lone, 1), (None, None, 1)]
+    rows += [(None, [1.0, 0.01 * k, 0.2], 1) for k in range(1, 20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = [tuple(r) for r in near_duplicate_vectors(df).collect()]
+    assert len(got) == len(rows)
+    assert sorted(r for r in got if r[0] is not None) == [(3, 1, 3, True), (7, 1, 3, False), (7, 22, 7, True), (9, 22, 7, False)]
+    nulls = [r[1:] for r in got if r[0] is None]
+    assert nulls.count((22, 7, False)) == 21 and nulls.count((0, None, True)) == 2 and len(nulls) == 23
+
+
 def test_vectors_of_one_large_group_of_copies(spark):
     df = spark.range(3000).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"), F.lit(1).alias("label"))
     got = near_duplicate_vectors(df).agg(F.min("n_links"), F.max("n_links"), F.max("component_id"), F.count_if("kept")).first()
@@ -91,6 +103,32 @@ def test_simhash_groups_against_brute_force(spark):
     assert len(got) == len(rows) and near_duplicate_groups(df.limit(0)).count() == 0
 
 
+def test_simhash_work_grows_with_the_rows(spark):
+    made, by = {}, blocks_for(3)
+    for n in (2000, 8000):
+        rng = np.random.default_rng(n)
+        fp = rng.integers(0, 2**63, n, dtype="uint64").view("int64").tolist()
+        prints = spark.createDataFrame([(x,) for x in fp], "fp long")
+        dealt = dealt_to_shards(prints, by, shard_rows=64, sample_rows=64, seed=1)
+        got = dealt.groupBy("tree", "shard").agg(F.count_if("live").alias("m"), F.count("*").alias("q")).collect()
+        assert sum(r["m"] for r in got) == n * len(by) and max(r["m"] for r in got) <= 4 * 64  # every print lives once in each tree
+        made[n] = sum(-(-r["m"] // 256) * r["q"] for r in got)
+    assert made[8000] < 8 * made[2000]  # with a depth that stops, 16 times
+    assert [(m.bit_count(), r) for m, r in blocks_for(3, 4)] == [(16, 0)] * 4 and [r for _, r in blocks_for(3)] == [1, 1] and [r for _, r in blocks_for(2)] == [1, 0]
+
+
+@pytest.mark.parametrize("how", [{"shard_rows": 4, "sample_rows": 32}, {"blocks": 4}, {"blocks": 1, "shard_rows": 8}])
+def test_links_of_prints_by_any_trees(spark, how):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, 150, dtype="uint64")
+    fp = np.concatenate([base, base ^ np.uint64(7), base[:60] ^ np.uint64((1 << 62) | 4), np.arange(40, dtype="uint64")])
+    fp = np.unique(fp)
+    rows = spark.createDataFrame([(int(x),) for x in fp.view("int64")], "fp long")
+    got = forest((r["a"], r["b"]) for r in linked_fingerprints(rows, **how).collect())
+    pairs = [(int(x), int(y)) for x in fp.view("int64") for y in fp[np.bitwise_count(fp ^ np.uint64(int(x) % 2**64)) <= 3].view("int64") if x != y]
+    assert got == forest(pairs)
+
+
 def test_tree_search_finds_every_close_pair():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 800, dtype="uint64")
@@ -155,12 +193,11 @@ def test_decontamination_tolerates_substitutions(spark):
         (0, filler(50) + items[0] + filler(20)), (1, filler(9) + changed(items[0], 7) + filler(3)), (2, filler(30)), (3, items[1][:8] + filler(30)), (4, changed(items[1], 3)),
         (5, items[2]), (6, filler(5) + items[3] + filler(5)), (7, items[3][:5] + filler(4)), (8, filler(4) + items[4]), (9, []),
     ]
-    rows = [(i, ", ".join(w).upper()) for i, w in rows] + [(20, None), (0, "again nothing"), (None, " ".join(items[2]))]
+    rows = [(i, ", ".join(w).upper()) for i, w in rows] + [(20, None), (0, "again nothing"), (None, " ".join(items[2])), (None, "clean words")]
     docs = spark.createDataFrame(rows, DOCS).withColumn("key", F.lit(1)).withColumn("item", F.lit("x")).withColumn("hits", F.lit(0))
     got = contaminated_documents(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()
-    found = {r["doc_id"]: r["item_ids"] for r in got}
-    assert len(got) == len(rows)
-    assert found == {0: [0, 10], 1: [0, 10], 2: [], 3: [], 4: [], 5: [2], 6: [3], 7: [], 8: [4], 9: [], 20: [], None: [2]}
+    found = sorted(((r["doc_id"], r["item_ids"]) for r in got), key=str)
+    assert found == sorted([(0, [0, 10]), (0, []), (1, [0, 10]), (2, []), (3, []), (4, []), (5, [2]), (6, [3]), (7, []), (8, [4]), (9, []), (20, []), (None, [2]), (None, [])], key=str)
     assert all(r["contaminated"] == bool(r["item_ids"]) and r["n_items"] == len(r["item_ids"]) for r in got)
     none = contaminated_documents(docs, spark.createDataFrame([], "item_id long, text string"))
     assert none.where("contaminated").count() == 0 and none.count() == len(rows)
