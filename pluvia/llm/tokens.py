@@ -3,19 +3,44 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import unicodedata
+from array import array
+from itertools import islice
 
 import numpy as np
 
-#: Tokenizers that drop white space and fold case: a text's ids are those of its words, one after another.
-WORDWISE = {"word_bpe_49k.json"}
-#: Words that a worker keeps encoded; beyond it the cache starts anew.
-CACHE_WORDS = 150_000
-#: Words of the texts that are looked up together.
-CHUNK_WORDS = 50_000
+# The steps of a tokenizer that drops white space and folds case. A text's ids are then those of its words,
+# one after another, and only special strings (all of which begin as below) are taken as written.
+_NORMAL = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_CUT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed", "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+_SPECIAL = "<|"
+_END = "</w>"
+
+#: Words that a worker keeps encoded within a task, and between tasks. The words met first stay, which are the common ones.
+CACHE_WORDS, KEPT_WORDS = 500_000, 300_000
+#: Words of the texts that are looked up together, and encoded together.
+CHUNK_WORDS, PART_WORDS = 50_000, 4096
 
 _open: dict[str, object] = {}
 _words: dict[str, dict[bytes, bytes]] = {}
+_wordwise: dict[str, bool] = {}
 _TAIL = b".,;:!?%*&$#"
+# The characters by which byte-level tokenizers write bytes: printable ones stand for themselves, others follow from U+0100 on.
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTES = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 
 
 def _library(path: str):
@@ -45,66 +70,86 @@ def version_digest(path: str) -> str:
 
 
 def wordwise(path: str) -> bool:
-    return path.rsplit("/", 1)[-1] in WORDWISE
+    """Whether the file's own steps are those under which a text may be encoded word by word."""
+    if path not in _wordwise:
+        _wordwise[path] = False
+        if not path.endswith(".model"):
+            with open(path, encoding="utf-8") as f:
+                made = json.load(f)
+            model = made["model"]
+            _wordwise[path] = (
+                made["normalizer"] == _NORMAL and made["pre_tokenizer"] == _CUT and not made["post_processor"]
+                and model["type"] == "BPE" and model["end_of_word_suffix"] == _END and not model["dropout"]
+                and all(t["content"].startswith(_SPECIAL) and not (t["lstrip"] or t["rstrip"] or t["normalized"]) for t in made["added_tokens"])
+            )
+    return _wordwise[path]
 
 
 def _packed(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
-_ends: dict[int, np.ndarray] = {}
+def _letter_words(path: str, cache: dict[bytes, bytes], words: list[bytes]) -> list[bytes]:
+    """Encodes words of small letters, each of which is one piece; returns those that must take the library's whole way.
 
+    Up to U+024F a small letter is its own normal form, so the pieces go to the file's merges as they are."""
+    merges, rest = _library(path).model.tokenize, []
+    for word in words:
+        text = word.decode()
+        if not text.islower() or not (text.isascii() or max(text) < "\u0250"):
+            rest.append(word)
+            continue
+        piece = text if text.isascii() else word.decode("latin-1").translate(_BYTES)
+        cache[word] = array("I", [x.id for x in merges(piece)]).tobytes()
+    return rest
 
-def _letter_words(tokenizer, cache: dict[bytes, bytes], part: list[tuple[bytes, str]]) -> bool:
-    """Encodes words of letters as one text; the last piece of each word is known by its word-end mark."""
-    if id(tokenizer) not in _ends:
-        last = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
-        last[[i for piece, i in tokenizer.get_vocab().items() if piece.endswith("</w>")]] = True
-        _ends[id(tokenizer)] = last
-    ids = np.array(tokenizer.encode_batch_fast([" ".join(w for _, w in part)], add_special_tokens=False)[0].ids, dtype="<u4")
-    ends = (4 * (np.flatnonzero(_ends[id(tokenizer)][ids]) + 1)).tolist()
-    if len(ends) != len(part) or ends[-1] != 4 * len(ids):
-        return False
-    data = ids.tobytes()
-    cache.update((w, data[s:e]) for (w, _), s, e in zip(part, [0, *ends], ends, strict=False))
-    return True
 
+def _any_words(path: str, cache: dict[bytes, bytes], order: list[bytes]) -> None:
+    for at in range(0, len(order), PART_WORDS):
+        part = order[at : at + PART_WORDS]
+        done = _library(path).encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
+        ids, owner = np.array(done.ids, dtype="<u4"), np.array(done.word_ids, dtype="int64")
+        data, ends = ids.tobytes(), (4 * np.cumsum(np.bincount(owner, minlength=len(part)))).tolist()
+        cache.update((w, data[s:e]) for w, s, e in zip(part, [0, *ends], ends, strict=False))
 
-def _any_words(tokenizer, cache: dict[bytes, bytes], order: list[tuple[bytes, str]]) -> None:
-    for at in range(0, len(order), 2048):
-        part = order[at : at + 2048]
-        done = tokenizer.encode([w for _, w in part], is_pretokenized=True, add_special_tokens=False)
-        got: list[list[int]] = [[] for _ in part]
-        for i, w in zip(done.ids, done.word_ids, strict=True):
-            got[w].append(i)
-        cache.update((w, _packed(i)) for (w, _), i in zip(part, got, strict=True))
 
+def _stands_alone(core: bytes) -> bool:
+    """Whether marks after this word are a piece of their own: as the tokenizer sees it, its last character is a letter or digit."""
+    if core[-1] < 128:
+        return core[-1:].isalnum()
+    last = unicodedata.normalize("NFC", core.decode()[-1]).lower()[-1]
+    return unicodedata.category(last)[0] in "LN"
+
+
+def _learn(path: str, cache: dict[bytes, bytes], new: set[bytes]) -> None:
+    """Encodes words that the cache lacks. Trailing marks that are a piece of their own are looked up apart."""
+    letters, others, parts, more = [], [], [], set()
+
+    def sort(word: bytes) -> None:
+        if word.isalpha() or (not word.isascii() and word.decode().isalpha()):
+            letters.append(word)
+        else:
+            others.append(word)
 
-def _learn(tokenizer, cache: dict[bytes, bytes], new: set[bytes]) -> None:
-    """Encodes words that the cache lacks. A word's trailing marks are a piece of their own after a letter
-    or digit, so both parts are looked up separately."""
-    parts, direct = {}, set()
     for word in new:
         core = word.rstrip(_TAIL)
-        if core and len(core) < len(word) and b"<|" not in word and core.decode()[-1].isalnum():
-            parts[word] = core, word[len(core) :]
+        if len(core) == len(word) or not core or b"<|" in word or not _stands_alone(core):
+            sort(word)
         else:
-            direct.add(word)
-    direct.update(p for pair in parts.values() for p in pair if p not in cache)
-    order = [(w, w.decode()) for w in direct if w not in cache]
-    letters = [x for x in order if x[1].isalpha()]
-    for at in range(0, len(letters), 2048):
-        part = letters[at : at + 2048]
-        if not _letter_words(tokenizer, cache, part):
-            _any_words(tokenizer, cache, part)
-    _any_words(tokenizer, cache, [x for x in order if not x[1].isalpha()])
-    cache.update((w, cache[a] + cache[b]) for w, (a, b) in parts.items())
+            tail = word[len(core) :]
+            parts.append((word, core, tail))
+            more.update(x for x in (core, tail) if x not in cache and x not in new)
+    for word in more:
+        sort(word)
+    _any_words(path, cache, others + _letter_words(path, cache, letters))
+    for word, core, tail in parts:
+        cache[word] = cache[core] + cache[tail]
 
 
 def encode(texts, path: str):
     """Yields the ids of each text (null: empty) as little-endian unsigned 32-bit bytes, no special tokens added."""
-    tokenizer = _library(path)
     if not wordwise(path):
+        tokenizer = _library(path)
         for text in texts:
             if path.endswith(".model"):
                 yield _packed(tokenizer.encode(text or "", num_threads=1))
@@ -119,22 +164,30 @@ def encode(texts, path: str):
         held.append(data.split() if b"<|" in data else data.lower().split())
         size += len(held[-1])
         if size >= CHUNK_WORDS:
-            yield from _joined(tokenizer, cache, held)
+            yield from _joined(path, cache, held)
             held, size = [], 0
-    yield from _joined(tokenizer, cache, held)
+    yield from _joined(path, cache, held)
+
+
+def _trim(cache: dict[bytes, bytes]) -> None:
+    if len(cache) > KEPT_WORDS:
+        first = list(islice(cache.items(), KEPT_WORDS))
+        cache.clear()
+        cache.update(first)
 
 
 def forget() -> None:
-    """Drops the encoded words at the end of a task; learning the common ones anew takes well under a second."""
-    _words.clear()
+    """At the end of a task, keeps only the words that were met first."""
+    for cache in _words.values():
+        _trim(cache)
 
 
-def _joined(tokenizer, cache: dict[bytes, bytes], texts: list[list[bytes]]):
+def _joined(path: str, cache: dict[bytes, bytes], texts: list[list[bytes]]):
     new = set().union(*texts).difference(cache)
     if new:
         if len(cache) > CACHE_WORDS:
-            cache.clear()
-            new = set().union(*texts)
-        _learn(tokenizer, cache, new)
+            _trim(cache)
+            new = set().union(*texts).difference(cache)
+        _learn(path, cache, new)
     for words in texts:
         yield b"".join([cache[w] for w in words])

@@ -14,7 +14,8 @@ from pluvia.llm.mixing import mix_sources, mixed_rows
 from pluvia.llm.quality import host_and_path, quality_scores
 from pluvia.llm.sstable import Shard, ShardWriter, key_bytes, key_id, lookup_documents, read_token_table, write_token_table
 from pluvia.llm.token_counts import token_counts
-from pluvia.llm.tokens import encode
+from pluvia.llm import tokens
+from pluvia.llm.tokens import encode, wordwise
 from pluvia.llm.toxicity import fit_toxicity, score_toxicity
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -76,6 +77,42 @@ def test_encode_equals_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in encode(ODD, WORD)] == want
 
 
+def odd_text(rnd):
+    """Words of many scripts with marks, combining signs, dotted capitals, special strings and odd spaces."""
+    letters = ["abcxyz", "ABCXYZ", "éèüñßøœāğıſ", "İIŞÇĞΣ", "αβσςΣΆ", "приветЁ", "漢字かなカナ", "한국어각", "हिन्दीक़", "עברית", "ابجد", "ﬁǅǆŉªº", "e\u0301a\u0308\u0307", "0123456789", "²³½Ⅷ٣४", "'sd", "\u0130", "😀👍🏽", "\u200b\ufeff\x00\x1c\x85\xa0\u2003"]
+    words = []
+    for _ in range(rnd.randrange(1, 9)):
+        body = "".join(rnd.choice(rnd.choice(letters) if rnd.random() < 0.2 else kind) for kind in [rnd.choice(letters)] for _ in range(rnd.randrange(1, 9)))
+        words.append(rnd.choice(["", "", "", "¿", "(", "'"]) + body + "".join(rnd.choices(".,;:!?%*&$#'\"-", k=rnd.choice([0, 0, 1, 1, 2]))) + rnd.choice([""] * 30 + ["<|endoftext|>", "<|", "<|StartOfText|>"]))
+    return rnd.choice([" ", " ", "\n", "  ", "\t"]).join(words)
+
+
+def test_encode_equals_the_library_on_random_texts():
+    rnd, tokenizer = random.Random(9), Tokenizer.from_file(WORD)
+    texts = [odd_text(rnd) for _ in range(10_000)] + ["ANKARALİ, evet", "SAHİBİ.", "İ?", "क़.", "X" * 3000 + "İ."]
+    for text, got in zip(texts, encode(texts, WORD), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_words_are_encoded_apart_by_what_the_file_says(tmp_path):
+    assert wordwise(WORD) and not wordwise(public_tokenizers.path("byte_bpe_50k.json")) and not wordwise(public_tokenizers.path("piece_bpe_32k.model"))
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    other.save(str(tmp_path / "word_bpe_49k.json"))
+    assert not wordwise(str(tmp_path / "word_bpe_49k.json"))
+
+
+def test_caches_keep_their_bounds(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 300)
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 100)
+    monkeypatch.setattr(tokens, "CHUNK_WORDS", 50)
+    rnd, tokenizer = random.Random(2), Tokenizer.from_file(WORD)
+    tokens.forget()
+    texts = [" ".join("".join(rnd.choices("abcdefgé", k=4)) for _ in range(40)) for _ in range(100)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts, WORD)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    tokens.forget()
+    assert all(len(c) <= 100 for c in tokens._words.values())
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
 def test_token_counts_and_cache(spark, tmp_path, name):
     path = public_tokenizers.path(name)
