@@ -104,20 +104,27 @@ def parse_start(col: Column, published: Column, max_days: int = 30) -> Column:
     """Announced start: day and month with the year that lies closest to the publication (the earlier one on ties),
     null beyond max_days, for impossible dates and hours over 23."""
     text = F.coalesce(col, F.lit(""))
-    day = F.nullif(F.regexp_extract(text, DATE, 1), F.lit("")).cast("int")
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.regexp_extract(text, DATE, 2)).cast("int")
-    hour = F.coalesce(F.nullif(F.regexp_extract(text, START_TIME, 1), F.lit("")).cast("int"), F.lit(0))
-    minute = F.coalesce(F.nullif(F.regexp_extract(text, START_TIME, 2), F.lit("")).cast("int"), F.lit(0))
-    hour = F.when((F.regexp_extract(text, START_TIME, 3) == "pm") & (hour < 12), hour + 12).otherwise(hour)
-    at = published.cast("timestamp_ntz")
+    found = lambda pattern, i: F.regexp_extract(text, pattern, i)
+    number = lambda c: F.nullif(c, F.lit("")).cast("int")
+    read = F.struct(
+        number(found(DATE, 1)).alias("day"), F.array_position(F.array(*[F.lit(m) for m in MONTHS]), found(DATE, 2)).cast("int").alias("month"),
+        F.coalesce(number(found(START_TIME, 1)), F.lit(0)).alias("hour"), F.coalesce(number(found(START_TIME, 2)), F.lit(0)).alias("minute"),
+        (found(START_TIME, 3) == "pm").alias("pm"), published.cast("timestamp_ntz").alias("at"),
+    )
+
+    def nearest(e: Column) -> Column:
+        hour = F.when(e["pm"] & (e["hour"] < 12), e["hour"] + 12).otherwise(e["hour"])
 
-    def candidate(shift: int) -> Column:
-        written = F.format_string("%04d-%02d-%02d %02d:%02d:00", F.year(at) + shift, month, day, hour, minute)
-        stamp = F.when(day.isNotNull() & (month > 0) & (hour < 24) & (minute < 60), written.try_cast("timestamp_ntz"))
-        return F.struct(F.abs(F.timestamp_diff("SECOND", at, stamp)).alias("far"), stamp.alias("at"))
+        def candidate(shift: int) -> Column:
+            written = F.format_string("%04d-%02d-%02d %02d:%02d:00", F.year(e["at"]) + shift, e["month"], e["day"], hour, e["minute"])
+            stamp = F.when(e["day"].isNotNull() & (e["month"] > 0) & (hour < 24) & (e["minute"] < 60), written.try_cast("timestamp_ntz"))
+            return F.struct(F.abs(F.timestamp_diff("SECOND", e["at"], stamp)).alias("far"), stamp.alias("at"))
 
-    best = F.array_min(F.filter(F.array(*[candidate(k) for k in (-1, 0, 1)]), lambda c: c["at"].isNotNull()))
-    return F.when(best["far"] <= max_days * 86400, best["at"])
+        return F.array_min(F.filter(F.array(*[candidate(k) for k in (-1, 0, 1)]), lambda c: c["at"].isNotNull()))
+
+    # arrays of one: what stands in them is worked out once a row, though it is used several times
+    best = F.transform(F.array(read), nearest)
+    return F.transform(best, lambda c: F.when(c["far"] <= max_days * 86400, c["at"]))[0]
 
 
 def local_time_features(df: DataFrame, col: str, tz: str = "America/Hermosillo") -> DataFrame:
@@ -142,9 +149,10 @@ def dictionary_mentions(docs: DataFrame, key: str, fields: dict[str, str], catal
     longest = names.agg(F.max("words").alias("longest"))
     long = F.explode(F.array(*[F.struct(F.lit(label).alias("field"), normalize_name(F.col(c)).alias("text")) for c, label in fields.items()]))
     texts = docs.select(F.col(key), long.alias("_f")).select(key, "_f.*").where("text <> ''").withColumn("tokens", F.split("text", " "))
-    starts = texts.join(F.broadcast(longest), how="cross").select(key, "field", F.posexplode("tokens").alias("pos", "_w"), "tokens", "longest")
-    grams = starts.select(key, "field", "pos", F.explode(F.expr("transform(sequence(1, least(longest, size(tokens) - pos)), n -> struct(n, array_join(slice(tokens, pos + 1, n), ' ') AS name))")).alias("g"))
-    hits = grams.select(key, "field", "pos", F.col("g.n").alias("n"), F.col("g.name").alias("name")).join(names.select("name"), "name")
+    # all grams are made inside one expression, so that no row but the text's own carries its words
+    every = "flatten(transform(sequence(1, size(tokens)), p -> transform(sequence(1, least(longest, size(tokens) - p + 1)), n -> struct(p - 1 AS pos, n, array_join(slice(tokens, p, n), ' ') AS name))))"
+    grams = texts.join(F.broadcast(longest), how="cross").where("longest > 0").select(key, "field", F.inline(F.expr(every)))  # longest: one row
+    hits = grams.join(names.select("name"), "name")
     order = F.col("n") if prefer == "first" else -F.col("n")
     per = hits.groupBy(key, "field").agg(F.sort_array(F.collect_list(F.struct("pos", order.alias("o"), "n", "name"))).alias("all"))
     fold = """aggregate(all, struct(0 AS end, cast(array() AS array<struct<pos:int,name:string>>) AS kept),
@@ -185,12 +193,13 @@ def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-def similar_pairs(names: DataFrame, name: str, catalog: DataFrame, other: str, cutoff: float, mode: str = "ratio") -> DataFrame:
+def similar_pairs(names: DataFrame, name: str, catalog: DataFrame, other: str, cutoff: float, mode: str = "ratio", catalog_first: bool = False) -> DataFrame:
     """(name, other, score) of all distinct pairs with similarity at least cutoff.
 
     Only names whose lengths allow the cutoff meet: each name is joined on the lengths that it can match, by equality.
     Pairs whose letter counts can't reach it are left out before any score is taken. mode 'ratio' is matching blocks,
-    'levenshtein' is 1 - distance / longer length.
+    'levenshtein' is 1 - distance / longer length. Matching blocks depend on which side comes first: the name, or with
+    `catalog_first` the catalog's.
     """
     low, high = cutoff / (2 - cutoff), (2 - cutoff) / cutoff
     if mode == "levenshtein":
@@ -204,14 +213,15 @@ def similar_pairs(names: DataFrame, name: str, catalog: DataFrame, other: str, c
         return pairs.withColumn("score", score).where(F.col("score") >= cutoff).select(name, other, "score")
     shared = F.expr(f"aggregate(array_distinct(split({name}, '')), 0, (n, c) -> n + least(length({name}) - length(replace({name}, c, '')), length({other}) - length(replace({other}, c, ''))))")
     near = pairs.where(2 * shared >= cutoff * (F.length(name) + F.length(other)) - 1e-9)
-    return near.withColumn("score", _ratio(name, other)).where(F.col("score") >= cutoff).select(name, other, "score")
+    score = _ratio(other, name) if catalog_first else _ratio(name, other)
+    return near.withColumn("score", score).where(F.col("score") >= cutoff).select(name, other, "score")
 
 
 def street_candidates(names: DataFrame, name: str, streets: DataFrame, street: str, cutoff: float = 0.85, fuzzy: bool = True) -> DataFrame:
     """(name, street): streets that contain the longest word prefix of the name that any street contains.
 
     Prefixes are also tried without a leading article and, as a whole, with number words written as digits. Names without any
-    such street get the closest one above the cutoff, the first by name on ties.
+    such street get the closest one at or above the cutoff, the last by name on ties.
     """
     keyed = names.select(name).distinct().withColumn("_key", F.regexp_replace(normalize_name(F.col(name)), TYPE_PREFIX, ""))
     cuts = keyed.where("_key <> ''").withColumn("_w", F.split("_key", " ")).select(name, "_key", F.explode(F.expr("transform(sequence(1, size(_w)), n -> struct(n AS cut, array_join(slice(_w, 1, n), ' ') AS gram))")).alias("c"))
@@ -227,8 +237,8 @@ def street_candidates(names: DataFrame, name: str, streets: DataFrame, street: s
     if not fuzzy:
         return exact
     left = keyed.join(best, name, "left_anti").where("_key <> ''")
-    near = similar_pairs(left, "_key", streets, street, cutoff)
-    top = near.groupBy("_key").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(street).alias("v"))).alias("b"))
+    near = similar_pairs(left, "_key", streets, street, cutoff, catalog_first=True)
+    top = near.groupBy("_key").agg(F.max(F.struct("score", F.col(street).alias("v"))).alias("b"))
     return exact.unionByName(left.join(top, "_key").select(name, F.col("b.v").alias(street)))
 
 
@@ -275,15 +285,21 @@ def tfidf(docs: DataFrame, key: str, text: str, min_df: int = 5, max_df: float =
 
 def truncated_svd(entries: DataFrame, key: str, term: str, weight: str, k: int) -> DataFrame:
     """(key, component, value): the first k left components of the sparse matrix, sign fixed so that each component's
-    largest value is positive. Terms are numbered by Spark; only k x terms numbers reach the driver."""
-    from pyspark.ml.feature import StringIndexer
+    largest value is positive. Terms are numbered by a ranked table that is joined back, in order of the term; the driver gets
+    k numbers a term (in the solver), never the terms. `key` must be unique and fit a long."""
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 
-    indexer = StringIndexer(inputCol=term, outputCol="_i", stringOrderType="alphabetAsc").fit(entries)
-    size = len(indexer.labels)
-    rows = indexer.transform(entries).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", weight))).alias("v"))
-    matrix = IndexedRowMatrix(rows.rdd.map(lambda r: IndexedRow(r[0], Vectors.sparse(size, [(int(x[0]), float(x[1])) for x in r[1]]))))
+    from pluvia.operators.ranks import numbered
+
+    entries = entries.where(F.col(key).isNotNull())
+    terms = numbered(entries.select(term).distinct(), [term], "_i")
+    size = terms.count()
+    if not size:
+        return entries.sparkSession.createDataFrame([], f"{key} long, component int, value double")
+    pairs = F.sort_array(F.collect_list(F.struct("_i", weight)))
+    rows = entries.join(terms, term).groupBy(key).agg(pairs.alias("v")).select(key, F.col("v._i").alias("at"), F.col(f"v.{weight}").alias("x"))
+    matrix = IndexedRowMatrix(rows.rdd.map(lambda r: IndexedRow(r[0], Vectors.sparse(size, r[1], r[2]))))
     svd = matrix.computeSVD(min(k, size), computeU=True)
     scale = svd.s.toArray().tolist()
     flat = svd.U.rows.flatMap(lambda r: [(int(r.index), i, float(x) * scale[i]) for i, x in enumerate(r.vector.toArray())])

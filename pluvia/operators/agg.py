@@ -21,7 +21,7 @@ def daily_counts(df: DataFrame, date: str, start: str, end: str, by: str | None
     spine = df.sparkSession.range(1).select(F.explode(F.sequence(s, e)).alias("date"))
     keys = ["date"] if by is None else ["date", by]
     if by is not None:
-        spine = spine.join(F.broadcast(groups) if groups is not None else df.select(by).distinct(), how="cross")
+        spine = spine.join(groups if groups is not None else df.select(by).distinct(), how="cross")
     inside = df.where(F.col(date).between(s, e))
     counts = inside.groupBy(*[F.col(date).alias("date")], *([by] if by else [])).agg(F.count("*").alias("n"))
     return spine.join(counts, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).alias("n"))
@@ -208,6 +208,11 @@ def top_k_per_group(df: DataFrame, group: str, measure: str, tie: str, k: int) -
     return df.withColumn("_k", rank).withColumn(measure, F.when(F.col("_k") <= k, F.col(measure))).drop("_k")
 
 
+def sort_stable(df: DataFrame, by: list[str], ties: list[str]) -> DataFrame:
+    """Rows in the order of `by`; rows that tie there in the order of `ties`, which should tell all rows apart. Nulls come first."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in [*by, *ties]])
+
+
 def head_per_group(df: DataFrame, key: str, col: str, n: int) -> DataFrame:
     """The n smallest distinct values of each group, as a list. Only n values per group and task are shuffled."""
     w = Window.partitionBy(key).orderBy(col)

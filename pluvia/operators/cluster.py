@@ -10,6 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvia.sources.rounds import settled
+
 
 def _vectors(df: DataFrame, cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol="_v").transform(df.dropna(subset=cols))
@@ -17,7 +19,7 @@ def _vectors(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def kmeans(df: DataFrame, cols: list[str], k: int, restarts: int = 10, seed: int = 42, name: str = "cluster") -> DataFrame:
     """Complete rows with the label of the best of `restarts` runs (lowest cost)."""
-    rows = _vectors(df, cols).cache()
+    rows = settled(_vectors(df, cols))  # read by every run
     runs = [KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol=name).fit(rows) for i in range(restarts)]
     return min(runs, key=lambda m: m.summary.trainingCost).transform(rows).drop("_v")
 
@@ -30,17 +32,21 @@ def relabel_by_mean(df: DataFrame, label: str, col: str, names: list[str], out:
     return df.join(F.broadcast(ranked), label).withColumn(out, F.try_element_at(titles, F.col(f"{out}_ord") + 1))
 
 
-def relabel_by_profile(df: DataFrame, label: str, steps: list[tuple[str, str]], rest: str, out: str = "context_name") -> DataFrame:
+def relabel_by_profile(df: DataFrame, label: str, steps: list[tuple[str, str]], rest: str, out: str = "context_name", number: str | None = None) -> DataFrame:
     """Names clusters in turn: each step (column, name) takes the unnamed cluster with the largest mean of the column; what
-    is left gets `rest`. The profile has k rows."""
+    is left gets `rest`. `number` adds the step's place, whatever the labels are. The profile has k rows."""
     profile = df.groupBy(label).agg(*[F.avg(c).alias(f"_m{i}") for i, (c, _) in enumerate(steps)])
     rows, named = sorted(profile.collect(), key=lambda r: r[label]), {}
     for i, (_, title) in enumerate(steps):
         free = [r for r in rows if r[label] not in named and r[f"_m{i}"] is not None]
         if free:
-            named[max(free, key=lambda r: (r[f"_m{i}"], -r[label]))[label]] = title
-    case = reduce(lambda c, kv: c.when(F.col(label) == kv[0], kv[1]), list(named.items())[1:], F.when(F.col(label) == next(iter(named)), named[next(iter(named))]))
-    return df.withColumn(out, case.otherwise(rest))
+            named[max(free, key=lambda r: (r[f"_m{i}"], -r[label]))[label]] = (i, title)
+    place = F.lit(len(steps))
+    for got, (i, _) in named.items():
+        place = F.when(F.col(label) == got, F.lit(i)).otherwise(place)
+    titles = F.array(*[F.lit(t) for _, t in steps], F.lit(rest))
+    named_df = df.withColumn(out, F.element_at(titles, place + 1))
+    return named_df.withColumn(number, place) if number else named_df
 
 
 def segment_features(knn: DataFrame, key: str, id_cols: list[str], attrs: DataFrame, attr_id: str, enabled: str, order: str, level: str) -> DataFrame:
@@ -62,26 +68,27 @@ def standardise(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.join(F.broadcast(stats), how="cross").select(*df.columns, *[z(i, c).alias(f"{c}_s") for i, c in enumerate(cols)])
 
 
-# Names of the proximity levels and contexts.
+# Names of the proximity levels and, in their order, of the contexts with the column that picks each.
 LEVELS = ["Muy cercano", "Cercano", "Lejano", "Muy lejano"]
-CONTEXTS = [("order_max", "Junto a colectores"), ("proximity_ord", "Lejos de la red"), ("level_min", "Red alta")]
+CONTEXTS = [("proximity_ord", "Lejos de la red"), ("order_median", "Junto a colectores"), ("level_median", "Arroyos menores muy cerca")]
+REST = "Los más cercanos"
 
 
 def hydro_context(knn: DataFrame, key: str, dist_cols: list[str], features: DataFrame, k: int = 4, restarts: int = 10) -> DataFrame:
     """Proximity level of each place from its distances (clusters ordered by the mean of the first), then a context from level and
-    network features; places with incomplete features get no context."""
+    network features: its number, 0 to 3 in the order of CONTEXTS, and its name. Places with incomplete features get none."""
     near = relabel_by_mean(kmeans(knn, dist_cols, k, restarts, name="_p"), "_p", dist_cols[0], LEVELS[:k], "proximity").drop("_p")
-    both = near.join(features, key)
+    both = settled(near.join(features, key))
     cols = ["proximity_ord", "order_median", "order_max", "level_median", "level_min"]
     scaled = standardise(both, cols)
-    grouped = kmeans(scaled, [f"{c}_s" for c in cols], k, restarts, name="context")
-    named = relabel_by_profile(grouped, "context", CONTEXTS, "Red local")
+    grouped = kmeans(scaled, [f"{c}_s" for c in cols], k, restarts, name="_c")
+    named = relabel_by_profile(grouped, "_c", CONTEXTS, REST, number="context")
     return both.join(named.select(key, "context", "context_name"), key, "left")
 
 
 def elbow_k(df: DataFrame, cols: list[str], ks: range = range(2, 9), seed: int = 42) -> DataFrame:
     """(k, cost, distance, best): fits per k, distance of the cost curve to its chord, the farthest is the choice."""
-    rows = _vectors(df, cols).cache()
+    rows = settled(_vectors(df, cols))  # read by every fit
     costs = [(k, KMeans(k=k, seed=seed, featuresCol="_v").fit(rows).summary.trainingCost) for k in ks]
     (k0, c0), (k1, c1) = costs[0], costs[-1]
     norm = ((k1 - k0) ** 2 + (c1 - c0) ** 2) ** 0.5 or 1.0

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvia.operators.agg import date_spine
+from pluvia.operators.ranks import running
+from pluvia.sources.rounds import settled
 
 RAINY_MONTHS = (6, 7, 8, 9, 10)
 WET_MM, DRY_MM, RESPONSE_DAYS = 10.0, 1.0, 8
@@ -162,24 +164,27 @@ def seasons_with_events(rain: DataFrame, events: DataFrame, place: str, wet: flo
 
 def dense_series(events: DataFrame, rain: DataFrame, key: str, groups: DataFrame) -> DataFrame:
     """Daily counts per group on the days of the driver, zeros included: (date, key, n)."""
-    spine = rain.select("date").join(F.broadcast(groups.select(key).distinct()), how="cross")
+    spine = rain.select("date").join(groups.select(key).distinct(), how="cross")  # days x groups is what is asked for
     counts = events.groupBy("date", key).agg(F.count("*").alias("n"))
     return spine.join(counts, ["date", key], "left").select("date", key, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def series_by_group(events: DataFrame, rain: DataFrame, place: str, place_dim: DataFrame, group: str) -> DataFrame:
     """Dense daily series of each group of places; events without a known place are left out."""
-    tagged = events.join(F.broadcast(place_dim.select(place, group)), place)
+    tagged = events.join(place_dim.select(place, group), place)
     return dense_series(tagged, rain, group, place_dim)
 
 
 def average_rank(df: DataFrame, col: str, by: list[str] | None = None, name: str = "rank") -> DataFrame:
-    """Rank with ties averaged, from counts per distinct value: the window runs over distinct values, not rows."""
+    """Rank with ties averaged, per group. Counts per distinct value are summed by ranges of (group, value), so neither a column nor a
+    group is gathered in one task; a group's own count starts where its smallest value stands. Rows with a null value or group get none."""
     by = by or []
-    counts = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*by).orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("_c").over(w), F.lit(0))
-    ranks = counts.select(*by, col, (below + (F.col("_c") + 1) / 2).alias(name))
+    counts = df.dropna(subset=[*by, col]).groupBy(*by, col).agg(F.count("*").alias("_c"))
+    ranked = running(counts, [*by, col], {"_below": F.col("_c")})
+    if by:
+        ranked = settled(ranked)
+        ranked = ranked.join(ranked.groupBy(*by).agg(F.min("_below").alias("_first")), by).withColumn("_below", F.col("_below") - F.col("_first"))
+    ranks = ranked.select(*by, col, (F.col("_below") + (F.col("_c") + 1) / 2).alias(name))
     return df.join(ranks, [*by, col], "left")
 
 
@@ -245,8 +250,8 @@ def center_of_group(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 
 def intensity_by_group(rain: DataFrame, events: DataFrame, place: str, place_dim: DataFrame, group: str, area: DataFrame) -> DataFrame:
     """Mean daily count per intensity bin and group, per 100 km2."""
-    table = series_by_group(events, rain, place, place_dim, group).join(F.broadcast(rain), "date")
-    got = by_intensity(table, keys=(group,)).join(F.broadcast(area), group, "left")
+    table = series_by_group(events, rain, place, place_dim, group).join(rain, "date")
+    got = by_intensity(table, keys=(group,)).join(area, group, "left")
     return got.select(group, "ord", "intensity", "days", (F.try_divide(F.col("mean"), F.col("km2")) * 100).alias("per_100_km2"))
 
 

@@ -2,7 +2,7 @@
 
 Everything is metres in one projection (project_lcc). Features meet through square grid cells: each is exploded to the
 cells of its box and joined on the cell by equality, then tested exactly. Cell size is a parameter; adaptive execution
-splits crowded cells, and pairs that share several cells are made distinct after the test.
+splits crowded cells, and pairs that share several cells are made one after the test.
 """
 
 from __future__ import annotations
@@ -174,14 +174,30 @@ def segment_distance(p: str = "", q: str = "o") -> Column:
     return F.when(properly_cross(a, b), F.lit(0.0)).otherwise(F.least(*ends))
 
 
+def _along(ax: Column, ay: Column, bx: Column, by: Column, pad: float, cell: Column | float) -> Column:
+    """array<struct<cx, cy>> of the grid cells near a segment: it is walked in steps of a cell, so a diagonal has as many
+    cells as its length needs and not those of its whole box."""
+    n = F.greatest(F.lit(1), F.ceil(F.hypot(bx - ax, by - ay) / cell).cast("int"))
+
+    def step(i: Column) -> Column:
+        u, v = (i - 1) / n, i / n
+        x, y, x2, y2 = ax + u * (bx - ax), ay + u * (by - ay), ax + v * (bx - ax), ay + v * (by - ay)
+        span = lambda p, q: F.sequence(F.floor((F.least(p, q) - pad) / cell), F.floor((F.greatest(p, q) + pad) / cell))
+        return F.flatten(F.transform(span(x, x2), lambda cx: F.transform(span(y, y2), lambda cy: F.struct(cx.alias("_cx"), cy.alias("_cy")))))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), n), step)))
+
+
 def near_segments(a: DataFrame, key: str, b: DataFrame, other: str, d: float, cell: float | None = None) -> DataFrame:
-    """All pairs of segments within d: (key, other, both segments, d). The left boxes are inflated by d."""
-    cell = cell or max(d, 1.0)
-    lo, hi = (lambda u, v: F.least(u, v)), (lambda u, v: F.greatest(u, v))
-    left = with_cells(a, lo(F.col("ax"), F.col("bx")) - d, lo(F.col("ay"), F.col("by")) - d, hi(F.col("ax"), F.col("bx")) + d, hi(F.col("ay"), F.col("by")) + d, cell)
-    right = b.select(other, *[F.col(c).alias("o" + c) for c in ("ax", "ay", "bx", "by")])
-    right = with_cells(right, lo(F.col("oax"), F.col("obx")), lo(F.col("oay"), F.col("oby")), hi(F.col("oax"), F.col("obx")), hi(F.col("oay"), F.col("oby")), cell)
-    return left.join(right, ["_cx", "_cy"]).drop("_cx", "_cy").withColumn("d", segment_distance()).where(F.col("d") <= d).distinct()
+    """Pairs of segments within d: (key, other, both segments, d), the left ones widened by d. The cell is d or, if longer, the mean
+    length of the right segments, so that neither side has many cells a segment. A pair comes once per cell that both are near."""
+    corners = ("ax", "ay", "bx", "by")
+    if cell is None:
+        mean = b.agg(F.avg(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")))).first()[0] or 0.0
+        cell = max(d, mean, 1.0)
+    left = a.select("*", F.inline(_along(*[F.col(c) for c in corners], d, cell)))
+    right = b.select(other, *[F.col(c).alias("o" + c) for c in corners], F.inline(_along(*[F.col(c) for c in corners], 0.0, cell)))
+    return left.join(right, ["_cx", "_cy"]).drop("_cx", "_cy").withColumn("d", segment_distance()).where(F.col("d") <= d)
 
 
 def within_distance(a: DataFrame, key: str, b: DataFrame, other: str, d: float, cell: float | None = None) -> DataFrame:
@@ -189,27 +205,49 @@ def within_distance(a: DataFrame, key: str, b: DataFrame, other: str, d: float,
     return near_segments(a, key, b, other, d, cell).groupBy(key, other).agg(F.min("d").alias("d"))
 
 
-def nearest(a: DataFrame, key: str, b: DataFrame, other: str, k: int = 1, radius: float = 500.0, limit: float = 1e7) -> DataFrame:
-    """(key, other, d, r): the k nearest features of each feature, ties by id. The radius doubles for features that have
-    fewer than k within it; each round looks at the unfinished ones only."""
+def _extent(*sides: DataFrame) -> tuple[float, float, float]:
+    """Width and height of what the segments cover, and the mean length of the last side's; one row per side reaches the driver."""
+    lo, hi = (lambda p, q: F.min(F.least(p, q))), (lambda p, q: F.max(F.greatest(p, q)))
+    rows = [df.agg(lo("ax", "bx"), hi("ax", "bx"), lo("ay", "by"), hi("ay", "by"), F.avg(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")))).first() for df in sides]
+    rows = [r for r in rows if r[0] is not None]
+    if not rows:
+        return 0.0, 0.0, 0.0
+    return max(r[1] for r in rows) - min(r[0] for r in rows), max(r[3] for r in rows) - min(r[2] for r in rows), rows[-1][4]
+
+
+def nearest(a: DataFrame, key: str, b: DataFrame, other: str, k: int = 1, radius: float | None = None, limit: float = math.inf) -> DataFrame:
+    """(key, other, d, r): the k nearest features of each feature within `limit`, ties by id.
+
+    The first radius follows the density of the right side (or is given) and doubles for features that have fewer than k within it;
+    each round looks at the unfinished ones only. Without a limit it ends when the radius spans everything. Features with
+    fewer than k within the limit keep those. Segments with coordinates that are null or not finite are left out.
+    """
     from pluvia.sources.rounds import settled
 
+    finite = " and ".join(f"abs({c}) < 1e300" for c in ("ax", "ay", "bx", "by"))
+    left, b = a.where(finite), b.where(finite)
     total = b.select(other).distinct().count()
-    k, left, parts = min(k, total), a, []
-    while k and radius < limit:
+    k, parts = min(k, total), []
+    width, height, mean = _extent(left, b)
+    most = min(limit, math.hypot(width, height) * 1.001 + 1.0)
+    radius = min(radius or math.sqrt(2 * k * max(width * height, 1.0) / math.pi / max(total, 1)) + mean, most)
+    while k:
         w = Window.partitionBy(key).orderBy("d", other)
         got = settled(within_distance(left, key, b, other, radius).withColumn("r", F.row_number().over(w)).where(F.col("r") <= k))
-        full = got.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") == k).select(key)
+        if radius >= most:
+            parts.append(got)
+            break
+        full = settled(got.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") == k).select(key))
         parts.append(got.join(full, key, "left_semi"))
         left = settled(left.join(full, key, "left_anti"))
-        if not left.limit(1).count():
+        if left.isEmpty():
             break
-        radius *= 2
+        radius = min(2 * radius, most)
     empty = a.sparkSession.createDataFrame([], f"{key} {a.schema[key].dataType.simpleString()}, {other} {b.schema[other].dataType.simpleString()}, d double, r int")
     return reduce(DataFrame.unionByName, parts) if parts else empty
 
 
-def nearest_polygon(points: DataFrame, key: str, polygons: DataFrame, poly: str, rings: str = "rings", radius: float = 500.0) -> DataFrame:
+def nearest_polygon(points: DataFrame, key: str, polygons: DataFrame, poly: str, rings: str = "rings", radius: float | None = None) -> DataFrame:
     """(key, poly, d): the nearest polygon, distance 0 inside, the smallest id on ties."""
     within = point_in_polygon(points.select(key, "x", "y"), key, polygons, poly, rings, how="inner").select(key, poly, F.lit(0.0).alias("d"))
     rest = points.join(within, key, "left_anti")
@@ -218,22 +256,12 @@ def nearest_polygon(points: DataFrame, key: str, polygons: DataFrame, poly: str,
 
 
 def knn_lines(points: DataFrame, key: str, lines: DataFrame, line_id: str, k: int = 3, radii: tuple[float, ...] = (5000.0, 15000.0)) -> DataFrame:
-    """Wide: id_seg_1.., dist_seg_1.. of the k nearest lines (both given as segments). The next radius is used only for
-    places short of k; what is still short stays null."""
-    w = Window.partitionBy(key).orderBy("d", line_id)
-    places, left, parts = points.select(key).distinct(), points, []
-    for i, radius in enumerate(radii):
-        got = within_distance(left, key, lines, line_id, radius).withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
-        if i < len(radii) - 1:
-            full = got.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") == k).select(key)
-            parts.append(got.join(full, key, "left_semi"))
-            left = left.join(full, key, "left_anti")
-        else:
-            parts.append(got)
-    found = reduce(DataFrame.unionByName, parts)
+    """Wide: id_seg_1.., dist_seg_1.. of the k nearest lines (both given as segments) within the last radius. The radii before it
+    change nothing but the work, and that grows from the density of the lines. What is still short stays null."""
+    found = nearest(points, key, lines, line_id, k, limit=radii[-1])
     one = lambda i, c: F.max(F.when(F.col("r") == i, F.col(c)))
     wide = found.groupBy(key).agg(*[one(i, line_id).alias(f"id_seg_{i}") for i in range(1, k + 1)], *[one(i, "d").alias(f"dist_seg_{i}") for i in range(1, k + 1)])
-    return places.join(wide, key, "left")
+    return points.select(key).distinct().join(wide, key, "left")
 
 
 def near_zone(lines: DataFrame, line_id: str, zone: DataFrame, d: float) -> DataFrame:
@@ -439,11 +467,14 @@ def has_feature(polygons: DataFrame, poly: str, points: DataFrame, key: str, rin
 def crossing_points(pairs: DataFrame, first: str, second: str, streets: DataFrame, street: str, tol: float = 50.0) -> DataFrame:
     """(pair columns, x, y, gap): where two sets of streets meet. pairs has one row per (pair id columns.., first, second)
     street names; the closest segments within tol (all within a centimetre of the least gap) give the midpoints of their
-    shortest links, counted once per 0.1 m."""
+    shortest links, counted once per 0.1 m. Only the streets that the pairs name are searched."""
+    from pluvia.sources.rounds import settled
+
     ids = [c for c in pairs.columns if c not in (first, second)]
-    segs = streets.select(street, F.inline(edges(F.col("points"), False)))
-    close = near_segments(segs.withColumnRenamed(street, first), first, segs, street, tol).withColumnRenamed(street, second)
-    met = pairs.join(close, [first, second])
+    pairs = settled(pairs)
+    side = lambda name: streets.join(pairs.select(F.col(name).alias(street)).distinct(), street, "left_semi").select(F.col(street).alias(name), F.inline(edges(F.col("points"), False)))
+    close = near_segments(side(first), first, side(second), second, tol)
+    met = settled(pairs.join(close, [first, second]))
     least = met.groupBy(*ids).agg(F.min("d").alias("gap"))
     best = met.join(least, ids).where(F.col("d") <= F.col("gap") + 0.01)
     x, y = link_midpoint()
@@ -502,7 +533,7 @@ def build_locations(mentions: DataFrame, located: DataFrame, key: str, poly: str
     crossings = located.select(key, F.lit("cruce").alias("location_type"), F.col(expr).alias("raw_text"), poly, "lat", "lon", "source_field", "match_method")
     rest = F.struct("raw_text", "source_field", "match_method", poly, "location_type")
     once = crossings.where("lat is not null").groupBy(key, "lat", "lon").agg(F.min(rest).alias("r")).select(key, "r.location_type", "r.raw_text", f"r.{poly}", "lat", "lon", "r.source_field", "r.match_method")
-    return union_by_name([mentions, once, crossings.where("lat is null")]).orderBy(key, "location_type", "raw_text")
+    return union_by_name([mentions, once, crossings.where("lat is null")])
 
 
 def geocode_quality(located: DataFrame, polygons: DataFrame, poly: str, expr: str = "expression") -> DataFrame:

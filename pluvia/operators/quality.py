@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from pluvia.operators.ranks import quantiles
 from pyspark.sql.types import NumericType, StringType
 
 
@@ -207,12 +209,12 @@ def check_export(df: DataFrame, columns: list[str], key: str, lat: str, lon: str
 
 
 def distribution_report(df: DataFrame, cols: list[str]) -> DataFrame:
-    """column, count, mean, std (sample), min, p50, p75, p90, p95, p99, max."""
+    """column, count, mean, std (sample), min, p50, p75, p90, p95, p99, max. Quantiles come from ranges of each column's values."""
     qs = [0.5, 0.75, 0.9, 0.95, 0.99]
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.when(F.count(x) > 1, F.stddev_samp(x)).alias(f"s{i}"), F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}"), F.percentile(x, F.array(*map(F.lit, qs))).alias(f"q{i}")]
+        x, marks = F.col(c).cast("double"), F.array(*[F.lit(v).cast("double") for v in quantiles(df, c, qs)])
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.when(F.count(x) > 1, F.stddev_samp(x)).alias(f"s{i}"), F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}"), F.first(marks).alias(f"q{i}")]
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"), F.col(f"a{i}").alias("min"), *[F.col(f"q{i}")[j].alias(f"p{int(q * 100)}") for j, q in enumerate(qs)], F.col(f"b{i}").alias("max")) for i, c in enumerate(cols)])
     return df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
 

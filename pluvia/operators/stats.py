@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvia.operators.events import _corr, average_rank
+from pluvia.operators.ranks import counted, quantiles
 from pluvia.sources.rounds import settled
 
 
@@ -47,12 +48,19 @@ def correlation_ratio(df: DataFrame, cat: str, num: str) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, col: str, k: float = 1.5, high_only: bool = False) -> DataFrame:
     """Adds outlier: outside Q1 - k IQR .. Q3 + k IQR (linear quantiles). Nulls are no outliers."""
-    q = df.agg(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
-    out = df.join(F.broadcast(q), how="cross")
-    iqr = F.col("_q")[1] - F.col("_q")[0]
-    high = F.col(col) > F.col("_q")[1] + k * iqr
-    flag = high if high_only else high | (F.col(col) < F.col("_q")[0] - k * iqr)
-    return out.withColumn("outlier", F.coalesce(flag, F.lit(False))).drop("_q")
+    low, top = quantiles(df, col, [0.25, 0.75])
+    if low is None:
+        return df.withColumn("outlier", F.lit(False))
+    high = F.col(col) > top + k * (top - low)
+    flag = high if high_only else high | (F.col(col) < low - k * (top - low))
+    return df.withColumn("outlier", F.coalesce(flag, F.lit(False)))
+
+
+def _above(scored: DataFrame, key: str, share: float) -> DataFrame:
+    """(key, score, outlier): flagged above the quantile. The scores are fixed first, as they are read twice."""
+    scored = settled(scored)
+    cut = quantiles(scored, "score", [share])[0]
+    return scored.select(key, "score", (F.col("score") > cut if cut is not None else F.lit(None).cast("boolean")).alias("outlier"))
 
 
 def pearson_log(df: DataFrame, cols: list[str], strong: float = 0.6) -> DataFrame:
@@ -69,21 +77,15 @@ def pearson_log(df: DataFrame, cols: list[str], strong: float = 0.6) -> DataFram
 def ecod(df: DataFrame, key: str, cols: list[str], contamination: float = 0.02) -> DataFrame:
     """(key, score, outlier): sum over columns of the larger of the two minus log empirical tail probabilities, flagged
     above the (1 - contamination) quantile. The tail that the skewness points to is one of the two, so the larger
-    covers it. Tails come from counts per distinct value: the windows run over distinct values, not rows.
+    covers it. Tails come from counts per distinct value, summed by ranges of values: no task sees a whole column.
     """
     rows = df.select(key, *cols).dropna(subset=cols)
-    total = rows.agg(F.count("*").alias("_n"))
-    out = rows
+    total, out = rows.count(), rows
     for i, c in enumerate(cols):
-        counts = rows.groupBy(c).agg(F.count("*").alias("_c"))
-        w = Window.orderBy(c)
-        tails = counts.select(c, F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_l{i}"), F.sum("_c").over(w.rowsBetween(0, Window.unboundedFollowing)).alias(f"_r{i}"))
-        out = out.join(tails, c)
-    out = out.join(F.broadcast(total), how="cross")
-    score = reduce(lambda a, b: a + b, [-F.log(F.least(F.col(f"_l{i}"), F.col(f"_r{i}")) / F.col("_n")) for i in range(len(cols))])
-    scored = out.select(key, score.alias("score"))
-    cut = scored.agg(F.percentile("score", F.lit(1 - contamination)).alias("_t"))
-    return scored.join(F.broadcast(cut), how="cross").select(key, "score", (F.col("score") > F.col("_t")).alias("outlier"))
+        upto = F.col("_below") + F.col("_n")
+        out = out.join(counted(rows, c).select(c, F.least(upto, total - F.col("_below")).alias(f"_t{i}")), c)
+    score = reduce(lambda a, b: a + b, [-F.log(F.col(f"_t{i}") / F.lit(total)) for i in range(len(cols))])
+    return _above(out.select(key, score.alias("score")), key, 1 - contamination)
 
 
 def _grow(x: np.ndarray, depth: int, rng) -> list:
@@ -139,35 +141,36 @@ def isolation_forest(df: DataFrame, key: str, cols: list[str], contamination: fl
         x = np.column_stack([v.to_numpy(dtype=float) for v in values])
         return pd.Series(2 ** (-np.mean([_depths(t, x) for t, _ in forest], axis=0) / (norm or 1.0)))
 
-    scored = rows.select(key, score(*cols).alias("score"))
-    cut = scored.agg(F.percentile("score", F.lit(1 - contamination)).alias("_t"))
-    return scored.join(F.broadcast(cut), how="cross").select(key, "score", (F.col("score") > F.col("_t")).alias("outlier"))
+    return _above(rows.select(key, score(*cols).alias("score")), key, 1 - contamination)
 
 
 def grid_neighbours(df: DataFrame, key: str, x: str, y: str, k: int, cell: float) -> DataFrame:
     """Exact k nearest rows of each row in the plane: (key, other, d, r), ties by key.
 
-    Rows are put into square cells and meet the rows of cells within a ring of `reach` cells; rows whose k-th
-    distance isn't certain yet (beyond reach x cell) go on with twice the reach.
+    Rows are put into square cells and meet the rows of their own and the eight cells around. Rows whose k-th distance isn't certain
+    yet (beyond one cell) go on with cells of twice the side, until a cell spans everything. Rows without finite coordinates are left out.
     """
-    pts = df.select(F.col(key), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).dropna()
-    cells = pts.select(F.col(key).alias("other"), F.col("_x").alias("_ox"), F.col("_y").alias("_oy"), F.floor(F.col("_x") / cell).alias("_cx"), F.floor(F.col("_y") / cell).alias("_cy"))
-    total = pts.count()
-    left, done, reach = pts, [], 1
+    pts = df.select(F.col(key), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where("abs(_x) < 1e300 and abs(_y) < 1e300")
+    box = pts.agg(F.count("*"), F.max("_x") - F.min("_x"), F.max("_y") - F.min("_y")).first()
+    most, left, done = min(k, box[0] - 1), pts, []
     while True:
-        ring = F.sequence(F.lit(-reach), F.lit(reach))
+        last = cell > max(box[1] or 0.0, box[2] or 0.0)
+        at = lambda c, cell=cell: F.floor(F.col(c) / cell)
+        cells = pts.select(F.col(key).alias("other"), F.col("_x").alias("_ox"), F.col("_y").alias("_oy"), at("_x").alias("_cx"), at("_y").alias("_cy"))
+        ring = F.array(F.lit(-1), F.lit(0), F.lit(1))
         around = left.withColumn("_i", F.explode(ring)).withColumn("_j", F.explode(ring))
-        around = around.select(key, "_x", "_y", (F.floor(F.col("_x") / cell) + F.col("_i")).alias("_cx"), (F.floor(F.col("_y") / cell) + F.col("_j")).alias("_cy"))
+        around = around.select(key, "_x", "_y", (at("_x") + F.col("_i")).alias("_cx"), (at("_y") + F.col("_j")).alias("_cy"))
         pairs = around.join(cells, ["_cx", "_cy"]).where(F.col(key) != F.col("other")).withColumn("d", F.hypot(F.col("_x") - F.col("_ox"), F.col("_y") - F.col("_oy")))
         w = Window.partitionBy(key).orderBy("d", "other")
-        near = pairs.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).select(key, "other", "d", "r")
-        # a cell ring of `reach` holds everything within reach x cell of the row
-        sure = near.groupBy(key).agg(F.count("*").alias("_c"), F.max("d").alias("_m")).where((F.col("_c") == min(k, total - 1)) & (F.col("_m") <= reach * cell)).select(key)
+        near = settled(pairs.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).select(key, "other", "d", "r"))
+        if last:
+            return reduce(DataFrame.unionByName, [*done, near])
+        sure = near.groupBy(key).agg(F.count("*").alias("_c"), F.max("d").alias("_m")).where((F.col("_c") == most) & (F.col("_m") <= cell)).select(key)
         done.append(near.join(sure, key, "left_semi"))
-        left = left.join(sure, key, "left_anti")
-        if left.limit(1).count() == 0 or reach > 1 << 20:
+        left = settled(left.join(sure, key, "left_anti"))
+        if left.isEmpty():
             return reduce(DataFrame.unionByName, done)
-        left, reach = settled(left), reach * 2
+        cell *= 2
 
 
 def lof(neighbours: DataFrame, key: str, contamination: float = 0.02) -> DataFrame:
@@ -178,8 +181,7 @@ def lof(neighbours: DataFrame, key: str, contamination: float = 0.02) -> DataFra
     lrd = reach.groupBy(key).agg((1 / (F.avg("_rd") + 1e-10)).alias("lrd"))
     other = lrd.select(F.col(key).alias("other"), F.col("lrd").alias("_ol"))
     scored = neighbours.join(other, "other").groupBy(key).agg(F.avg("_ol").alias("_m")).join(lrd, key).select(key, (F.col("_m") / F.col("lrd")).alias("score"))
-    cut = scored.agg(F.percentile("score", F.lit(1 - contamination)).alias("_t"))
-    return scored.join(F.broadcast(cut), how="cross").select(key, "score", (F.col("score") > F.col("_t")).alias("outlier"))
+    return _above(scored, key, 1 - contamination)
 
 
 def outlier_votes(df: DataFrame, flags: list[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pluvia.operators.ranks import quantiles
+
 from pluvia.operators.events import cut_right_closed
 
 
@@ -96,9 +98,12 @@ def bin_right_closed(df: DataFrame, col: str, edges, labels, name: str = "bin")
 
 def qcut(df: DataFrame, col: str, q: int, name: str = "bin", by: list[str] | None = None) -> DataFrame:
     """Quantile bins 0..q-1 by linear-interpolation edges, right-closed, the lowest edge included."""
+    if not by:
+        edges = quantiles(df, col, [i / q for i in range(1, q)])
+        over = [F.when(F.col(col) > e, 1).otherwise(0) for e in edges if e is not None]
+        return df.withColumn(name, F.when(F.col(col).isNotNull(), sum(over, F.lit(0))))
     cuts = F.array(*[F.lit(i / q) for i in range(q + 1)])
-    edges = (df.groupBy(*by) if by else df.groupBy()).agg(F.percentile(F.col(col), cuts).alias("_e"))
-    out = df.join(F.broadcast(edges), how="cross") if not by else df.join(edges, by)
+    out = df.join(df.groupBy(*by).agg(F.percentile(F.col(col), cuts).alias("_e")), by)
     above = F.size(F.filter(F.slice("_e", 2, q - 1), lambda e: F.col(col) > e))
     return out.withColumn(name, F.when(F.col(col).isNotNull(), above)).drop("_e")
 

@@ -179,7 +179,7 @@ def _(t):
 
 @query("l2_sort_stable", "SELECT call_id, kind, date FROM sx_calls")
 def _(t):
-    return t.sx_calls.select("call_id", "kind", "date").orderBy("kind", "date", "call_id")
+    return agg.sort_stable(t.sx_calls.select("call_id", "kind", "date"), ["kind", "date"], ["call_id"])
 
 
 @query("l3_head_per_group", "SELECT l_returnflag, array_to_string(list_sort(list(k)), ',') AS examples FROM (SELECT DISTINCT l_returnflag, l_orderkey AS k FROM lineitem QUALIFY dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey) <= 5) GROUP BY 1")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pluvia.operators import cluster as cl
 from pluvia.operators import geo
-from pluvia.plans.catalog_tidy import crossings, mentions
+from pluvia.plans.catalog_tidy import MENTIONS, crossings, mentions
 from pluvia.plans.registry import query
 
 PI4 = "(pi() / 4 - radians(lat) / 2)"
@@ -29,6 +29,11 @@ def _wide(t):
     return t.sx_places.select((F.col("place_id") + 100).alias("zone_id"), geo.box_polygon(F.col("x0") + 400, F.col("y0"), F.col("x1") + 400, F.col("y1")).alias("rings"))
 
 
+def _zones(t):
+    """A box around each of the points: a layer that grows with the tables."""
+    return t.sx_points.select(F.col("point_id").alias("place_id"), geo.box_polygon(F.col("x") - 50, F.col("y") - 50, F.col("x") + 50, F.col("y") + 50).alias("rings"))
+
+
 def _lines(t):
     return t.sx_lines.select("line_id", "enabled", "strahler", geo.line((F.col("xa"), F.col("ya")), (F.col("xb"), F.col("yb"))).alias("points"))
 
@@ -68,9 +73,9 @@ def _(t):
     return geo.polygon_measures(df).select("place_id", "km2", "centroid_x", "centroid_y", "valid")
 
 
-@query("s3_points_from_lonlat", f"SELECT point_id, 2500000.0::DOUBLE + {_RHO} * sin(radians(lon + 102) * {geo._N!r}::DOUBLE) AS x FROM {LONLAT}", d="x")
+@query("s3_points_from_lonlat", f"SELECT point_id, 2500000.0::DOUBLE + {_RHO} * sin(radians(lon + 102) * {geo._N!r}::DOUBLE) AS x, {geo._R0!r}::DOUBLE - {_RHO} * cos(radians(lon + 102) * {geo._N!r}::DOUBLE) AS y FROM {LONLAT}", d="x y")
 def _(t):
-    return geo.points_from_lonlat(_lonlat(t), "lon", "lat").select("point_id", "x")
+    return geo.points_from_lonlat(_lonlat(t), "lon", "lat").select("point_id", "x", "y")
 
 
 @query("s4_point_in_polygon", f"SELECT point_id, min(place_id) AS place_id FROM sx_points LEFT JOIN sx_places ON {IN} GROUP BY 1")
@@ -81,9 +86,9 @@ def _(t):
 _NEAREST = f"(SELECT point_id, place_id, CASE WHEN {IN} THEN 0 ELSE {BOXD} END AS d FROM sx_points CROSS JOIN sx_places QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY CASE WHEN {IN} THEN 0 ELSE round({BOXD}, 9) END, place_id) = 1)"
 
 
-@query("s5_nearest_polygon", f"SELECT point_id, d FROM {_NEAREST}", d="d")
+@query("s5_nearest_polygon", f"SELECT point_id, place_id, d FROM {_NEAREST}", d="d")
 def _(t):
-    return geo.nearest_polygon(t.sx_points, "point_id", _places(t), "place_id").select("point_id", "d")
+    return geo.nearest_polygon(t.sx_points, "point_id", _places(t), "place_id").select("point_id", "place_id", "d")
 
 
 @query("s6_within_distance", f"SELECT point_id, line_id, {LINED} AS d FROM sx_points JOIN sx_lines ON {LINED} <= 300", d="d")
@@ -91,28 +96,28 @@ def _(t):
     return geo.within_distance(_pts(t), "point_id", _segs(t), "line_id", 300.0)
 
 
-_KNN = f"""WITH n AS (SELECT point_id, line_id, {LINED} AS d FROM sx_points CROSS JOIN sx_lines), a AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, line_id) AS r FROM n WHERE d <= 1500 QUALIFY r <= 3)
+_KNN = f"""WITH n AS (SELECT point_id, line_id, {LINED} AS d FROM sx_points CROSS JOIN sx_lines), a AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, line_id) AS r FROM n WHERE d <= 15000 QUALIFY r <= 3)
 SELECT p.point_id, max(line_id) FILTER (r = 1) AS id_seg_1, max(line_id) FILTER (r = 2) AS id_seg_2, max(line_id) FILTER (r = 3) AS id_seg_3, max(d) FILTER (r = 1) AS dist_seg_1, max(d) FILTER (r = 2) AS dist_seg_2, max(d) FILTER (r = 3) AS dist_seg_3 FROM sx_points p LEFT JOIN a USING (point_id) GROUP BY 1"""
 
 
 @query("s7_knn_lines", _KNN, d="dist_seg_1 dist_seg_2 dist_seg_3")
 def _(t):
-    return geo.knn_lines(_pts(t), "point_id", _segs(t), "line_id", 3, (500.0, 1500.0))
+    return geo.knn_lines(_pts(t), "point_id", _segs(t), "line_id", 3)
 
 
-@query("s8_nearest_distance", f"SELECT point_id, min({LINED}) AS d FROM sx_points CROSS JOIN sx_lines WHERE enabled = 1 GROUP BY 1", d="d")
+@query("s8_nearest_distance", f"SELECT point_id, line_id, {LINED} AS d FROM sx_points CROSS JOIN sx_lines WHERE enabled = 1 QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY {LINED}, line_id) = 1", d="d")
 def _(t):
-    return geo.nearest(_pts(t), "point_id", _segs(t).join(t.sx_lines.where("enabled = 1").select("line_id"), "line_id", "left_semi"), "line_id").select("point_id", "d")
+    return geo.nearest(_pts(t), "point_id", _segs(t).join(t.sx_lines.where("enabled = 1").select("line_id"), "line_id", "left_semi"), "line_id").select("point_id", "line_id", "d")
 
 
-@query("s9_near_zone", "SELECT DISTINCT line_id FROM sx_lines JOIN sx_places ON place_id < 5 AND sqrt(greatest(x0 - xb, 0, xa - x1) ** 2 + greatest(y0 - yb, 0, ya - y1) ** 2) BETWEEN 1e-9 AND 250 OR place_id < 5 AND greatest(x0 - xb, 0, xa - x1) = 0 AND greatest(y0 - yb, 0, ya - y1) = 0 AND NOT (xa > x0 + 250 AND xb < x1 - 250 AND ya > y0 + 250 AND yb < y1 - 250)")
+@query("s9_near_zone", "SELECT DISTINCT line_id FROM sx_lines JOIN sx_places ON sqrt(greatest(x0 - xb, 0, xa - x1) ** 2 + greatest(y0 - yb, 0, ya - y1) ** 2) BETWEEN 1e-9 AND 250 OR greatest(x0 - xb, 0, xa - x1) = 0 AND greatest(y0 - yb, 0, ya - y1) = 0 AND NOT (xa > x0 + 250 AND xb < x1 - 250 AND ya > y0 + 250 AND yb < y1 - 250)")
 def _(t):
-    return geo.near_zone(_segs(t), "line_id", geo.segments(_places(t).where("place_id < 5"), "place_id", rings="rings"), 250.0)
+    return geo.near_zone(_segs(t), "line_id", geo.segments(_places(t), "place_id", rings="rings"), 250.0)
 
 
-@query("s14_location_context", f"SELECT point_id, CASE WHEN d = 0 THEN 'within' WHEN d <= 500 THEN 'nearest' END AS method, CASE WHEN d = 0 THEN 'inside' WHEN d <= 1000 THEN 'near' ELSE 'road_or_rural' END AS context, d FROM (SELECT point_id, min(CASE WHEN {IN} THEN 0 ELSE {BOXD} END) AS d FROM sx_points CROSS JOIN sx_places GROUP BY 1)", d="d")
+@query("s14_location_context", f"SELECT point_id, CASE WHEN d <= 500 THEN place_id END AS place_id, CASE WHEN d = 0 THEN 'within' WHEN d <= 500 THEN 'nearest' END AS method, CASE WHEN d = 0 THEN 'inside' WHEN d <= 1000 THEN 'near' ELSE 'road_or_rural' END AS context, d FROM {_NEAREST}", d="d")
 def _(t):
-    return geo.location_context(t.sx_points, "point_id", _places(t), "place_id").drop("place_id")
+    return geo.location_context(t.sx_points, "point_id", _places(t), "place_id")
 
 
 _LEN = "CASE WHEN xa = xb THEN CASE WHEN xa >= x0 AND xa < x1 THEN greatest(least(yb, y1) - greatest(ya, y0), 0) ELSE 0 END ELSE CASE WHEN ya >= y0 AND ya < y1 THEN greatest(least(xb, x1) - greatest(xa, x0), 0) ELSE 0 END END"
@@ -144,9 +149,9 @@ def _(t):
     return cut.groupBy("line_id").agg((F.sum(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))) / 1000).alias("km"))
 
 
-@query("s18_clip_layer_areas", "SELECT DISTINCT b.place_id + 100 AS zone_id FROM sx_places a JOIN sx_places b ON a.place_id < 7 AND least(a.x1, b.x1 + 400) > greatest(a.x0, b.x0 + 400) AND least(a.y1, b.y1) > greatest(a.y0, b.y0)")
+@query("s18_clip_layer_areas", "SELECT DISTINCT b.place_id + 100 AS zone_id FROM sx_places a JOIN sx_places b ON least(a.x1, b.x1 + 400) > greatest(a.x0, b.x0 + 400) AND least(a.y1, b.y1) > greatest(a.y0, b.y0)")
 def _(t):
-    return geo.clip_layer(_places(t).where("place_id < 7"), "place_id", areas=_wide(t), key="zone_id")["areas"].select("zone_id")
+    return geo.clip_layer(_places(t), "place_id", areas=_wide(t), key="zone_id")["areas"].select("zone_id")
 
 
 @query("s19_area_by_group", "SELECT n_regionkey, sum((x1 - x0) * (y1 - y0)) / 1e6 AS km2 FROM sx_places JOIN nation ON place_id = n_nationkey GROUP BY 1", d="km2")
@@ -154,10 +159,10 @@ def _(t):
     return geo.area_by_group(_places(t).join(t.nation.select(F.col("n_nationkey").alias("place_id"), "n_regionkey"), "place_id"), "n_regionkey")
 
 
-@query("s20_haversine_to_center", f"SELECT point_id, 2 * 6371.0::DOUBLE * asin(sqrt(sin(radians(29.0::DOUBLE - lat) / 2) ** 2 + cos(radians(lat)) * cos(radians(29.0::DOUBLE)) * sin(radians(-111.0::DOUBLE - lon) / 2) ** 2)) AS center_km FROM {LONLAT}", d="center_km")
+@query("s20_haversine_to_center", f"SELECT point_id, 2 * 6371.0::DOUBLE * asin(sqrt(sin(radians(29.0::DOUBLE - lat) / 2) ** 2 + cos(radians(lat)) * cos(radians(29.0::DOUBLE)) * sin(radians(-111.0::DOUBLE - lon) / 2) ** 2)) AS center_km, center_km / 2 AS center_relative FROM {LONLAT}", d="center_km center_relative")
 def _(t):
     df = _lonlat(t).withColumn("clon", F.lit(-111.0)).withColumn("clat", F.lit(29.0)).withColumn("km2", F.lit(4.0))
-    return geo.haversine_to_center(df, "lon", "lat", "clon", "clat", "km2").select("point_id", "center_km")
+    return geo.haversine_to_center(df, "lon", "lat", "clon", "clat", "km2").select("point_id", "center_km", "center_relative")
 
 
 @query("s21_planar_to_center", f"SELECT point_id, sqrt(((lon - lo) * 111.32::DOUBLE * cos(radians(la))) ** 2 + ((lat - la) * 110.57::DOUBLE) ** 2) AS planar_km FROM (SELECT *, point_id % 20 AS g, avg(lon) OVER (PARTITION BY point_id % 20) AS lo, avg(lat) OVER (PARTITION BY point_id % 20) AS la FROM {LONLAT} WHERE lat IS NOT NULL)", d="planar_km")
@@ -182,9 +187,9 @@ def _(t):
     return geo.network_summary(_lines(t).withColumn("basin", F.col("line_id") % 5), "basin", "enabled", "strahler")
 
 
-@query("s25_has_feature", f"SELECT p.place_id, bool_or(point_id IS NOT NULL) AS has FROM sx_places p LEFT JOIN sx_points ON {IN} AND point_id % 40 = 0 GROUP BY 1")
+@query("s25_has_feature", f"SELECT p.place_id, bool_or(point_id IS NOT NULL) AS has FROM sx_places p LEFT JOIN sx_points ON {IN} GROUP BY 1")
 def _(t):
-    return geo.has_feature(_places(t), "place_id", t.sx_points.where("point_id % 40 = 0"), "point_id")
+    return geo.has_feature(_places(t), "place_id", t.sx_points, "point_id")
 
 
 @query("s27_location_precision", "SELECT line_id, CASE WHEN line_id % 11 = 0 THEN 'calle (dirección)' WHEN line_id % 3 = 0 THEN 'cruce exacto' WHEN line_id % 3 = 1 THEN concat('cruce aproximado (', line_id % 50, ' m)') END AS label FROM sx_lines")
@@ -194,9 +199,13 @@ def _(t):
 
 
 def _streets(t):
-    """Rosales crosses Escobedo once; the other streets are the driver's lines."""
-    own = t.spark.range(2).select(F.when(F.col("id") == 0, "ROSALES").otherwise("GENERAL MARIANO ESCOBEDO").alias("street"), F.when(F.col("id") == 0, geo.line((F.lit(1629000.0), F.lit(1919000.0)), (F.lit(1629000.0), F.lit(1919900.0)))).otherwise(geo.line((F.lit(1628500.0), F.lit(1919400.0)), (F.lit(1629500.0), F.lit(1919400.0)))).alias("points"))
-    return own.unionByName(_lines(t).select(F.concat(F.lit("CALLE L"), "line_id").alias("street"), "points"))
+    return t.sx_streets.select("street", geo.line((F.col("xa"), F.col("ya")), (F.col("xb"), F.col("yb"))).alias("points"))
+
+
+# Where the named streets of each notice meet: by the level street's height and the slanting one's foot.
+_MET = """(SELECT post_id, substr(ocr_text, 7) AS expression, split_part(ocr_text, ' y ', 2) AS "cross", CASE WHEN v IS NULL THEN 1629000.0::DOUBLE ELSE 1627000 + (v * 37) % 7000 + ((h * 61) % 7000) / 10.0::DOUBLE END AS x, CASE WHEN v IS NULL THEN 1919400.0::DOUBLE ELSE 1917000 + (h * 61) % 7000 END AS y
+FROM (SELECT *, try_cast(regexp_extract(ocr_text, 'H([0-9]+)', 1) AS BIGINT) AS h, try_cast(regexp_extract(ocr_text, 'V([0-9]+)', 1) AS BIGINT) AS v FROM sx_notices WHERE ocr_text IS NOT NULL))"""
+_PUT = f"(SELECT post_id, expression, x, y, place_id FROM {_MET} CROSS JOIN sx_places QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY CASE WHEN {IN} THEN 0 ELSE round({BOXD}, 9) END, place_id) = 1)"
 
 
 @query("s10_crossing_points", "SELECT a.line_id AS ida, b.line_id AS idb, a.xa AS x, b.ya AS y, 0.0::DOUBLE AS gap FROM sx_lines a JOIN sx_lines b ON a.xa = a.xb AND b.ya = b.yb AND a.xa > b.xa AND a.xa < b.xb AND b.ya > a.ya AND b.ya < a.yb", d="x y gap")
@@ -211,7 +220,7 @@ def _(t):
     return ends.where("x > xa and x < xb and y > ya and y < yb").select("ida", "idb", "x", "y", "gap")
 
 
-@query("s11_locate_expressions", "SELECT 'Rosales y Escobedo' AS expression, 'Escobedo' AS \"cross\", 1629000.0::DOUBLE AS x, 1919400.0::DOUBLE AS y, 0.0::DOUBLE AS gap", d="x y gap")
+@query("s11_locate_expressions", f'SELECT DISTINCT expression, "cross", x, y, 0.0::DOUBLE AS gap FROM {_MET}', d="x y gap")
 def _(t):
     return geo.locate_expressions(crossings(t), "expression", _streets(t), "street")
 
@@ -220,25 +229,25 @@ def _located(t):
     return geo.locate_mentions(crossings(t), "expression", _streets(t), "street", _places(t), "place_id")
 
 
-@query("s12_locate_mentions", "SELECT post_id, 'Rosales y Escobedo' AS expression, 6 AS place_id, 'cruce_geocodificado' AS match_method FROM sx_notices WHERE ocr_text IS NOT NULL")
+@query("s12_locate_mentions", f"SELECT post_id, expression, x, y, place_id, 'cruce_geocodificado' AS match_method FROM {_PUT}", d="x y")
 def _(t):
-    return _located(t).select("post_id", "expression", "place_id", "match_method")
+    return _located(t).select("post_id", "expression", "x", "y", "place_id", "match_method")
 
 
-@query("s13_build_locations", "SELECT location_type, count(*) AS n FROM (SELECT 'cruce' AS location_type FROM sx_notices WHERE ocr_text IS NOT NULL UNION ALL SELECT 'colonia' FROM sx_notices) GROUP BY 1")
+@query("s13_build_locations", f"SELECT post_id, 'cruce' AS location_type, expression AS raw_text, place_id, 'ocr' AS source_field, 'cruce_geocodificado' AS match_method FROM {_PUT} UNION ALL SELECT post_id, location_type, raw_text, id, source_field, match_method FROM ({MENTIONS})")
 def _(t):
     named = mentions(t).withColumnRenamed("id", "place_id")
-    return geo.build_locations(named, _located(t), "post_id", "place_id").groupBy("location_type").agg(F.count("*").alias("n"))
+    return geo.build_locations(named, _located(t), "post_id", "place_id").select("post_id", "location_type", "raw_text", F.col("place_id").cast("int").alias("place_id"), "source_field", "match_method")
 
 
-@query("s24_representative_point", "SELECT concat('Calle L', line_id) AS name, (xa + xb) / 2 AS x, (ya + yb) / 2 AS y FROM sx_lines WHERE line_id < 10", d="x y")
+@query("s24_representative_point", "SELECT concat('Calle L', line_id) AS name, (xa + xb) / 2 AS x, (ya + yb) / 2 AS y FROM sx_lines", d="x y")
 def _(t):
-    wanted = t.sx_lines.where("line_id < 10").select(F.concat(F.lit("Calle L"), "line_id").alias("name"))
+    wanted = t.sx_lines.select(F.concat(F.lit("Calle L"), "line_id").alias("name"))
     lines = _lines(t).withColumn("street", F.concat(F.lit("L"), "line_id"))
     return geo.representative_point(lines, "street", wanted, "name", "line_id")
 
 
-@query("s26_geocode_quality", "SELECT count(*) AS rows, count(*) AS located, count(*) AS exact, count(*) AS inside, 0.0::DOUBLE AS failed_percent FROM sx_notices WHERE ocr_text IS NOT NULL", d="failed_percent")
+@query("s26_geocode_quality", f"SELECT count(*) AS rows, count(*) AS located, count(*) AS exact, count(*) FILTER ({IN}) AS inside, 0.0::DOUBLE AS failed_percent FROM {_PUT} JOIN sx_places USING (place_id)", d="failed_percent")
 def _(t):
     return geo.geocode_quality(_located(t), _places(t), "place_id")
 
@@ -260,16 +269,18 @@ def _(t):
 def _(t):
     from pluvia.functions.text import similar_adjacent
 
-    touching = geo.within_distance(_segs(t), "line_id", _segs(t).withColumnRenamed("line_id", "other_id"), "other_id", 1.0).where("line_id <> other_id")
-    named = touching.select(F.concat(F.lit("AVENIDA "), "line_id").alias("street"), F.concat(F.lit("CERRADA NUMERO "), "other_id").alias("other"))
-    unknown = named.select(F.col("street").alias("known"), F.concat(F.lit("cerada "), F.substring("other", 9, 100)).alias("name"))
+    ids = lambda c: _segs(t).withColumnRenamed("line_id", c)
+    touching = geo.within_distance(ids("a"), "a", ids("b"), "b", 1.0).where("a <> b")
+    titled = lambda c: F.concat(F.element_at(F.array(*map(F.lit, ("PINO ", "ROBLE ALTO ", "CEDRO ", "OLMO DEL RIO "))), (F.col(c) % 4 + 1).cast("int")), F.col(c))
+    named = touching.select(titled("a").alias("street"), titled("b").alias("other"))
+    unknown = named.select(F.col("street").alias("known"), F.regexp_replace(F.lower("other"), "[aeo]", "x").alias("name"))
     return similar_adjacent(unknown, "name", "known", named, "street", "other")
 
 
 @query("m13_hydro_context", None)
 def _(t):
-    polys = geo.segments(_places(t), "place_id", rings="rings")
-    knn = geo.knn_lines(polys, "place_id", _segs(t), "line_id")
+    centres = geo.polygon_measures(_zones(t), "rings").select("place_id", F.col("centroid_x").alias("x"), F.col("centroid_y").alias("y"))
+    knn = geo.knn_lines(geo.segments(centres, "place_id"), "place_id", _segs(t), "line_id")
     attrs = t.sx_lines.withColumn("level", F.col("line_id") % 5)
     feats = cl.segment_features(knn, "place_id", ["id_seg_1", "id_seg_2", "id_seg_3"], attrs, "line_id", "enabled", "strahler", "level")
-    return cl.hydro_context(knn, "place_id", ["dist_seg_1", "dist_seg_2", "dist_seg_3"], feats, restarts=3)
+    return cl.hydro_context(knn, "place_id", ["dist_seg_1", "dist_seg_2", "dist_seg_3"], feats)

@@ -8,6 +8,7 @@ from pluvia.operators import cluster as cl
 from pluvia.operators import quality as ql
 from pluvia.operators import stats as st
 from pluvia.plans.registry import query
+from pluvia.plans.views import TABLES
 from pluvia.sources import io
 
 _V = """(SELECT '{a}' AS a, '{b}' AS b, CASE WHEN r > 1 AND k > 1 AND n > 1 THEN sqrt(greatest(0, phi2 - (r - 1) * (k - 1) / (n - 1)::DOUBLE) / (least(r - (r - 1) * (r - 1) / (n - 1)::DOUBLE, k - (k - 1) * (k - 1) / (n - 1)::DOUBLE) - 1)) END AS v
@@ -75,7 +76,7 @@ def _(t):
 
 @query("m9_kmeans", None)
 def _(t):
-    return cl.kmeans(t.sx_points, ["x", "y"], 4, restarts=3)
+    return cl.kmeans(t.sx_points, ["x", "y"], 4)
 
 
 @query("m10_relabel_by_mean", "WITH m AS (SELECT c_nationkey, avg(c_acctbal) AS m FROM customer GROUP BY 1), r AS (SELECT c_nationkey, row_number() OVER (ORDER BY m, c_nationkey) - 1 AS o FROM m) SELECT c_custkey, c_nationkey, o::INT AS level_ord, CASE o WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' END AS level FROM customer JOIN r USING (c_nationkey)")
@@ -237,8 +238,8 @@ def _(t):
 
 @query("q13_lineage_table", None)
 def _(t):
-    files = io.file_digests(t.spark, f"{t.folder}/documents.parquet")
-    return ql.lineage_table(files, {"documents": "synthetic documents"}).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "digest", "source")
+    files = io.file_digests(t.spark, f"{t.folder}/*.parquet")
+    return ql.lineage_table(files, {name: f"synthetic {name}" for name in TABLES}).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "digest", "source")
 
 
 @query("q14_hidden_missing", "SELECT CASE WHEN grouping(n_regionkey) = 1 THEN 'total' ELSE CAST(n_regionkey AS VARCHAR) END AS n_regionkey, count(*) AS rows, count(*) FILTER (n_nationkey IN (0, 5, 24)) AS hidden_n_nationkey, count(*) FILTER (n_name IN ('FRANCE', 'PERU')) AS hidden_n_name FROM nation GROUP BY CUBE (n_regionkey)")

@@ -11,14 +11,14 @@ from pyspark.sql.types import StructField, StructType
 
 
 def union_exports(spark: SparkSession, paths: list[str], columns: dict[str, str], key: str, slug_pattern: str) -> DataFrame:
-    """Named columns (name -> type) of many wide CSV exports, tagged with the slug found in each file's name.
+    """Named columns (name -> type) of many wide CSV exports, tagged with the slug found in each file's path.
 
     Files may lack columns or order them differently. Raises on a repeated key, with examples.
     """
     def one(path: str) -> DataFrame:
         raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
         got = [(F.col(f"`{c}`") if c in raw.columns else F.lit(None)).try_cast(kind).alias(c) for c, kind in columns.items()]
-        return raw.select(*got, F.regexp_extract(F.col("_metadata.file_name"), slug_pattern, 1).alias("source_slug"))
+        return raw.select(*got, F.regexp_extract(F.col("_metadata.file_path"), slug_pattern, 1).alias("source_slug"))
 
     out = reduce(DataFrame.unionByName, map(one, paths))
     repeated = out.groupBy(key).count().where("count > 1").select(key).limit(5).collect()
@@ -30,18 +30,14 @@ def union_exports(spark: SparkSession, paths: list[str], columns: dict[str, str]
 def union_partitions(frames: dict, part: str, key: str, lat: str, lon: str, date: str) -> DataFrame:
     """One frame per part (year): typed coordinates and date, a dd/MM/yyyy text, and a row id in order of (part, key).
 
-    The row id is built from counts per (part, key): the window runs over distinct keys of one part at a time.
+    The row id is a running count over ranges of (part, key): no part is gathered in one task.
     """
-    from pyspark.sql import Window
+    from pluvia.operators.ranks import numbered
 
     typed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn(part, F.lit(p)) for p, df in frames.items()])
     typed = typed.withColumn(lat, F.col(lat).try_cast("double")).withColumn(lon, F.col(lon).try_cast("double")).withColumn(date, F.col(date).try_cast("date"))
     typed = typed.withColumn("date_text", F.date_format(date, "dd/MM/yyyy"))
-    sizes = typed.groupBy(part).agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    base = sizes.select(part, before.alias("_b"))  # one row per part
-    rank = F.row_number().over(Window.partitionBy(part).orderBy(key))
-    return typed.withColumn("_r", rank).join(F.broadcast(base), part).withColumn("row_id", F.col("_r") + F.col("_b")).drop("_r", "_b")
+    return numbered(typed, [part, key], "row_id").withColumn("row_id", F.col("row_id") + 1)
 
 
 def explode_parallel(df: DataFrame, struct: str, fields: list[str]) -> DataFrame:
@@ -89,11 +85,17 @@ def refresh_partitions(df: DataFrame, path: str, part: str, current: list) -> No
 
 
 def write_validated(df: DataFrame, check: Callable[[DataFrame], DataFrame], path: str) -> None:
-    """Writes only if the check's report has no row; the report's first rows are the error."""
-    broken = check(df).limit(20).collect()
+    """Writes only if the check's report has no row; the report's first rows are the error. The rows are saved first and what was
+    checked is what is written, also where the source moves meanwhile."""
+    from pluvia.sources.rounds import scratch
+
+    held = scratch(df.sparkSession)
+    df.write.parquet(held)
+    kept = df.sparkSession.read.schema(df.schema).parquet(held)
+    broken = check(kept).limit(20).collect()
     if broken:
         raise ValueError("; ".join(str(r.asDict()) for r in broken))
-    df.write.mode("overwrite").parquet(path)
+    kept.write.mode("overwrite").parquet(path)
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:

@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one where it is unset, as in tests."""
+    """The folder named in spark.checkpoint.dir. Where it is unset a local master gets a temporary one; on a cluster that is an error,
+    as each executor would write to its own disk."""
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    path = spark.conf.get("spark.checkpoint.dir", None) or (held.get() if held.isDefined() else "file://" + tempfile.mkdtemp(prefix="pluvia-"))
+    path = spark.conf.get("spark.checkpoint.dir", None) or (held.get() if held.isDefined() else None)
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = "file://" + tempfile.mkdtemp(prefix="pluvia-")
     if not held.isDefined():
         spark.sparkContext.setCheckpointDir(path)
     return path
