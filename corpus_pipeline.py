@@ -1,7 +1,7 @@
 """A training-corpus pipeline over the documents table: five stages, each one operator of pluvia.llm.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next stage's
-docs. All but the last return documents with all their columns. Dropped ids are joined back by broadcast only
+docs. All but the last return documents with all their columns. Dropped rows are joined back by broadcast only
 while they are few (size checked), else by shuffle.
 """
 
@@ -9,21 +9,24 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pluvia.llm.common import saved, small
-from pluvia.llm.decontamination import contaminated_documents
+from pluvia.llm.decontamination import contaminated_rows
+from pluvia.llm.graph import components
 from pluvia.llm.mixing import mixed_rows
-from pluvia.llm.near_copies import joined_groups, similar_pairs
-from pluvia.llm.simhash import near_duplicate_groups
+from pluvia.llm.near_copies import similar_links
+from pluvia.llm.simhash import fingerprint_rows, linked_fingerprints
 from pluvia.llm.sstable import read_token_table, write_token_table
 from pluvia.llm.toxicity import fit_toxicity, toxicity_of
 
 TOXIC = 0.3
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    dropped = small(saved(ids.distinct(), "dropped"))
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs without the given rows: doc_id and th, the hash of the text. Ids alone don't name a row: they may be null or repeat."""
+    dropped = small(saved(rows.select(F.col("doc_id").alias("_i"), F.col("th").alias("_t")).distinct(), "dropped"))
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("_i")) & (F.xxhash64(docs["text"]) == F.col("_t")), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,22 +36,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the smallest id; of rows with one id, one. Null ids are kept.
+    """One row of each near-duplicate group: the smallest id, null last, and of its texts the one with the smallest hash.
 
     Groups are linked by fingerprints within 3 bits and by a Jaccard similarity of at least 0.8 of five-word shingles.
+    Of rows that are equal in id and text one stays.
     """
-    links = near_duplicate_groups(docs).where("doc_id <> component_id").select("doc_id", "component_id")
-    groups = joined_groups(links, similar_pairs(docs))
-    kept = _without(docs, groups.where("doc_id <> component_id").select("doc_id"))
-    repeated = small(saved(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated"))
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    marked = fingerprint_rows(docs)
+    texts = saved(marked.select("th", "fp").distinct(), "texts")
+    a, b = (texts.select(F.col("th").alias(s), F.col("fp").alias(f"{s}_fp")) for s in "ab")
+    similar = similar_links(docs).join(a, "a").join(b, "b").select("a_fp", "b_fp")
+    roots = saved(components(saved(linked_fingerprints(marked).union(similar), "all-links")), "roots")
+    rows = marked.join(roots, F.col("fp") == F.col("node"), "left").select("id", "th", F.coalesce("component", "fp").alias("root"))
+    rows = saved(rows.groupBy("id", "th", "root").count(), "rows")
+    best = saved(rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "th")).alias("best")), "best")
+    rest = rows.join(best, "root").where(~(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("th") == F.col("best.th"))))
+    kept = _without(docs, rest.select(F.col("id").alias("doc_id"), "th"))
+    again = small(saved(rows.where("count > 1").select(F.col("id").alias("_i"), F.col("th").alias("_t")), "repeated"))
+    same = docs["doc_id"].eqNullSafe(F.col("_i")) & (F.xxhash64(docs["text"]) == F.col("_t"))
+    once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, same, "left_anti").unionByName(once)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    found = contaminated_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.where("contaminated").select("doc_id"))
+    return _without(docs, contaminated_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
