@@ -15,11 +15,16 @@ BROADCAST_ROWS = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one where that is unset, as in tests."""
+    """The shared folder named in spark.checkpoint.dir. Where it is unset a local master gets a temporary one; on a cluster that is
+    an error, as each executor would write to its own disk."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = held.get() if held.isDefined() else "file://" + tempfile.mkdtemp(prefix="pluvia-")
+        path = held.get() if held.isDefined() else None
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = "file://" + tempfile.mkdtemp(prefix="pluvia-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(path)
     return path
