@@ -35,9 +35,13 @@ IMPLIED = {
 SCOPE = frozenset("html body table td th caption button object template".split())
 MAX_DEPTH = 256
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"^[a-z0-9]*([.#][\w-]+)?$", re.I)
+# What may stand in head, and directly in a table and its parts; anything else ends head or is laid out before the table.
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
+IN_TABLE = frozenset("caption colgroup col thead tbody tfoot tr td th style script template".split())
+TABLE_PARTS = frozenset("table thead tbody tfoot tr colgroup".split())
+_DECLARED = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+_SIMPLE = re.compile(r"^([a-z][a-z0-9]*)?([.#][\w-]+)?$", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 
 
 class Node:
@@ -64,17 +68,50 @@ class TreeBuilder(HTMLParser):
                 return None
         return None
 
+    def _back_to(self, tags: set | frozenset) -> bool:
+        """Closes what is open above the nearest of the tags, unless a cell or the end of the tree comes first."""
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag in tags:
+                del self.open[i + 1 :]
+                return True
+            if self.open[i].tag in ("td", "th", "caption"):
+                return False
+        return False
+
+    def _place(self, child) -> None:
+        """Adds to the innermost open element; what a table can't hold goes before the table."""
+        if self.open[-1].tag in TABLE_PARTS:
+            at = max((i for i, x in enumerate(self.open) if x.tag == "table"), default=0)
+            if at:
+                above = self.open[at - 1].children
+                where = next((k for k in range(len(above) - 1, -1, -1) if above[k] is self.open[at]), len(above))
+                above.insert(where, child)
+                return
+        self.open[-1].children.append(child)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "html":
             return
+        if tag not in IN_HEAD and self.open[-1].tag == "head":
+            self.open.pop()
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
         elif tag in BLOCK:
             self._close({"p"}, SCOPE)
-            if self.open[-1].tag == "head":
-                self.open.pop()
-        node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].children.append(node)
+        if tag in ("tr", "thead", "tbody", "tfoot", "caption", "colgroup"):
+            self._back_to({"table", "thead", "tbody", "tfoot"} if tag == "tr" else {"table"})
+        elif tag in ("td", "th") and self._back_to({"table", "thead", "tbody", "tfoot", "tr"}) and self.open[-1].tag != "tr":
+            row = Node("tr", {})
+            self.open[-1].children.append(row)
+            self.open.append(row)
+        inside = self.open[-1].tag in TABLE_PARTS
+        node = Node(tag, {k: v or "" for k, v in reversed(attrs)})
+        if inside and tag == "form":
+            return  # a form in a table holds nothing
+        if inside and tag in IN_TABLE:
+            self.open[-1].children.append(node)
+        else:
+            self._place(node)
         if tag not in VOID and len(self.open) < MAX_DEPTH:
             self.open.append(node)
 
@@ -83,7 +120,7 @@ class TreeBuilder(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
-            self.open[-1].children.append(Node("br", {}))
+            self._place(Node("br", {}))
             return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
@@ -95,30 +132,86 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "style":
             self.styles.append(data)
-        self.open[-1].children.append(data)
+        blank = not data.strip(" \t\n\r\f")
+        if self.open[-1].tag == "head" and not blank:
+            self.open.pop()
+        if blank:
+            self.open[-1].children.append(data)
+        else:
+            self._place(data)
 
 
-def hidden_selectors(styles: list[str]) -> frozenset[str]:
-    """Simple selectors (tag, .class, #id, tag.class) that the page's style sheets hide."""
-    out = set()
-    for sheet in styles:
-        for names, body in _RULE.findall(sheet):
-            if _UNSEEN.search(body):
-                out.update(n.strip() for n in names.split(",") if n.strip() and _SIMPLE.match(n.strip()))
-    return frozenset(out)
+def _declared(body: str) -> dict[str, tuple[bool, bool]]:
+    """display and visibility of a block of declarations, as (important, hides); of one weight the later one holds."""
+    out: dict[str, tuple[bool, bool]] = {}
+    for name, value, important in _DECLARED.findall(body):
+        name, value = name.lower(), value.lower()
+        if name not in out or bool(important) >= out[name][0]:
+            out[name] = (bool(important), value == "none" if name == "display" else value in ("hidden", "collapse"))
+    return out
 
 
-def visible(node: Node, unseen: frozenset[str]) -> bool:
+def _on_screen(at_rule: str) -> bool:
+    """Whether the rules within an at-rule hold for any screen: plain media lists that name it, layers and feature queries."""
+    name, _, rest = at_rule[1:].partition(" ")
+    if name.lower() in ("layer", "supports"):
+        return True
+    return name.lower() == "media" and any(m.strip().lower() in ("screen", "all", "only screen") for m in rest.split(","))
+
+
+def _rules(sheet: str):
+    """(selectors, body) of the rules that hold for screens, in order; braces nest."""
+    at = 0
+    while (start := sheet.find("{", at)) >= 0:
+        prelude = sheet[at:start].rsplit(";", 1)[-1].strip()
+        depth, end = 1, start + 1
+        while end < len(sheet) and depth:
+            depth += (sheet[end] == "{") - (sheet[end] == "}")
+            end += 1
+        body = sheet[start + 1 : end - 1 if not depth else end]
+        if prelude.startswith("@"):
+            if _on_screen(prelude):
+                yield from _rules(body)
+        else:
+            yield prelude, body
+        at = end
+
+
+def style_rules(styles: list[str]) -> dict[str, dict[str, tuple]]:
+    """Simple selectors (tag, .class, #id, tag.class, tag#id) with (important, weight, order, hides) of display and visibility."""
+    out: dict[str, dict[str, tuple]] = {}
+    for n, (names, body) in enumerate(r for sheet in styles for r in _rules(_COMMENT.sub(" ", sheet))):
+        found = _declared(body)
+        for name in (x.strip() for x in names.split(",")) if found else ():
+            m = _SIMPLE.match(name)
+            if name and m:
+                key = (m[1] or "").lower() + (m[2] or "")
+                weight = (100 if "#" in key else 10 if "." in key else 0) + bool(m[1])
+                held = out.setdefault(key, {})
+                for prop, (important, hides) in found.items():
+                    held[prop] = max(held.get(prop, (False, -1, -1, False)), (important, weight, n, hides))
+    return out
+
+
+def visible(node: Node, rules: dict[str, dict[str, tuple]]) -> bool:
+    """Whether an element is shown. What hides it hides all within."""
     a = node.attrs
-    if node.tag in HIDDEN or "hidden" in a or (node.tag == "input" and a.get("type", "").lower() == "hidden"):
-        return False
-    if "style" in a and _UNSEEN.search(a["style"]):
+    if node.tag in HIDDEN or (node.tag == "input" and a.get("type", "").lower() == "hidden"):
         return False
-    if unseen:
-        names = [f".{c}" for c in a.get("class", "").split()] + ([f"#{a['id']}"] if a.get("id") else [])
-        if node.tag in unseen or any(n in unseen or node.tag + n in unseen for n in names):
-            return False
-    return True
+    state = {"display": (False, -1, -1, "hidden" in a), "visibility": (False, -1, -1, False)}
+    if rules:
+        names = [node.tag]
+        for c in a.get("class", "").split():
+            names += [f".{c}", f"{node.tag}.{c}"]
+        if a.get("id"):
+            names += [f"#{a['id']}", f"{node.tag}#{a['id']}"]
+        for name in names:
+            for prop, rule in rules.get(name, {}).items():
+                state[prop] = max(state[prop], rule)
+    if "style" in a:
+        for prop, (important, hides) in _declared(a["style"]).items():
+            state[prop] = max(state[prop], (important, 1000, 0, hides))
+    return not (state["display"][3] or state["visibility"][3])
 
 
 class Page:
@@ -185,49 +278,51 @@ def _put(page: Page, lines: list[str], margin: bool) -> None:
     page.block(margin)
 
 
-def _span(cell: Node, name: str) -> int:
-    n = cell.attrs.get(name, "")
-    return min(max(int(n), 1), 100) if n.isdecimal() and len(n) < 6 else 1
+def _span(cell: Node, name: str, most: int) -> int:
+    m = re.match(r"\s*(\d{1,9})", cell.attrs.get(name, ""))
+    return min(int(m[1]), most) if m else 1
 
 
-def _table(node: Node, unseen: frozenset[str]) -> list[str]:
+def _table(node: Node, rules: dict) -> list[str]:
     """Rows of cells, each column as wide as its widest cell; lines of a cell stay in its column."""
     caption, rows = [], []
     todo = list(reversed(node.children))
     while todo:
         x = todo.pop()
-        if isinstance(x, str) or not visible(x, unseen):
+        if isinstance(x, str) or not visible(x, rules):
             continue
         if x.tag in ("thead", "tbody", "tfoot"):
             todo.extend(reversed(x.children))
         elif x.tag == "tr":
-            rows.append([c for c in x.children if isinstance(c, Node) and c.tag in ("td", "th") and visible(c, unseen)])
+            rows.append([c for c in x.children if isinstance(c, Node) and c.tag in ("td", "th") and visible(c, rules)])
         elif x.tag == "caption":
-            caption = lay_out(x.children, unseen)
-        elif x.tag in ("td", "th"):
-            rows.append([x])
+            caption += lay_out(x.children, rules)
     grid: dict[tuple[int, int], list[str]] = {}
-    taken: set[tuple[int, int]] = set()
+    until: dict[int, int] = {}  # by column, the first row that no cell above reaches
     for r, cells in enumerate(rows):
         c = 0
         for cell in cells:
-            while (r, c) in taken:
+            while until.get(c, 0) > r:
                 c += 1
-            wide, high = _span(cell, "colspan"), min(_span(cell, "rowspan"), len(rows) - r)
-            taken.update((r + i, c + j) for i in range(high) for j in range(wide))
-            grid[r, c] = lay_out(cell.children, unseen)
+            # the HTML standard's bounds; no rowspan (0): all rows that are left
+            wide, high = _span(cell, "colspan", 1000) or 1, _span(cell, "rowspan", 65534) or len(rows) - r
+            for k in range(c, c + wide):
+                until[k] = max(until.get(k, 0), r + high)
+            grid[r, c] = lay_out(cell.children, rules)
             c += wide
-    columns = max((c for _, c in taken), default=-1) + 1
-    width = [max((len(x) for (_, k), cell in grid.items() if k == c for x in cell), default=0) for c in range(columns)]
+    width: dict[int, int] = {}
+    for (_, c), lines in grid.items():
+        width[c] = max(width.get(c, 0), max(map(len, lines), default=0))
+    columns = sorted(c for c, w in width.items() if w)
     out = caption
     for r in range(len(rows)):
-        cells = [grid.get((r, c), []) for c in range(columns)]
+        cells = [grid.get((r, c), []) for c in columns]
         for i in range(max(map(len, cells), default=0)):
-            out.append("  ".join((x[i] if i < len(x) else "").ljust(w) for x, w in zip(cells, width, strict=True) if w).rstrip())
+            out.append("  ".join((x[i] if i < len(x) else "").ljust(width[c]) for x, c in zip(cells, columns, strict=True)).rstrip())
     return out
 
 
-def lay_out(children: list, unseen: frozenset[str], keep: bool = False) -> list[str]:
+def lay_out(children: list, rules: dict, keep: bool = False) -> list[str]:
     """The lines that the given nodes make."""
     page, todo = Page(), [(c, keep, None) for c in reversed(children)]
     while todo:
@@ -236,28 +331,28 @@ def lay_out(children: list, unseen: frozenset[str], keep: bool = False) -> list[
             page.block(after)
         elif isinstance(node, str):
             page.text(node, keep)
-        elif not visible(node, unseen):
+        elif not visible(node, rules):
             continue
         elif node.tag == "br":
             page.br()
         elif node.tag == "table":
-            _put(page, _table(node, unseen), True)
+            _put(page, _table(node, rules), True)
         elif node.tag in ("ul", "ol", "menu", "dir"):
             start = node.attrs.get("start", "")
             number, lines = int(start) if start.isdecimal() and len(start) < 9 else 1, []
             for item in node.children:
-                if isinstance(item, Node) and visible(item, unseen):
+                if isinstance(item, Node) and visible(item, rules):
                     mark = f"{number}. " if node.tag == "ol" else "- "
                     if item.tag != "li":
-                        lines += _indented(lay_out([item], unseen, keep), "  ", "  ")
+                        lines += _indented(lay_out([item], rules, keep), "  ", "  ")
                     else:
-                        lines += _indented(lay_out(item.children, unseen, keep), mark, " " * len(mark))
+                        lines += _indented(lay_out(item.children, rules, keep), mark, " " * len(mark))
                         number += 1
                 elif isinstance(item, str) and item.strip():
-                    lines += _indented(lay_out([item], unseen), "  ", "  ")
+                    lines += _indented(lay_out([item], rules), "  ", "  ")
             _put(page, lines, True)
         elif node.tag == "blockquote":
-            _put(page, _indented(lay_out(node.children, unseen, keep), "  ", "  "), True)
+            _put(page, _indented(lay_out(node.children, rules, keep), "  ", "  "), True)
         elif node.tag == "hr":
             _put(page, ["---"], False)
         else:
@@ -273,7 +368,7 @@ def render(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(html or "")
     builder.close()
-    return "\n".join(lay_out(builder.root.children, hidden_selectors(builder.styles)))
+    return "\n".join(lay_out(builder.root.children, style_rules(builder.styles)))
 
 
 def _render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -285,7 +380,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     """One row per input row: id, text (all visible text, laid out), n_chars, n_lines.
 
     Null or empty pages: empty text, 0 characters, 0 lines. Text without tags is text. Elements nested deeper
-    than 256 hang on the last one within. Repeated rows and null ids keep their rows. Empty input: no rows.
+    than 256 hang on the last one within. Text and elements that a table can't hold stand before it. Of style sheets the
+    rules for any screen count: those within print or conditional media don't. Repeated rows and null ids keep their rows. Empty input: no rows.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
     kind = rows.schema["id"].dataType.simpleString()
