@@ -30,8 +30,10 @@ def water_fill(sources: DataFrame, share: float, most: float) -> DataFrame:
         spent, open_weight, capped = got[0] or 0.0, got[1], got[2]
 
 
-def _digest(id_col: str):
-    return F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+def _digest(id_col: str, text_col: str):
+    """Of the id and the text, so that rows with null or repeated ids fall to different places."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|"), F.md5(text)))
 
 
 def _size(text_col: str):
@@ -44,7 +46,7 @@ def mix_plan(
 ) -> tuple[DataFrame, DataFrame]:
     """(sizes, plan): one row per document with its id, source, size and hash h, and one row per source with
     source_size, target, whole copies, and the hash `cut` below which (`with_cut`: or at which) one copy more is taken."""
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), _size(text_col).alias("size"), _digest(id_col).alias("h"))
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), _size(text_col).alias("size"), _digest(id_col, text_col).alias("h"))
     sized = saved(sized, "sizes")
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("none", F.col("source").isNull())
     ranked = running_total(sums.withColumn("one", F.lit(1)), ["none", "source"], "one", "rank")
@@ -89,27 +91,27 @@ def copies(h, plan_alias: str = "k"):
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """One row per input row: id, size (words), source_size, target (of its source), copies (0 to 2), taken (words).
+    """One row per input row: id, size (words), source_size, target (of its source), taken (words), copies (0 to 2).
 
     Sources in code point order, null last, take the weights in turn. A source's target above its size means
     whole copies of all its documents, and the rest of the target is met by the documents whose hash lies
     below a threshold. Per source, sizes are summed by hash bucket, the bucket that the budget ends in is
     found, and only that bucket is split on; no document is sorted. Sums miss the target by half a document at most.
 
-    The hash depends on the id alone, so reruns agree; rows with equal ids are taken together. Null text has size 0,
-    null ids hash as an empty string, null sources form one source. Empty input: no rows.
+    The hash depends on the id and the text alone, so reruns agree; only rows that are equal in both are taken together.
+    Null text has size 0, null ids hash as an empty string, null sources form one source. Empty input: no rows.
     """
     sized, plan = mix_plan(docs, id_col, text_col, source_col, **how)
     both = sized.alias("d").join(small(plan).alias("k"), F.col("d.source").eqNullSafe(F.col("k.source")))
     taken = (F.col("size") * F.col("copies")).cast("long")
     out = both.select(F.col("id").alias(id_col), "size", "source_size", "target", copies(F.col("h")).alias("copies"))
-    return out.withColumn("taken", taken)
+    return out.select(id_col, "size", "source_size", "target", taken.alias("taken"), "copies")
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mix itself: rows of docs with all their columns, as often as mix_sources takes them."""
     _, plan = mix_plan(docs, id_col, text_col, source_col, **how)
-    rows = docs.select(F.struct("*").alias("_row"), F.col(source_col).alias("_source"), _digest(id_col).alias("_h"))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(source_col).alias("_source"), _digest(id_col, text_col).alias("_h"))
     both = rows.join(small(plan).alias("k"), F.col("_source").eqNullSafe(F.col("k.source")))
     many = both.select("_row", copies(F.col("_h")).alias("_n")).where("_n > 0")
     return many.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")
