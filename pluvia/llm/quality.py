@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import lean, saved
+from pluvia.llm.common import lean, saved, small
 from pluvia.llm.toxicity import held_out
 
 FEATURES = ("log_words", "word_length", "symbols", "upper", "digits", "odd_words", "bars", "distinct", "top_word", "repeated_lines", "line_length", "stops")
@@ -118,7 +118,8 @@ def quality_scores(
 
     p_doc is a logistic classifier on the shape of the whole text. A host's evidence is the sum of its documents'
     labels, where known outside the held-out fold, else of their p_doc. It is shrunk to the global rate by a beta prior whose
-    strength comes from the spread of hosts (method of moments); a path is shrunk to its host the same way. The score
+    strength comes from the spread of hosts (method of moments); a path is shrunk to its host the same way. A document's own
+    evidence is left out of its host's and path's posterior: a document alone on its site gets the global rate. The score
     multiplies the odds of p_doc by the odds of the path against the global odds. Groups are sums per host
     and path, combined before the shuffle; only the fitted sample (at most `max_rows`) and a few sums reach the driver.
 
@@ -130,21 +131,29 @@ def quality_scores(
     judged = saved(rows.mapInPandas(lean(_evidence(beta, mean, scale)), "id long, host string, path string, p_doc double"), "evidence")
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(F.col(label_col).cast("double")).alias("y"))
-    soft = judged.join(known, "id", "left").withColumn("e", F.coalesce("y", "p_doc"))
+    soft = judged.join(small(saved(known, "known")), "id", "left").withColumn("e", F.coalesce("y", "p_doc"))
     paths = saved(soft.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("e").alias("s")), "paths")
     hosts = saved(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s")), "hosts")
     n, s = hosts.agg(F.sum("n"), F.sum("s")).first()
     rate = min(max((s or 0.0) / n, 1e-6), 1 - 1e-6) if n else 0.5
     a = _strength(hosts, F.lit(rate))
-    hosts = hosts.select(F.col("host").alias("h"), ((F.lit(a * rate) + F.col("s")) / (F.lit(a) + F.col("n"))).alias("host_posterior"))
-    paths = saved(paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h"), "path-priors")
-    b = _strength(paths, F.col("host_posterior"))
-    post = (F.lit(b) * F.col("host_posterior") + F.col("s")) / (F.lit(b) + F.col("n"))
-    paths = paths.select(F.col("host").alias("h"), F.col("path").alias("q"), "host_posterior", post.alias("path_posterior"))
+    hosts = hosts.select(F.col("host").alias("h"), F.col("n").alias("host_n"), F.col("s").alias("host_s"))
+    paths = saved(paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h"), "path-sums")
+    b = _strength(paths, (F.lit(a * rate) + F.col("host_s")) / (F.lit(a) + F.col("host_n")))
+    sums = paths.select(F.col("host").alias("h"), F.col("path").alias("q"), "n", "s", "host_n", "host_s")
+    both = soft.join(small(sums), F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q")))
+    # all that others say: the document's own evidence comes in once, through p_doc
+    host_post = (F.lit(a * rate) + F.col("host_s") - F.col("e")) / (F.lit(a) + F.col("host_n") - 1)
+    path_post = (F.lit(b) * F.col("host_posterior") + F.col("s") - F.col("e")) / (F.lit(b) + F.col("n") - 1)
+    both = both.withColumn("host_posterior", _unit(host_post)).withColumn("path_posterior", _unit(path_post))
     odds = lambda p: F.least(F.greatest(p, F.lit(1e-9)), F.lit(1 - 1e-9)) / (1 - F.least(F.greatest(p, F.lit(1e-9)), F.lit(1 - 1e-9)))
     joint = odds(F.col("p_doc")) * odds(F.col("path_posterior")) / F.lit(rate / (1 - rate))
-    out = judged.join(paths, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q")))
-    return out.select(
+    return both.select(
         F.col("id").alias(id_col), held_out("id").alias("held_out"), "p_doc", "host_posterior", "path_posterior",
         (joint / (1 + joint)).alias("score"), (joint / (1 + joint) >= threshold).alias("kept"),
     )
+
+
+def _unit(p: Column) -> Column:
+    """Sums of doubles may pass the ends by a rounding error."""
+    return F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), p))
