@@ -155,7 +155,7 @@ def _untouched(window: int):
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, shard_docs: int = 500
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, shard_bytes: int = 4 << 20
 ) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_sha256 (of the kept words, joined by one space).
 
@@ -168,7 +168,7 @@ def remove_repeats(
     4. Documents with repeats are dealt to shards. Each shard compiles its passages to an Aho-Corasick automaton and
        streams its documents through it; every occurrence of a passage from a smaller id is removed.
 
-    What a shard holds follows the documents dealt to it (about `shard_docs`), not the corpus. Exact copies of a text
+    What a shard holds follows the documents dealt to it (about `shard_bytes` of texts), not the corpus. Exact copies of a text
     need no windows: all but the smallest id go as a whole. Null text: no words. Fewer words than a window: kept.
     Rows with a null id are kept whole and are no source. Rows with equal ids never remove from each other.
     Empty input: no rows.
@@ -179,6 +179,8 @@ def remove_repeats(
 
     met = saved(sure.mapInPandas(lean(_anchored(window)), "anchor long, id long, th long"), "anchors")
     shared = met.groupBy("anchor").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where("lo < hi").select("anchor")
+    # saved, so that the join stands on plain exchanges and an anchor that very many documents share can be split
+    shared = saved(shared, "shared")
     mine = met.join(shared, "anchor").groupBy("id", "th").agg(F.collect_list("anchor").alias("anchors"))
     windows = sure.join(mine, ["id", "th"]).mapInPandas(lean(_candidates(window)), "w long, id long, pos long")
     windows = saved(windows, "windows")
@@ -204,7 +206,8 @@ def remove_repeats(
     plain = plain.mapInPandas(lean(_untouched(window)), schema)
 
     changed = state.where(~F.col("copy")).select("id", "row")
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-changed.count() // shard_docs))
+    total = marked.where(~F.col("copy")).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
     shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
     live = runs.withColumn("row", row).join(changed, ["id", "row"], "left_semi")
     needs = saved(live.select(shard.alias("shard"), "src", "src_pos", "n").distinct(), "needs")

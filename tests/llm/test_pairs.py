@@ -176,7 +176,7 @@ def test_repeats_against_brute_force(spark):
         rows.append((i * 2, (" \n".join([parts[0], rnd.choice(passages), parts[1], rnd.choice(passages)[: rnd.choice([30, 200])], parts[2]]))))
     rows += [(500 + i, rows[3][1]) for i in range(20)] + [(700, None), (701, ""), (None, rows[3][1]), (4, rows[9][1]), (4, rows[2][1]), (702, "a a " * 400), (703, "a " * 300)]
     df = spark.createDataFrame(rows, DOCS).withColumn("copy", F.lit(1)).withColumn("w", F.lit(2)).withColumn("th", F.lit(3))
-    got = sorted((tuple(r) for r in remove_repeats(df, window=12, shard_docs=20).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=str)
+    got = sorted((tuple(r) for r in remove_repeats(df, window=12, shard_bytes=3000).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=str)
     assert got == naive_repeats(rows, 12)
     assert sum(r[2] > 0 for r in got) > 50
     assert remove_repeats(df.limit(0)).count() == 0

@@ -30,6 +30,13 @@ ODD = [None, "", " ", "<|endoftext|> a<|ENDOFTEXT|>b <|endoftext|>x.", "İstanbu
         ("<ol start=3><li>x<li>y</ol>", "3. x\n4. y"), ("<table><tr><th>k<th>value<tr><td>long<td>1</table>", "k     value\nlong  1"), ("<pre> a\n  b</pre>", " a\n  b"),
         ("<div hidden>no</div><p style='display: none'>no</p><script>no</script><!-- no -->yes", "yes"), ("<style>.ad, #x{display:none}</style><p class='big ad'>no</p><p id=x>no<p>yes", "yes"),
         ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"), ("&lt;b&gt; &amp;", "<b> &"), ("<div>" * 3000 + "deep", "deep"), ("<blockquote>q<p>r</blockquote>s", "  q\n\n  r\n\ns"), ("<a href=x>l</a><img alt=z>m</i>", "lm"),
+        ("<style>@media print{.a{display:none}}</style><p class=a>hi</p>", "hi"), ("<style>.a{display:none} .a{display:block}</style><p class=a>hi</p>", "hi"),
+        ("<style>@media screen{.a{display:none}} /* .b{display:none} */ @font-face{x:y} p.c{visibility:hidden}</style><p class=a>no<p class=b>yes<p class=c>no<p id=c>too", "yes\n\ntoo"),
+        ("<style>#k{display:none!important} .a{display:none}</style><p id=k style='display:block'>no</p><p class=a style='display:block'>yes</p>", "yes"),
+        ("<style>@media (max-width:9px){.a{display:none}} div.a{display:none} #i{display:inline}</style><p class=a>one</p><div class=a>no</div><div class=a id=i>two</div>", "one\n\ntwo"),
+        ("<table><form><tr><td>Hi<td>you</table>", "Hi  you"), ("<table><tr><form><td>a</td></form><td>b</tr></table>", "a  b"), ("<table>stray<b>bold</b><tr><td>a</table>", "straybold\n\na"),
+        ("<table><div>x<tr><td>a</table>y", "x\n\na\n\ny"), ("<table><td>a<td>b<tr><td>c</table>", "a  b\nc"), ("<head><title>no</title>text<b>t</b>", "textt"), ("<head><meta x><title>no</title><a>in</a><p>p", "in\n\np"),
+        ("<table><tr><td colspan=150>a<td>b<tr><td>c</table>", "a  b\nc"), ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"), ("<table><tr><td>a<table><tr><td>i<td>j</table><td>b</table>", "a     b\n\ni  j"),
     ],
 )
 def test_render(html, text):
