@@ -157,7 +157,7 @@ def dictionary_mentions(docs: DataFrame, key: str, fields: dict[str, str], catal
     per = hits.groupBy(key, "field").agg(F.sort_array(F.collect_list(F.struct("pos", order.alias("o"), "n", "name"))).alias("all"))
     fold = """aggregate(all, struct(0 AS end, cast(array() AS array<struct<pos:int,name:string>>) AS kept),
         (acc, h) -> IF(h.pos >= acc.end, struct(h.pos + h.n AS end, concat(acc.kept, array(struct(h.pos AS pos, h.name AS name))) AS kept), acc)).kept"""
-    kept = per.select(key, "field", F.explode(F.expr(fold)).alias("k")).select(key, "field", "k.pos", "k.name")
+    kept = per.select(key, "field", F.explode(F.expr(fold)).alias("_k")).select(key, "field", "_k.pos", "_k.name")
     before = F.expr(f"right(concat(array_join(slice(tokens, 1, pos), ' '), ' '), {lookback})")
     placed = kept.join(texts.select(key, "field", "tokens"), [key, "field"]).withColumn("before", F.when(F.col("pos") > 0, before).otherwise(""))
     free = placed.where(~F.col("before").rlike(STREET_MARKER)).withColumn("marked", F.col("before").rlike(PLACE_MARKER))
