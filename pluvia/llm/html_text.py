@@ -57,7 +57,7 @@ class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
-        self.open, self.styles = [self.root], []
+        self.open, self.styles, self.begun, self.body = [self.root], [], False, False
 
     def _close(self, tags: set, stop) -> None:
         for i in range(len(self.open) - 1, 0, -1):
@@ -83,21 +83,25 @@ class TreeBuilder(HTMLParser):
         if self.open[-1].tag in TABLE_PARTS:
             at = max((i for i, x in enumerate(self.open) if x.tag == "table"), default=0)
             if at:
-                above = self.open[at - 1].children
-                where = next((k for k in range(len(above) - 1, -1, -1) if above[k] is self.open[at]), len(above))
-                above.insert(where, child)
+                outer = next(x for x in reversed(self.open[:at]) if x.tag not in TABLE_PARTS)
+                where = next((k for k in range(len(outer.children) - 1, -1, -1) if outer.children[k] is self.open[at]), len(outer.children))
+                outer.children.insert(where, child)
                 return
         self.open[-1].children.append(child)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "html":
+        # a page has one head, before all else, and one body
+        if tag == "html" or (tag == "head" and (len(self.open) > 1 or self.begun)) or (tag == "body" and self.body):
             return
+        self.begun, self.body = True, self.body or tag == "body"
         if tag not in IN_HEAD and self.open[-1].tag == "head":
             self.open.pop()
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
         elif tag in BLOCK:
             self._close({"p"}, SCOPE)
+        if tag == "table" and self.open[-1].tag in TABLE_PARTS and self._back_to({"table"}):
+            self.open.pop()  # a table ends the one that it stands in directly
         if tag in ("tr", "thead", "tbody", "tfoot", "caption", "colgroup"):
             self._back_to({"table", "thead", "tbody", "tfoot"} if tag == "tr" else {"table"})
         elif tag in ("td", "th") and self._back_to({"table", "thead", "tbody", "tfoot", "tr"}) and self.open[-1].tag != "tr":
@@ -135,6 +139,7 @@ class TreeBuilder(HTMLParser):
         blank = not data.strip(" \t\n\r\f")
         if self.open[-1].tag == "head" and not blank:
             self.open.pop()
+        self.begun |= not blank
         if blank:
             self.open[-1].children.append(data)
         else:
@@ -352,7 +357,7 @@ def lay_out(children: list, rules: dict, keep: bool = False) -> list[str]:
                     lines += _indented(lay_out([item], rules), "  ", "  ")
             _put(page, lines, True)
         elif node.tag == "blockquote":
-            _put(page, _indented(lay_out(node.children, rules, keep), "  ", "  "), True)
+            _put(page, ["  " + x if x else x for x in lay_out(node.children, rules, keep)], True)
         elif node.tag == "hr":
             _put(page, ["---"], False)
         else:
