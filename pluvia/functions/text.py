@@ -142,24 +142,28 @@ def dictionary_mentions(docs: DataFrame, key: str, fields: dict[str, str], catal
     Names are looked up by joining word n-grams, so the catalog may grow. Overlaps are settled per field from left
     to right; of names that start at one word the alphabetically first wins (prefer='longest': the longest). A name
     goes if a street word ends the `lookback` characters before it. match_method tells whether a settlement word did.
-    A document named in two fields counts once, source_field 'ambos'.
+    A document named in two fields counts once, source_field 'ambos'. Rows that share a key are read each on its own and
+    counted together; a null key has no mentions.
     """
     names = catalog.select(F.col(name).alias("name"), F.col(id_col).alias("_id")).where((F.length("name") >= min_len) & ~F.col("name").isin(*stop))
-    names = names.groupBy("name").agg(F.min("_id").alias(id_col)).withColumn("words", F.size(F.split("name", " ")))
-    longest = names.agg(F.max("words").alias("longest"))
+    names = names.groupBy("name").agg(F.min("_id").alias(id_col)).withColumn("words", F.split("name", " "))
+    heads = names.groupBy(F.col("words")[0].alias("head")).agg(F.max(F.size("words")).alias("longest"))
     long = F.explode(F.array(*[F.struct(F.lit(label).alias("field"), normalize_name(F.col(c)).alias("text")) for c, label in fields.items()]))
-    texts = docs.select(F.col(key), long.alias("_f")).select(key, "_f.*").where("text <> ''").withColumn("tokens", F.split("text", " "))
-    # all grams are made inside one expression, so that no row but the text's own carries its words
-    every = "flatten(transform(sequence(1, size(tokens)), p -> transform(sequence(1, least(longest, size(tokens) - p + 1)), n -> struct(p - 1 AS pos, n, array_join(slice(tokens, p, n), ' ') AS name))))"
-    grams = texts.join(F.broadcast(longest), how="cross").where("longest > 0").select(key, "field", F.inline(F.expr(every)))  # longest: one row
+    texts = docs.select(F.col(key), long.alias("_f")).select(key, "_f.*").where("text <> ''").withColumn("th", F.xxhash64("text"))
+    # a name can begin only where its first word stands; only there are grams made
+    words = texts.select(key, "field", "th", F.posexplode(F.split("text", " ")).alias("pos", "head"))
+    texts = texts.withColumn("tokens", F.split("text", " ")).drop("text")
+    here = [key, "field", "th"]
+    starts = words.join(heads, "head").groupBy(*here, "pos").agg(F.max("longest").alias("longest")).join(texts.dropDuplicates(here), here)
+    grams = starts.select(*here, "pos", F.inline(F.expr("transform(sequence(1, least(longest, size(tokens) - pos)), n -> struct(n, array_join(slice(tokens, pos + 1, n), ' ') AS name))")))
     hits = grams.join(names.select("name"), "name")
     order = F.col("n") if prefer == "first" else -F.col("n")
-    per = hits.groupBy(key, "field").agg(F.sort_array(F.collect_list(F.struct("pos", order.alias("o"), "n", "name"))).alias("all"))
+    per = hits.groupBy(*here).agg(F.sort_array(F.collect_list(F.struct("pos", order.alias("o"), "n", "name"))).alias("all"))
     fold = """aggregate(all, struct(0 AS end, cast(array() AS array<struct<pos:int,name:string>>) AS kept),
         (acc, h) -> IF(h.pos >= acc.end, struct(h.pos + h.n AS end, concat(acc.kept, array(struct(h.pos AS pos, h.name AS name))) AS kept), acc)).kept"""
-    kept = per.select(key, "field", F.explode(F.expr(fold)).alias("_k")).select(key, "field", "_k.pos", "_k.name")
+    kept = per.select(*here, F.explode(F.expr(fold)).alias("_k")).select(*here, "_k.pos", "_k.name")
     before = F.expr(f"right(concat(array_join(slice(tokens, 1, pos), ' '), ' '), {lookback})")
-    placed = kept.join(texts.select(key, "field", "tokens"), [key, "field"]).withColumn("before", F.when(F.col("pos") > 0, before).otherwise(""))
+    placed = kept.join(texts.dropDuplicates(here), here).withColumn("before", F.when(F.col("pos") > 0, before).otherwise(""))
     free = placed.where(~F.col("before").rlike(STREET_MARKER)).withColumn("marked", F.col("before").rlike(PLACE_MARKER))
     both = free.groupBy(key, "name").agg(F.max("marked").alias("marked"), F.sort_array(F.collect_set("field")).alias("seen"))
     source = F.when(F.size("seen") > 1, "ambos").otherwise(F.col("seen")[0])
@@ -287,10 +291,12 @@ def truncated_svd(entries: DataFrame, key: str, term: str, weight: str, k: int)
     """(key, component, value): the first k left components of the sparse matrix, sign fixed so that each component's
     largest value is positive. Terms are numbered by a ranked table that is joined back, in order of the term; the driver gets
     k numbers a term (in the solver), never the terms. `key` must be unique and fit a long."""
+    from pyspark.mllib.common import callMLlibFunc
     from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+    from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 
     from pluvia.operators.ranks import numbered
+    from pluvia.sources.rounds import settled
 
     entries = entries.where(F.col(key).isNotNull())
     terms = numbered(entries.select(term).distinct(), [term], "_i")
@@ -299,7 +305,9 @@ def truncated_svd(entries: DataFrame, key: str, term: str, weight: str, k: int)
         return entries.sparkSession.createDataFrame([], f"{key} long, component int, value double")
     pairs = F.sort_array(F.collect_list(F.struct("_i", weight)))
     rows = entries.join(terms, term).groupBy(key).agg(pairs.alias("v")).select(key, F.col("v._i").alias("at"), F.col(f"v.{weight}").alias("x"))
-    matrix = IndexedRowMatrix(rows.rdd.map(lambda r: IndexedRow(r[0], Vectors.sparse(size, r[1], r[2]))))
+    # fixed, as the solver reads the rows once per step
+    fixed = settled(rows.rdd.map(lambda r: (r[0], Vectors.sparse(size, r[1], r[2]))).toDF(["index", "vector"]))
+    matrix = IndexedRowMatrix(callMLlibFunc("createIndexedRowMatrix", fixed, 0, size))
     svd = matrix.computeSVD(min(k, size), computeU=True)
     scale = svd.s.toArray().tolist()
     flat = svd.U.rows.flatMap(lambda r: [(int(r.index), i, float(x) * scale[i]) for i, x in enumerate(r.vector.toArray())])
