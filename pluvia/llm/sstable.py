@@ -6,6 +6,7 @@ import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ from pluvia.llm.tokens import encode, forget
 
 MAGIC = b"SSTABLE1"
 BLOCK_BYTES = 1 << 18
+SHARD_BYTES = 256 << 20
 BLOOM_BITS, BLOOM_HASHES = 10, 7
 
 
@@ -33,9 +35,13 @@ def key_id(key: bytes) -> int | None:
     return None if key == b"\0" else struct.unpack(">Q", key[1:])[0] - (1 << 63)
 
 
-def _bloom_bits(key: bytes, bits: int) -> list[int]:
+def _bloom_hash(key: bytes) -> tuple[int, int]:
     h = xxhash.xxh3_128_intdigest(key)
-    a, b = h & (2**64 - 1), h >> 64 | 1
+    return h & (2**64 - 1), h >> 64 | 1
+
+
+def _bloom_bits(key: bytes, bits: int) -> list[int]:
+    a, b = _bloom_hash(key)
     return [(a + i * b) % 2**64 % bits for i in range(BLOOM_HASHES)]
 
 
@@ -59,10 +65,11 @@ def _read_varint(data: bytes, at: int) -> tuple[int, int]:
 
 
 class ShardWriter:
-    """Appends entries in key order to an open binary stream; one block is in memory at a time."""
+    """Appends entries in key order to an open binary stream. In memory are one block, 16 bytes a key for the Bloom filter, and the
+    sparse index; shards are dealt by bytes, so that stays small."""
 
     def __init__(self, out):
-        self.out, self.at, self.index, self.keys = out, 0, [], []
+        self.out, self.at, self.index, self.hashes = out, 0, [], array("Q")
         self.block, self.last, self.first_key, self.last_key = bytearray(), b"", None, None
         self.zip, self.docs, self.ids = zstandard.ZstdCompressor(level=1), 0, 0
         self._put(MAGIC)
@@ -84,7 +91,7 @@ class ShardWriter:
         self.block += _varint(same) + _varint(len(key) - same) + key[same:] + _varint(2 * len(ids) + wide) + value
         self.last = self.last_key = key
         self.first_key = key if self.first_key is None else self.first_key
-        self.keys.append(key)
+        self.hashes.extend(_bloom_hash(key))
         self.docs, self.ids = self.docs + 1, self.ids + len(ids)
 
     def _flush(self) -> None:
@@ -96,11 +103,13 @@ class ShardWriter:
 
     def close(self) -> dict:
         self._flush()
-        bits = max(64, BLOOM_BITS * len(self.keys)) + 7 & ~7
-        bloom = np.zeros(bits, dtype=bool)
-        for key in self.keys:
-            bloom[_bloom_bits(key, bits)] = True
-        bloom_at, packed = self.at, np.packbits(bloom).tobytes()
+        h = np.frombuffer(self.hashes, dtype="uint64").reshape(-1, 2)
+        bits = max(64, BLOOM_BITS * len(h)) + 7 & ~7
+        bloom = np.zeros(bits // 8, dtype="uint8")
+        for i in range(BLOOM_HASHES):
+            at = (h[:, 0] + np.uint64(i) * h[:, 1]) % np.uint64(bits)
+            np.bitwise_or.at(bloom, at >> np.uint64(3), np.uint8(128) >> (at & np.uint64(7)).astype("uint8"))
+        bloom_at, packed = self.at, bloom.tobytes()
         self._put(packed)
         footer = {"index": self.index, "bloom": [bloom_at, len(packed)], "docs": self.docs, "ids": self.ids}
         data = json.dumps(footer).encode()
@@ -215,13 +224,14 @@ def write_token_table(
     """Encodes whole texts (null: empty), appends `end_id` and writes one sorted shard per range of ids.
 
     Returns the manifest, one row per shard: part, path, first_key, last_key, docs, ids. Rows are dealt by range of
-    (id, hash of the text), so that repeated ids spread too and come in a fixed order; null ids come first. `shards`
-    defaults to the session's shuffle partitions. A shard is written under a passing name and then moved, so
+    (id, hash of the text), so that repeated ids spread too and come in a fixed order; null ids come first. `shards` is by default
+    one for SHARD_BYTES of texts, the session's shuffle partitions at least. A shard is written under a passing name and then moved, so
     tasks that are lost or run twice leave whole files only. Empty input: no shards.
     """
     spark = docs.sparkSession
     folder = folder or new_path(spark, "token-table")
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = 0 if shards else docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     order = [F.col("id").asc_nulls_first(), F.col("h").asc()]
     sorted_rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text")
