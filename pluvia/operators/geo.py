@@ -311,51 +311,82 @@ def line_length_in_polygon(lines: DataFrame, line_id: str, polygons: DataFrame,
     return polygons.select(poly).join(sums, poly, "left").fillna(0.0, subset=["km"])
 
 
-def _clip(subject: np.ndarray, triangle: np.ndarray) -> np.ndarray:
-    """Part of a convex polygon inside a counter-clockwise triangle."""
+def _triangle_overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Shared area of each pair of counter-clockwise triangles [n, 3, 2]: all are cut by the second's edges at once."""
+    poly, count = a, np.full(len(a), 3)
     for i in range(3):
-        if not len(subject):
-            break
-        a, b = triangle[i], triangle[(i + 1) % 3]
-        side = (b[0] - a[0]) * (subject[:, 1] - a[1]) - (b[1] - a[1]) * (subject[:, 0] - a[0])
-        out = []
-        for j in range(len(subject)):
-            k = (j + 1) % len(subject)
-            if side[j] >= 0:
-                out.append(subject[j])
-            if side[j] * side[k] < 0:
-                out.append(subject[j] + (subject[k] - subject[j]) * (side[j] / (side[j] - side[k])))
-        subject = np.array(out).reshape(-1, 2)
-    return subject
-
-
-def _area(p: np.ndarray) -> float:
-    return 0.0 if len(p) < 3 else float(np.sum(p[:, 0] * np.roll(p[:, 1], -1) - np.roll(p[:, 0], -1) * p[:, 1]) / 2)
-
-
-def _fans(rings) -> list[tuple[np.ndarray, float]]:
-    """Signed triangles of a polygon: shells count up, holes down."""
-    out = []
-    for n, ring in enumerate(rings):
-        p = np.array([(q["x"], q["y"]) for q in ring], dtype=float)
-        whole = 1.0 if (_area(p) >= 0) == (n == 0) else -1.0
-        for i in range(1, len(p) - 1):
-            tri = p[[0, i, i + 1]]
-            if area := _area(tri):
-                out.append((tri if area > 0 else tri[::-1], whole * np.sign(area)))
-    return out
+        p, q = b[:, i, None], b[:, (i + 1) % 3, None]
+        j = np.arange(poly.shape[1])
+        nxt = np.where(j + 1 < count[:, None], j + 1, 0)
+        there = j < count[:, None]
+        side = (q - p)[..., 0] * (poly - p)[..., 1] - (q - p)[..., 1] * (poly - p)[..., 0]
+        other, far = np.take_along_axis(side, nxt, 1), np.take_along_axis(poly, nxt[..., None], 1)
+        meets = there & (side * other < 0)
+        u = np.where(meets, side / np.where(meets, side - other, 1.0), 0.0)
+        slots = np.stack([poly, poly + (far - poly) * u[..., None]], 2).reshape(len(poly), -1, 2)
+        kept = np.stack([there & (side >= 0), meets], 2).reshape(len(poly), -1)
+        count = kept.sum(axis=1)
+        order = np.argsort(~kept, axis=1, kind="stable")[:, : max(int(count.max(initial=0)), 1)]
+        poly = np.take_along_axis(slots, order[..., None], 1)
+    j = np.arange(poly.shape[1])
+    there = j < count[:, None]
+    far = np.take_along_axis(poly, np.where(j + 1 < count[:, None], j + 1, 0)[..., None], 1)
+    return np.abs(np.where(there, poly[..., 0] * far[..., 1] - far[..., 0] * poly[..., 1], 0.0).sum(axis=1)) / 2
+
+
+def _fans(corners, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counter-clockwise triangles of a polygon and their signs: shells count up, holes down."""
+    shapes, signs = [], []
+    flat = np.array([(q["ring"], q["x"], q["y"]) for q in corners], dtype=float).reshape(-1, 3)
+    for n in range(int(flat[:, 0].max(initial=-1)) + 1):
+        p = flat[flat[:, 0] == n, 1:] - origin
+        if len(p) < 3:
+            continue
+        t = np.stack([np.broadcast_to(p[0], (len(p) - 2, 2)), p[1:-1], p[2:]], 1)
+        area = (t[:, 1, 0] - t[:, 0, 0]) * (t[:, 2, 1] - t[:, 0, 1]) - (t[:, 2, 0] - t[:, 0, 0]) * (t[:, 1, 1] - t[:, 0, 1])
+        whole = 1.0 if (area.sum() >= 0) == (n == 0) else -1.0
+        t, area = t[area != 0], area[area != 0]
+        shapes.append(np.where((area < 0)[:, None, None], t[:, ::-1], t))
+        signs.append(whole * np.sign(area))
+    return np.concatenate([np.zeros((0, 3, 2)), *shapes]), np.concatenate([np.zeros(0), *signs])
+
+
+def _corners(rings: Column) -> Column:
+    """Corners with their ring's number: rings of different lengths don't fit the arrays that batches become."""
+    return F.flatten(F.transform(rings, lambda r, n: F.transform(r, lambda p: F.struct(n.alias("ring"), p["x"].alias("x"), p["y"].alias("y")))))
 
 
 def _overlap(a: str | Column, b: str | Column) -> Column:
+    """Shared area of two polygons given by their corners."""
     return F.pandas_udf(_overlaps, "double")(a, b)
 
 
 def _overlaps(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for p, q in zip(a, b, strict=True):
-        o = np.array([p[0][0]["x"], p[0][0]["y"]])
-        fans = [[(t - o, s) for t, s in _fans(r)] for r in (p, q)]
-        out.append(sum(s * u * abs(_area(_clip(t, v))) for t, s in fans[0] for v, u in fans[1]))
+    return shared_areas(a, b)
+
+
+def shared_areas(a: pd.Series, b: pd.Series, chunk: int = 100_000) -> pd.Series:
+    """Triangles of all pairs of a batch are cut together, at most about `chunk` pairs of triangles at a time."""
+    out = np.zeros(len(a))
+
+    def settle(held: list) -> None:
+        t, v, s, k = (np.concatenate(x) for x in zip(*held, strict=True))
+        np.add.at(out, k, s * _triangle_overlaps(t, v))
+
+    held, size = [], 0
+    for k, (p, q) in enumerate(zip(a, b, strict=True)):
+        origin = np.array([p[0]["x"], p[0]["y"]]) if len(p) else np.zeros(2)
+        (t, s), (v, u) = _fans(p, origin), _fans(q, origin)
+        for at in range(0, len(t), max(1, chunk // max(len(v), 1))):
+            part = slice(at, at + max(1, chunk // max(len(v), 1)))
+            n = len(t[part])
+            held.append((np.repeat(t[part], len(v), axis=0), np.tile(v, (n, 1, 1)), np.repeat(s[part], len(u)) * np.tile(u, n), np.full(n * len(v), k)))
+            size += n * len(v)
+            if size >= chunk:
+                settle(held)
+                held, size = [], 0
+    if held:
+        settle(held)
     return pd.Series(out, dtype="float64")
 
 
@@ -364,7 +395,7 @@ def polygon_overlap_area(a: DataFrame, key: str, b: DataFrame, other: str, rings
     so simple polygons with holes are exact."""
     def boxed(df, k, name):
         xs, ys = F.transform(F.flatten(rings), lambda p: p["x"]), F.transform(F.flatten(rings), lambda p: p["y"])
-        one = df.select(k, F.col(rings).alias(name), F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
+        one = df.select(k, _corners(F.col(rings)).alias(name), F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
         return with_cells(one, F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), cell).drop("x0", "y0", "x1", "y1")
 
     pairs = boxed(a, key, "_a").join(boxed(b, other, "_b"), ["_cx", "_cy"]).dropDuplicates([key, other])
@@ -378,10 +409,11 @@ def largest_band(polygons: DataFrame, key: str, cuts: list[float], names: list[s
     bands = spark.createDataFrame([(n, float(lo), float(hi)) for n, lo, hi in zip(names, lows, highs, strict=True)], "band string, lo double, hi double")
     ys = F.transform(F.flatten(rings), lambda p: p["y"])
     xs = F.transform(F.flatten(rings), lambda p: p["x"])
-    span = polygons.select(key, rings, F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"), F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"))
+    span = polygons.select(key, _corners(F.col(rings)).alias("_c"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"), F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"))
     pairs = span.join(F.broadcast(bands), (F.col("y1") > F.col("lo")) & (F.col("y0") < F.col("hi")))  # as many bands as names
-    strip = box_polygon(F.col("x0") - 1, F.greatest("lo", F.col("y0") - 1), F.col("x1") + 1, F.least("hi", F.col("y1") + 1))
-    shared = pairs.withColumn("_m", _overlap(F.col(rings), strip))
+    x0, y0, x1, y1 = F.col("x0") - 1, F.greatest("lo", F.col("y0") - 1), F.col("x1") + 1, F.least("hi", F.col("y1") + 1)
+    strip = F.array(*[F.struct(F.lit(0).alias("ring"), x.alias("x"), y.alias("y")) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))])
+    shared = pairs.withColumn("_m", _overlap(F.col("_c"), strip))
     best = shared.groupBy(key).agg(F.min(F.struct((-F.col("_m")).alias("m"), "band")).alias("b"))
     return best.select(key, F.col("b.band").alias("band"))
 

@@ -232,3 +232,32 @@ def test_mentions_with_long_and_null_texts(spark):
     rows = [(1, "en la colonia Villa Sol Norte"), (2, "calle San Benito"), (3, None), (4, ""), (5, "x " * 20000 + "San Benito"), (1, "en la colonia Villa Sol Norte")]
     got = sorted((r["k"], r["raw_text"], r["id"], r["match_method"]) for r in tx.dictionary_mentions(frame(spark, rows, "k long, text string"), "k", {"text": "texto"}, catalog, "name", "id").collect())
     assert got == [(1, "VILLA SOL", 1, "colonia_con_marcador"), (5, "SAN BENITO", 3, "colonia_en_catalogo")]
+
+
+def test_overlaps_against_points(spark):
+    """Shared areas of polygons with holes, of either direction, against shares of a fine grid of points."""
+    rnd = random.Random(9)
+    ring = lambda n, r: [{"x": 5 + r * rnd.uniform(0.4, 1) * math.cos(2 * math.pi * k / n), "y": 5 + r * rnd.uniform(0.4, 1) * math.sin(2 * math.pi * k / n)} for k in range(n)]
+    polys = [[ring(rnd.randint(3, 9), 5), *([ring(4, 1.2)] if rnd.random() < 0.5 else [])] for _ in range(12)]
+    polys = [[r[::-1] if rnd.random() < 0.5 else r for r in p] for p in polys]
+    xs = (np.arange(400) + 0.5) / 40
+    gx, gy = (c.ravel() for c in np.meshgrid(xs, xs))
+
+    def held(rings):
+        inside = np.zeros(len(gx), bool)
+        for r in rings:
+            for p, q in zip(r, r[1:] + r[:1], strict=True):
+                cross = (p["y"] > gy) != (q["y"] > gy)
+                inside ^= cross & (gx < (q["x"] - p["x"]) * (gy - p["y"]) / (q["y"] - p["y"] or 1) + p["x"])
+        return inside
+
+    marks = [held(p) for p in polys]
+    pairs = [(i, j) for i in range(12) for j in range(12)]
+    for chunk in (7, 100_000):
+        flat = [[{"ring": n, **q} for n, r in enumerate(p) for q in r] for p in polys]
+        got = geo.shared_areas(pd.Series([flat[i] for i, _ in pairs]), pd.Series([flat[j] for _, j in pairs]), chunk)
+        want = [(marks[i] & marks[j]).mean() * 100 for i, j in pairs]
+        assert np.allclose(got, want, atol=0.15)
+    df = frame(spark, [(i, p) for i, p in enumerate(polys)], "id long, rings array<array<struct<x:double,y:double>>>")
+    both = geo.polygon_overlap_area(df, "id", df.withColumnRenamed("id", "other"), "other", cell=3.0)
+    assert {(r["id"], r["other"]): r["m2"] for r in both.collect()} == pytest.approx({k: v for k, v in zip(pairs, got, strict=True) if v > 1e-6})
