@@ -26,7 +26,7 @@ TOXIC = 0.3
 def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """docs without the given rows: doc_id and th, the hash of the text. Ids alone don't name a row: they may be null or repeat."""
     dropped = small(saved(rows.select(F.col("doc_id").alias("_i"), F.col("th").alias("_t")).distinct(), "dropped"))
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("_i")) & (F.xxhash64(docs["text"]) == F.col("_t")), "left_anti")
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_i"]) & (F.xxhash64(docs["text"]) == dropped["_t"]), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rest = rows.join(best, "root").where(~(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("th") == F.col("best.th"))))
     kept = _without(docs, rest.select(F.col("id").alias("doc_id"), "th"))
     again = small(saved(rows.where("count > 1").select(F.col("id").alias("_i"), F.col("th").alias("_t")), "repeated"))
-    same = docs["doc_id"].eqNullSafe(F.col("_i")) & (F.xxhash64(docs["text"]) == F.col("_t"))
+    same = docs["doc_id"].eqNullSafe(again["_i"]) & (F.xxhash64(docs["text"]) == again["_t"])
     once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(again, same, "left_anti").unionByName(once)
 
