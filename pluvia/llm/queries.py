@@ -11,6 +11,7 @@ from pluvia.llm.decontamination import contaminated_documents
 from pluvia.llm.embedding_dedup import near_duplicate_vectors
 from pluvia.llm.html_text import extract_text
 from pluvia.llm.mixing import mix_sources
+from pluvia.llm.phrases import collocations
 from pluvia.llm.quality import quality_scores
 from pluvia.llm.simhash import near_duplicate_groups
 from pluvia.llm.sstable import read_token_table, write_token_table
@@ -71,6 +72,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, TOKENIZER, cache)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -82,6 +87,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op11_phrases": op11_phrases,
 }
 
 #: The mix by plain sorting: same hash, same nearest cut.
@@ -145,4 +151,34 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op6_mixing": OP6_SQL}
+#: All phrases of one to three words listed; the score in whole numbers of 128 bits.
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w)
+), f1 AS (SELECT lang, w1, count(*) AS f FROM g GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+longer AS (
+  SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL
+), two AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, 1 AS k, x.f AS l, y.f AS r FROM f2 c
+  JOIN f1 x ON c.lang = x.lang AND c.w1 = x.w1 JOIN f1 y ON c.lang = y.lang AND c.w2 = y.w1
+  LEFT JOIN longer b ON c.lang = b.lang AND c.w1 = b.w1 AND c.w2 = b.w2 WHERE c.f >= 10 AND (b.f IS NULL OR 100 * b.f < 50 * c.f)
+), three AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3 AS phrase, c.f AS a, 1 AS k, x.f AS l, y.f AS r FROM f3 c
+  JOIN f1 x ON c.lang = x.lang AND c.w1 = x.w1 JOIN f2 y ON c.lang = y.lang AND c.w2 = y.w1 AND c.w3 = y.w2
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, x.f, y.f FROM f3 c
+  JOIN f2 x ON c.lang = x.lang AND c.w1 = x.w1 AND c.w2 = x.w2 JOIN f1 y ON c.lang = y.lang AND c.w3 = y.w1
+), scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a::HUGEINT * a::HUGEINT) // (l::HUGEINT * r::HUGEINT) AS BIGINT) AS score FROM (SELECT * FROM two UNION ALL SELECT * FROM three)
+), cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM cut)
+SELECT c.lang, rank, phrase, a, l, r, n, score FROM ranked c JOIN sizes s ON c.lang = s.lang WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op11_phrases": OP11_SQL, "op1_embedding_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op6_mixing": OP6_SQL}
