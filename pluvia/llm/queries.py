@@ -10,6 +10,7 @@ from pluvia.llm.common import new_path
 from pluvia.llm.decontamination import contaminated_documents
 from pluvia.llm.embedding_dedup import near_duplicate_vectors
 from pluvia.llm.html_text import extract_text
+from pluvia.llm.metric_tree import largest_products
 from pluvia.llm.mixing import mix_sources
 from pluvia.llm.phrases import collocations
 from pluvia.llm.quality import quality_scores
@@ -76,6 +77,10 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return largest_products(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
     "op11_phrases": op11_phrases,
+    "op12_top_products": op12_top_products,
 }
 
 #: The mix by plain sorting: same hash, same nearest cut.
@@ -181,4 +187,15 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT c.lang, rank, phrase, a, l, r, n, score FROM ranked c JOIN sizes s ON c.lang = s.lang WHERE rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op11_phrases": OP11_SQL, "op1_embedding_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op6_mixing": OP6_SQL}
+#: The products of each query with all rows.
+OP12_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op11_phrases": OP11_SQL, "op12_top_products": OP12_SQL, "op1_embedding_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op6_mixing": OP6_SQL}
