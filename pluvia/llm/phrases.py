@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from pluvia.llm.common import lean, running_total, saved, small
 
 #: Words counted at once in a task, and bytes of text taken at once.
-CHUNK_WORDS, CHUNK_BYTES = 3_000_000, 8_000_000
+CHUNK_WORDS, CHUNK_BYTES = 1_500_000, 4_000_000
 #: Text for each task that sums windows, and for the sample that finds words of many windows.
-PARTITION_BYTES, SAMPLE_BYTES = 32_000_000, 8_000_000
+PARTITION_BYTES, SAMPLE_BYTES = 12_000_000, 8_000_000
 
 #: 0 word, 1 between words, 2 end of a piece.
 _KIND = np.zeros(256, dtype="uint8")
@@ -71,7 +71,8 @@ def _distinct(columns: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndar
         return [c[found[0]] for c in some] + [found[1]], count, back
     code = columns[0].astype("int64")
     for c, size in zip(columns[1:], sizes[1:], strict=True):
-        code = code * size + c
+        code *= size
+        code += c
     code, back, count = np.unique(code, return_inverse=True, return_counts=True)
     found = []
     for size in reversed(sizes[1:]):
@@ -86,7 +87,8 @@ def _counted(columns: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndarr
         return _distinct(columns, sizes)[:2]
     code = columns[0].astype("int64")
     for c, size in zip(columns[1:], sizes[1:], strict=True):
-        code = code * size + c
+        code *= size
+        code += c
     code.sort()
     first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
     count = np.diff(np.r_[first, len(code)])
@@ -132,15 +134,17 @@ def _window_counter(hot: frozenset[str]) -> Callable[[Iterator[pa.RecordBatch]],
         langs = pa.chunked_array([p[1] for p in parts]).combine_chunks().dictionary_encode()
         size, n_langs = len(names.dictionary) + 1, len(langs.dictionary)
         shift = np.cumsum([0, *(int(p[2][-1]) + 1 for p in parts[:-1])])
-        piece = np.concatenate([p[2] + s for p, s in zip(parts, shift, strict=True)])
-        w0 = names.indices.to_numpy().astype("int64") + 1
+        piece = np.concatenate([p[2] + s for p, s in zip(parts, shift, strict=True)]).astype("int32")
+        parts.clear()
+        w0 = names.indices.to_numpy() + np.int32(1)
         leads = []
         for k in (1, 2):
-            lead = np.zeros(len(w0), dtype="int64")
+            lead = np.zeros(len(w0), dtype="int32")
             if len(w0) > k:
                 lead[:-k] = np.where(piece[k:] == piece[:-k], w0[k:], 0)
             leads.append(lead)
         (w0, w1, w2, lang), count = _counted([w0, *leads, langs.indices.to_numpy()], [size, size, size, n_langs])
+        del piece, leads
         spelled = pa.concat_arrays([pa.array([""], pa.large_string()), names.dictionary])
         of = [spelled.take(pa.array(w)) for w in (w0, w1, w2)]
         key = pc.binary_join_element_wise(*of, langs.dictionary.take(pa.array(lang)), _GAP)
