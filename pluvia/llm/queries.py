@@ -13,6 +13,7 @@ from pluvia.llm.html_text import extract_text
 from pluvia.llm.metric_tree import largest_products
 from pluvia.llm.mixing import mix_sources
 from pluvia.llm.phrases import collocations
+from pluvia.llm.prefix_trie import conversation_trie
 from pluvia.llm.quality import quality_scores
 from pluvia.llm.simhash import near_duplicate_groups
 from pluvia.llm.sstable import read_token_table, write_token_table
@@ -81,6 +82,10 @@ def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return largest_products(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -94,6 +99,7 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_phrases": op11_phrases,
     "op12_top_products": op12_top_products,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: The mix by plain sorting: same hash, same nearest cut.
@@ -198,4 +204,29 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM p QUALIFY rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op11_phrases": OP11_SQL, "op12_top_products": OP12_SQL, "op1_embedding_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op6_mixing": OP6_SQL}
+#: Rebuilt conversations as lists; the CRC bit by bit, eight steps for each digit.
+OP13_SQL = r"""
+WITH t AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), c AS (
+  SELECT conv_id, turns, xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: [ascii(d)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+    lambda a, x: xor(xor(a, x) >> 1, 3988292384::BIGINT * (xor(a, x) & 1)))) % 4 AS h FROM t
+), r AS (
+  SELECT c.conv_id, coalesce(b.turns[1:c.h], []) || c.turns[c.h + 1:] AS s FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 20
+), m AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM r),
+w AS (SELECT conv_id, s, d, md5(CAST(s[1:d] AS VARCHAR)) AS k, CASE WHEN d > 0 THEN md5(CAST(s[1:d - 1] AS VARCHAR)) END AS up, CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(s[d].x, '[^\x20\x09-\x0D]+')) END AS words FROM m),
+n AS (
+  SELECT d, k, up, min(conv_id) AS rep, count(*) AS n_convs, (count(*) - 1) * max(words) AS v,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(s) = d), '') AS ends FROM w GROUP BY d, k, up
+), kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+a AS (SELECT DISTINCT n.d AS d, n.k AS k, md5(CAST(m.s[1:e.d] AS VARCHAR)) AS over, e.d AS over_d FROM n JOIN m ON n.d = m.d AND n.k = md5(CAST(m.s[1:m.d] AS VARCHAR)) JOIN m e ON e.conv_id = m.conv_id AND e.d <= m.d),
+below AS (
+  SELECT a.over_d AS d, a.over AS k, sum(n.v) AS saved, count(*) FILTER (kids.n_children IS NULL) AS n_leaves
+  FROM a JOIN n ON a.d = n.d AND a.k = n.k LEFT JOIN kids ON n.d = kids.d AND n.k = kids.k GROUP BY ALL
+)
+SELECT n.rep AS conv_id, n.d AS depth, p.rep AS parent_conv_id, n.n_convs, coalesce(kids.n_children, 0)::BIGINT AS n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n LEFT JOIN kids ON n.d = kids.d AND n.k = kids.k JOIN below ON n.d = below.d AND n.k = below.k LEFT JOIN n p ON n.d > 0 AND p.d = n.d - 1 AND p.k = n.up
+"""
+
+ORACLES: dict[str, str] = {"op11_phrases": OP11_SQL, "op13_prefix_trie": OP13_SQL, "op12_top_products": OP12_SQL, "op1_embedding_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op6_mixing": OP6_SQL}
