@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from pluvia.llm.common import lean, running_total, saved, small
 
 #: Words counted at once in a task, and bytes of text taken at once.
-CHUNK_WORDS, CHUNK_BYTES = 1_500_000, 4_000_000
+CHUNK_WORDS, CHUNK_BYTES = 1_000_000, 4_000_000
 #: Text for each task that sums windows, and for the sample that finds words of many windows.
-PARTITION_BYTES, SAMPLE_BYTES = 12_000_000, 8_000_000
+PARTITION_BYTES, SAMPLE_BYTES = 8_000_000, 8_000_000
 
 #: 0 word, 1 between words, 2 end of a piece.
 _KIND = np.zeros(256, dtype="uint8")
