@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvia.operators.events import _corr, average_rank
+from pluvia.operators.kd import nearest_by_parts
 from pluvia.operators.ranks import counted, quantiles
 from pluvia.sources.rounds import settled
 
@@ -144,33 +145,13 @@ def isolation_forest(df: DataFrame, key: str, cols: list[str], contamination: fl
     return _above(rows.select(key, score(*cols).alias("score")), key, 1 - contamination)
 
 
-def grid_neighbours(df: DataFrame, key: str, x: str, y: str, k: int, cell: float) -> DataFrame:
-    """Exact k nearest rows of each row in the plane: (key, other, d, r), ties by key.
-
-    Rows are put into square cells and meet the rows of their own and the eight cells around. Rows whose k-th distance isn't certain
-    yet (beyond one cell) go on with cells of twice the side, until a cell spans everything. Rows without finite coordinates are left out.
-    """
-    pts = df.select(F.col(key), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where("abs(_x) < 1e300 and abs(_y) < 1e300")
-    box = pts.agg(F.count("*"), F.max("_x") - F.min("_x"), F.max("_y") - F.min("_y")).first()
-    most, left, done = min(k, box[0] - 1), pts, []
-    while True:
-        last = cell > max(box[1] or 0.0, box[2] or 0.0)
-        at = lambda c, cell=cell: F.floor(F.col(c) / cell)
-        cells = pts.select(F.col(key).alias("other"), F.col("_x").alias("_ox"), F.col("_y").alias("_oy"), at("_x").alias("_cx"), at("_y").alias("_cy"))
-        ring = F.array(F.lit(-1), F.lit(0), F.lit(1))
-        around = left.withColumn("_i", F.explode(ring)).withColumn("_j", F.explode(ring))
-        around = around.select(key, "_x", "_y", (at("_x") + F.col("_i")).alias("_cx"), (at("_y") + F.col("_j")).alias("_cy"))
-        pairs = around.join(cells, ["_cx", "_cy"]).where(F.col(key) != F.col("other")).withColumn("d", F.hypot(F.col("_x") - F.col("_ox"), F.col("_y") - F.col("_oy")))
-        w = Window.partitionBy(key).orderBy("d", "other")
-        near = settled(pairs.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).select(key, "other", "d", "r"))
-        if last:
-            return reduce(DataFrame.unionByName, [*done, near])
-        sure = near.groupBy(key).agg(F.count("*").alias("_c"), F.max("d").alias("_m")).where((F.col("_c") == most) & (F.col("_m") <= cell)).select(key)
-        done.append(near.join(sure, key, "left_semi"))
-        left = settled(left.join(sure, key, "left_anti"))
-        if left.isEmpty():
-            return reduce(DataFrame.unionByName, done)
-        cell *= 2
+def neighbours(df: DataFrame, key: str, cols: list[str], k: int) -> DataFrame:
+    """Exact k nearest rows of each row by the Euclidean distance of `cols`: (key, other, d, r), ties by key. Rows with a value that is null or not
+    finite are left out. Space is parted where rows are dense; of rows at one place only the k + 1 smallest keys are searched."""
+    rows = df.select(F.col(key), *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]).where(" and ".join(f"abs(v{i}) < 1e150" for i in range(len(cols))))
+    others = rows.select(F.col(key).alias("other"), *[F.col(f"v{i}").alias(f"ov{i}") for i in range(len(cols))])
+    square = reduce(lambda a, b: a + b, [(F.col(f"v{i}") - F.col(f"ov{i}")) * (F.col(f"v{i}") - F.col(f"ov{i}")) for i in range(len(cols))])
+    return nearest_by_parts(rows, key, others, "other", [(f"v{i}",) for i in range(len(cols))], F.sqrt(square), k, apart=F.col(key) != F.col("other"))
 
 
 def lof(neighbours: DataFrame, key: str, contamination: float = 0.02) -> DataFrame:

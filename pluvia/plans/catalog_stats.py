@@ -65,7 +65,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, other) AS r
 l AS (SELECT point_id, 1 / (avg(greatest(d, kd)) + 1e-10::DOUBLE) AS lrd FROM k JOIN kd USING (other) GROUP BY 1), s AS (SELECT k.point_id, avg(o.lrd) / any_value(l.lrd) AS score FROM k JOIN l ON k.point_id = l.point_id JOIN l o ON k.other = o.point_id GROUP BY 1)
 SELECT point_id, score, score > (SELECT quantile_cont(score, 0.98) FROM s) AS outlier FROM s""", d="score")
 def _(t):
-    return st.lof(st.grid_neighbours(t.sx_points, "point_id", "x", "y", 20, 600.0), "point_id")
+    return st.lof(st.neighbours(t.sx_points, "point_id", ["x", "y"], 20), "point_id")
 
 
 @query("m8_outlier_votes", "WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS a, quantile_cont(o_totalprice, 0.75) AS b FROM orders), v AS (SELECT o_orderstatus = 'F' AS f, (o_totalprice > b + 0.2::DOUBLE * (b - a))::INT + (month(o_orderdate) = 12)::INT + (o_orderkey % 5 = 0)::INT AS votes FROM orders CROSS JOIN q) SELECT count(*) AS rows, count(*) FILTER (votes >= 2) AS voted, avg(f::INT::DOUBLE) FILTER (votes >= 2) AS rate, avg(f::INT::DOUBLE) AS base, avg(f::INT::DOUBLE) FILTER (votes >= 2) / avg(f::INT::DOUBLE) AS lift FROM v", d="rate base lift")

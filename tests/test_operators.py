@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pluvia.functions import text as tx
-from pluvia.operators import agg, cluster, events, geo, quality, ranks, resolve, stats, tidy
+from pluvia.operators import agg, cluster, events, geo, kd, quality, ranks, resolve, stats, tidy
 from pluvia.sources import io
 
 
@@ -39,13 +39,47 @@ def test_nearest_has_no_cap_and_keeps_what_is_found(spark):
     left, right = points(spark, a), points(spark, b, "other")
     got = lambda df: sorted((r["id"], r["other"], round(r["d"], 6), r["r"]) for r in df.collect())
     assert got(geo.nearest(left, "id", right, "other", 3)) == near_by_loops(a, b, 3)
-    assert got(geo.nearest(left, "id", right, "other", 5, radius=0.5, limit=12.0)) == near_by_loops(a, b, 5, 12.0)
+    assert got(geo.nearest(left, "id", right, "other", 5, limit=12.0)) == near_by_loops(a, b, 5, 12.0)
     assert got(geo.nearest(left, "id", right, "other", 50)) == near_by_loops(a, b, 32)
     assert geo.nearest(left, "id", right.limit(0), "other").count() == 0 and geo.nearest(left.limit(0), "id", right, "other").count() == 0
     wide = {r["id"]: r.asDict() for r in geo.knn_lines(left, "id", right, "other", 2, (1.0, 10.0)).collect()}
     assert wide[90]["id_seg_1"] is None and {k: v["id_seg_1"] for k, v in wide.items()} == {i: {(p, q): o for p, o, _, q in near_by_loops(a, b, 2, 10.0)}.get((i, 1)) for i in wide}
 
 
+def test_nearest_of_lines_polygons_copies_and_features_far_off(spark, monkeypatch):
+    monkeypatch.setattr(kd, "PART_ROWS", 4)
+    rnd = random.Random(8)
+    names = "ax double, ay double, bx double, by double"
+    walk = lambda i, n: [(i, *(c for _ in range(2) for c in (rnd.uniform(0, 500), rnd.uniform(0, 500)))) for _ in range(n)]
+    left = [r for i in range(12) for r in walk(i, rnd.choice([1, 3]))]
+    right = [r for i in range(30) for r in walk(100 + i, rnd.choice([1, 2, 9]))] + [(900 + i, 250.0, 250.0, 250.0, 250.0) for i in range(50)] + [(1, 1e6, 1e6, 1e6, 1e6)]
+    one, two = frame(spark, left, f"id long, {names}"), frame(spark, right, f"other long, {names}")
+    every = one.join(two.withColumnsRenamed({c: "o" + c for c in ("ax", "ay", "bx", "by")}), how="cross").withColumn("d", geo.segment_distance())
+    each = every.groupBy("id", "other").agg(F.min("d").alias("d")).toPandas().sort_values(["id", "d", "other"])
+    for k in (1, 4, 60, 500):
+        got = geo.nearest(one, "id", two, "other", k).toPandas().sort_values(["id", "r"])
+        want = each.groupby("id").head(k)
+        assert got[["id", "other"]].values.tolist() == want[["id", "other"]].values.tolist() and got["d"].tolist() == pytest.approx(want["d"].tolist())
+
+
+def test_parts_met_do_not_grow_with_one_feature_far_off():
+    rng = np.random.default_rng(5)
+    x = rng.uniform(0, 7000, (20000, 2))
+
+    def met(right):
+        parts = kd.Parts(right[::5], 9)
+        at = parts.of(right)
+        rows = [(p, *right[at == p].min(axis=0), *right[at == p].max(axis=0), int((at == p).sum())) for p in np.unique(at)]
+        parts.boxed(rows, 2)
+        ask = rng.uniform(0, 7000, (500, 2))
+        row, part = kd.sent(parts, ask, ask, 3, math.inf)
+        assert len(row) == 500
+        near = np.array([np.sort(np.hypot(*(right[at == p] - a).T))[2] for a, p in zip(ask, part, strict=True)])
+        return len(kd.sent(parts, ask, ask, 3, math.inf, near)[0]) / 500
+
+    assert met(np.r_[x, [[1e6, 1e6]]]) < 1.2 * met(x) + 0.2 and met(x) < 6
+
+
 def test_pairs_of_segments_in_all_directions(spark):
     rnd = random.Random(2)
     segs = lambda n, k: [(i, *(rnd.uniform(0, 400) for _ in range(2)), *(rnd.uniform(0, 400) for _ in range(2))) for i in range(n)] + [(90 + k, 7.0, 7.0, 7.0, 7.0)]
@@ -82,8 +116,8 @@ def test_neighbours_on_a_grid_have_no_cap(spark):
         near = sorted((math.hypot(x - u, y - v), j) for j, u, v in good if j != i)[:4]
         want += [(i, j, r + 1) for r, (_, j) in enumerate(near)]
     df = frame(spark, rows, "id long, x double, y double")
-    got = sorted((r["id"], r["other"], r["r"]) for r in stats.grid_neighbours(df, "id", "x", "y", 4, 2.0).collect())
-    assert got == sorted(want) and stats.grid_neighbours(df.limit(0), "id", "x", "y", 4, 2.0).count() == 0
+    got = sorted((r["id"], r["other"], r["r"]) for r in stats.neighbours(df, "id", ["x", "y"], 4).collect())
+    assert got == sorted(want) and stats.neighbours(df.limit(0), "id", ["x", "y"], 4).count() == 0
 
 
 def test_ranks_and_quantiles_by_ranges(spark):
