@@ -54,6 +54,17 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def ids_for_python(df: DataFrame, col: str = "id") -> DataFrame:
+    """Adds <col>_none and puts 0 for null in a column of longs. In pandas a column with nulls turns to doubles, which hold no more than 53 bits."""
+    null = F.col(col).isNull() if df.schema[col].dataType.simpleString() == "bigint" else F.lit(False)
+    return df.withColumn(f"{col}_none", null).withColumn(col, F.when(null, F.lit(0).cast("long")).otherwise(F.col(col)) if df.schema[col].dataType.simpleString() == "bigint" else F.col(col))
+
+
+def ids_from_python(df: DataFrame, col: str = "id") -> DataFrame:
+    """Null again where <col>_none says so."""
+    return df.withColumn(col, F.when(~F.col(f"{col}_none"), F.col(col))).drop(f"{col}_none")
+
+
 def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """The same function over batches, which gives freed memory back to the system when a task ends: Python workers stay
     alive between tasks and stages, and what they keep adds up with the JVM's heap."""

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import lean, saved, small
+from pluvia.llm.common import ids_for_python, ids_from_python, lean, saved, small
 from pluvia.llm.graph import components, forest
 
 
@@ -20,13 +20,13 @@ def _classes(kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for i, label, v in zip(batch["id"], batch["label"], batch["v"], strict=True):
+            for i, none, label, v in zip(batch["id"].tolist(), batch["id_none"].tolist(), batch["label"], batch["v"], strict=True):
                 x = None if v is None else np.array([np.nan if c is None else c for c in v], dtype=kind)
                 ok = x is not None and x.size and label is not None and np.isfinite(x).all() and x.any()
                 data = (x + x.dtype.type(0)).tobytes() if ok else None
                 digest = hashlib.sha1(f"{label}|".encode() + data).digest() if ok else None
-                rows.append((i, label, digest, data))
-            yield pd.DataFrame(rows, columns=["id", "label", "digest", "data"])
+                rows.append((i, none, label, digest, data))
+            yield pd.DataFrame(rows, columns=["id", "id_none", "label", "digest", "data"])
 
     return run
 
@@ -113,9 +113,12 @@ def _links(chunk: pd.DataFrame, threshold: float, how: tuple, kind: str, small_g
             i, j = i[i < j], j[i < j]
             near = np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold
             count(i[near], j[near])
-    out = [(r, n, None, None) for r, n in zip(node.tolist(), links.tolist(), strict=True) if n]
-    out += [(None, None, a, b) for a, b in edges]
-    return pd.DataFrame(out, columns=["node", "links", "a", "b"]).astype("Int64")
+    some, none = np.flatnonzero(links), [None] * len(edges)
+    whole = lambda values: pd.array(values, dtype="Int64")
+    return pd.DataFrame({
+        "node": whole([*node[some].tolist(), *none]), "links": whole([*links[some].tolist(), *none]),
+        "a": whole([*[None] * len(some), *(a for a, _ in edges)]), "b": whole([*[None] * len(some), *(b for _, b in edges)]),
+    })
 
 
 _GROUP = ["bucket", "slot", "p", "q", "label", "dim"]
@@ -164,7 +167,8 @@ def near_duplicate_vectors(
     """
     kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("v"))
-    keyed = saved(rows.mapInPandas(lean(_classes(kind)), "id long, label string, digest binary, data binary"), "vectors")
+    keyed = ids_for_python(rows).mapInPandas(lean(_classes(kind)), "id long, id_none boolean, label string, digest binary, data binary")
+    keyed = saved(ids_from_python(keyed), "vectors")
     classes = (
         keyed.where("digest is not null").groupBy("digest")
         .agg(F.first("label").alias("label"), F.min("id").alias("least"), F.count("*").alias("size"), F.first("data").alias("data"))

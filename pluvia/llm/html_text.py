@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -10,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import lean
+from pluvia.llm.common import ids_for_python, ids_from_python, lean
 
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,6 +60,15 @@ class TreeBuilder(HTMLParser):
         self.root = Node("html", {})
         self.open, self.styles, self.begun, self.body = [self.root], [], False, False
 
+    def parse_marked_section(self, i: int, report: bool = True) -> int:
+        """In HTML a marked section is a comment up to the next >."""
+        return self.parse_bogus_comment(i, report)
+
+    def close(self) -> None:
+        if self.rawdata.startswith(("<!", "<?")):
+            self.rawdata = ""  # a comment without an end takes the rest
+        super().close()
+
     def _close(self, tags: set, stop) -> None:
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
@@ -161,25 +171,34 @@ def _on_screen(at_rule: str) -> bool:
     name, _, rest = at_rule[1:].partition(" ")
     if name.lower() in ("layer", "supports"):
         return True
-    return name.lower() == "media" and any(m.strip().lower() in ("screen", "all", "only screen") for m in rest.split(","))
+    media = [" ".join(m.split()).lower() for m in rest.split(",")]
+    return name.lower() == "media" and any(m in ("screen", "all", "only screen", "not print", "not speech") for m in media)
 
 
 def _rules(sheet: str):
-    """(selectors, body) of the rules that hold for screens, in order; braces nest."""
-    at = 0
-    while (start := sheet.find("{", at)) >= 0:
-        prelude = sheet[at:start].rsplit(";", 1)[-1].strip()
-        depth, end = 1, start + 1
-        while end < len(sheet) and depth:
-            depth += (sheet[end] == "{") - (sheet[end] == "}")
-            end += 1
-        body = sheet[start + 1 : end - 1 if not depth else end]
-        if prelude.startswith("@"):
-            if _on_screen(prelude):
-                yield from _rules(body)
+    """(selectors, body) of the rules that hold for screens, in order; braces nest to any depth."""
+    frames, off, at = [], 0, 0  # open at-rules, how many of them don't hold, where the next prelude begins
+    names, begun, depth = None, 0, 0  # the rule whose body is open
+    for m in re.finditer("[{}]", sheet):
+        if names is not None:
+            depth += 1 if m[0] == "{" else -1
+            if not depth:
+                if not off:
+                    yield names, sheet[begun : m.start()]
+                names, at = None, m.end()
+            continue
+        if m[0] == "}":
+            off -= bool(frames and not frames.pop())
         else:
-            yield prelude, body
-        at = end
+            prelude = sheet[at : m.start()].rsplit(";", 1)[-1].strip()
+            if prelude.startswith("@"):
+                frames.append(_on_screen(prelude))
+                off += not frames[-1]
+            else:
+                names, begun, depth = prelude, m.end(), 1
+        at = m.end()
+    if names is not None and not off:
+        yield names, sheet[begun:]
 
 
 def style_rules(styles: list[str]) -> dict[str, dict[str, tuple]]:
@@ -198,12 +217,13 @@ def style_rules(styles: list[str]) -> dict[str, dict[str, tuple]]:
     return out
 
 
-def visible(node: Node, rules: dict[str, dict[str, tuple]]) -> bool:
-    """Whether an element is shown. What hides it hides all within."""
+def _hides(node: Node, rules: dict[str, dict[str, tuple]]) -> tuple[bool, bool | None]:
+    """Whether an element isn't displayed, and whether it is hidden: null where it says nothing, so that its parent's visibility holds."""
     a = node.attrs
     if node.tag in HIDDEN or (node.tag == "input" and a.get("type", "").lower() == "hidden"):
-        return False
-    state = {"display": (False, -1, -1, "hidden" in a), "visibility": (False, -1, -1, False)}
+        return True, None
+    closed = node.tag == "dialog" and "open" not in a
+    state = {"display": (False, -1, -1, "hidden" in a or closed), "visibility": (False, -1, -1, None)}
     if rules:
         names = [node.tag]
         for c in a.get("class", "").split():
@@ -212,11 +232,39 @@ def visible(node: Node, rules: dict[str, dict[str, tuple]]) -> bool:
             names += [f"#{a['id']}", f"{node.tag}#{a['id']}"]
         for name in names:
             for prop, rule in rules.get(name, {}).items():
-                state[prop] = max(state[prop], rule)
+                if rule[:3] >= state[prop][:3]:
+                    state[prop] = rule
     if "style" in a:
         for prop, (important, hides) in _declared(a["style"]).items():
-            state[prop] = max(state[prop], (important, 1000, 0, hides))
-    return not (state["display"][3] or state["visibility"][3])
+            if (important, 1000, 0) >= state[prop][:3]:
+                state[prop] = (important, 1000, 0, hides)
+    return state["display"][3], state["visibility"][3]
+
+
+def prune(node: Node, rules: dict[str, dict[str, tuple]], hidden: bool = False) -> bool:
+    """Takes away what isn't shown below an element; False if nothing is left of it. Of a closed details only the first summary is shown,
+    and something visible within something hidden stays."""
+    gone, own = _hides(node, rules)
+    if gone:
+        return False
+    hidden = hidden if own is None else own
+    children = node.children
+    if node.tag == "details" and "open" not in node.attrs:
+        children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
+    node.children = [c for c in children if (not hidden if isinstance(c, str) else prune(c, rules, hidden))]
+    return not hidden or any(isinstance(c, Node) for c in node.children)
+
+
+def _width(text: str) -> int:
+    """Columns that a text takes: two for wide characters, none for combining ones."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
+
+
+def _whole(text: str) -> int | None:
+    m = re.match(r"\s*([+-]?[0-9]{1,9})(?![0-9])", text)
+    return int(m[1]) if m else None
 
 
 class Page:
@@ -288,20 +336,20 @@ def _span(cell: Node, name: str, most: int) -> int:
     return min(int(m[1]), most) if m else 1
 
 
-def _table(node: Node, rules: dict) -> list[str]:
+def _table(node: Node) -> list[str]:
     """Rows of cells, each column as wide as its widest cell; lines of a cell stay in its column."""
     caption, rows = [], []
     todo = list(reversed(node.children))
     while todo:
         x = todo.pop()
-        if isinstance(x, str) or not visible(x, rules):
+        if isinstance(x, str):
             continue
         if x.tag in ("thead", "tbody", "tfoot"):
             todo.extend(reversed(x.children))
         elif x.tag == "tr":
-            rows.append([c for c in x.children if isinstance(c, Node) and c.tag in ("td", "th") and visible(c, rules)])
+            rows.append([c for c in x.children if isinstance(c, Node) and c.tag in ("td", "th")])
         elif x.tag == "caption":
-            caption += lay_out(x.children, rules)
+            caption += lay_out(x.children)
     grid: dict[tuple[int, int], list[str]] = {}
     until: dict[int, int] = {}  # by column, the first row that no cell above reaches
     for r, cells in enumerate(rows):
@@ -313,21 +361,22 @@ def _table(node: Node, rules: dict) -> list[str]:
             wide, high = _span(cell, "colspan", 1000) or 1, _span(cell, "rowspan", 65534) or len(rows) - r
             for k in range(c, c + wide):
                 until[k] = max(until.get(k, 0), r + high)
-            grid[r, c] = lay_out(cell.children, rules)
+            grid[r, c] = lay_out(cell.children)
             c += wide
     width: dict[int, int] = {}
     for (_, c), lines in grid.items():
-        width[c] = max(width.get(c, 0), max(map(len, lines), default=0))
+        width[c] = max(width.get(c, 0), max(map(_width, lines), default=0))
     columns = sorted(c for c, w in width.items() if w)
     out = caption
     for r in range(len(rows)):
         cells = [grid.get((r, c), []) for c in columns]
         for i in range(max(map(len, cells), default=0)):
-            out.append("  ".join((x[i] if i < len(x) else "").ljust(width[c]) for x, c in zip(cells, columns, strict=True)).rstrip())
+            line = [x[i] if i < len(x) else "" for x in cells]
+            out.append("  ".join(x + " " * (width[c] - _width(x)) for x, c in zip(line, columns, strict=True)).rstrip())
     return out
 
 
-def lay_out(children: list, rules: dict, keep: bool = False) -> list[str]:
+def lay_out(children: list, keep: bool = False) -> list[str]:
     """The lines that the given nodes make."""
     page, todo = Page(), [(c, keep, None) for c in reversed(children)]
     while todo:
@@ -336,28 +385,28 @@ def lay_out(children: list, rules: dict, keep: bool = False) -> list[str]:
             page.block(after)
         elif isinstance(node, str):
             page.text(node, keep)
-        elif not visible(node, rules):
-            continue
         elif node.tag == "br":
             page.br()
         elif node.tag == "table":
-            _put(page, _table(node, rules), True)
+            _put(page, _table(node), True)
         elif node.tag in ("ul", "ol", "menu", "dir"):
-            start = node.attrs.get("start", "")
-            number, lines = int(start) if start.isdecimal() and len(start) < 9 else 1, []
+            start, lines, down = _whole(node.attrs.get("start", "")), [], "reversed" in node.attrs
+            number = start if start is not None else sum(isinstance(x, Node) and x.tag == "li" for x in node.children) if down else 1
             for item in node.children:
-                if isinstance(item, Node) and visible(item, rules):
+                if isinstance(item, Node):
+                    value = _whole(item.attrs.get("value", ""))
+                    number = value if value is not None and item.tag == "li" else number
                     mark = f"{number}. " if node.tag == "ol" else "- "
                     if item.tag != "li":
-                        lines += _indented(lay_out([item], rules, keep), "  ", "  ")
+                        lines += _indented(lay_out([item], keep), "  ", "  ")
                     else:
-                        lines += _indented(lay_out(item.children, rules, keep), mark, " " * len(mark))
-                        number += 1
+                        lines += _indented(lay_out(item.children, keep), mark, " " * len(mark))
+                        number += -1 if down else 1
                 elif isinstance(item, str) and item.strip():
-                    lines += _indented(lay_out([item], rules), "  ", "  ")
+                    lines += _indented(lay_out([item]), "  ", "  ")
             _put(page, lines, True)
         elif node.tag == "blockquote":
-            _put(page, ["  " + x if x else x for x in lay_out(node.children, rules, keep)], True)
+            _put(page, ["  " + x if x else x for x in lay_out(node.children, keep)], True)
         elif node.tag == "hr":
             _put(page, ["---"], False)
         else:
@@ -373,12 +422,13 @@ def render(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(html or "")
     builder.close()
-    return "\n".join(lay_out(builder.root.children, style_rules(builder.styles)))
+    prune(builder.root, style_rules(builder.styles))
+    return "\n".join(lay_out(builder.root.children))
 
 
 def _render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"id": batch["id"], "text": [render(h) for h in batch["html"]]})
+        yield batch[["id", "id_none"]].assign(text=[render(h) for h in batch["html"]])
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -386,10 +436,11 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
     Null or empty pages: empty text, 0 characters, 0 lines. Text without tags is text. Elements nested deeper
     than 256 hang on the last one within. Text and elements that a table can't hold stand before it. Of style sheets the
-    rules for any screen count: those within print or conditional media don't. Repeated rows and null ids keep their rows. Empty input: no rows.
+    rules for any screen count: those within print or conditional media don't. Visibility is inherited, closed dialogs and details aren't shown
+    (but for the summary), an unclosed comment takes the rest, marked sections are comments. Repeated rows and null ids keep their rows. Empty input: no rows.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
     kind = rows.schema["id"].dataType.simpleString()
-    text = rows.mapInPandas(lean(_render), f"id {kind}, text string")
+    text = ids_from_python(ids_for_python(rows).mapInPandas(lean(_render), f"id {kind}, id_none boolean, text string"))
     lines = F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0)
     return text.select(F.col("id").alias(id_col), "text", F.length("text").cast("long").alias("n_chars"), lines.cast("long").alias("n_lines"))

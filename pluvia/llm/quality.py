@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import lean, saved, small
+from pluvia.llm.common import ids_for_python, ids_from_python, lean, saved, small
 from pluvia.llm.toxicity import held_out
 
 FEATURES = ("log_words", "word_length", "symbols", "upper", "digits", "odd_words", "bars", "distinct", "top_word", "repeated_lines", "line_length", "stops")
@@ -54,7 +54,7 @@ def _evidence(beta: np.ndarray, mean: np.ndarray, scale: np.ndarray):
             x = (np.array([features(t) for t in batch["text"]]).reshape(-1, len(FEATURES)) - mean) / scale
             z = beta[0] + x @ beta[1 : len(FEATURES) + 1] + x**2 @ beta[len(FEATURES) + 1 :]
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pd.DataFrame({"id": batch["id"], "host": batch["host"], "path": batch["path"], "p_doc": p})
+            yield batch[["id", "id_none", "host", "path"]].assign(p_doc=p)
 
     return run
 
@@ -128,7 +128,8 @@ def quality_scores(
     """
     beta, mean, scale = fit_evidence(docs, labels, id_col, text_col, label_col, max_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), host.cast("string").alias("host"), path.cast("string").alias("path"))
-    judged = saved(rows.mapInPandas(lean(_evidence(beta, mean, scale)), "id long, host string, path string, p_doc double"), "evidence")
+    judged = ids_for_python(rows).mapInPandas(lean(_evidence(beta, mean, scale)), "id long, id_none boolean, host string, path string, p_doc double")
+    judged = saved(ids_from_python(judged), "evidence")
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(F.col(label_col).cast("double")).alias("y"))
     soft = judged.join(small(saved(known, "known")), "id", "left").withColumn("e", F.coalesce("y", "p_doc"))

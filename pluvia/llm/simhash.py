@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import lean, saved, small
+from pluvia.llm.common import ids_for_python, ids_from_python, lean, saved, small
 from pluvia.llm.graph import components, forest
 
 
@@ -41,7 +41,7 @@ def _fingerprints(shingle: int, seed: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fp = np.array([fingerprint(t, shingle, seed) for t in batch["text"]], dtype="uint64")
-            yield pd.DataFrame({"id": batch["id"], "th": batch["th"], "fp": fp.view("int64")})
+            yield batch[["id", "id_none", "th"]].assign(fp=fp.view("int64"))
 
     return run
 
@@ -49,7 +49,8 @@ def _fingerprints(shingle: int, seed: int):
 def fingerprint_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
     """One saved row per input row: id, th (xxhash64 of the text, which tells rows with one id apart), fp (64 bits as a long)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
-    return saved(rows.mapInPandas(lean(_fingerprints(shingle, seed)), "id long, th long, fp long"), "fingerprints")
+    marked = ids_for_python(rows).mapInPandas(lean(_fingerprints(shingle, seed)), "id long, id_none boolean, th long, fp long")
+    return saved(ids_from_python(marked), "fingerprints")
 
 
 # A tree compares one block of bits. Blocks (mask, radius) with the sum of (radius + 1) above the distance

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import lean, new_path, saved
+from pluvia.llm.common import ids_for_python, ids_from_python, lean, new_path, saved
 from pluvia.llm.tokens import encode, forget
 
 MAGIC = b"SSTABLE1"
@@ -191,8 +191,7 @@ def _write(folder: str, tokenizer: str, end_id: int):
         part = TaskContext.get().partitionId()
         name, writer, out, store = f"{folder}/part-{part:06d}.sst", None, None, None
         for batch in batches:
-            ids_of = batch["id"].astype(object).where(batch["id"].notna(), None)
-            for doc_id, data in zip(ids_of, encode(batch["text"], tokenizer), strict=True):
+            for doc_id, none, data in zip(batch["id"].tolist(), batch["id_none"].tolist(), encode(batch["text"], tokenizer), strict=True):
                 if writer is None:
                     store, base = _store(folder)
                     store.create_dir(base, recursive=True)
@@ -201,7 +200,7 @@ def _write(folder: str, tokenizer: str, end_id: int):
                     out = store.open_output_stream(unfinished)
                     writer = ShardWriter(out)
                 ids = np.frombuffer(data + struct.pack("<I", end_id), dtype="<u4")
-                writer.add(key_bytes(None if doc_id is None else int(doc_id)), ids)
+                writer.add(key_bytes(None if none else doc_id), ids)
         forget()
         if writer is not None:
             footer = writer.close()
@@ -235,6 +234,7 @@ def write_token_table(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     order = [F.col("id").asc_nulls_first(), F.col("h").asc()]
     sorted_rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text")
+    sorted_rows = ids_for_python(sorted_rows)
     return saved(sorted_rows.mapInPandas(lean(_write(folder, tokenizer, end_id)), _MANIFEST), "manifest")
 
 
@@ -252,8 +252,9 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _frame(rows: list) -> pd.DataFrame:
-    kinds = {"id": "Int64", "start": "int64", "n_tokens": "int64", "crc": "int64"}
-    return pd.DataFrame(rows, columns=list(kinds)).astype(kinds)
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    whole = {c: np.array(v, dtype="int64") for c, v in zip(("start", "n_tokens", "crc"), columns[1:], strict=True)}
+    return pd.DataFrame({"id": pd.array(list(columns[0]), dtype="Int64"), **whole})  # by columns: rows with a null id would go through doubles
 
 
 def read_token_table(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import lean, saved, small
+from pluvia.llm.common import ids_for_python, ids_from_python, lean, saved, small
 from pluvia.llm.words import mix, powers, spaced, word_hashes
 
 #: Words of an anchor phrase. Of the phrases in a window, the one with the smallest hash is its anchor, so equal windows
@@ -145,11 +145,11 @@ def _untouched(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for i, text, copy in zip(batch["id"].astype(object).where(batch["id"].notna(), None), batch["text"], batch["copy"], strict=True):
+            for i, none, text, copy in zip(batch["id"].tolist(), batch["id_none"].tolist(), batch["text"], batch["copy"].tolist(), strict=True):
                 words = (text or "").encode().split()
                 gone = len(words) if copy and len(words) >= window else 0
-                out.append((i, len(words), gone, _digest([] if gone else words)))
-            yield pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_sha256"]).astype({"id": "Int64"})
+                out.append((i, none, len(words), gone, _digest([] if gone else words)))
+            yield pd.DataFrame(out, columns=["id", "id_none", "n_words", "n_removed", "kept_sha256"])
 
     return run
 
@@ -203,7 +203,7 @@ def remove_repeats(
     marked = rows.join(known, (F.col("id") == F.col("i")) & (short == F.col("row")), "left")
     schema = "id long, n_words long, n_removed long, kept_sha256 string"
     plain = marked.where("copy is null or copy").select("id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
-    plain = plain.mapInPandas(lean(_untouched(window)), schema)
+    plain = ids_from_python(ids_for_python(plain).mapInPandas(lean(_untouched(window)), schema.replace("id long", "id long, id_none boolean")))
 
     changed = state.where(~F.col("copy")).select("id", "row")
     total = marked.where(~F.col("copy")).agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -160,8 +160,14 @@ def encode(texts, path: str):
     held, size = [], 0
     for text in texts:
         data = (text or "").encode()
-        # special strings count as written, so case is folded only where there can be none
-        held.append(data.split() if b"<|" in data else data.lower().split())
+        # special strings count as written, so case is folded only where there can be none; and a capital before a combining mark may
+        # have no composed form where its small letter has one, so words with marks (U+0300 to U+036F) are left to the library as well
+        if b"<|" in data:
+            held.append(data.split())
+        elif b"\xcc" in data or b"\xcd" in data:
+            held.append([w if b"\xcc" in w or b"\xcd" in w else w.lower() for w in data.split()])
+        else:
+            held.append(data.lower().split())
         size += len(held[-1])
         if size >= CHUNK_WORDS:
             yield from _joined(path, cache, held)

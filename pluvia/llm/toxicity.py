@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import give_back, lean, saved
+from pluvia.llm.common import give_back, ids_for_python, ids_from_python, lean, saved
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
@@ -154,7 +154,7 @@ def _score(model: ToxicityModel, least: float):
                 low = (text or "").lower()
                 whole = text if len(low) == len(text or "") else low
                 spans.append([{"start": s, "end": e, "p": p, "sentence": whole[s:e].strip()} for s, e, p in found if p >= least])
-            yield pd.DataFrame({"id": batch["id"], "score": scores, "offending": spans})
+            yield batch[["id", "id_none"]].assign(score=scores, offending=spans)
 
     return run
 
@@ -169,7 +169,7 @@ def score_toxicity(
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInPandas(lean(_score(model, threshold)), f"id {kind}, score double, offending {_SPANS}")
+    scored = ids_from_python(ids_for_python(rows).mapInPandas(lean(_score(model, threshold)), f"id {kind}, id_none boolean, score double, offending {_SPANS}"))
     return scored.select(
         F.col("id").alias(id_col), held_out("id").alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"), "offending",

@@ -101,6 +101,15 @@ def test_encode_equals_the_library_on_random_texts():
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_encode_equals_the_library_on_capitals_with_combining_marks():
+    rnd, tokenizer = random.Random(10), Tokenizer.from_file(WORD)
+    letters = "TJHWYtjhwyAaİıSsΩω"
+    marks = [chr(c) for c in (0x300, 0x301, 0x302, 0x304, 0x307, 0x308, 0x30A, 0x30C, 0x323, 0x327, 0x331, 0x345)]
+    word = lambda: "".join(rnd.choice(letters) + rnd.choice(["", *marks]) for _ in range(rnd.randrange(1, 4))) + rnd.choice(["", "", ".", "!?"])
+    for text in [" ".join(word() for _ in range(rnd.randrange(1, 5))) for _ in range(5_000)] + ["T\u0308", "J\u030c x", "H\u0331.", "W\u030a Y\u030a"]:
+        assert np.frombuffer(next(encode([text], WORD)), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_words_are_encoded_apart_by_what_the_file_says(tmp_path):
     assert wordwise(WORD) and not wordwise(public_tokenizers.path("byte_bpe_50k.json")) and not wordwise(public_tokenizers.path("piece_bpe_32k.model"))
     other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
