@@ -83,16 +83,15 @@ def within_month_ratio(table: DataFrame, key: str, n: str = "n", wet: float = WE
 def within_month_interval(table: DataFrame, key: str, n: str = "n", n_boot: int = 2000, lo: float = 5, hi: float = 95, seed: int = 42) -> DataFrame:
     """Ratio of summed wet to summed dry means, with a percentile bootstrap over whole months.
 
-    Draws are made by integer arithmetic on (draw, slot), so they don't depend on partitions. Only the months'
-    table (one row per series and month) is drawn from: n_boot x months rows, summed at once.
+    Each draw of a month is the first 60 bits of md5 of (seed, draw, slot), so draws are independent of each other and of the
+    partitions. Only the months' table (one row per series and month) is drawn from: n_boot x months rows, summed at once.
     """
     months = within_month_ratio(table, key, n).select(key, "year_month", "wet", "dry")
     w = Window.partitionBy(key).orderBy("year_month")
     ranked = months.withColumn("slot", F.row_number().over(w) - 1).withColumn("m", F.count("*").over(Window.partitionBy(key)))
     slots = ranked.select(key, "slot", "m").withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))))
-    mixed = (F.col("draw").cast("long") * 1103515245 + F.col("slot").cast("long") * 12345 + seed) % 2147483647
-    mixed = (mixed * 48271 + F.col("slot").cast("long") * 69621) % 2147483647
-    picked = slots.select(key, "draw", (mixed % F.col("m")).cast("int").alias("slot"))
+    drawn_bits = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), "draw", "slot").cast("binary")), 1, 15), 16, 10).cast("long")
+    picked = slots.select(key, "draw", (drawn_bits % F.col("m")).cast("int").alias("slot"))
     drawn = picked.join(ranked.select(key, "slot", "wet", "dry"), [key, "slot"]).groupBy(key, "draw").agg(F.sum("wet").alias("w"), F.sum("dry").alias("d"))
     ratios = drawn.where("d > 0").select(key, (F.col("w") / F.col("d")).alias("r"))
     bounds = ratios.groupBy(key).agg(F.percentile("r", F.lit(lo / 100)).alias("low"), F.percentile("r", F.lit(hi / 100)).alias("high"))

@@ -91,7 +91,7 @@ def _(t):
 
 
 BOOT = """, rk AS (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY ym) - 1 AS slot, count(*) OVER (PARTITION BY {k}) AS m FROM wm),
-dr AS (SELECT {k}, draw, (((draw * 1103515245 + slot * 12345 + 42) % 2147483647 * 48271 + slot * 69621) % 2147483647 % m) AS pick FROM rk CROSS JOIN (SELECT unnest(range(2000))::BIGINT AS draw)),
+dr AS (SELECT {k}, draw, (('0x' || substr(md5(concat('42-', draw, '-', slot)), 1, 15))::BIGINT % m) AS pick FROM rk CROSS JOIN (SELECT unnest(range(2000))::BIGINT AS draw)),
 bs AS (SELECT dr.{k}, draw, sum(wet) / sum(dry) AS r FROM dr JOIN rk ON dr.{k} = rk.{k} AND dr.pick = rk.slot GROUP BY ALL HAVING sum(dry) > 0),
 q AS (SELECT {k}, quantile_cont(r, 0.05) AS low, quantile_cont(r, 0.95) AS high FROM bs GROUP BY 1)"""
 

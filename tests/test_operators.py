@@ -295,3 +295,18 @@ def test_overlaps_against_points(spark):
     df = frame(spark, [(i, p) for i, p in enumerate(polys)], "id long, rings array<array<struct<x:double,y:double>>>")
     both = geo.polygon_overlap_area(df, "id", df.withColumnRenamed("id", "other"), "other", cell=3.0)
     assert {(r["id"], r["other"]): r["m2"] for r in both.collect()} == pytest.approx({k: v for k, v in zip(pairs, got, strict=True) if v > 1e-6})
+
+
+@pytest.mark.parametrize("n", [12, 36, 80])
+def test_bootstrap_widths_are_those_of_independent_draws(spark, n):
+    rng = np.random.default_rng(n)
+    tables = {f"s{k}": (rng.gamma(2, 3, n), rng.gamma(2, 2, n)) for k in range(12)}
+    rows = [(s, pd.Timestamp(2000 + i // 12, i % 12 + 1, d).date(), mm, float(x)) for s, (wet, dry) in tables.items() for i in range(n) for d, mm, x in ((1, 20.0, wet[i]), (2, 0.0, dry[i]))]
+    df = frame(spark, rows, "s string, date date, recent_max_mm double, n double").withColumn("year_month", F.trunc("date", "month"))
+    got = {r["s"]: r["high"] - r["low"] for r in events.within_month_interval(df, "s").collect()}
+    ratio = []
+    for s, (wet, dry) in tables.items():
+        picks = rng.integers(0, n, (20_000, n))
+        low, high = np.percentile(wet[picks].sum(axis=1) / dry[picks].sum(axis=1), [5, 95])
+        ratio.append(got[s] / (high - low))
+    assert abs(np.mean(ratio) - 1) < 0.05 and max(abs(r - 1) for r in ratio) < 0.12
