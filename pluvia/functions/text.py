@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvia.sources.rounds import settled
+
 # Rules for notices in Spanish (lower case).
 FUTURE_RESTORE = r"(?:ser[aá]n?|ser|quedar[aá]n?|estar[aá]n?|empezar[aá]n?\s+a\s+ser)\s+restablecid\w*|se\s+restablecer[aá]n?"
 EVENT_RULES = (
@@ -150,20 +152,21 @@ def dictionary_mentions(docs: DataFrame, key: str, fields: dict[str, str], catal
     heads = names.groupBy(F.col("words")[0].alias("head")).agg(F.max(F.size("words")).alias("longest"))
     long = F.explode(F.array(*[F.struct(F.lit(label).alias("field"), normalize_name(F.col(c)).alias("text")) for c, label in fields.items()]))
     texts = docs.select(F.col(key), long.alias("_f")).select(key, "_f.*").where("text <> ''").withColumn("th", F.xxhash64("text"))
-    # a name can begin only where its first word stands; only there are grams made
+    # a name can begin only where its first word stands; these places go back to their text together, so no text is copied per place
     words = texts.select(key, "field", "th", F.posexplode(F.split("text", " ")).alias("pos", "head"))
-    texts = texts.withColumn("tokens", F.split("text", " ")).drop("text")
     here = [key, "field", "th"]
-    starts = words.join(heads, "head").groupBy(*here, "pos").agg(F.max("longest").alias("longest")).join(texts.dropDuplicates(here), here)
-    grams = starts.select(*here, "pos", F.inline(F.expr("transform(sequence(1, least(longest, size(tokens) - pos)), n -> struct(n, array_join(slice(tokens, pos + 1, n), ' ') AS name))")))
+    starts = words.join(heads, "head").groupBy(*here).agg(F.collect_set(F.struct("pos", "longest")).alias("starts"))
+    texts = texts.withColumn("tokens", F.split("text", " ")).drop("text")
+    # `lookback` characters take no more words than that
+    before = f"IF(s.pos = 0, '', right(concat(array_join(slice(tokens, greatest(s.pos - {lookback - 1}, 1), least(s.pos, {lookback})), ' '), ' '), {lookback}))"
+    gram = f"n -> struct(s.pos AS pos, n AS n, array_join(slice(tokens, s.pos + 1, n), ' ') AS name, {before} AS before)"
+    grams = starts.join(texts, here).select(*here, F.inline(F.expr(f"flatten(transform(starts, s -> transform(sequence(1, least(s.longest, size(tokens) - s.pos)), {gram})))")))
     hits = grams.join(names.select("name"), "name")
     order = F.col("n") if prefer == "first" else -F.col("n")
-    per = hits.groupBy(*here).agg(F.sort_array(F.collect_list(F.struct("pos", order.alias("o"), "n", "name"))).alias("all"))
-    fold = """aggregate(all, struct(0 AS end, cast(array() AS array<struct<pos:int,name:string>>) AS kept),
-        (acc, h) -> IF(h.pos >= acc.end, struct(h.pos + h.n AS end, concat(acc.kept, array(struct(h.pos AS pos, h.name AS name))) AS kept), acc)).kept"""
-    kept = per.select(*here, F.explode(F.expr(fold)).alias("_k")).select(*here, "_k.pos", "_k.name")
-    before = F.expr(f"right(concat(array_join(slice(tokens, 1, pos), ' '), ' '), {lookback})")
-    placed = kept.join(texts.dropDuplicates(here), here).withColumn("before", F.when(F.col("pos") > 0, before).otherwise(""))
+    per = hits.groupBy(*here).agg(F.sort_array(F.collect_list(F.struct("pos", order.alias("o"), "n", "name", "before"))).alias("all"))
+    fold = """aggregate(all, struct(0 AS end, cast(array() AS array<struct<name:string,before:string>>) AS kept),
+        (acc, h) -> IF(h.pos >= acc.end, struct(h.pos + h.n AS end, concat(acc.kept, array(struct(h.name AS name, h.before AS before))) AS kept), acc)).kept"""
+    placed = per.select(*here, F.explode(F.expr(fold)).alias("_k")).select(*here, "_k.name", "_k.before")
     free = placed.where(~F.col("before").rlike(STREET_MARKER)).withColumn("marked", F.col("before").rlike(PLACE_MARKER))
     both = free.groupBy(key, "name").agg(F.max("marked").alias("marked"), F.sort_array(F.collect_set("field")).alias("seen"))
     source = F.when(F.size("seen") > 1, "ambos").otherwise(F.col("seen")[0])
@@ -197,21 +200,57 @@ def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def _bigrams(c: str) -> Column:
+    """Pairs of letters that follow each other, each with how often it stood before: a set, where the text has a bag."""
+    pairs = f"IF(length({c}) < 2, cast(array() AS array<string>), transform(sequence(1, length({c}) - 1), i -> substring({c}, i, 2)))"
+    return F.expr(f"transform({pairs}, (x, i) -> concat(x, size(filter(slice({pairs}, 1, i), y -> y = x))))")
+
+
+def _shared_bigrams(a: Column, b: Column, cutoff: float, mode: str) -> Column:
+    """How many bigrams names of a and b letters share at least, if their similarity reaches the cutoff.
+
+    Matching blocks hold m = cutoff (a + b) / 2 letters at least; there are at most a + b - 2 m letters outside, one of which stands between
+    any two blocks, and a block of n letters has n - 1 bigrams. An edit undoes two bigrams at most."""
+    if mode == "levenshtein":
+        longest = F.greatest(a, b)
+        return longest - 1 - 2 * F.floor((1 - cutoff) * longest + 1e-9)
+    return 3 * F.ceil(cutoff * (a + b) / 2 - 1e-9) - (a + b) - 1
+
+
+def similar_candidates(names: DataFrame, name: str, catalog: DataFrame, other: str, cutoff: float, mode: str = "ratio") -> DataFrame:
+    """(name, other): distinct pairs that may reach the cutoff, by an inverted index of bigrams.
+
+    Bigrams are put in one order, the rarest first. Of n bigrams of which t must be shared, one of the first n - t + 1 must be, on either side; t
+    follows from the two lengths, so names meet by (both lengths, bigram). Lengths for which no bigram need be shared meet as such.
+    """
+    low, high = (cutoff, 1 / cutoff) if mode == "levenshtein" else (cutoff / (2 - cutoff), (2 - cutoff) / cutoff)
+    # written once: both sides are read for the order of bigrams and for the keys
+    left, right = settled(names.select(name).distinct().where(F.length(name) > 0)), settled(catalog.select(other).distinct().where(F.length(other) > 0))
+    bags = [df.select(c, F.explode(_bigrams(f"`{c}`")).alias("_sc_t")) for df, c in ((left, name), (right, other))]
+    often = bags[0].select("_sc_t").unionByName(bags[1].select("_sc_t")).groupBy("_sc_t").agg(F.count("*").alias("_sc_n"))
+
+    def prefixes(df: DataFrame, c: str, bag: DataFrame, first: bool) -> DataFrame:
+        ordered = bag.join(often, "_sc_t").groupBy(c).agg(F.sort_array(F.collect_list(F.struct("_sc_n", "_sc_t"))).alias("_sc_s"))
+        own = F.length(c)
+        span = F.sequence(F.ceil(own * low - 1e-9).cast("int"), F.floor(own * high + 1e-9).cast("int"))
+        rows = df.join(ordered, c, "left").select(c, "_sc_s", own.alias("_sc_own"), F.explode(span).alias("_sc_far"))
+        a, b = ("_sc_own", "_sc_far") if first else ("_sc_far", "_sc_own")
+        t = _shared_bigrams(F.col(a), F.col(b), cutoff, mode)
+        held = F.coalesce(F.size("_sc_s"), F.lit(0)) - t + 1
+        keys = F.when(t <= 0, F.array(F.lit(""))).when((held > 0) & F.col("_sc_s").isNotNull(), F.transform(F.slice("_sc_s", F.lit(1), F.greatest(held, F.lit(0)).cast("int")), lambda x: x["_sc_t"]))
+        return rows.select(c, F.col(a).alias("_sc_a"), F.col(b).alias("_sc_b"), F.explode(keys).alias("_sc_t"))
+
+    return prefixes(left, name, bags[0], True).join(prefixes(right, other, bags[1], False), ["_sc_a", "_sc_b", "_sc_t"]).select(name, other).distinct()
+
+
 def similar_pairs(names: DataFrame, name: str, catalog: DataFrame, other: str, cutoff: float, mode: str = "ratio", catalog_first: bool = False) -> DataFrame:
     """(name, other, score) of all distinct pairs with similarity at least cutoff.
 
-    Only names whose lengths allow the cutoff meet: each name is joined on the lengths that it can match, by equality.
-    Pairs whose letter counts can't reach it are left out before any score is taken. mode 'ratio' is matching blocks,
-    'levenshtein' is 1 - distance / longer length. Matching blocks depend on which side comes first: the name, or with
-    `catalog_first` the catalog's.
+    Pairs come from an index of bigrams (`similar_candidates`), which loses none; those whose letter counts can't reach the cutoff are left
+    out before any score is taken. mode 'ratio' is matching blocks, 'levenshtein' is 1 - distance / longer length. Matching blocks depend on
+    which side comes first: the name, or with `catalog_first` the catalog's. Null and empty names match nothing.
     """
-    low, high = cutoff / (2 - cutoff), (2 - cutoff) / cutoff
-    if mode == "levenshtein":
-        low, high = cutoff, 1 / cutoff
-    span = F.sequence(F.ceil(F.length(name) * low).cast("int"), F.floor(F.length(name) * high).cast("int"))
-    left = names.select(name).distinct().where(F.length(name) > 0).withColumn("_len", F.explode(span))
-    right = catalog.select(other).distinct().withColumn("_len", F.length(other))
-    pairs = left.join(right, "_len")
+    pairs = similar_candidates(names, name, catalog, other, cutoff, mode)
     if mode == "levenshtein":
         score = 1 - F.levenshtein(name, other) / F.greatest(F.length(name), F.length(other))
         return pairs.withColumn("score", score).where(F.col("score") >= cutoff).select(name, other, "score")
@@ -235,12 +274,14 @@ def street_candidates(names: DataFrame, name: str, streets: DataFrame, street: s
     variants = F.array_distinct(F.array_compact(F.array(gram, *bare)))
     tried = cuts.select(name, F.col("c.cut").alias("cut"), F.explode(variants).alias("gram")).where("gram <> ''")
     index = streets.select(street).distinct().withColumn("_w", F.split(street, " ")).select(street, F.explode(F.expr("flatten(transform(sequence(1, size(_w)), i -> transform(sequence(i, size(_w)), j -> array_join(slice(_w, i, j - i + 1), ' '))))")).alias("gram")).distinct()
-    hits = tried.join(index, "gram").select(name, "cut", street).distinct()
+    hits = settled(tried.join(index, "gram").select(name, "cut", street).distinct())
     best = hits.groupBy(name).agg(F.max("cut").alias("cut"))
     exact = hits.join(best, [name, "cut"]).select(name, street)
     if not fuzzy:
         return exact
-    left = keyed.join(best, name, "left_anti").where("_key <> ''")
+    left = settled(keyed.join(best, name, "left_anti").where("_key <> ''"))
+    if left.isEmpty():
+        return exact
     near = similar_pairs(left, "_key", streets, street, cutoff, catalog_first=True)
     top = near.groupBy("_key").agg(F.max(F.struct("score", F.col(street).alias("v"))).alias("b"))
     return exact.unionByName(left.join(top, "_key").select(name, F.col("b.v").alias(street)))
@@ -296,7 +337,6 @@ def truncated_svd(entries: DataFrame, key: str, term: str, weight: str, k: int)
     from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 
     from pluvia.operators.ranks import numbered
-    from pluvia.sources.rounds import settled
 
     entries = entries.where(F.col(key).isNotNull())
     terms = numbered(entries.select(term).distinct(), [term], "_i")

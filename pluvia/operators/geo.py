@@ -524,10 +524,12 @@ def link_midpoint(p: str = "", q: str = "o") -> tuple[Column, Column]:
 def locate_expressions(expressions: DataFrame, expr: str, streets: DataFrame, street: str, tol: float = 50.0) -> DataFrame:
     """(expr, cross, x, y, gap) for each crossing named in each distinct expression: parsed, both names resolved to streets, and
     their meeting points found. One plan for all expressions."""
-    parsed = expressions.select(expr).distinct().withColumn("_s", parse_crossing(F.col(expr))).where("_s is not null")
+    from pluvia.sources.rounds import settled
+
+    parsed = settled(expressions.select(expr).distinct().withColumn("_s", parse_crossing(F.col(expr))).where("_s is not null"))
     crosses = parsed.select(expr, F.col("_s")[0].alias("main"), F.explode(F.slice("_s", F.lit(2), F.size("_s") - 1)).alias("cross"))
     names = crosses.select(F.col("main").alias("name")).union(crosses.select("cross"))
-    cands = street_candidates(names, "name", streets, street)
+    cands = settled(street_candidates(names, "name", streets, street))
     first = cands.withColumnsRenamed({"name": "main", street: "_a"})
     second = cands.withColumnsRenamed({"name": "cross", street: "_b"})
     pairs = crosses.join(first, "main").join(second, "cross").select(expr, "cross", "_a", "_b")
@@ -537,6 +539,9 @@ def locate_expressions(expressions: DataFrame, expr: str, streets: DataFrame, st
 def locate_mentions(crossings: DataFrame, expr: str, streets: DataFrame, street: str, polygons: DataFrame, poly: str) -> DataFrame:
     """Adds lat, lon (6 decimals), polygon id, gap and match_method (cruce_geocodificado or unmatched) to crossing mentions.
     The place is the mean of the distinct points of an expression; its polygon the nearest one."""
+    from pluvia.sources.rounds import settled
+
+    crossings = settled(crossings)
     spots = locate_expressions(crossings, expr, streets, street).withColumn("_x", F.round("x", 1)).withColumn("_y", F.round("y", 1))
     spots = spots.groupBy(expr, "_x", "_y").agg(F.min(F.struct("x", "y")).alias("p"), F.max("gap").alias("gap"))
     centre = spots.groupBy(expr).agg(F.avg("p.x").alias("x"), F.avg("p.y").alias("y"), F.max("gap").alias("gap"))

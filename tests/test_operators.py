@@ -310,3 +310,46 @@ def test_bootstrap_widths_are_those_of_independent_draws(spark, n):
         low, high = np.percentile(wet[picks].sum(axis=1) / dry[picks].sum(axis=1), [5, 95])
         ratio.append(got[s] / (high - low))
     assert abs(np.mean(ratio) - 1) < 0.05 and max(abs(r - 1) for r in ratio) < 0.12
+
+
+@pytest.mark.parametrize("mode,cutoff", [("ratio", 0.85), ("ratio", 0.7), ("ratio", 0.55), ("levenshtein", 0.8), ("levenshtein", 0.5)])
+def test_similar_pairs_lose_none_and_meet_few(spark, mode, cutoff):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("ABCDEILNORSTU") for _ in range(rnd.randrange(1, 9)))
+    base = [" ".join(word() for _ in range(rnd.randrange(1, 4))) for _ in range(150)]
+
+    def typo(x):
+        for _ in range(rnd.randrange(0, 4)):
+            i = rnd.randrange(len(x) + 1)
+            x = rnd.choice([x[:i] + rnd.choice("AEX ") + x[i:], x[:i] + x[i + 1 :], x[:i] + rnd.choice("AEX") + x[i + 1 :]])
+        return x
+
+    left, right = sorted({typo(rnd.choice(base)) for _ in range(160)} | {"A", "AB", "AAAA", "AAAAAA"}), sorted(set(base) | {"A", "B", "AAAAA"})
+    one, two = frame(spark, [(x,) for x in left] + [(None,), (left[0],)], "a string"), frame(spark, [(x,) for x in right] + [(None,)], "b string")
+
+    def alike(x, y):
+        if mode == "ratio":
+            return difflib.SequenceMatcher(None, x, y).ratio()
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            last, row = row, [i]
+            for j, d in enumerate(y, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (c != d)))
+        return 1 - row[-1] / max(len(x), len(y))
+
+    want = sorted((x, y) for x in left for y in right if x and y and alike(x, y) >= cutoff)
+    got = sorted((r["a"], r["b"]) for r in tx.similar_pairs(one, "a", two, "b", cutoff, mode).collect())
+    assert got == want
+    if cutoff >= 0.8:
+        met = tx.similar_candidates(one, "a", two, "b", cutoff, mode).count()
+        assert len(want) <= met < 0.15 * len(left) * len(right)
+
+
+def test_mentions_in_a_long_text(spark):
+    words = ["villa"] * 10_000 + ["otra"] * 30_000
+    random.Random(3).shuffle(words)
+    words[500:502] = ["villa", "dorada"]
+    catalog = frame(spark, [("VILLA DORADA", 1), ("VILLAS DEL SUR", 2)], "name string, cid long")
+    docs = frame(spark, [(1, " ".join(words)), (1, " ".join(words)), (2, "calle villa dorada"), (3, "col villa dorada, otra"), (None, "villa dorada"), (4, None)], "id long, t string")
+    got = sorted((r["id"], r["raw_text"], r["match_method"]) for r in tx.dictionary_mentions(docs, "id", {"t": "t"}, catalog, "name", "cid").collect())
+    assert got == [(1, "VILLA DORADA", "colonia_en_catalogo"), (3, "VILLA DORADA", "colonia_con_marcador")]
