@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,23 @@ def _unit(data, kind: str) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def meeting(distance: float, width: float) -> float:
+    """Probability that two vectors at a distance fall into one step of a projection."""
+    c = width / distance
+    return math.erf(c / math.sqrt(2)) - math.sqrt(2 / math.pi) / c * (1 - math.exp(-c * c / 2))
+
+
+def plan(classes: int, threshold: float, width: float = 1.5, miss: float = 1e-3) -> tuple[int, int, float]:
+    """(tables, projections, width) for the largest group of vectors that are compared with each other: as many projections as leave n^-0.1 unlike
+    vectors in a bucket (steps are widened until it is that), and tables so that a pair at the threshold meets in none with probability `miss` at most."""
+    unlike, n = math.sqrt(2), max(classes, 1) ** 1.1
+    projections = max(6, math.ceil(math.log(n) / -math.log(meeting(unlike, width))))
+    while meeting(unlike, width * 1.005) ** projections * n <= 1 and width < 2:
+        width *= 1.005
+    near = meeting(math.sqrt(2 - 2 * threshold), width)
+    return math.ceil(math.log(miss) / math.log1p(-(near**projections))), projections, width
+
+
 def signatures(unit: np.ndarray, tables: int, projections: int, width: float, seed: int) -> np.ndarray:
     """int64 [rows, tables]: in each table, a mix of the quantised projections floor((a.v + b) / width)."""
     rng = np.random.default_rng([seed, unit.shape[1]])
@@ -148,14 +166,15 @@ def _pairs(threshold: float, how: tuple, kind: str):
 
 def near_duplicate_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93,
-    tables: int = 24, projections: int = 6, width: float = 1.5, seed: int = 7, block_rows: int = 2048,
+    seed: int = 7, block_rows: int = 2048,
 ) -> DataFrame:
     """One row per input row: id, n_links (other rows linked directly), component_id (smallest id reachable), kept.
 
     Two vectors link if their labels are equal and not null and their cosine in double precision is at least
     `threshold`. Equal vectors are one class and are counted, not paired. Each class falls into one bucket of
-    each of `tables` hash tables; every pair of classes in a bucket is compared. With the defaults a pair at
-    cosine 0.93 meets in some table with probability 0.999, a closer pair more often.
+    each hash table; every pair of classes in a bucket is compared. Projections grow with the logarithm of the largest label's classes and
+    the tables with them (`plan`), so the work grows as the rows to the power 1.25 and not 2; a pair at the threshold meets in some
+    table with probability 0.999, a closer pair more often.
     Buckets above `block_rows` rows are compared as pairs of blocks in tasks of their own.
 
     Only buckets of two or more classes get their vectors, in the precision of the column.
@@ -175,7 +194,8 @@ def near_duplicate_vectors(
     )
     # numbers of their own: ids may be null or name several vectors. Saved, so that they stay as they are
     classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    how = (tables, projections, width, seed)
+    largest = classes.groupBy("label", F.length("data")).count().agg(F.max("count")).first()[0] or 0
+    how = (*plan(largest, threshold), seed)
     buckets = classes.select("label", "node", "data").mapInPandas(lean(_buckets(how, kind)), "node long, slot int, bucket long")
     buckets = saved(buckets, "buckets")
     # buckets of one class have no pair; large ones are cut into blocks

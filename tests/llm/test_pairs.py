@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from pluvia.llm.decontamination import contaminated_documents
-from pluvia.llm.embedding_dedup import near_duplicate_vectors
+from pluvia.llm.embedding_dedup import near_duplicate_vectors, plan, signatures
 from pluvia.llm.graph import components, forest
 from pluvia.llm.simhash import blocks_for, dealt_to_shards, fingerprint, linked_fingerprints, near_duplicate_groups, plant, route, search
 from pluvia.llm.substring_dedup import remove_repeats
@@ -56,6 +56,31 @@ def test_vectors_against_brute_force(spark):
     assert got == sorted((r[0], n_links.get(r[0], 0), top[r[0]], top[r[0]] == r[0]) for r in rows)
 
 
+def test_comparisons_of_vectors_grow_less_than_their_square():
+    rng = np.random.default_rng(6)
+
+    def met(n):
+        unit = rng.standard_normal((n, 64))
+        sig = signatures(unit / np.linalg.norm(unit, axis=1, keepdims=True), *plan(n, 0.93), 7)
+        return sum(int((c * (c - 1) // 2).sum()) for t in sig.T for c in [np.unique(t, return_counts=True)[1]])
+
+    small, large = met(2000), met(8000)
+    assert large < 6 * small and large < 0.01 * 8000 * 8000 / 2
+
+
+def test_tables_find_pairs_at_the_threshold():
+    rng = np.random.default_rng(7)
+    for n in (500, 5000, 100_000):
+        x = rng.standard_normal((600, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y = rng.standard_normal((600, 64))
+        y -= (x * y).sum(axis=1, keepdims=True) * x
+        y /= np.linalg.norm(y, axis=1, keepdims=True)
+        how = (*plan(n, 0.93), 7)
+        hit = (signatures(x, *how) == signatures(0.93 * x + np.sqrt(1 - 0.93**2) * y, *how)).any(axis=1)
+        assert hit.mean() >= 0.99
+
+
 def test_vectors_with_null_and_repeated_ids(spark):
     a, near, far, lone = [1.0, 0.0, 0.2], [1.0, 0.05, 0.2], [0.0, 1.0, 0.0], [-1.0, 0.3, 0.3]
     rows = [(None, a, 1), (None, a, 1), (7, near, 1), (9, near, 1), (7, far, 1), (3, far, 1), (None, lone, 1), (None, None, 1)]
