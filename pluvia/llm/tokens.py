@@ -30,7 +30,7 @@ _SPECIAL = "<|"
 _END = "</w>"
 
 #: Words that a worker keeps encoded within a task, and between tasks. The words met first stay, which are the common ones.
-CACHE_WORDS, KEPT_WORDS = 500_000, 300_000
+CACHE_WORDS, KEPT_WORDS = 250_000, 100_000
 #: Words of the texts that are looked up together, and encoded together.
 CHUNK_WORDS, PART_WORDS = 50_000, 4096
 
