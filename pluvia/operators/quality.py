@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pluvia.operators.ranks import quantiles
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DoubleType, FloatType, MapType, NumericType, StringType, StructType, TimestampType
 
 
 @dataclass(frozen=True)
@@ -101,21 +101,42 @@ def require_valid(report: DataFrame) -> None:
         raise ValueError(f"broken: {broken}")
 
 
+def _as_text(c: Column, kind: DataType) -> Column:
+    """A text that two values share if and only if they are equal."""
+    if isinstance(kind, (FloatType, DoubleType)):
+        return (c + F.lit(0.0)).cast("string")  # -0.0 equals 0.0
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(c).cast("string")  # texts of instants repeat where clocks go back
+    if isinstance(kind, BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (ArrayType, StructType)):
+        return F.to_json(c, {"ignoreNullFields": "false"})
+    return c.cast("string")
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """(i, n): distinct values of the i-th column that aren't null. Rows become narrow (column, value) pairs, which are summed up in each task before
+    they are dealt by both, so no row is copied whole and one common value doesn't gather."""
+    values = F.array(*[F.struct(F.lit(i).alias("i"), _as_text(F.col(f"`{f.name}`"), f.dataType).alias("v")) for i, f in enumerate(df.schema.fields)])
+    return df.select(F.inline(values)).where("v is not null").groupBy("i", "v").agg(F.lit(1).alias("one")).groupBy("i").agg(F.count("*").alias("n"))
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """Per column: type, null percentage, exact distinct values, min and max (hidden for text)."""
     flat = [(f.name, f.dataType) for f in df.schema.fields]
-    text = lambda t: isinstance(t, StringType)
+    ordered = lambda t: not isinstance(t, (StringType, MapType))
     aggs = [F.count("*").alias("_n")]
     for i, (c, t) in enumerate(flat):
-        aggs += [F.count(F.col(c)).alias(f"c{i}"), F.count_distinct(F.col(c)).alias(f"d{i}")]
-        aggs += [] if text(t) else [F.min(c).cast("string").alias(f"a{i}"), F.max(c).cast("string").alias(f"b{i}")]
+        aggs.append(F.count(F.col(f"`{c}`")).alias(f"c{i}"))
+        aggs += [F.min(f"`{c}`").cast("string").alias(f"a{i}"), F.max(f"`{c}`").cast("string").alias(f"b{i}")] if ordered(t) else []
     hidden = F.lit(None).cast("string")
     rows = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(t.simpleString()).alias("type"), (100.0 * F.try_divide(F.col("_n") - F.col(f"c{i}"), F.col("_n"))).alias("null_percent"), F.col(f"d{i}").alias("n_distinct"),
-                 (hidden if text(t) else F.col(f"a{i}")).alias("min"), (hidden if text(t) else F.col(f"b{i}")).alias("max"))
+        F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.lit(t.simpleString()).alias("type"), (100.0 * F.try_divide(F.col("_n") - F.col(f"c{i}"), F.col("_n"))).alias("null_percent"),
+                 (F.col(f"a{i}") if ordered(t) else hidden).alias("min"), (F.col(f"b{i}") if ordered(t) else hidden).alias("max"))
         for i, (c, t) in enumerate(flat)
     ])
-    return df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
+    known = df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
+    return known.join(F.broadcast(distinct_counts(df)), "i", "left").select("column", "type", "null_percent", F.coalesce("n", F.lit(0)).cast("long").alias("n_distinct"), "min", "max")
 
 
 def data_dictionary(df: DataFrame, descriptions: dict[str, str], grain: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -84,18 +85,46 @@ def refresh_partitions(df: DataFrame, path: str, part: str, current: list) -> No
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path (any that Spark reads) and a function from text to its paths."""
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    return new(path).getFileSystem(spark._jsc.hadoopConfiguration()), new
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts the previous table back if a swap broke off after it was set aside."""
+    files, at = _files(spark, path)
+    if not files.exists(at(path)) and files.exists(at(path + ".previous")):
+        files.rename(at(path + ".previous"), at(path))
+
+
 def write_validated(df: DataFrame, check: Callable[[DataFrame], DataFrame], path: str) -> None:
-    """Writes only if the check's report has no row; the report's first rows are the error. The rows are saved first and what was
-    checked is what is written, also where the source moves meanwhile."""
-    from pluvia.sources.rounds import scratch
-
-    held = scratch(df.sparkSession)
-    df.write.parquet(held)
-    kept = df.sparkSession.read.schema(df.schema).parquet(held)
-    broken = check(kept).limit(20).collect()
-    if broken:
-        raise ValueError("; ".join(str(r.asDict()) for r in broken))
-    kept.write.mode("overwrite").parquet(path)
+    """Writes only if the check's report has no row; the report's first rows are the error.
+
+    Rows are staged beside the target and checked there, so what was checked is what is kept, also where the source moves meanwhile. The
+    target is then swapped by renames: the old table is set aside as <path>.previous, the staged one takes its place, the old one goes. The old
+    table is whole until then; where a swap broke off, the next write (or `recover`) puts it back first. Stores without
+    atomic renames copy instead, and readers may then find no table for a moment.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    recover(spark, path)
+    files, at = _files(spark, path)
+    staged, previous = at(f"{path}.staged-{uuid.uuid4().hex}"), at(path + ".previous")
+    try:
+        df.write.parquet(staged.toString())
+        broken = check(spark.read.schema(df.schema).parquet(staged.toString())).limit(20).collect()
+        if broken:
+            raise ValueError("; ".join(str(r.asDict()) for r in broken))
+        if files.exists(at(path)):
+            files.delete(previous, True)  # left over from a swap that ended but for this
+            if not files.rename(at(path), previous):
+                raise OSError(f"{path} can't be set aside")
+        if not files.rename(staged, at(path)):
+            recover(spark, path)
+            raise OSError(f"{path} can't be replaced")
+    finally:
+        files.delete(staged, True)
+    files.delete(previous, True)
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:

@@ -353,3 +353,28 @@ def test_mentions_in_a_long_text(spark):
     docs = frame(spark, [(1, " ".join(words)), (1, " ".join(words)), (2, "calle villa dorada"), (3, "col villa dorada, otra"), (None, "villa dorada"), (4, None)], "id long, t string")
     got = sorted((r["id"], r["raw_text"], r["match_method"]) for r in tx.dictionary_mentions(docs, "id", {"t": "t"}, catalog, "name", "cid").collect())
     assert got == [(1, "VILLA DORADA", "colonia_en_catalogo"), (3, "VILLA DORADA", "colonia_con_marcador")]
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path, good = f"file://{tmp_path}/t", frame(spark, [(1,), (2,)], "id long")
+    held = lambda: sorted(r["id"] for r in spark.read.parquet(path).collect())
+    io.write_validated(good, lambda rows: rows.where("id > 2"), path)
+    with pytest.raises(ValueError):
+        io.write_validated(frame(spark, [(3,)], "id long"), lambda rows: rows.where("id > 2"), path)
+    assert held() == [1, 2]
+    with pytest.raises(Exception, match="broke off"):
+        io.write_validated(good.select(F.when(F.col("id") == 1, F.col("id")).otherwise(F.raise_error("broke off").cast("long")).alias("id")), lambda rows: rows.where("false"), path)
+    assert held() == [1, 2]
+    io.write_validated(frame(spark, [(5,)], "id long"), lambda rows: rows.where("false"), path)
+    assert held() == [5] and [p.name for p in tmp_path.iterdir()] == ["t"]
+    (tmp_path / "t").rename(tmp_path / "t.previous")  # a swap that broke off between its two renames
+    io.recover(spark, path)
+    assert held() == [5]
+
+
+def test_profile_counts_values_as_spark_does(spark):
+    rows = [(0.0, "a", None, ["a, b"], b"x"), (-0.0, "A", None, ["a", "b"], b"X"), (math.nan, "a", None, None, None), (math.nan, None, None, [], b"x"), (None, "", None, [None], b"")]
+    df = frame(spark, rows, "x double, `s.t` string, n long, l array<string>, b binary")
+    got = {r["column"]: (r["n_distinct"], round(r["null_percent"], 6)) for r in quality.column_profile(df).collect()}
+    assert got == {"x": (2, 20.0), "s.t": (3, 20.0), "n": (0, 100.0), "l": (4, 20.0), "b": (3, 20.0)}
+    assert [(r["column"], r["n_distinct"], r["null_percent"]) for r in quality.column_profile(df.limit(0)).collect()][0] == ("x", 0, None)
