@@ -142,13 +142,47 @@ def with_cells(df: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column, ce
     return df.withColumn("_cx", _cells(x0, x1, cell)).withColumn("_cy", _cells(y0, y1, cell))
 
 
+def cell_index(polygons: DataFrame, poly: str, rings: str, cell: float) -> DataFrame:
+    """(_p, _cx, _cy, _in, _e): for each cell that a polygon meets, whether the cell's middle is inside and the edges that come near the cell.
+
+    Edges are dealt to the cells along them. Middles are settled row by row of cells: an edge that crosses the height of the middles gives one
+    place, and between the first and second, third and fourth.. place of a row the middles are inside. So the rows follow the
+    edges and the cells covered, not cells times edges.
+    """
+    e = polygons.select(F.col(poly).alias("_p"), F.inline(polygon_edges(F.col(rings))))
+    near = e.select("_p", F.struct(*CORNERS).alias("_e"), F.inline(_along(*[F.col(c) for c in CORNERS], 0.0, cell)))
+    near = near.groupBy("_p", "_cx", "_cy").agg(F.collect_list("_e").alias("_e"))
+    # rows whose middles lie at or above the lower and below the upper end
+    low, high = F.least("ay", "by") / cell - 0.5, F.greatest("ay", "by") / cell - 0.5
+    rows = e.where(F.ceil(low) < F.ceil(high)).select("*", F.explode(F.sequence(F.ceil(low), F.ceil(high) - 1)).alias("_cy"))
+    x = (F.col("bx") - F.col("ax")) * ((F.col("_cy") + 0.5) * cell - F.col("ay")) / (F.col("by") - F.col("ay")) + F.col("ax")
+    w = Window.partitionBy("_p", "_cy").orderBy("x")
+    spans = rows.select("_p", "_cy", x.alias("x")).withColumn("n", F.row_number().over(w)).withColumn("x2", F.lead("x").over(w)).where("n % 2 = 1")
+    first, end = F.ceil(F.col("x") / cell - 0.5), F.ceil(F.col("x2") / cell - 0.5)
+    held = spans.where(first < end).select("_p", F.explode(F.sequence(first, end - 1)).alias("_cx"), "_cy").withColumn("_in", F.lit(True))
+    whole = near.join(held, ["_p", "_cx", "_cy"], "full")
+    none = F.expr("cast(array() AS array<struct<ax:double,ay:double,bx:double,by:double>>)")
+    return whole.select("_p", "_cx", "_cy", F.coalesce("_in", F.lit(False)).alias("_in"), F.coalesce("_e", none).alias("_e"))
+
+
+def inside_cell(x: Column, y: Column, cell: float) -> Column:
+    """Whether a point of the cell _cx, _cy is inside: the way from the cell's middle, level and then upright, crosses the cell's edges only.
+    Lower and left borders belong to the polygon, as in `inside`."""
+    mx, my = (F.col("_cx") + 0.5) * cell, (F.col("_cy") + 0.5) * cell
+
+    def crosses(e: Column) -> Column:
+        level, upright = (e["ay"] > my) != (e["by"] > my), (e["ax"] > x) != (e["bx"] > x)
+        at = (e["bx"] - e["ax"]) * (my - e["ay"]) / F.when(level, e["by"] - e["ay"]).otherwise(1.0) + e["ax"]
+        height = (e["by"] - e["ay"]) * (x - e["ax"]) / F.when(upright, e["bx"] - e["ax"]).otherwise(1.0) + e["ay"]
+        return (level & ((mx < at) != (x < at))).cast("int") + (upright & ((height > my) != (height > y))).cast("int")
+
+    return (F.aggregate("_e", F.col("_in").cast("int"), lambda n, e: n + crosses(e)) % 2) == 1
+
+
 def point_in_polygon(points: DataFrame, key: str, polygons: DataFrame, poly: str, rings: str = "rings", how: str = "left", cell: float = 1000.0) -> DataFrame:
     """points with the id of a containing polygon, the smallest on overlap. how: left keeps points in none, inner drops them."""
-    polys = polygons.select(F.col(poly).alias("_p"), polygon_edges(F.col(rings)).alias("_e"))
-    xs, ys = F.transform("_e", lambda e: e["ax"]), F.transform("_e", lambda e: e["ay"])
-    polys = with_cells(polys, F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys), cell)
     pts = points.select(key, F.col("x").alias("_x"), F.col("y").alias("_y")).dropna().withColumn("_cx", F.floor(F.col("_x") / cell)).withColumn("_cy", F.floor(F.col("_y") / cell))
-    hit = pts.join(polys, ["_cx", "_cy"]).where(inside(F.col("_e"), F.col("_x"), F.col("_y")))
+    hit = pts.join(cell_index(polygons, poly, rings, cell), ["_cx", "_cy"]).where(inside_cell(F.col("_x"), F.col("_y"), cell))
     one = hit.groupBy(key).agg(F.min("_p").alias(poly))
     return points.join(one, key, how)
 
@@ -259,28 +293,33 @@ def location_context(points: DataFrame, key: str, polygons: DataFrame, poly: str
 
 
 def line_pieces(lines: DataFrame, line_id: str, polygons: DataFrame, poly: str, rings: str = "rings", cell: float = 1000.0) -> DataFrame:
-    """(line_id, poly, ax, ay, bx, by): the parts of line segments inside each polygon. A segment is cut where it meets
-    edges, and a piece belongs if its midpoint is inside."""
-    polys = polygons.select(poly, polygon_edges(F.col(rings)).alias("_e"))
-    xs, ys = F.transform("_e", lambda e: e["ax"]), F.transform("_e", lambda e: e["ay"])
-    polys = with_cells(polys, F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys), cell)
-    low, high = (lambda a, b: F.least(F.col(a), F.col(b))), (lambda a, b: F.greatest(F.col(a), F.col(b)))
-    segs = lines.withColumn("_s", F.xxhash64("ax", "ay", "bx", "by"))
-    segs = with_cells(segs, low("ax", "bx"), low("ay", "by"), high("ax", "bx"), high("ay", "by"), cell)
-    pairs = segs.join(polys, ["_cx", "_cy"]).dropDuplicates([line_id, "_s", poly])
+    """(line_id, poly, ax, ay, bx, by): the parts of line segments inside each polygon. A segment is cut at the borders of cells and where
+    it meets the edges of its cells; a piece belongs if its middle is inside."""
+    segs = known(lines, CORNERS).select(line_id, *CORNERS, F.inline(_along(*[F.col(c) for c in CORNERS], 0.0, cell)))
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
 
+    def reach(start: str, step: Column, at: str) -> tuple[Column, Column]:
+        """Where the segment is within the cell in one direction."""
+        ends = [(F.col(at) + k) * cell - F.col(start) for k in (0, 1)]
+        u, v = (F.try_divide(d, step) for d in ends)
+        still = (ends[0] <= 0) & (ends[1] > 0)
+        return F.when(step == 0, F.when(still, 0.0).otherwise(2.0)).otherwise(F.least(u, v)), F.when(step == 0, F.when(still, 1.0).otherwise(-1.0)).otherwise(F.greatest(u, v))
+
+    (x0, x1), (y0, y1) = reach("ax", dx, "_cx"), reach("ay", dy, "_cy")
+    segs = segs.withColumn("_u0", F.greatest(x0, y0, F.lit(0.0))).withColumn("_u1", F.least(x1, y1, F.lit(1.0))).where("_u0 < _u1")
+    pairs = segs.join(cell_index(polygons, poly, rings, cell).where(F.col("_in") | (F.size("_e") > 0)), ["_cx", "_cy"])
+
     def meet(e) -> Column:
         ex, ey = e["bx"] - e["ax"], e["by"] - e["ay"]
         return F.try_divide((e["ax"] - F.col("ax")) * ey - (e["ay"] - F.col("ay")) * ex, dx * ey - dy * ex)
 
-    cuts = F.filter(F.transform("_e", meet), lambda u: u.isNotNull() & (u > 0) & (u < 1))
-    marks = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts)))
-    spans = pairs.withColumn("_u", marks).withColumn("_p", F.explode(F.expr("transform(sequence(1, size(_u) - 1), i -> struct(element_at(_u, i) AS s, element_at(_u, i + 1) AS t))")))
-    mid = (F.col("_p.s") + F.col("_p.t")) / 2
-    kept = spans.where(inside(F.col("_e"), F.col("ax") + mid * dx, F.col("ay") + mid * dy))
-    at = lambda c, d, u: (F.col(c) + F.col(f"_p.{u}") * d)
-    return kept.select(line_id, poly, at("ax", dx, "s").alias("ax"), at("ay", dy, "s").alias("ay"), at("ax", dx, "t").alias("bx"), at("ay", dy, "t").alias("by"))
+    cuts = F.filter(F.transform("_e", meet), lambda u: u.isNotNull() & (u > F.col("_u0")) & (u < F.col("_u1")))
+    marks = F.array_sort(F.array_distinct(F.concat(F.array("_u0", "_u1"), cuts)))
+    spans = pairs.withColumn("_u", marks).withColumn("_s", F.explode(F.expr("transform(sequence(1, size(_u) - 1), i -> struct(element_at(_u, i) AS s, element_at(_u, i + 1) AS t))")))
+    mid = (F.col("_s.s") + F.col("_s.t")) / 2
+    kept = spans.where(inside_cell(F.col("ax") + mid * dx, F.col("ay") + mid * dy, cell))
+    at = lambda c, d, u: (F.col(c) + F.col(f"_s.{u}") * d)
+    return kept.select(line_id, F.col("_p").alias(poly), at("ax", dx, "s").alias("ax"), at("ay", dy, "s").alias("ay"), at("ax", dx, "t").alias("bx"), at("ay", dy, "t").alias("by"))
 
 
 def line_length_in_polygon(lines: DataFrame, line_id: str, polygons: DataFrame, poly: str, rings: str = "rings", cell: float = 1000.0) -> DataFrame:

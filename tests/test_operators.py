@@ -378,3 +378,35 @@ def test_profile_counts_values_as_spark_does(spark):
     got = {r["column"]: (r["n_distinct"], round(r["null_percent"], 6)) for r in quality.column_profile(df).collect()}
     assert got == {"x": (2, 20.0), "s.t": (3, 20.0), "n": (0, 100.0), "l": (4, 20.0), "b": (3, 20.0)}
     assert [(r["column"], r["n_distinct"], r["null_percent"]) for r in quality.column_profile(df.limit(0)).collect()][0] == ("x", 0, None)
+
+
+def star(rnd, cx, cy, n, size):
+    """A ring of n corners around a place, with dents."""
+    return [{"x": cx + size * rnd.uniform(0.3, 1) * math.cos(2 * math.pi * i / n), "y": cy + size * rnd.uniform(0.3, 1) * math.sin(2 * math.pi * i / n)} for i in range(n)]
+
+
+def test_cells_tell_inside_as_whole_polygons_do(spark):
+    rnd = random.Random(14)
+    shapes = [(i, [star(rnd, rnd.uniform(0, 3000), rnd.uniform(0, 3000), rnd.choice([3, 7, 60]), rnd.choice([40, 900, 2500]))]) for i in range(14)]
+    shapes[3][1].append(star(rnd, shapes[3][1][0][0]["x"], shapes[3][1][0][0]["y"], 9, 120))  # a second ring
+    box = lambda a, b, c, d: [{"x": a, "y": b}, {"x": c, "y": b}, {"x": c, "y": d}, {"x": a, "y": d}]
+    shapes += [(90, [box(100.0, 100.0, 600.0, 500.0)]), (91, [box(0.0, 0.0, 2000.0, 2000.0), box(500.0, 500.0, 1500.0, 1500.0)])]
+    polys = frame(spark, shapes, "p long, rings array<array<struct<x:double,y:double>>>")
+    places = [(i, rnd.uniform(-500, 3500), rnd.uniform(-500, 3500)) for i in range(400)] + [(1000 + i, float(x), float(y)) for i, (x, y) in enumerate((a, b) for a in (100, 500, 600, 1500, 2000) for b in (100, 500, 1500, 300))]
+    pts = frame(spark, [*places, (5000, None, 1.0)], "id long, x double, y double")
+    every = pts.where("x is not null").join(polys.select("p", geo.polygon_edges(F.col("rings")).alias("e")), how="cross").where(geo.inside(F.col("e"), F.col("x"), F.col("y")))
+    want = {r["id"]: r["m"] for r in every.groupBy("id").agg(F.min("p").alias("m")).collect()}
+    for cell in (100.0, 777.0, 50_000.0):
+        got = {r["id"]: r["p"] for r in geo.point_in_polygon(pts, "id", polys, "p", cell=cell).collect()}
+        assert got == {i: want.get(i) for i in got} and len(got) == len(places) + 1
+    lines = frame(spark, [(i, *(rnd.uniform(-200, 3200) for _ in range(4))) for i in range(40)] + [(90, 500.0, -100.0, 500.0, 3000.0), (91, 0.0, 500.0, 3000.0, 500.0)], "id long, ax double, ay double, bx double, by double")
+    km = lambda cell: {r["p"]: round(r["km"], 6) for r in geo.line_length_in_polygon(lines, "id", polys, "p", cell=cell).collect()}
+    assert km(100.0) == km(777.0) == km(50_000.0) and sum(km(777.0).values()) > 10
+
+
+def test_cells_of_a_large_polygon_follow_its_edges(spark):
+    n = 20_000
+    ring = [{"x": 50_000 + 45_000 * math.cos(2 * math.pi * i / n), "y": 50_000 + 45_000 * math.sin(2 * math.pi * i / n)} for i in range(n)]
+    index = geo.cell_index(frame(spark, [(1, [ring])], "p long, rings array<array<struct<x:double,y:double>>>"), "p", "rings", 1000.0)
+    cells, held = index.agg(F.count("*"), F.sum(F.size("_e"))).first()
+    assert 6362 < cells < 6800 and held < 1.1 * n  # the area in cells and a border; an edge is in one or two
