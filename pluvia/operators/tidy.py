@@ -13,8 +13,8 @@ from pluvia.operators.events import cut_right_closed
 
 
 def unify_codes(df: DataFrame, col: str, variants: DataFrame, variant: str = "variant", canonical: str = "canonical") -> DataFrame:
-    """Replaces spelling variants by their canonical value; other values stay."""
-    v = variants.select(F.col(variant).alias("_v"), F.col(canonical).alias("_c"))
+    """Replaces spelling variants by their canonical value (the smallest, where a variant is listed twice); other values stay."""
+    v = variants.groupBy(F.col(variant).alias("_v")).agg(F.min(canonical).alias("_c"))
     out = df.join(v, F.col(col) == F.col("_v"), "left").withColumn(col, F.coalesce("_c", col))
     return out.drop("_v", "_c")
 
