@@ -15,9 +15,9 @@ from pluvia.llm.words import MARKS, word_hashes
 
 #: 1: the word counts, 0: it may differ. At 70 % agreement a window of 24 words always has a place for one of these masks,
 #: whichever words differ (tested over all choices). Five words each: shorter masks meet common phrases of a large benchmark.
-MASKS = ("101111", "10010111", "101100101", "1100100011")
+MASKS = ("1101011", "110001011", "1001000111", "10100010011")
 #: Items of 12 to 23 words need these as well (tested over all choices for each length).
-MORE_MASKS = ("11000100011", "11100001001", "110100000011")
+MORE_MASKS = ("11111", "11000010011")
 #: Items of fewer words are searched by their whole sequence.
 SPAN = 12
 #: Words of an item that are compared at once, the share of them that must agree, and the seeds of a benchmark that may go to each task.
