@@ -3,7 +3,8 @@
 A bounded sample of the right side's midpoints gives the splits, so parts are small where rows are dense. Each part keeps the box of what it
 really holds and how many features have their first row in it. A left row first meets the part that lies nearest; the k-th distance
 found there (or before it the farthest corner of a box that holds k features) bounds the second round, in which it meets
-only the parts whose boxes are within that. Splits and boxes are what reaches tasks: at most 2^MOST_DEPTH parts.
+only the parts whose boxes are within that. Splits and boxes are what reaches tasks: at most 2^MOST_DEPTH parts. Left rows at one
+place are searched once, and what is found there is joined to them.
 """
 
 from __future__ import annotations
@@ -151,26 +152,32 @@ def nearest_by_parts(
     homes = placed.groupBy(other).agg(F.min("_part").alias("_part")).groupBy("_part").agg(F.count("*").alias("_homes"))
     boxes = placed.groupBy("_part").agg(*[F.min(f"_l{i}") for i in range(dims)], *[F.max(f"_h{i}") for i in range(dims)]).join(homes, "_part", "left").fillna(0, subset=["_homes"])
     parts.boxed([list(r) for r in boxes.collect()], dims)
-    k = min(k, int(parts.homes.sum()))
     spread = min(spread, int(parts.homes.sum()))
     # known not to be null, the pieces' distance compiles to code that the JVM optimises
-    target = placed.where(" and ".join(f"o{c} is not null" for c in pieces)).select("_part", other, *["o" + c for c in pieces])
-    asking = settled(left.select(key, *pieces, *[b.alias(n) for b, n in zip(bounds(""), names, strict=True)]))
+    there = " and ".join(f"{{0}}{c} is not null" for c in pieces)
+    target = placed.where(there.format("o")).select("_part", other, *["o" + c for c in pieces])
+    # left rows at one place ask once, for as many as any of them may need
+    places = settled(left.where(there.format("")).select(*pieces).distinct()).withColumn("_place", F.monotonically_increasing_id())
+    asking = settled(places.select("_place", *pieces, *[b.alias(n) for b, n in zip(bounds(""), names, strict=True)]))
     routed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asking.schema)
 
     def met(rows: DataFrame) -> DataFrame:
-        pairs = rows.where(" and ".join(f"{c} is not null" for c in pieces)).join(target, "_part")
-        pairs = (pairs.where(apart) if apart is not None else pairs).withColumn("d", distance)
+        pairs = rows.where(there.format("")).join(target, "_part").withColumn("d", distance)
         # what is too far goes after the sums: a condition on d before them would be worked out a second time in the join
-        least = pairs.groupBy(key, other).agg(F.min("d").alias("d"), *([F.first("_reach").alias("_reach")] if "_reach" in rows.columns else []))
+        least = pairs.groupBy("_place", other).agg(F.min("d").alias("d"), *([F.first("_reach").alias("_reach")] if "_reach" in rows.columns else []))
         near = least.where((F.col("d") <= limit) & (F.col("_reach").isNull() | (F.col("d") <= F.col("_reach")))) if "_reach" in rows.columns else least.where(F.col("d") <= limit)
-        return near.select(key, other, "d")
+        return near.select("_place", other, "d")
 
-    order = Window.partitionBy(key).orderBy("d", other)
-    ranked = lambda df: df.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
-    near = settled(ranked(met(asking.mapInArrow(_router(parts, dims, spread, limit, True), routed + ", _part long"))))
-    reach = near.where(F.col("r") == k).select(key, F.col("d").alias("_reach"))
-    bounded = asking.join(reach, key, "left").select(*asking.columns, "_reach")
+    def ranked(df: DataFrame, of: str, n: int) -> DataFrame:
+        return df.withColumn("r", F.row_number().over(Window.partitionBy(of).orderBy("d", other))).where(F.col("r") <= n)
+
+    near = settled(ranked(met(asking.mapInArrow(_router(parts, dims, spread, limit, True), routed + ", _part long")), "_place", spread))
+    reach = near.where(F.col("r") == spread).select("_place", F.col("d").alias("_reach"))
+    bounded = asking.join(reach, "_place", "left").select(*asking.columns, "_reach")
     rest = met(bounded.mapInArrow(_router(parts, dims, spread, limit, False), routed + ", _reach double, _part long"))
-    both = near.drop("r").unionByName(rest).groupBy(key, other).agg(F.min("d").alias("d"))
-    return nothing.unionByName(ranked(both))
+    both = ranked(near.drop("r").unionByName(rest).groupBy("_place", other).agg(F.min("d").alias("d")), "_place", spread)
+    found = settled(asking.select("_place", *pieces).join(both, "_place").select(*pieces, other, "d"))
+    pairs = left.select(key, *pieces).where(there.format("")).join(found, pieces)
+    pairs = (pairs.where(apart) if apart is not None else pairs).select(key, other, "d")
+    # dealt by key at once: the sums and the ranks of a feature then need no further exchange
+    return nothing.unionByName(ranked(pairs.repartition(key).groupBy(key, other).agg(F.min("d").alias("d")), key, k))

@@ -40,3 +40,19 @@ def test_location_precision_where_the_gap_rounds_to_zero(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW supplier AS SELECT * FROM '{tmp_path}/supplier.parquet/*.parquet'")
     assert got == dict(con.execute(ORACLES["s27_location_precision"]).fetchall()) and got[100] == "cruce aproximado (0 m)"
+
+
+def test_nearest_asks_once_for_each_place(spark, sizes):
+    from pluvia.operators import geo, kd
+
+    rnd = random.Random(1)
+    spots = [(rnd.randint(0, 40), rnd.randint(0, 40)) for _ in range(12)]
+    pts = [(i, *map(float, rnd.choice(spots))) for i in range(400)]
+    lines = [(i, float(x), float(y), float(x + 3), float(y)) for i in range(60) for x, y in [rnd.choice(spots)]]
+    seen = sizes(kd)
+    left = geo.segments(frame(spark, pts, "id long, x double, y double"), "id")
+    right = frame(spark, lines, "other long, ax double, ay double, bx double, by double")
+    got = sorted((r["id"], r["other"], r["r"]) for r in geo.nearest(left, "id", right, "other", 3).collect())
+    far = lambda p, s: math.hypot(max(s[1] - p[1], 0, p[1] - s[3]), s[2] - p[2])
+    want = [(p[0], s[0], r + 1) for p in pts for r, s in enumerate(sorted(lines, key=lambda s: (round(far(p, s), 9), s[0]))[:3])]
+    assert got == sorted(want) and max(seen) <= 60
