@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pluvia.functions.text import parse_crossing, street_candidates
 from pluvia.operators.agg import union_by_name
 from pluvia.operators.kd import nearest_by_parts
+from pluvia.sources.rounds import settled
 
 # Lambert conformal conic of Mexico on GRS80 (EPSG:6372).
 _A, _F = 6378137.0, 1 / 298.257222101
@@ -211,6 +212,8 @@ def segment_distance(p: str = "", q: str = "o") -> Column:
 
 
 CORNERS = ("ax", "ay", "bx", "by")
+#: Rows of a result that a task is meant to make from pairs of places, and the most rows of a side that may be broadcast for it.
+COPIED_ROWS, HELD_ROWS = 4_000_000, 500_000
 
 
 def known(df: DataFrame, columns) -> DataFrame:
@@ -244,9 +247,32 @@ def near_segments(a: DataFrame, key: str, b: DataFrame, other: str, d: float, ce
     return left.join(right, ["_cx", "_cy"]).drop("_cx", "_cy").withColumn("d", segment_distance()).where(F.col("d") <= d)
 
 
+def alike(segs: DataFrame, key: str, same: str) -> DataFrame:
+    """(key, same): for a feature of a single segment the smallest one with equal corners, for any other itself."""
+    per = known(segs, CORNERS).groupBy(key).agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in CORNERS])
+    per = settled(per)
+    one = per.where("_n = 1").groupBy(*CORNERS).agg(F.min(key).alias(same))
+    return settled(per.where("_n = 1").join(one, list(CORNERS)).select(key, same).unionByName(per.where("_n > 1").select(key, F.col(key).alias(same))))
+
+
+def _copied(pairs: DataFrame, a: DataFrame, key: str, b: DataFrame, other: str) -> DataFrame:
+    """The pairs (_a, _b and more) of features that stand for others, for all of them: a has (key, _a), b (other, _b). Few pairs may
+    stand for very many, so they are dealt to as many tasks as the result needs and meet what fits a broadcast there."""
+    size = lambda df, same, n: df.groupBy(same).agg(F.count("*").alias(n))
+    rows = pairs.join(size(a, "_a", "_na"), "_a").join(size(b, "_b", "_nb"), "_b").agg(F.sum(F.col("_na") * F.col("_nb"))).first()[0] or 0
+    n = min(20_000, max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / COPIED_ROWS)))
+    (many, of_many, id_many), (few, of_few, id_few) = sorted(((a, "_a", key), (b, "_b", other)), key=lambda s: -s[0].count())
+    wide = pairs.repartition(n, of_many).join(many.repartition(n, of_many), of_many)
+    held = few if few.count() > HELD_ROWS else F.broadcast(few)
+    return wide.join(held, of_few).select(F.col(id_many), F.col(id_few), *[c for c in pairs.columns if c not in ("_a", "_b")])
+
+
 def within_distance(a: DataFrame, key: str, b: DataFrame, other: str, d: float, cell: float | None = None) -> DataFrame:
-    """(key, other, d): pairs of features, given as segments, that are within d."""
-    return near_segments(a, key, b, other, d, cell).groupBy(key, other).agg(F.min("d").alias("d"))
+    """(key, other, d): pairs of features, given as segments, that are within d. Features at one place are compared once."""
+    same_a, same_b = alike(a, key, "_a"), alike(b, other, "_b")
+    first = lambda segs, of, same, name: segs.join(same.where(F.col(of) == F.col(name)).select(of), of, "left_semi").select(F.col(of).alias(name), *CORNERS)
+    near = near_segments(first(a, key, same_a, "_a"), "_a", first(b, other, same_b, "_b"), "_b", d, cell).groupBy("_a", "_b").agg(F.min("d").alias("d"))
+    return _copied(settled(near), same_a, key, same_b, other).select(key, other, "d")
 
 
 def nearest(a: DataFrame, key: str, b: DataFrame, other: str, k: int = 1, limit: float = math.inf) -> DataFrame:
@@ -563,8 +589,6 @@ def link_midpoint(p: str = "", q: str = "o") -> tuple[Column, Column]:
 def locate_expressions(expressions: DataFrame, expr: str, streets: DataFrame, street: str, tol: float = 50.0) -> DataFrame:
     """(expr, cross, x, y, gap) for each crossing named in each distinct expression: parsed, both names resolved to streets, and
     their meeting points found. One plan for all expressions."""
-    from pluvia.sources.rounds import settled
-
     parsed = settled(expressions.select(expr).distinct().withColumn("_s", parse_crossing(F.col(expr))).where("_s is not null"))
     crosses = parsed.select(expr, F.col("_s")[0].alias("main"), F.explode(F.slice("_s", F.lit(2), F.size("_s") - 1)).alias("cross"))
     names = crosses.select(F.col("main").alias("name")).union(crosses.select("cross"))
@@ -578,8 +602,6 @@ def locate_expressions(expressions: DataFrame, expr: str, streets: DataFrame, st
 def locate_mentions(crossings: DataFrame, expr: str, streets: DataFrame, street: str, polygons: DataFrame, poly: str) -> DataFrame:
     """Adds lat, lon (6 decimals), polygon id, gap and match_method (cruce_geocodificado or unmatched) to crossing mentions.
     The place is the mean of the distinct points of an expression; its polygon the nearest one."""
-    from pluvia.sources.rounds import settled
-
     crossings = settled(crossings)
     spots = locate_expressions(crossings, expr, streets, street).withColumn("_x", F.round("x", 1)).withColumn("_y", F.round("y", 1))
     spots = spots.groupBy(expr, "_x", "_y").agg(F.min(F.struct("x", "y")).alias("p"), F.max("gap").alias("gap"))

@@ -56,3 +56,25 @@ def test_nearest_asks_once_for_each_place(spark, sizes):
     far = lambda p, s: math.hypot(max(s[1] - p[1], 0, p[1] - s[3]), s[2] - p[2])
     want = [(p[0], s[0], r + 1) for p in pts for r, s in enumerate(sorted(lines, key=lambda s: (round(far(p, s), 9), s[0]))[:3])]
     assert got == sorted(want) and max(seen) <= 60
+
+
+def test_within_distance_compares_each_place_once(spark, monkeypatch):
+    from pluvia.operators import geo
+
+    rnd = random.Random(2)
+    spots = [(rnd.randint(0, 20), rnd.randint(0, 20)) for _ in range(9)]
+    a = [(i, *map(float, s), *map(float, s)) for i in range(150) for s in [rnd.choice(spots)]]
+    b = [(i, float(x), float(y), float(x + 4), float(y)) for i in range(80) for x, y in [rnd.choice(spots)]]
+    b += [(7, 50.0, 50.0, 51.0, 50.0), (3, 0.0, 0.0, 0.0, 30.0)]  # features of two pieces
+    met, real = [], geo.near_segments
+    monkeypatch.setattr(geo, "near_segments", lambda a, key, b, *rest: met.append((a.count(), b.count())) or real(a, key, b, *rest))
+    kinds = "{} long, ax double, ay double, bx double, by double"
+    got = sorted((r["p"], r["q"], round(r["d"], 9)) for r in geo.within_distance(frame(spark, a, kinds.format("p")), "p", frame(spark, b, kinds.format("q")), "q", 3.0).collect())
+    best = {}
+    for p in a:
+        for q in b:
+            d = math.hypot(max(q[1] - p[1], 0, p[1] - q[3]), max(q[2] - p[2], 0, p[2] - q[4]))
+            if d <= 3:
+                best[p[0], q[0]] = min(d, best.get((p[0], q[0]), 9))
+    assert got == sorted((*k, round(d, 9)) for k, d in best.items())
+    assert met[0][0] <= 9 and met[0][1] <= 9 + 4
