@@ -543,29 +543,34 @@ def has_feature(polygons: DataFrame, poly: str, points: DataFrame, key: str, rin
 def crossing_points(pairs: DataFrame, first: str, second: str, streets: DataFrame, street: str, tol: float = 50.0) -> DataFrame:
     """(pair columns, x, y, gap): where two sets of streets meet. pairs has one row per (pair id columns.., first, second)
     street names; the closest segments within tol (all within a centimetre of the least gap) give the midpoints of their
-    shortest links, counted once per 0.1 m. Segments meet by named pair and cell, so only those of one pair are ever compared."""
-    from pluvia.sources.rounds import settled
-
+    shortest links, counted once per 0.1 m. Segments meet by named pair and cell, so only those of one pair are ever compared, and streets
+    that are equal segments meet once for all their names."""
     ids = [c for c in pairs.columns if c not in (first, second)]
-    pairs = settled(pairs)
-    named = settled(pairs.select(first, second).distinct())
-    used = streets.join(named.select(F.col(first).alias(street)).union(named.select(second)).distinct(), street, "left_semi")
-    used = known(settled(used.select(street, F.inline(edges(F.col("points"), False)))), CORNERS)
+    used = streets.select(street, F.inline(edges(F.col("points"), False)))
+    same = alike(used, street, "_s")
+    held = same if same.count() > HELD_ROWS else F.broadcast(same)
+    as_one = lambda name, out: held.select(F.col(street).alias(name), F.col("_s").alias(out))
+    pairs = settled(pairs.join(as_one(first, "_sa"), first).join(as_one(second, "_sb"), second).select(*ids, "_sa", "_sb"))
+    named = settled(pairs.select("_sa", "_sb").distinct())
+    used = known(settled(used.withColumnRenamed(street, "_sa").join(named.select("_sa").union(named.select("_sb")).distinct(), "_sa", "left_semi")), CORNERS)
     cell = max(tol, used.agg(F.avg(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")))).first()[0] or 0.0, 1.0)
 
     def side(name: str, pad: float, prefix: str) -> DataFrame:
-        cells = used.select(F.col(street).alias(name), *[F.col(c).alias(prefix + c) for c in CORNERS], _along(*[F.col(c) for c in CORNERS], pad, cell).alias("_cells"))
-        return named.join(cells, name).select(first, second, *[prefix + c for c in CORNERS], F.inline("_cells"))
+        cells = used.select(F.col("_sa").alias(name), *[F.col(c).alias(prefix + c) for c in CORNERS], _along(*[F.col(c) for c in CORNERS], pad, cell).alias("_cells"))
+        return named.join(cells, name).select("_sa", "_sb", *[prefix + c for c in CORNERS], F.inline("_cells"))
 
-    met = side(first, tol, "").join(side(second, 0.0, "o"), [first, second, "_cx", "_cy"]).drop("_cx", "_cy")
+    met = side("_sa", tol, "").join(side("_sb", 0.0, "o"), ["_sa", "_sb", "_cx", "_cy"]).drop("_cx", "_cy")
     met = settled(met.withColumn("d", segment_distance()).where(F.col("d") <= tol))
-    met = pairs.join(met, [first, second])
-    least = met.groupBy(*ids).agg(F.min("d").alias("gap"))
-    best = met.join(least, ids).where(F.col("d") <= F.col("gap") + 0.01)
+    # what is a centimetre over the least gap of its own streets is so over that of any set that holds them
+    least = met.groupBy("_sa", "_sb").agg(F.min("d").alias("_least"))
     x, y = link_midpoint()
-    spots = best.select(*ids, x.alias("x"), y.alias("y"), "gap")
-    spots = spots.withColumn("_x", F.round("x", 1)).withColumn("_y", F.round("y", 1))
-    return spots.groupBy(*ids, "_x", "_y").agg(F.min(F.struct("x", "y", "gap")).alias("p")).select(*ids, "p.x", "p.y", "p.gap")
+    spots = met.join(least, ["_sa", "_sb"]).where(F.col("d") <= F.col("_least") + 0.01).select("_sa", "_sb", x.alias("x"), y.alias("y"), "d").distinct()
+    spots = settled(spots)
+    # dealt by set at once: the least gap and the spots of a set then need no further exchange
+    found = pairs.join(F.broadcast(spots) if spots.count() <= HELD_ROWS else spots, ["_sa", "_sb"]).repartition(*ids)
+    found = found.withColumn("gap", F.min("d").over(Window.partitionBy(*ids))).where(F.col("d") <= F.col("gap") + 0.01)
+    found = found.withColumn("_x", F.round("x", 1)).withColumn("_y", F.round("y", 1))
+    return found.groupBy(*ids, "_x", "_y").agg(F.min(F.struct("x", "y", "gap")).alias("p")).select(*ids, "p.x", "p.y", "p.gap")
 
 
 def link_midpoint(p: str = "", q: str = "o") -> tuple[Column, Column]:

@@ -78,3 +78,15 @@ def test_within_distance_compares_each_place_once(spark, monkeypatch):
                 best[p[0], q[0]] = min(d, best.get((p[0], q[0]), 9))
     assert got == sorted((*k, round(d, 9)) for k, d in best.items())
     assert met[0][0] <= 9 and met[0][1] <= 9 + 4
+
+
+def test_equal_streets_cross_once(spark, sizes):
+    from pluvia.operators import geo
+
+    streets = [(f"L{i}", float(i % 3), 0.0, float(i % 3), 9.0) for i in range(20)] + [(f"F{i}", -5.0, float(1 + i % 4), 9.0, float(1 + i % 4)) for i in range(20)]
+    lines = frame(spark, streets, "street string, xa double, ya double, xb double, yb double").select("street", geo.line((F.col("xa"), F.col("ya")), (F.col("xb"), F.col("yb"))).alias("points"))
+    pairs = frame(spark, [(i, j, f"L{i}", f"F{j}") for i in range(20) for j in range(20)], "i long, j long, a string, b string")
+    seen = sizes(geo)
+    got = sorted((r["i"], r["j"], round(r["x"], 6), round(r["y"], 6), r["gap"]) for r in geo.crossing_points(pairs, "a", "b", lines, "street").collect())
+    assert got == sorted((i, j, float(i % 3), float(1 + j % 4), 0.0) for i in range(20) for j in range(20))
+    assert sum(n >= 400 for n in seen) == 1  # the pairs themselves
