@@ -157,6 +157,7 @@ def neighbours(df: DataFrame, key: str, cols: list[str], k: int) -> DataFrame:
 def lof(neighbours: DataFrame, key: str, contamination: float = 0.02) -> DataFrame:
     """(key, score, outlier) from a table of k nearest neighbours (key, other, d, r): k-distance, reachability density and its
     ratio to the neighbours' density, as joins. Duplicated points get a floor of 1e-10 on distances, as usual."""
+    neighbours = settled(neighbours)  # read three times
     kdist = neighbours.groupBy(F.col(key).alias("other")).agg(F.max("d").alias("_kd"))
     reach = neighbours.join(kdist, "other").withColumn("_rd", F.greatest("d", "_kd"))
     lrd = reach.groupBy(key).agg((1 / (F.avg("_rd") + 1e-10)).alias("lrd"))

@@ -90,3 +90,13 @@ def test_equal_streets_cross_once(spark, sizes):
     got = sorted((r["i"], r["j"], round(r["x"], 6), round(r["y"], 6), r["gap"]) for r in geo.crossing_points(pairs, "a", "b", lines, "street").collect())
     assert got == sorted((i, j, float(i % 3), float(1 + j % 4), 0.0) for i in range(20) for j in range(20))
     assert sum(n >= 400 for n in seen) == 1  # the pairs themselves
+
+
+def test_lof_fixes_the_neighbours(spark, sizes):
+    from pluvia.operators import stats
+
+    rnd = random.Random(3)
+    pts = frame(spark, [(i, float(rnd.randint(0, 5)), float(rnd.randint(0, 5))) for i in range(80)], "id long, x double, y double")
+    near = stats.neighbours(pts, "id", ["x", "y"], 4)
+    seen = sizes(stats)
+    assert stats.lof(near, "id").count() == 80 and 320 in seen
