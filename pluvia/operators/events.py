@@ -187,14 +187,27 @@ def average_rank(df: DataFrame, col: str, by: list[str] | None = None, name: str
     return df.join(ranks, [*by, col], "left")
 
 
-def spearman(df: DataFrame, a: str, b: str, by: list[str] | None = None) -> DataFrame:
+def spearman(df: DataFrame, a: str, b: str, by: list[str] | None = None, weight: str | None = None) -> DataFrame:
     """Rank correlation of the rows that have both values, per group; null for constant columns. One row per group:
-    n, rho."""
+    n, rho. Rows are counted per pair of values first, so ranks and sums follow the distinct pairs. weight: a column with how
+    many rows a row stands for."""
     by = by or []
-    both = df.dropna(subset=[a, b]).select(*by, F.col(a).alias("_a"), F.col(b).alias("_b"))
-    ranked = average_rank(average_rank(both, "_a", by, "_ra"), "_b", by, "_rb")
-    safe = F.when((F.stddev_pop("_ra") > 0) & (F.stddev_pop("_rb") > 0), _corr("_ra", "_rb"))
-    return ranked.groupBy(*by).agg(F.count("*").alias("n"), safe.alias("rho")) if by else ranked.agg(F.count("*").alias("n"), safe.alias("rho"))
+    both = df.dropna(subset=[a, b]).groupBy(*by, F.col(a).alias("_a"), F.col(b).alias("_b")).agg((F.sum(weight) if weight else F.count("*")).alias("_w"))
+    both = settled(both)
+    ranked = both
+    for c in ("_a", "_b"):
+        counts = both.dropna(subset=by).groupBy(*by, c).agg(F.sum("_w").alias("_c"))
+        counts = settled(running(counts, [*by, c], {"_below": F.col("_c")}))
+        if by:
+            counts = counts.join(counts.groupBy(*by).agg(F.min("_below").alias("_first")), by).withColumn("_below", F.col("_below") - F.col("_first"))
+        ranked = ranked.join(counts.select(*by, c, (F.col("_below") + (F.col("_c") + 1) / 2).alias("_r" + c)), [*by, c], "left")
+    x, y, w = F.col("_r_a"), F.col("_r_b"), F.col("_w")
+    sums = ranked.groupBy(*by).agg(
+        F.sum(w).alias("n"), *[F.sum(w * v).alias(f"_s{i}") for i, v in enumerate((x, y, x * x, y * y, x * y))], ((F.min(x) < F.max(x)) & (F.min(y) < F.max(y))).alias("_vary")
+    )
+    mx, my, xx, yy, xy = (F.col(f"_s{i}") / F.col("n") for i in range(5))
+    rho = F.when(F.col("_vary"), F.try_divide(xy - mx * my, F.sqrt((xx - mx * mx) * (yy - my * my))))
+    return sums.select(*by, F.coalesce("n", F.lit(0)).cast("long").alias("n"), rho.alias("rho"))
 
 
 def _corr(a: str, b: str) -> Column:
@@ -204,10 +217,12 @@ def _corr(a: str, b: str) -> Column:
 
 
 def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """rho of every pair (upper triangle), each on its own complete rows: pairs are stacked and ranked together."""
+    """rho of every pair (upper triangle), each on its own complete rows: pairs are stacked and ranked together. Equal rows are
+    stacked once, with their number."""
+    df = settled(df.groupBy(*cols).agg(F.count("*").alias("_rows")))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
     stacked = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])
-    return spearman(df.select(F.explode(stacked).alias("r")).select("r.*"), "x", "y", ["a", "b"])
+    return spearman(df.select(F.explode(stacked).alias("r"), "_rows").select("r.*", "_rows"), "x", "y", ["a", "b"], "_rows")
 
 
 def lagged_spearman(table: DataFrame, x: str, y: str, lags: list[int], order: str = "date") -> DataFrame:

@@ -100,3 +100,22 @@ def test_lof_fixes_the_neighbours(spark, sizes):
     near = stats.neighbours(pts, "id", ["x", "y"], 4)
     seen = sizes(stats)
     assert stats.lof(near, "id").count() == 80 and 320 in seen
+
+
+def test_spearman_matrix_stacks_equal_rows_once(spark, sizes):
+    from pluvia.operators import events
+
+    base = [(1.0, 2.0, 5.0), (2.0, 1.0, 5.0), (3.0, 7.0, None), (4.0, 7.0, 1.0), (5.0, 6.0, 2.0), (6.0, 9.0, 2.0), (None, 3.0, 8.0)]
+    rows = [r for i, r in enumerate(base) for _ in range(10 + i)]
+    seen = sizes(events)
+    got = {(r["a"], r["b"]): (r["n"], r["rho"]) for r in events.spearman_matrix(frame(spark, rows, "u double, v double, w double"), ["u", "v", "w"]).collect()}
+    assert seen[0] == len(base)
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        kept = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
+        ranks = [[sum(y < x for y in c) + (c.count(x) + 1) / 2 for x in c] for c in map(list, zip(*kept))]
+        m = (len(kept) + 1) / 2
+        rho = sum((x - m) * (y - m) for x, y in zip(*ranks)) / math.sqrt(math.prod(sum((x - m) ** 2 for x in c) for c in ranks))
+        n, r = got["uvw"[i], "uvw"[j]]
+        assert n == len(kept) and abs(r - rho) < 1e-12
+    flat = events.spearman(frame(spark, [(0.1, 1.0)] * 3 + [(0.1, 2.0)], "x double, y double"), "x", "y").first()
+    assert tuple(flat) == (4, None)
