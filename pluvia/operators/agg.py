@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvia.operators.ranks import beside, grouped_quantiles
+
 
 def date_spine(df: DataFrame, start: Column, end: Column, step: str = "1 day", name: str = "date") -> DataFrame:
     """One row per period from start to end, which are aggregates over df (a literal also is one)."""
@@ -83,12 +85,22 @@ def pivot_dense(df: DataFrame, row: str, col: str, domain: list, rows: list | No
 def named_agg(df: DataFrame, keys: list[str], specs: dict[str, tuple]) -> DataFrame:
     """specs: name -> (column, kind[, argument]); kinds count, nunique, mean, median, min, max, sum, first_by, share, quantile."""
     kinds = {
-        "count": lambda c: F.count(c), "nunique": lambda c: F.count_distinct(F.col(c)), "mean": lambda c: F.avg(c),
-        "median": lambda c: F.percentile(F.col(c), F.lit(0.5)), "min": lambda c: F.min(c), "max": lambda c: F.max(c), "sum": lambda c: F.sum(c),
+        "count": lambda c: F.count(c), "mean": lambda c: F.avg(c), "min": lambda c: F.min(c), "max": lambda c: F.max(c), "sum": lambda c: F.sum(c),
         "first_by": lambda c, order: F.min_by(c, order), "share": lambda c: F.avg(c.cast("double")),
-        "quantile": lambda c, q: F.percentile(F.col(c), F.lit(q)),
     }
-    return df.groupBy(*keys).agg(*[kinds[kind](col, *rest).alias(name) for name, (col, kind, *rest) in specs.items()])
+    column = lambda c: F.col(c) if isinstance(c, str) else c
+    out = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *[kinds[kind](col, *rest).alias(name) for name, (col, kind, *rest) in specs.items() if kind in kinds])
+    # sets of values and sorted values aren't held in a group's aggregate: distinct values and their places are rows
+    shares: dict[str, dict[str, float]] = {}
+    for name, (col, kind, *rest) in specs.items():
+        if kind == "nunique":
+            out = beside(out, df.select(*keys, column(col).alias("_v")).where("_v is not null").distinct().groupBy(*keys).agg(F.count("*").alias(name)), keys)
+            out = out.withColumn(name, F.coalesce(name, F.lit(0)))
+        elif kind in ("median", "quantile"):
+            shares.setdefault(str(col), {})[name] = rest[0] if rest else 0.5
+    for these in shares.values():
+        out = beside(out, grouped_quantiles(df, keys, column(specs[next(iter(these))][0]), these), keys)
+    return out.select(*keys, *specs)
 
 
 def monthly_share(df: DataFrame, date: str, years: list[int]) -> DataFrame:

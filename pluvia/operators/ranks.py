@@ -58,3 +58,28 @@ def quantiles(df: DataFrame, col: str, shares: list[float]) -> list[float | None
     hit = F.filter(F.array(*[F.lit(x) for x in wanted]), lambda x: (x >= F.col("_below")) & (x < F.col("_below") + F.col("_n")))
     got = {r["at"]: float(r["v"]) for r in ranked.select(F.col(col).cast("double").alias("v"), F.explode(hit).alias("at")).collect()}
     return [got[int(p)] + (p - int(p)) * (got[min(int(p) + 1, total - 1)] - got[int(p)]) for p in places]
+
+
+def grouped_quantiles(df: DataFrame, keys: list[str], col: Column, shares: dict[str, float]) -> DataFrame:
+    """(keys, one column per name in `shares`): exact quantiles of each group with linear interpolation, as percentile gives them. Values are
+    counted and numbered by ranges of (group, value), so no task sees a whole group."""
+    counts = df.select(*keys, col.cast("double").alias("_v")).where("_v is not null").groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    ranked = settled(running(counts, [*keys, "_v"], {"_below": F.col("_n")}))
+    of = ranked.groupBy(*keys).agg(F.min("_below").alias("_first"), F.sum("_n").alias("_total"))
+    both = beside(ranked, of, keys).withColumn("_below", F.col("_below") - F.col("_first"))
+    places = {name: (F.col("_total") - 1) * F.lit(float(q)) for name, q in shares.items()}
+    here = lambda at: F.max(F.when((at >= F.col("_below")) & (at < F.col("_below") + F.col("_n")), F.col("_v")))
+    ends = [here(f(p)).alias(f"_{side}{i}") for i, p in enumerate(places.values()) for side, f in (("low", F.floor), ("high", F.ceil))]
+    got = both.groupBy(*keys, "_total").agg(*ends)
+    out = []
+    for i, (name, p) in enumerate(places.items()):
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        out.append(F.when(low == high, low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high).alias(name))
+    return got.select(*keys, *out)
+
+
+def beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys, of which null equals null."""
+    named = right.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    on = [left[k].eqNullSafe(named[f"_k{i}"]) for i, k in enumerate(keys)]
+    return (left.join(named, on, "left") if keys else left.join(named, how="cross")).drop(*[f"_k{i}" for i in range(len(keys))])

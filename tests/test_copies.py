@@ -119,3 +119,19 @@ def test_spearman_matrix_stacks_equal_rows_once(spark, sizes):
         assert n == len(kept) and abs(r - rho) < 1e-12
     flat = events.spearman(frame(spark, [(0.1, 1.0)] * 3 + [(0.1, 2.0)], "x double, y double"), "x", "y").first()
     assert tuple(flat) == (4, None)
+
+
+def test_quantiles_and_distinct_values_are_rows(spark):
+    import numpy as np
+
+    from pluvia.operators import agg
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, *map(float, range(9))]), rnd.randint(0, 6)) for _ in range(300)] + [("c", None, 1)]
+    df = agg.named_agg(frame(spark, rows, "k string, v double, w int"), ["k"], {"m": ("v", "median"), "n": ("v", "count"), "u": ("w", "nunique"), "q": (F.col("v"), "quantile", 0.9)})
+    assert df.columns == ["k", "m", "n", "u", "q"] and "percentile" not in df._jdf.queryExecution().toString()
+    got = {r["k"]: tuple(r)[1:] for r in df.collect()}
+    assert got.pop("c") == (None, 0, 1, None) and len(got) == 3
+    for k, (m, n, u, q) in got.items():
+        v = [r[1] for r in rows if r[0] == k and r[1] is not None]
+        assert (n, u) == (len(v), len({r[2] for r in rows if r[0] == k})) and math.isclose(m, np.quantile(v, 0.5)) and math.isclose(q, np.quantile(v, 0.9))
