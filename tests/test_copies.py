@@ -135,3 +135,25 @@ def test_quantiles_and_distinct_values_are_rows(spark):
     for k, (m, n, u, q) in got.items():
         v = [r[1] for r in rows if r[0] == k and r[1] is not None]
         assert (n, u) == (len(v), len({r[2] for r in rows if r[0] == k})) and math.isclose(m, np.quantile(v, 0.5)) and math.isclose(q, np.quantile(v, 0.9))
+
+
+def test_tfidf_counts_terms_where_texts_lie(spark):
+    from collections import Counter
+
+    from pluvia.functions import text as tx
+
+    docs = [(1, "aa bb aa"), (2, "bb cc"), (2, "cc dd bb"), (3, None), (4, ""), (5, "aa bb zz"), (6, "aa")]
+    df = tx.tfidf(frame(spark, docs, "id long, t string"), "id", "t", min_df=2, max_df=0.6)
+    plan = df._jdf.queryExecution().toString()
+    assert "Window" not in plan
+    tf = {}
+    for i, t in docs:
+        w = (t or "").split()
+        tf.setdefault(i, Counter()).update(w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    df_ = Counter(x for c in tf.values() for x in c)
+    n, want = len(docs), {}
+    for i, c in tf.items():
+        w = {x: (1 + math.log(k)) * (math.log((1 + n) / (1 + df_[x])) + 1) for x, k in c.items() if 2 <= df_[x] <= 0.6 * n}
+        want |= {(i, x): v / math.sqrt(sum(z * z for z in w.values())) for x, v in w.items()}
+    got = {(r["id"], r["term"]): r["weight"] for r in df.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
