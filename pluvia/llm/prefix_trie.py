@@ -67,6 +67,9 @@ def _moved(base: tuple[int, int], starts: dict[int, tuple[int, int, int, int]]):
                     continue
                 conv, pos, p1, p2 = start
                 mine = (rows["conv"] == conv).to_numpy()
+                if not mine.any():  # an assignment of nothing would turn the column to doubles
+                    yield rows.drop(columns="part")
+                    continue
                 for lane, b, p in ((1, b1, p1), (2, b2, p2)):
                     for name, back in ((f"p{lane}", 0), (f"q{lane}", 1)):
                         own = rows.loc[mine, name].tolist()

@@ -153,3 +153,18 @@ def test_colliding_fingerprints_are_found_and_made_anew(spark, monkeypatch):
     rows = [(20, 0, "u", "a"), (20, 1, "u", "b"), (40, 0, "u", "b"), (40, 1, "u", "a"), (60, 0, "u", "a"), (60, 1, "u", "b")]
     got = sorted((tuple(r) for r in conversation_trie(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()), key=repr)
     assert got == trie_by_loops(rows) and asked == [0, 1]
+
+
+def test_trie_where_a_conversation_ends_early_in_a_partition_of_many_batches(spark):
+    """Later batches of a partition hold nothing of the conversation that goes on from the partition before."""
+    rnd = random.Random(9)
+    rows = [(c, i, rnd.choice(["u", "a", None]), rnd.choice(["x y", "", "z", None])) for c in [*range(45), 100, 121] for i in range(rnd.choice([1, 2, 3, 5, 40]))]
+    held = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(held, ("5", "16"), strict=True):
+            spark.conf.set(k, v)
+        got = sorted((tuple(r) for r in conversation_trie(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()), key=repr)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == trie_by_loops(rows)
