@@ -157,3 +157,29 @@ def test_tfidf_counts_terms_where_texts_lie(spark):
         want |= {(i, x): v / math.sqrt(sum(z * z for z in w.values())) for x, v in w.items()}
     got = {(r["id"], r["term"]): r["weight"] for r in df.collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+@pytest.mark.parametrize("block", [4096, 5])
+def test_similar_adjacent_scores_a_name_once_for_streets_that_touch_the_same(spark, sizes, monkeypatch, block):
+    """Every pair scored, as before; lists of 5 are put together from several tasks."""
+    import difflib
+
+    from pluvia.functions import text as tx
+
+    monkeypatch.setattr(tx, "BLOCK_OTHERS", block)
+    rnd = random.Random(5)
+    kinds = ("PINO ", "ROBLE ALTO ", "CEDRO ", "OLMO DEL RIO ")
+    spots = [[f"{kinds[rnd.randrange(4)]}{rnd.randrange(10 ** rnd.randint(1, 5))}" for _ in range(rnd.randint(1, 6))] for _ in range(8)]
+    near = [(i, j) for i in range(8) for j in range(8) if i == j or abs(i - j) in (1, 4)]
+    links = {(a, b) for i, j in near for a in spots[i] for b in spots[j] if a != b} | {("LONE", "PINO 1"), ("LONE", "LONE")}
+    asked = {(rnd.choice(kinds).lower().replace("o", "x") + str(rnd.randrange(100)) if rnd.random() < 0.3 else b.lower().replace("o", "x"), a) for a, b in links} | {(None, "LONE"), ("lone", "LONE")}
+    seen = sizes(tx)
+    norm = lambda n: (n or "").upper()
+    want = set()
+    for name, known in asked:
+        scored = sorted((-difflib.SequenceMatcher(None, norm(name), o).ratio(), o) for k, o in links if k == known)
+        if -scored[0][0] >= 0.6 and (len(scored) == 1 or scored[1][0] - scored[0][0] >= 0.1):
+            want.add((name, known, scored[0][1], -scored[0][0]))
+    got = tx.similar_adjacent(frame(spark, sorted(asked, key=str), "name string, known string"), "name", "known", frame(spark, sorted(links), "street string, other string"), "street", "other")
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 20
+    assert len({k for k, _ in links}) > 8 and 9 in seen  # classes of streets, not streets
