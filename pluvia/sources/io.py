@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import _hashlib
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+#: Longest file whose digest one task makes, and the extensions of files that Hadoop unpacks while it reads them.
+DIGEST_BYTES, PACKED = 128 << 20, r"\.(gz|bz2|deflate|lz4|snappy|zst|passthrough)$"
+
 
 def union_exports(spark: SparkSession, paths: list[str], columns: dict[str, str], key: str, slug_pattern: str) -> DataFrame:
     """Named columns (name -> type) of many wide CSV exports, tagged with the slug found in each file's path.
@@ -127,10 +136,94 @@ def write_validated(df: DataFrame, check: Callable[[DataFrame], DataFrame], path
     files.delete(previous, True)
 
 
+class Sha256:
+    """A SHA-256 whose state can be handed on as bytes. It is OpenSSL's, which Python links; hashlib keeps its state to itself."""
+
+    def __init__(self, state: bytes = b""):
+        self.lib, self.held = ctypes.CDLL(_hashlib.__file__), ctypes.create_string_buffer(state, 256)
+        if not state:
+            self.lib.SHA256_Init(self.held)
+
+    def update(self, data: bytes) -> None:
+        self.lib.SHA256_Update(self.held, data, ctypes.c_size_t(len(data)))
+
+    def state(self) -> bytes:
+        return self.held.raw
+
+    def hexdigest(self) -> str:
+        out = ctypes.create_string_buffer(32)
+        self.lib.SHA256_Final(out, self.held)
+        return out.raw.hex()
+
+    @staticmethod
+    def usable() -> bool:
+        """Whether this Python's OpenSSL offers it."""
+        try:
+            first = Sha256()
+            first.update(b"a" * 100)
+            second = Sha256(first.state())
+            second.update(b"b" * 100)
+            return second.hexdigest() == hashlib.sha256(b"a" * 100 + b"b" * 100).hexdigest()
+        except (AttributeError, OSError):
+            return False
+
+
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, modified, digest) of the files under a path, read in parallel."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length", F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("digest"))
+    """(path, length, modified, digest) of the files under a path. Files of up to DIGEST_BYTES are read whole, in parallel; longer ones by
+    digest_by_ranges, except those that Hadoop would unpack by their extension, and where Python's OpenSSL doesn't hand its state on."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).withColumnRenamed("modificationTime", "modified")
+    whole = lambda df: df.select("path", "length", "modified", F.sha2("content", 256).alias("digest"))
+    if not Sha256.usable():
+        return whole(files)
+    # conditions on the length alone reach the source, which then doesn't read the others
+    short, long, packed = files.where(F.col("length") <= DIGEST_BYTES), files.where(F.col("length") > DIGEST_BYTES), F.col("path").rlike(PACKED)
+    found = long.where(~packed).select("path", "length", "modified").collect()
+    if not found:
+        return whole(files)
+    with ThreadPoolExecutor(8) as threads:
+        digests = threads.map(lambda f: digest_by_ranges(spark, f["path"], f["length"]), found)
+        known = spark.createDataFrame([(*f, d) for f, d in zip(found, digests, strict=True)], whole(files).schema)
+    unpacked = [f["path"] for f in long.where(packed).select("path").collect()]
+    others = whole(files.where(F.col("length") > DIGEST_BYTES).where(F.col("path").isin(unpacked))) if unpacked else None
+    return reduce(DataFrame.unionByName, [df for df in (whole(short), known, others) if df is not None])
+
+
+def digest_by_ranges(spark: SparkSession, path: str, length: int) -> str:
+    """SHA-256 of a file that no task reads whole: its ranges (spark.sql.files.maxPartitionBytes) are read one after the other, each by a task
+    that goes on with the state of the last. Spark's text source cuts them at line feeds, so a range ends with the line that
+    begins in it. The source drops a byte order mark and doesn't tell whether the file ends in a line feed; the length does."""
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+    lines = spark.read.option("lineSep", "\n").text(literal).select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_block_start").alias("start"))
+
+    def going_on(state: bytes, done: int, at: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            digest, n, last = Sha256(state), done, at
+            for whole in batches:
+                for i in range(0, whole.num_rows, 4096):
+                    values, starts = (c.to_pylist() for c in whole.slice(i, 4096).columns)
+                    if starts != sorted(starts) or starts[0] < last:
+                        raise ValueError(f"ranges of {path} out of order")
+                    # each line feed goes before the line that follows it
+                    text = b"\n".join(values if last < 0 else [b"", *values])
+                    digest.update(text)
+                    n, last = n + len(text), starts[-1]
+            yield pa.RecordBatch.from_pydict({"state": [digest.state()], "done": [n], "at": [last]})
+
+        return run
+
+    for head in (b"", b"\xef\xbb\xbf"):
+        digest = Sha256()
+        digest.update(head)
+        state, done, at = digest.state(), len(head), -1
+        for i in range(lines.rdd.getNumPartitions()):
+            after = lines.mapInArrow(going_on(state, done, at), "state binary, done long, at long").rdd
+            ((state, done, at),) = spark.sparkContext.runJob(after, list, [i])
+            state = bytes(state)
+        if done in (length, length - 1):
+            digest = Sha256(state)
+            digest.update(b"\n" * (length - done))
+            return digest.hexdigest()
+    raise ValueError(f"{path} has {length} bytes, {done} were read")
 
 
 def manifest_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:

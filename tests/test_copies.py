@@ -1,5 +1,7 @@
 """Tables that hold many copies: places, streets and values that repeat are worked out once, with the results of brute force."""
 
+import gzip
+import hashlib
 import math
 import random
 
@@ -183,3 +185,28 @@ def test_similar_adjacent_scores_a_name_once_for_streets_that_touch_the_same(spa
     got = tx.similar_adjacent(frame(spark, sorted(asked, key=str), "name string, known string"), "name", "known", frame(spark, sorted(links), "street string, other string"), "street", "other")
     assert {tuple(r) for r in got.collect()} == want and len(want) > 20
     assert len({k for k, _ in links}) > 8 and 9 in seen  # classes of streets, not streets
+
+
+def test_digests_of_long_files_go_by_ranges(spark, tmp_path, monkeypatch):
+    from pluvia.sources import io
+
+    rnd = random.Random(4)
+    noise = rnd.randbytes(60000)
+    files = {
+        "short": b"abc", "edge": noise[:8192], "noise": noise, "ends": noise[:30000] + b"\n", "two": noise[:30001] + b"\n\n", "mark": b"\xef\xbb\xbf" + noise,
+        "mark_ends": b"\xef\xbb\xbf" + noise[:30000] + b"\n", "feeds": b"\n" * 20000, "returns": b"a\r\n\r" * 9000, "one_line": b"x" * 30000, "a[1]{b}*?": noise[:20000], "p.parquet": noise[::-1], "z.gz": gzip.compress(noise[:7000]), "é ñ%20": noise[5:],
+    }
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    monkeypatch.setattr(io, "DIGEST_BYTES", 8192)
+    limits = {"spark.sql.files.maxPartitionBytes": "8192", "spark.sql.sources.binaryFile.maxLength": "8192"}  # no file above that may be one row
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        assert spark.read.text(str(tmp_path / "noise")).rdd.getNumPartitions() > 5
+        got = [(r["path"].rsplit("/", 1)[1], r["length"], r["digest"]) for r in io.file_digests(spark, str(tmp_path)).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(got) == sorted((name, len(data), hashlib.sha256(data).hexdigest()) for name, data in files.items())
