@@ -41,12 +41,18 @@ NAME = r"[\wáéíóúñÁÉÍÓÚÑ]+(?:[ \t]+[\wáéíóúñÁÉÍÓÚÑ]+){0,
 CROSSING = (
     rf"{STREET_TYPE}[ \t]+({NAME}(?:[ \t]+entre[ \t]+{NAME}[ \t]+y[ \t]+{NAME}|[ \t]+entre[ \t]+{NAME}|[ \t]+y[ \t]+(?:{STREET_TYPE}[ \t]+)?{NAME}))"
 )
+# how a street type begins: most places of a text are passed by here, before the alternatives are tried
+TYPE_AHEAD = "(?-iuU:(?=[abcprABCPR])(?=[aA][vV]|[bB][lLuU]|[cC][aA][lLmMrR]|[pP](?:[eE][rR]|[rR][oO])|[rR][eE][tT]))"
 CROSSING_FORMS = (r"(.+?) entre (.+?) y (.+)$", r"(.+?) entre (.+)$", r"(.+?) y (.+)$")
 ARTICLES = ("DE LOS ", "DE LAS ", "DE LA ", "DEL ", "LOS ", "LAS ", "LA ", "EL ")
 TYPE_PREFIX = r"^(?:CALLE|BULEVAR|BLVR|BLVD|AVENIDA|AVE|AV|CAMINO|CARRETERA|PERIFERICO|PROLONGACION|RETORNO|CALLEJON)\s+"
 STREET_NUMBERS = {"UNO": "1", "DOS": "2", "TRES": "3", "CUATRO": "4", "CINCO": "5", "SEIS": "6", "SIETE": "7", "OCHO": "8", "NUEVE": "9", "DIEZ": "10"}
 
 
+#: Most names of a catalog that go to the tasks as such.
+HELD_NAMES = 2000
+
+
 def _plain_letters() -> tuple[str, str]:
     """Accented Latin letters and the plain letters that remain when their marks are dropped."""
     pairs = []
@@ -58,17 +64,17 @@ def _plain_letters() -> tuple[str, str]:
 
 
 _ACCENTED, _PLAIN = _plain_letters()
+_MARKS = "".join(map(chr, range(0x300, 0x370)))
 
 
 def strip_accents(col: Column) -> Column:
     """Latin letters without their marks; loose combining marks go."""
-    return F.regexp_replace(F.translate(col, _ACCENTED, _PLAIN), r"[̀-ͯ]", "")
+    return F.translate(col, _ACCENTED + _MARKS, _PLAIN)
 
 
 def normalize_name(col: Column) -> Column:
     """Upper-case letters, digits and single spaces only; null becomes empty. Latin scripts, no Python."""
-    only = F.regexp_replace(F.upper(strip_accents(F.coalesce(col, F.lit("")))), "[^A-Z0-9 ]", " ")
-    return F.trim(F.regexp_replace(only, r"\s+", " "))
+    return F.trim(F.regexp_replace(F.upper(strip_accents(F.coalesce(col, F.lit("")))), "[^A-Z0-9]+", " "))
 
 
 def normalize_any_script(col: Column) -> Column:
@@ -140,10 +146,15 @@ def local_time_features(df: DataFrame, col: str, tz: str = "America/Hermosillo")
     )
 
 
+def dealt(docs: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
+    """The key and the fields, dealt evenly: files may hold few row groups, and reading a text takes longer than sending it."""
+    return docs.select(key, *fields).repartition(key, *fields)
+
+
 def dictionary_mentions(docs: DataFrame, key: str, fields: dict[str, str], catalog: DataFrame, name: str, id_col: str, min_len: int = 6, stop=INSTITUTIONAL, lookback: int = 14, prefer: str = "first") -> DataFrame:
     """Catalog names as whole words in text fields (column -> label): one row per document and name.
 
-    Names are looked up by joining word n-grams, so the catalog may grow. Overlaps are settled per field from left
+    A catalog of up to HELD_NAMES names is looked up in each text where it lies; of a larger one word n-grams are joined. Overlaps are settled per field from left
     to right; of names that start at one word the alphabetically first wins (prefer='longest': the longest). A name
     goes if a street word ends the `lookback` characters before it. match_method tells whether a settlement word did.
     A document named in two fields counts once, source_field 'ambos'. Rows that share a key are read each on its own and
@@ -151,21 +162,33 @@ def dictionary_mentions(docs: DataFrame, key: str, fields: dict[str, str], catal
     """
     names = catalog.select(F.col(name).alias("name"), F.col(id_col).alias("_id")).where((F.length("name") >= min_len) & ~F.col("name").isin(*stop))
     names = names.groupBy("name").agg(F.min("_id").alias(id_col)).withColumn("words", F.split("name", " "))
-    heads = names.groupBy(F.col("words")[0].alias("head")).agg(F.max(F.size("words")).alias("longest"))
+    held = [r[0] for r in names.select("name").limit(HELD_NAMES + 1).collect()]
+    docs = dealt(docs.where(F.col(key).isNotNull()), key, fields)
     long = F.explode(F.array(*[F.struct(F.lit(label).alias("field"), normalize_name(F.col(c)).alias("text")) for c, label in fields.items()]))
-    texts = docs.select(F.col(key), long.alias("_f")).select(key, "_f.*").where("text <> ''").withColumn("th", F.xxhash64("text"))
-    # a name can begin only where its first word stands; these places go back to their text together, so no text is copied per place
-    words = texts.select(key, "field", "th", F.posexplode(F.split("text", " ")).alias("pos", "head"))
-    here = [key, "field", "th"]
-    starts = words.join(heads, "head").groupBy(*here).agg(F.collect_set(F.struct("pos", "longest")).alias("starts"))
-    texts = texts.withColumn("tokens", F.split("text", " ")).drop("text")
+    texts = docs.select(F.col(key), long.alias("_f")).select(key, "_f.*").where("text <> ''")
+    order = "n" if prefer == "first" else "-n"
     # `lookback` characters take no more words than that
     before = f"IF(s.pos = 0, '', right(concat(array_join(slice(tokens, greatest(s.pos - {lookback - 1}, 1), least(s.pos, {lookback})), ' '), ' '), {lookback}))"
-    gram = f"n -> struct(s.pos AS pos, n AS n, array_join(slice(tokens, s.pos + 1, n), ' ') AS name, {before} AS before)"
-    grams = starts.join(texts, here).select(*here, F.inline(F.expr(f"flatten(transform(starts, s -> transform(sequence(1, least(s.longest, size(tokens) - s.pos)), {gram})))")))
-    hits = grams.join(names.select("name"), "name")
-    order = F.col("n") if prefer == "first" else -F.col("n")
-    per = hits.groupBy(*here).agg(F.sort_array(F.collect_list(F.struct("pos", order.alias("o"), "n", "name", "before"))).alias("all"))
+    hit = f"n -> struct(s.pos AS pos, {order} AS o, n AS n, array_join(slice(tokens, s.pos + 1, n), ' ') AS name, {before} AS before)"
+    grams = f"flatten(transform(starts, s -> transform(sequence(1, least(s.longest, size(tokens) - s.pos)), {hit})))"
+    if len(held) <= HELD_NAMES:
+        longest = max((len(n.split(" ")) for n in held), default=0)
+        start = lambda w, i: F.when(w.isin([n.split(" ")[0] for n in held]), F.struct(i.alias("pos"), F.lit(longest).alias("longest")))
+        here = [key, "field"]
+        # words and starts pass through explode, so that a filter or a reader further on doesn't work them out again
+        words = texts.select(*here, F.explode(F.array(F.split("text", " "))).alias("tokens"))
+        starts = words.select("*", F.explode(F.array(F.array_compact(F.transform("tokens", start)))).alias("starts")).where(F.size("starts") > 0)
+        per = starts.withColumn("grams", F.expr(grams)).select(*here, F.sort_array(F.filter("grams", lambda g: g["name"].isin(held))).alias("all"))
+    else:
+        heads = names.groupBy(F.col("words")[0].alias("head")).agg(F.max(F.size("words")).alias("longest"))
+        texts = texts.withColumn("th", F.xxhash64("text"))
+        # a name can begin only where its first word stands; these places go back to their text together, so no text is copied per place
+        words = texts.select(key, "field", "th", F.posexplode(F.split("text", " ")).alias("pos", "head"))
+        here = [key, "field", "th"]
+        starts = words.join(heads, "head").groupBy(*here).agg(F.collect_set(F.struct("pos", "longest")).alias("starts"))
+        texts = texts.withColumn("tokens", F.split("text", " ")).drop("text")
+        hits = starts.join(texts, here).select(*here, F.inline(F.expr(grams))).join(names.select("name"), "name")
+        per = hits.groupBy(*here).agg(F.sort_array(F.collect_list(F.struct("pos", "o", "n", "name", "before"))).alias("all"))
     fold = """aggregate(all, struct(0 AS end, cast(array() AS array<struct<name:string,before:string>>) AS kept),
         (acc, h) -> IF(h.pos >= acc.end, struct(h.pos + h.n AS end, concat(acc.kept, array(struct(h.name AS name, h.before AS before))) AS kept), acc)).kept"""
     placed = per.select(*here, F.explode(F.expr(fold)).alias("_k")).select(*here, "_k.name", "_k.before")
@@ -179,8 +202,8 @@ def dictionary_mentions(docs: DataFrame, key: str, fields: dict[str, str], catal
 def extract_crossings(docs: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
     """Street-crossing phrases per document; one row per phrase, the first field that has it."""
     parts = F.array(*[F.struct(F.lit(i).alias("o"), F.lit(label).alias("source_field"), F.coalesce(F.col(c), F.lit("")).alias("text")) for i, (c, label) in enumerate(fields.items())])
-    rows = docs.select(key, F.explode(parts).alias("p")).select(key, "p.*")
-    found = rows.select(key, "o", "source_field", F.explode(F.regexp_extract_all("text", F.lit("(?iuU)" + CROSSING), F.lit(1))).alias("e"))
+    rows = dealt(docs, key, fields).select(key, F.explode(parts).alias("p")).select(key, "p.*")
+    found = rows.select(key, "o", "source_field", F.explode(F.regexp_extract_all("text", F.lit("(?iuU)" + TYPE_AHEAD + CROSSING), F.lit(1))).alias("e"))
     first = found.groupBy(key, F.trim("e").alias("expression")).agg(F.min(F.struct("o", "source_field")).alias("m"))
     return first.select(key, "expression", F.col("m.source_field").alias("source_field"))
 

@@ -210,3 +210,39 @@ def test_digests_of_long_files_go_by_ranges(spark, tmp_path, monkeypatch):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert sorted(got) == sorted((name, len(data), hashlib.sha256(data).hexdigest()) for name, data in files.items())
+
+
+def test_texts_are_read_once_for_mentions(spark, monkeypatch):
+    from pluvia.functions import text as tx
+
+    rnd = random.Random(5)
+    words = ["calle", "col", "colonia", "Villa", "VILLA", "sol", "Sól", "norte", "San", "Benito", "del", "Arco", "misión,", "y", ".", "x", "av", "ı", "él"]
+    rows = [(rnd.choice([None, *range(40)]), " ".join(rnd.choices(words, k=rnd.randint(0, 60))) or None, rnd.choice([None, "", "villa sol", "Ave. San Benito"])) for _ in range(150)]
+    docs = frame(spark, rows + rows[:20], "k long, a string, b string").coalesce(1)
+    catalog = frame(spark, [("VILLA SOL", 1), ("VILLA SOL NORTE", 2), ("SAN BENITO", 3), ("SAN BENITO", 9), ("MISION DEL ARCO", 4), ("SOL NORTE", 5), ("VILLA", 6), ("EL VILLA X", 7), (None, 8)], "name string, id int")
+    for prefer in ("first", "longest"):
+        found = lambda: tx.dictionary_mentions(docs, "k", {"a": "texto", "b": "ocr"}, catalog, "name", "id", prefer=prefer)  # noqa: B023, E731
+        here = found()
+        plan = here._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("translate(") == 2 and "RepartitionByExpression" in plan  # one for each field
+        with monkeypatch.context() as m:
+            m.setattr(tx, "HELD_NAMES", 0)
+            joined = sorted(map(tuple, found().collect()))
+        assert sorted(map(tuple, here.collect())) == joined and len({r[2] for r in joined}) > 3
+    assert tx.dictionary_mentions(docs, "k", {"a": "texto"}, catalog.limit(0), "name", "id").count() == 0
+
+
+def test_crossings_and_names_as_by_the_plain_patterns(spark):
+    from pluvia.functions import text as tx
+
+    rnd = random.Random(6)
+    words = "calle Calle CALLE subcalle callejón CALLEJÓN camino CAMİNO camıno carretera bulevar blvr. Blvd blvd. avenida av av. AV periférico PERIFÉRICO prolongación retorno RETORNO c pe Rosales Ñandú y Y entre ENTRE Dos , .".split()
+    docs = frame(spark, [(i, rnd.choice([" ", "\t", "  "]).join(rnd.choices(words, k=rnd.randint(1, 50)))) for i in range(400)], "k long, t string").coalesce(1)
+    plain = docs.select("k", F.explode(F.regexp_extract_all("t", F.lit("(?iuU)" + tx.CROSSING), F.lit(1))).alias("e")).select("k", F.trim("e")).distinct()
+    found = tx.extract_crossings(docs, "k", {"t": "texto"})
+    assert "RepartitionByExpression" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.select("k", "expression").collect())) == sorted(map(tuple, plain.collect())) and plain.count() > 300
+    every = frame(spark, [(f" a{chr(c)}b {chr(c)}",) for c in range(1, 0x11000) if not 0xD800 <= c < 0xE000], "t string")
+    bare = F.regexp_replace(F.translate("t", tx._ACCENTED, tx._PLAIN), r"[̀-ͯ]", "")
+    old = F.trim(F.regexp_replace(F.regexp_replace(F.upper(bare), "[^A-Z0-9 ]", " "), r"\s+", " "))
+    assert every.where((tx.strip_accents(F.col("t")) != bare) | (tx.normalize_name(F.col("t")) != old)).count() == 0
