@@ -5,10 +5,12 @@ from __future__ import annotations
 import difflib
 import math
 import unicodedata
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -427,22 +429,70 @@ def text_length_features(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn("n_chars_text", F.length(col)).withColumn("n_words", F.coalesce(words, F.lit(0)))
 
 
+#: The most bytes of text whose terms are counted at once.
+LOT_BYTES = 8_000_000
+
+
+def _terms(table: pa.Table, key: str, bigrams: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Callable]:
+    """Key (its place among the lot's), term (its place among codes) and how often, for each term of a document; codes, in order
+    of the words, and what names them."""
+    tokens = pa.concat_arrays(table["t"].chunks)
+    found = tokens.flatten().dictionary_encode()
+    order = pc.sort_indices(found.dictionary)
+    words, many = found.dictionary.take(order), max(1, len(order))
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    word, row = rank[found.indices.to_numpy()], np.repeat(np.arange(len(tokens)), tokens.value_lengths().to_numpy())
+    if bigrams:
+        pair = np.flatnonzero(row[1:] == row[:-1])
+        word, row = np.concatenate([word, many * (word[pair] + 1) + word[pair + 1]]), np.concatenate([row, row[pair]])
+    codes, term = np.unique(word, return_inverse=True)
+    # a document may come in several rows
+    doc = pa.concat_arrays(table[key].chunks).dictionary_encode(null_encoding="encode").indices.to_numpy()[row].astype(np.int64)
+    cells, times = np.unique(doc * max(1, len(codes)) + term, return_counts=True)
+
+    def names(codes: np.ndarray) -> pa.Array:
+        first = np.searchsorted(codes, many)
+        of = lambda at: words.take(pa.array(at))
+        return pa.concat_arrays([of(codes[:first]), pc.binary_join_element_wise(of(codes[first:] // many - 1), of(codes[first:] % many), " ")])
+
+    return *np.divmod(cells, max(1, len(codes))), times, codes, names
+
+
 def tfidf(docs: DataFrame, key: str, text: str, min_df: int = 5, max_df: float = 0.5, bigrams: bool = True, pattern: str = r"[a-z]{2,}") -> DataFrame:
     """(key, term, weight): sublinear TF, smoothed IDF, unit L2 norm per document; terms in at least min_df documents
-    and at most a share max_df of them."""
-    tokens = docs.select(key, F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(f"({pattern})"), F.lit(1)).alias("t"))
-    pairs = F.expr("transform(sequence(1, greatest(size(t) - 1, 1)), i -> concat(try_element_at(t, i), ' ', try_element_at(t, i + 1)))")
-    terms = F.concat("t", F.filter(pairs, lambda x: x.isNotNull())) if bigrams else F.col("t")
-    # the terms of a document are counted where it lies: only counts of documents are exchanged, and the weights of terms that are kept
-    held = tokens.select(key, F.array_sort(terms).alias("t")).select(key, F.expr("filter(transform(t, (x, i) -> IF(i = 0 OR t[i - 1] <> x, struct(x AS term, i AS at), NULL)), x -> x IS NOT NULL)").alias("u"), F.size("t").alias("_size"))
-    one = held.select(key, F.expr("inline(transform(u, (x, i) -> struct(x.term AS term, coalesce(try_element_at(u, i + 2).at, _size) - x.at AS tf)))"))
-    if not docs.groupBy(key).agg(F.count("*").alias("c")).where("c > 1").isEmpty():
-        one = one.groupBy(key, "term").agg(F.sum("tf").alias("tf"))  # a document in several rows
-    n = docs.count()
-    df = settled(one.groupBy("term").agg(F.count("*").alias("df")).where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.lit(n))))
-    raw = one.join(_held(df), "term").select(key, "term", ((1 + F.log("tf")) * (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1)).alias("w"))
-    norms = settled(raw.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm")))
-    return raw.join(_held(norms), raw[key].eqNullSafe(norms[key])).select(raw[key], "term", (F.col("w") / F.col("_norm")).alias("weight"))
+    and at most a share max_df of them.
+
+    Documents are dealt to lots by their key. A lot sends each of its terms once, with the number of its documents that have it, and gets back
+    those that are kept, so neither the terms of each document nor the vocabulary are exchanged or held whole.
+    """
+    n, size = docs.agg(F.count("*"), F.sum(F.octet_length(text))).first()
+    lots = math.ceil((size or 0) / max(1, min(LOT_BYTES, (size or 0) // (8 * docs.sparkSession.sparkContext.defaultParallelism) + 250_000)))
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(f"({pattern})"), F.lit(1))
+    dealt = docs.select(key, text, F.pmod(F.xxhash64(key), F.lit(max(1, lots))).cast("int").alias("_lot")).repartition("_lot").select("_lot", key, tokens.alias("t"))
+    kind = docs.select(key).schema[0].dataType.simpleString()
+
+    def sent(table: pa.Table) -> pa.Table:
+        _, term, _, codes, names = _terms(table, key, bigrams)
+        lot = np.full(len(codes), table["_lot"][0].as_py(), np.int32)
+        return pa.table({"_lot": lot, "term": names(codes), "n": np.bincount(term, minlength=len(codes)).astype(np.int32)})
+
+    def weighed(texts: pa.Table, kept: pa.Table) -> pa.Table:
+        if not texts.num_rows or not kept.num_rows:
+            return pa.table({key: texts[key].slice(0, 0), "term": pa.array([], pa.string()), "weight": pa.array([], pa.float64())})
+        doc, term, times, codes, names = _terms(texts, key, bigrams)
+        # the kept term of each code, or -1
+        place = pc.index_in(names(codes), kept["term"].combine_chunks()).fill_null(-1).to_numpy()[term]
+        doc, place, times = doc[place >= 0], place[place >= 0], times[place >= 0]
+        w = (1 + np.log(times)) * (np.log((1 + n) / (1 + kept["df"].to_numpy()[place])) + 1)
+        norm = np.sqrt(np.bincount(doc, w * w))
+        keys = pa.concat_arrays(texts[key].chunks).dictionary_encode(null_encoding="encode").dictionary
+        return pa.table({key: keys.take(pa.array(doc)), "term": kept["term"].take(pa.array(place)), "weight": w / norm[doc]})
+
+    found = dealt.groupBy("_lot").applyInArrow(sent, "_lot int, term string, n int").withColumn("df", F.sum("n").over(Window.partitionBy("term")))
+    with shuffles_removed(docs.sparkSession):
+        kept = settled(found.where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.lit(n))).select("_lot", "term", "df"))
+    return dealt.groupBy("_lot").cogroup(kept.groupBy("_lot")).applyInArrow(weighed, f"`{key}` {kind}, term string, weight double")
 
 
 #: The most terms or documents whose numbers are broadcast to where the texts lie; more are joined by an exchange.
