@@ -430,7 +430,7 @@ def text_length_features(df: DataFrame, col: str) -> DataFrame:
 
 
 #: The most bytes of text whose terms are counted at once.
-LOT_BYTES = 8_000_000
+LOT_BYTES = 10_000_000
 
 
 def _terms(table: pa.Table, key: str, bigrams: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Callable]:
@@ -446,10 +446,16 @@ def _terms(table: pa.Table, key: str, bigrams: bool) -> tuple[np.ndarray, np.nda
     if bigrams:
         pair = np.flatnonzero(row[1:] == row[:-1])
         word, row = np.concatenate([word, many * (word[pair] + 1) + word[pair + 1]]), np.concatenate([row, row[pair]])
-    codes, term = np.unique(word, return_inverse=True)
+    at, met = pd.factorize(word)
+    codes = np.sort(met)
+    term = np.searchsorted(codes, met)[at]
+    del word, at, met  # numbers of each word of a lot take most of a worker's memory
     # a document may come in several rows
     doc = pa.concat_arrays(table[key].chunks).dictionary_encode(null_encoding="encode").indices.to_numpy()[row].astype(np.int64)
-    cells, times = np.unique(doc * max(1, len(codes)) + term, return_counts=True)
+    del row
+    doc *= max(1, len(codes))
+    doc += term
+    cells, times = np.unique(doc, return_counts=True)
 
     def names(codes: np.ndarray) -> pa.Array:
         first = np.searchsorted(codes, many)
